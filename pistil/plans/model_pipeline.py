@@ -1,0 +1,124 @@
+"""Model pipeline: tune each family -> refit on train + val -> soft vote -> test accuracy.
+
+Input is one keyed frame (or table) with a ``split`` column, e.g. the ``processed``
+table of the data pipeline, or the ``_x``/``_y`` tables re-paired on the key.
+Train and validation are assembled once and cached (memory, spilling to disk); a
+lost executor only recomputes its cached blocks from the stored table. Predictions
+stay a distributed frame; only the label list and small trial records reach the
+driver.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+from typing import Any
+
+from pyspark import StorageLevel
+from pyspark.ml import Model
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.stamps import experiment_name, now_stamp
+from ..operators.ensemble import ensemble_accuracy, refit, soft_vote, union_train_val
+from ..operators.models import FitContext, assemble, fit_label_indexer, get_family
+from ..operators.space import Distribution
+from ..operators.tune import TuneResult, tune
+
+
+@dataclass
+class ModelPipelineConfig:
+    key_cols: Sequence[str]
+    feature_cols: Sequence[str]
+    target_col: str
+    split_col: str = "split"
+    families: Sequence[str] = ("random_forest", "logistic_regression")
+    spaces: dict[str, dict[str, Distribution]] = field(default_factory=dict)
+    max_evals: int = 3
+    metric: str = "accuracy"
+    maximize: bool = True
+    seed: int = 42
+    parallelism: int = 3
+    max_iter: int = 100
+    standardize: bool = False
+    experiment_base: str = "experiments"
+    model_dir: str | None = None
+    trial_table: str | None = None
+    handle_invalid: str = "error"
+
+
+@dataclass
+class ModelPipelineResult:
+    predictions: DataFrame
+    metrics: DataFrame
+    trials: DataFrame
+    tuned: dict[str, TuneResult]
+    models: dict[str, Model]
+    labels: list[Any]
+
+
+def prepare(df: DataFrame, cfg: ModelPipelineConfig, indexer) -> DataFrame:
+    a = assemble(df, cfg.feature_cols, handle_invalid=cfg.handle_invalid)
+    a = indexer.transform(a)
+    return a.select(*cfg.key_cols, cfg.target_col, "features", "label")
+
+
+def run_model_pipeline(data: DataFrame, cfg: ModelPipelineConfig) -> ModelPipelineResult:
+    spark: SparkSession = data.sparkSession
+    cols = [*cfg.key_cols, *cfg.feature_cols, cfg.target_col, cfg.split_col]
+    data = data.select(*dict.fromkeys(cols))
+    part = {s: data.where(F.col(cfg.split_col) == s) for s in ("train", "val", "test")}
+    target_type = data.schema[cfg.target_col].dataType.simpleString()
+
+    # One label list for every model (fitted on train + val), so class i means the
+    # same thing in each probability vector.
+    indexer = fit_label_indexer(union_train_val(part["train"], part["val"]),
+                                cfg.target_col, handle_invalid=cfg.handle_invalid)
+    labels = list(indexer.labelsArray[0])
+
+    train = prepare(part["train"], cfg, indexer).persist(StorageLevel.MEMORY_AND_DISK)
+    val = prepare(part["val"], cfg, indexer).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n_train, n_val = train.count(), val.count()
+        stamp = now_stamp()
+        tuned: dict[str, TuneResult] = {}
+        for fam_name in cfg.families:
+            fam = get_family(fam_name)
+            tuned[fam.name] = tune(
+                train, val, fam, space=cfg.spaces.get(fam.name), max_evals=cfg.max_evals,
+                metric=cfg.metric, maximize=cfg.maximize, seed=cfg.seed,
+                parallelism=cfg.parallelism,
+                experiment=experiment_name(cfg.experiment_base, fam.name, stamp),
+                model_dir=cfg.model_dir, trial_table=cfg.trial_table,
+                max_iter=cfg.max_iter, standardize=cfg.standardize, n_train=n_train)
+
+        train_val = union_train_val(train, val)
+        ctx = FitContext(n_rows=n_train + n_val, seed=cfg.seed, max_iter=cfg.max_iter,
+                         standardize=cfg.standardize)
+        models = {name: refit(train_val, name, t.best_params, ctx)
+                  for name, t in tuned.items()}
+    finally:
+        train.unpersist()
+        val.unpersist()
+
+    test = prepare(part["test"], cfg, indexer)
+    predictions = soft_vote(test, models, labels, keep=[*cfg.key_cols, cfg.target_col],
+                            label_type=None if target_type == "string" else target_type)
+    acc = ensemble_accuracy(predictions, cfg.target_col)
+    trials = None
+    for t in tuned.values():
+        trials = t.trials if trials is None else trials.unionByName(t.trials)
+    # Long form (family, metric, value): the best validation score per family from the
+    # trial records, and the ensemble's test accuracy as a distributed aggregate.
+    best = spark.createDataFrame(
+        [(name, m, float(v)) for name, t in tuned.items()
+         for m, v in (("best_trial_id", t.best["trial_id"]),
+                      ("best_val_score", t.best["val_score"]))],
+        "family string, metric string, value double")
+    ens = acc.select(F.explode(F.array(
+        F.struct(F.lit("test_accuracy").alias("metric"), F.col("accuracy").alias("value")),
+        F.struct(F.lit("test_rows").alias("metric"),
+                 F.col("rows").cast("double").alias("value")))).alias("m"))
+    metrics = best.unionByName(
+        ens.select(F.lit("ensemble").alias("family"), "m.metric", "m.value"))
+    return ModelPipelineResult(predictions, metrics, trials, tuned, models, labels)
