@@ -132,6 +132,20 @@ def q_split_counts(spark, d):
     return split.split_counts(o, by=["o_orderpriority"])
 
 
+def q_split_stream(spark, d):
+    """The hash split run as a Structured Streaming query (available-now trigger) over
+    the orders file, written to a partitioned file sink and read back."""
+    from ..streaming.split_stream import write_split_stream
+    src = f"{d.rstrip('/')}/orders.parquet"
+    schema = spark.read.parquet(src).schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet")
+              .parquet(d).select("o_orderkey"))
+    out = scratch_path(spark, "orders_split_stream")
+    q = write_split_stream(stream, "o_orderkey", out, ratios=RATIOS, seed=SEED)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("o_orderkey", "split")
+
+
 def q_union_train_val(spark, d):
     train, val, _ = split.hash_split(read(spark, d, "orders"), "o_orderkey", RATIOS, SEED)
     return train.unionByName(val)
@@ -286,6 +300,7 @@ QUERIES: dict[str, Query] = {
     "split_random": q_split_random,
     "split_hash": q_split_hash,
     "split_counts": q_split_counts,
+    "split_stream": q_split_stream,
     "union_train_val": q_union_train_val,
     "features_x": q_features_x,
     "target_y": q_target_y,
@@ -414,6 +429,7 @@ ORACLES: dict[str, str] = {
     "split_counts": (
         f"SELECT {_sql_split(H.sql_key('o_orderkey'))} AS split, o_orderpriority, "
         "count(*) AS rows FROM orders GROUP BY 1, 2"),
+    "split_stream": f"SELECT o_orderkey, {_sql_split(H.sql_key('o_orderkey'))} AS split FROM orders",
     "union_train_val": (
         f"SELECT * FROM orders WHERE {_ORDER_U} < {split.split_thresholds(RATIOS)[1]!r}::DOUBLE"),
     "features_x": f"SELECT {_KEYS}, {_FEATS} FROM lineitem",
