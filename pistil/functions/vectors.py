@@ -16,13 +16,22 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def mean_arrays(*arrays: str | Column) -> Column:
-    """Element-wise mean of equally long numeric arrays (soft vote of k models)."""
+def mean_arrays(*arrays: str | Column, size: int | None = None) -> Column:
+    """Element-wise mean of equally long numeric arrays (soft vote of k models).
+
+    With ``size`` (the number of classes, known once the label list is fitted) the
+    mean is spelled out element by element, which stays inside whole-stage codegen;
+    without it a ``zip_with``/``transform`` lambda handles any length.
+    """
     if not arrays:
         raise ValueError("need at least one probability array")
     cols = [_col(a) for a in arrays]
     if len(cols) == 1:
         return cols[0]
+    if size is not None:
+        k = float(len(cols))
+        return F.array(*[sum((c[i] for c in cols[1:]), cols[0][i]) / F.lit(k)
+                         for i in range(size)])
     if len(cols) == 2:
         return F.zip_with(cols[0], cols[1], lambda x, y: (x + y) / F.lit(2.0))
     k = float(len(cols))

@@ -48,7 +48,7 @@ def soft_vote(df: DataFrame, models: Mapping[str, Model], labels: Sequence[Any],
     label = index_to_label(F.col(index_col), [str(v) for v in labels])
     if label_type:
         label = label.cast(label_type)
-    return (out.withColumn(prob_col, mean_arrays(*probs))
+    return (out.withColumn(prob_col, mean_arrays(*probs, size=len(labels)))
                .withColumn(index_col, argmax(prob_col))
                .select(*keep, *[f"{n}_probability" for n in names], prob_col, index_col,
                        label.alias(pred_col)))

@@ -25,6 +25,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (LogisticRegression, LogisticRegressionModel,
                                        RandomForestClassificationModel,
@@ -56,6 +57,23 @@ def fit_label_indexer(df: DataFrame, target_col: str, out: str = LABEL_COL,
                          handleInvalid=handle_invalid).fit(df)
 
 
+def training_frame(df: DataFrame, min_partitions: int | None = None,
+                   storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    """Persist a frame that iterative fits will scan many times.
+
+    Every tree level and every gradient step is one task per partition, so a frame
+    with fewer partitions than the cluster has cores leaves cores idle for the whole
+    fit; such a frame is spread round-robin first (one shuffle of the training rows,
+    deterministic on retry). Large inputs already have enough partitions and are
+    cached as they are. Cached blocks lost with an executor are recomputed from
+    lineage.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        df = df.repartition(target)
+    return df.persist(storage)
+
+
 @dataclass
 class FitContext:
     """What a family needs besides its hyperparameters."""

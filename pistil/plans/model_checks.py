@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import hashing as H
 from ..operators.ensemble import ensemble_accuracy, soft_vote, union_train_val
 from ..operators.models import (FitContext, assemble, fit, fit_label_indexer, load_model,
-                                predict, save_model)
+                                predict, save_model, training_frame)
 from ..operators.space import LR_SPACE, RF_SPACE
 from ..operators.split import tag_split
 from ..operators.tune import tune
@@ -74,8 +74,10 @@ def q_label_index(spark, d):
 
 def _single(spark, d, family, params, refit=False):
     parts, labels = _prepared(spark, d)
-    train = union_train_val(parts["train"], parts["val"]) if refit else parts["train"]
+    train = training_frame(
+        union_train_val(parts["train"], parts["val"]) if refit else parts["train"])
     model = fit(family, params, train, FitContext(n_rows=train.count(), seed=SEED))
+    train.unpersist()
     return _probs_out(predict(model, parts["test"]), labels)
 
 
@@ -93,8 +95,11 @@ def q_refit_predict(spark, d):
 
 def _tune(spark, d, family, space, **kw):
     parts, _ = _prepared(spark, d)
-    res = tune(parts["train"].cache(), parts["val"].cache(), family, space, max_evals=3,
-               seed=SEED, parallelism=3, experiment=f"check_{family}", **kw)
+    train, val = training_frame(parts["train"]), training_frame(parts["val"])
+    res = tune(train, val, family, space, max_evals=3, seed=SEED, parallelism=3,
+               experiment=f"check_{family}", **kw)
+    train.unpersist()
+    val.unpersist()
     return res.trials.select("family", "trial_id", "params", "val_score", "val_loss", "status")
 
 
@@ -113,18 +118,22 @@ def q_trial_log(spark, d):
               "run_id STRING, params STRING, val_score DOUBLE, val_loss DOUBLE, "
               "status STRING, error STRING, artifact_uri STRING) USING parquet "
               f"LOCATION '{shared_dir(spark, 'tables', name)}'")
+    train, val = training_frame(parts["train"]), training_frame(parts["val"])
     for fam in ("logistic_regression", "random_forest"):
-        tune(parts["train"], parts["val"], fam, max_evals=2, seed=SEED, parallelism=2,
+        tune(train, val, fam, max_evals=2, seed=SEED, parallelism=2,
              experiment=f"log_{fam}", trial_table=name)
+    train.unpersist()
+    val.unpersist()
     return spark.table(name).select("experiment", "family", "trial_id", "params", "status")
 
 
 def _ensemble(spark, d):
     parts, labels = _prepared(spark, d)
-    tv = union_train_val(parts["train"], parts["val"])
+    tv = training_frame(union_train_val(parts["train"], parts["val"]))
     ctx = FitContext(n_rows=tv.count(), seed=SEED)
     models = {"rf": fit("random_forest", RF_PARAMS, tv, ctx),
               "lr": fit("logistic_regression", LR_PARAMS, tv, ctx)}
+    tv.unpersist()
     return soft_vote(parts["test"], models, labels, keep=[*LINE_KEY, BAND])
 
 
@@ -140,8 +149,9 @@ def q_ensemble_accuracy(spark, d):
 
 def q_model_save_load(spark, d):
     parts, labels = _prepared(spark, d)
-    model = fit("random_forest", RF_PARAMS, parts["train"],
-                FitContext(n_rows=parts["train"].count(), seed=SEED))
+    train = training_frame(parts["train"])
+    model = fit("random_forest", RF_PARAMS, train, FitContext(n_rows=train.count(), seed=SEED))
+    train.unpersist()
     path = save_model(model, scratch_path(spark, "rf_model"))
     again = load_model("random_forest", path)
     a = predict(model, parts["test"], prefix="a_")

@@ -14,14 +14,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stamps import experiment_name, now_stamp
 from ..operators.ensemble import ensemble_accuracy, refit, soft_vote, union_train_val
-from ..operators.models import FitContext, assemble, fit_label_indexer, get_family
+from ..operators.models import (FitContext, assemble, fit_label_indexer, get_family,
+                                training_frame)
 from ..operators.space import Distribution
 from ..operators.tune import TuneResult, tune
 
@@ -76,8 +76,8 @@ def run_model_pipeline(data: DataFrame, cfg: ModelPipelineConfig) -> ModelPipeli
                                 cfg.target_col, handle_invalid=cfg.handle_invalid)
     labels = list(indexer.labelsArray[0])
 
-    train = prepare(part["train"], cfg, indexer).persist(StorageLevel.MEMORY_AND_DISK)
-    val = prepare(part["val"], cfg, indexer).persist(StorageLevel.MEMORY_AND_DISK)
+    train = training_frame(prepare(part["train"], cfg, indexer))
+    val = training_frame(prepare(part["val"], cfg, indexer))
     try:
         n_train, n_val = train.count(), val.count()
         stamp = now_stamp()

@@ -259,17 +259,24 @@ def q_sample_search_space(spark, d):
 
 # ---------------------------------------------------------------- probability arrays
 
-def _probs(key, model: str) -> F.Column:
-    """A 3-class probability vector per row from hash draws of its key (one per model)."""
-    us = [H.hash_uniform(key, SEED, salt=f"{model}{j}") for j in range(3)]
+def _draw_cols(key) -> list:
+    """Six hash draws per row (three classes x two pretend models), one projection."""
+    return [H.hash_uniform(key, SEED, salt=f"{m}{j}").alias(f"_u_{m}{j}")
+            for m in ("a", "b") for j in range(3)]
+
+
+def _probs(model: str) -> F.Column:
+    """A 3-class probability vector from the model's three draws."""
+    us = [F.col(f"_u_{model}{j}") for j in range(3)]
     total = (us[0] + us[1]) + us[2]
     return F.array(*[u / total for u in us])
 
 
 def _voted(spark, d):
     li = read(spark, d, "lineitem").select(*LINE_KEY)
-    key = H.key_string(*LINE_KEY)
-    return li.select(*LINE_KEY, mean_arrays(_probs(key, "a"), _probs(key, "b")).alias("p"))
+    draws = li.select(*LINE_KEY, *_draw_cols(H.key_string(*LINE_KEY)))
+    probs = draws.select(*LINE_KEY, _probs("a").alias("pa"), _probs("b").alias("pb"))
+    return probs.select(*LINE_KEY, mean_arrays("pa", "pb", size=3).alias("p"))
 
 
 def q_soft_vote(spark, d):
