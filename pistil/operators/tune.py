@@ -10,6 +10,8 @@ trials frame, which can be appended to a catalog table.
 from __future__ import annotations
 
 import json
+import logging
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -25,6 +27,8 @@ from .models import FitContext, Family, get_family, predict, save_model
 from .space import Distribution, row_params, trial_frame
 from .trials import best_trial
 
+log = logging.getLogger("pistil.tune")
+
 TRIAL_SCHEMA = T.StructType([
     T.StructField("experiment", T.StringType(), False),
     T.StructField("family", T.StringType(), False),
@@ -88,9 +92,13 @@ def tune(train: DataFrame, val: DataFrame, family: str | Family,
                "val_score": None, "val_loss": None, "status": "ok", "error": None,
                "artifact_uri": None}
         model = None
+        t0 = time.perf_counter()
         try:
             model = fam.build(params, ctx).fit(train)
+            t1 = time.perf_counter()
             score = _score(model, val, metric_fn, label_col)
+            log.info("%s trial %d: fit %.1fs, score %.1fs, %s=%.4f", fam.name, tid,
+                     t1 - t0, time.perf_counter() - t1, "score", score)
             rec["val_score"] = score
             rec["val_loss"] = -score if maximize else score
             if model_dir:

@@ -10,7 +10,10 @@ driver.
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -26,6 +29,9 @@ from ..operators.space import Distribution
 from ..operators.tune import TuneResult, tune
 
 
+log = logging.getLogger("pistil.model_pipeline")
+
+
 @dataclass
 class ModelPipelineConfig:
     key_cols: Sequence[str]
@@ -38,7 +44,8 @@ class ModelPipelineConfig:
     metric: str = "accuracy"
     maximize: bool = True
     seed: int = 42
-    parallelism: int = 3
+    parallelism: int = 3              # trials of one family at a time
+    family_parallelism: int = 2       # families tuned (and refitted) at a time
     max_iter: int = 100
     standardize: bool = False
     experiment_base: str = "experiments"
@@ -79,12 +86,15 @@ def run_model_pipeline(data: DataFrame, cfg: ModelPipelineConfig) -> ModelPipeli
     train = training_frame(prepare(part["train"], cfg, indexer))
     val = training_frame(prepare(part["val"], cfg, indexer))
     try:
+        t0 = time.perf_counter()
         n_train, n_val = train.count(), val.count()
+        log.info("train %d rows, val %d rows cached in %.1fs", n_train, n_val,
+                 time.perf_counter() - t0)
         stamp = now_stamp()
-        tuned: dict[str, TuneResult] = {}
-        for fam_name in cfg.families:
+
+        def tune_family(fam_name: str) -> TuneResult:
             fam = get_family(fam_name)
-            tuned[fam.name] = tune(
+            return tune(
                 train, val, fam, space=cfg.spaces.get(fam.name), max_evals=cfg.max_evals,
                 metric=cfg.metric, maximize=cfg.maximize, seed=cfg.seed,
                 parallelism=cfg.parallelism,
@@ -92,11 +102,23 @@ def run_model_pipeline(data: DataFrame, cfg: ModelPipelineConfig) -> ModelPipeli
                 model_dir=cfg.model_dir, trial_table=cfg.trial_table,
                 max_iter=cfg.max_iter, standardize=cfg.standardize, n_train=n_train)
 
+        # Families are independent: their fits are submitted from separate driver
+        # threads and share the executors (each fit is itself distributed).
+        workers = max(1, min(cfg.family_parallelism, len(cfg.families)))
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            results = list(pool.map(tune_family, cfg.families))
+        tuned: dict[str, TuneResult] = {r.family: r for r in results}
+        log.info("tuning done in %.1fs", time.perf_counter() - t0)
+
         train_val = union_train_val(train, val)
         ctx = FitContext(n_rows=n_train + n_val, seed=cfg.seed, max_iter=cfg.max_iter,
                          standardize=cfg.standardize)
-        models = {name: refit(train_val, name, t.best_params, ctx)
-                  for name, t in tuned.items()}
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            fitted = list(pool.map(
+                lambda item: (item[0], refit(train_val, item[0], item[1].best_params, ctx)),
+                tuned.items()))
+        models = dict(fitted)
+        log.info("refit done in %.1fs", time.perf_counter() - t0)
     finally:
         train.unpersist()
         val.unpersist()

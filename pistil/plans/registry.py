@@ -186,6 +186,11 @@ def q_describe_numeric(spark, d):
     return out.withColumn("value", F.round("value", 4))
 
 
+def q_describe_strings(spark, d):
+    """Spark's own ``describe`` (string values, one row per statistic)."""
+    return profile.describe_strings(read(spark, d, "lineitem"), LINE_FEATURES)
+
+
 def q_class_counts(spark, d):
     return profile.class_counts(read(spark, d, "lineitem"), LINE_TARGET)
 
@@ -315,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "row_count": q_row_count,
     "head5": q_head5,
     "describe_numeric": q_describe_numeric,
+    "describe_strings": q_describe_strings,
     "class_counts": q_class_counts,
     "class_means": q_class_means,
     "event_class_means": q_event_class_means,
