@@ -48,13 +48,38 @@ def rename_snake_case(df: DataFrame) -> DataFrame:
     return df.toDF(*snake_case_all(df.columns, _case_sensitive(df)))
 
 
+def hash_ordered(df: DataFrame, key_cols: Sequence[str], seed: int = 42,
+                 partitions: int | None = None, first: Sequence[str] = ()) -> DataFrame:
+    """Rows in seeded hash order: partition ``i`` holds hash range [i/n, (i+1)/n),
+    sorted inside by ``(*first, md5 hex, key)``.
+
+    A global ``orderBy`` would first run a sampling job over the whole input to
+    find range bounds. The hash draw is uniform, so the bounds are known: each row's
+    partition is ``floor(u * n)`` and one exchange (no sampling pass) yields the
+    same global order when partitions are read in sequence. Partitions are evenly
+    filled for unique keys.
+    """
+    keys = list(key_cols)
+    n = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hexcol = hash_hex(key_string(*keys), seed)
+    top = F.conv(F.substring(F.col("_ord_h"), 1, 8), 16, 10).cast("double")
+    tagged = df.withColumn("_ord_h", hexcol)
+    if not hasattr(tagged, "repartitionById"):  # Spark < 4.1: sampled range partitioning
+        return tagged.orderBy(*first, "_ord_h", *keys).drop("_ord_h")
+    pid = F.floor(top / F.lit(TWO_POW_32) * F.lit(n)).cast("int")
+    return (tagged.repartitionById(n, pid)
+                  .sortWithinPartitions(*first, "_ord_h", *keys)
+                  .drop("_ord_h"))
+
+
 def shuffle_rows(df: DataFrame, key_cols: Sequence[str] | str | None = None, seed: int = 42,
-                 method: str = "hash") -> DataFrame:
-    """Seeded random row order (a global sort: range-partition shuffle + local sorts).
+                 method: str = "hash", partitions: int | None = None) -> DataFrame:
+    """Seeded random row order.
 
     ``method="hash"`` orders by md5(key|seed) then key: the same order for the same
-    keys however the input is partitioned. ``method="random"`` is ``orderBy(rand(seed))``,
-    which changes when the input partitioning changes.
+    keys however the input is partitioned (see ``hash_ordered``: one exchange, no
+    sampling pass). ``method="random"`` is ``orderBy(rand(seed))``, a sampled
+    range-partition sort whose order changes when the input partitioning changes.
     """
     if method == "random":
         return df.orderBy(F.rand(seed))
@@ -63,7 +88,7 @@ def shuffle_rows(df: DataFrame, key_cols: Sequence[str] | str | None = None, see
     keys = _keys(key_cols)
     if not keys:
         raise ValueError("hash shuffle needs key_cols")
-    return df.orderBy(hash_hex(key_string(*keys), seed), *keys)
+    return hash_ordered(df, keys, seed, partitions)
 
 
 def with_hash_position(df: DataFrame, key_cols: Sequence[str] | str, seed: int = 42,

@@ -73,3 +73,10 @@ def test_snake_case_has_no_ascii_capitals(name):
     out = snake_case(name)
     assert not any("A" <= c <= "Z" for c in out)
     assert out.replace("_", "") == name.lower().replace("_", "") or len(out) >= len(name)
+
+
+def test_hash_order_equals_global_sort(spark):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
+    fast = [r[0] for r in prep.hash_ordered(o.repartition(3), ["o_orderkey"], 11, 5).collect()]
+    slow = [r[0] for r in o.orderBy(hash_hex(key_string("o_orderkey"), 11), "o_orderkey").collect()]
+    assert fast == slow
