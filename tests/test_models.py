@@ -133,3 +133,27 @@ def test_pipeline_with_int_labels(spark, banded):
     m = {(r["family"], r["metric"]): r["value"] for r in res.metrics.collect()}
     assert m[("ensemble", "test_accuracy")] > 0.9
     assert res.trials.count() == 4
+
+
+def test_custom_metric_and_minimize(prepared):
+    parts, _ = prepared
+    small = {"n_estimators": IntRange(5, 6), "max_depth": IntRange(2, 6),
+             "min_samples_split": Uniform(0.01, 0.02), "min_samples_leaf": Uniform(0.01, 0.02),
+             "bootstrap": Choice([True])}
+
+    def error_rate(df):  # a distributed metric callable: lower is better
+        return df.agg(F.avg((F.col("label") != F.col("prediction")).cast("double"))).first()[0]
+
+    res = tune(parts["train"], parts["val"], "random_forest", small, max_evals=4,
+               metric=error_rate, maximize=False, parallelism=2)
+    rows = res.trials.collect()
+    assert all(r["val_loss"] == r["val_score"] for r in rows)
+    assert res.best["val_loss"] == min(r["val_loss"] for r in rows)
+
+
+def test_unknown_family_and_metric(prepared):
+    parts, _ = prepared
+    with pytest.raises(ValueError):
+        tune(parts["train"], parts["val"], "svm")
+    with pytest.raises(ValueError):
+        tune(parts["train"], parts["val"], "random_forest", metric="auc")
