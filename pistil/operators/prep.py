@@ -49,7 +49,8 @@ def rename_snake_case(df: DataFrame) -> DataFrame:
 
 
 def hash_ordered(df: DataFrame, key_cols: Sequence[str], seed: int = 42,
-                 partitions: int | None = None, first: Sequence[str] = ()) -> DataFrame:
+                 partitions: int | None = None, first: Sequence[str] = (),
+                 skew_safe: bool = False) -> DataFrame:
     """Rows in seeded hash order: partition ``i`` holds hash range [i/n, (i+1)/n),
     sorted inside by ``(*first, md5 hex, key)``.
 
@@ -58,12 +59,21 @@ def hash_ordered(df: DataFrame, key_cols: Sequence[str], seed: int = 42,
     partition is ``floor(u * n)`` and one exchange (no sampling pass) yields the
     same global order when partitions are read in sequence. Partitions are evenly
     filled for unique keys.
+
+    Copies of one key share one hash, so a key repeated across a large share of the
+    rows would fill one partition. ``skew_safe=True`` is for such data: a sampled
+    range sort with a per-row tiebreaker, which lets Spark cut a run of equal keys
+    across partitions (the tiebreaker only orders copies of the same key, whose
+    relative order is arbitrary anyway).
     """
     keys = list(key_cols)
     n = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hexcol = hash_hex(key_string(*keys), seed)
     top = F.conv(F.substring(F.col("_ord_h"), 1, 8), 16, 10).cast("double")
     tagged = df.withColumn("_ord_h", hexcol)
+    if skew_safe:
+        return (tagged.withColumn("_ord_t", F.monotonically_increasing_id())
+                      .orderBy(*first, "_ord_h", *keys, "_ord_t").drop("_ord_h", "_ord_t"))
     if not hasattr(tagged, "repartitionById"):  # Spark < 4.1: sampled range partitioning
         return tagged.orderBy(*first, "_ord_h", *keys).drop("_ord_h")
     pid = F.floor(top / F.lit(TWO_POW_32) * F.lit(n)).cast("int")
@@ -73,7 +83,8 @@ def hash_ordered(df: DataFrame, key_cols: Sequence[str], seed: int = 42,
 
 
 def shuffle_rows(df: DataFrame, key_cols: Sequence[str] | str | None = None, seed: int = 42,
-                 method: str = "hash", partitions: int | None = None) -> DataFrame:
+                 method: str = "hash", partitions: int | None = None,
+                 skew_safe: bool = False) -> DataFrame:
     """Seeded random row order.
 
     ``method="hash"`` orders by md5(key|seed) then key: the same order for the same
@@ -88,7 +99,7 @@ def shuffle_rows(df: DataFrame, key_cols: Sequence[str] | str | None = None, see
     keys = _keys(key_cols)
     if not keys:
         raise ValueError("hash shuffle needs key_cols")
-    return hash_ordered(df, keys, seed, partitions)
+    return hash_ordered(df, keys, seed, partitions, skew_safe=skew_safe)
 
 
 def with_hash_position(df: DataFrame, key_cols: Sequence[str] | str, seed: int = 42,
@@ -100,8 +111,9 @@ def with_hash_position(df: DataFrame, key_cols: Sequence[str] | str, seed: int =
     so rows are numbered inside their bucket (one window partition per bucket, in
     parallel) and shifted by the row count of all lower buckets. The offsets table
     has one row per bucket, a size fixed by ``buckets``, so broadcasting it is safe.
-    Keys are expected to be unique; a duplicated key gets consecutive positions in
-    an arbitrary order.
+    Keys are expected to identify rows (the pipeline adds one at ingest when the
+    source has none); copies of a key get consecutive positions in an arbitrary
+    order and share one bucket.
     """
     keys = _keys(key_cols)
     nb = int(buckets or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -80,3 +80,19 @@ def test_hash_order_equals_global_sort(spark):
     fast = [r[0] for r in prep.hash_ordered(o.repartition(3), ["o_orderkey"], 11, 5).collect()]
     slow = [r[0] for r in o.orderBy(hash_hex(key_string("o_orderkey"), 11), "o_orderkey").collect()]
     assert fast == slow
+
+
+def test_skew_safe_order_with_hot_key(spark):
+    # a third of the rows share one key: the skew-safe path spreads them and keeps order
+    base = spark.range(3000).withColumnRenamed("id", "k")
+    hot = base.withColumn("k", F.when(F.col("k") % 3 == 0, F.lit(-1)).otherwise(F.col("k")))
+    out = prep.shuffle_rows(hot, ["k"], 5, skew_safe=True, partitions=6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(r["count"] for r in sizes) < 1000
+    keys = [r["k"] for r in out.collect()]
+    ref = [r["k"] for r in hot.orderBy(hash_hex(key_string("k"), 5), "k").collect()]
+    assert keys == ref
