@@ -34,11 +34,11 @@ from ..sources.csv import read_csv
 from ..sources.tables import table_name, write_table
 
 ROW_KEY = "row_key"
-log = logging.getLogger("pistil.data_pipeline")
+log = logging.getLogger("pistil.data_flow")
 
 
 @dataclass
-class DataPipelineConfig:
+class DataFlowConfig:
     source: str                               # CSV/parquet path or table name
     source_format: str = "csv"                # "csv" | "parquet" | "table"
     catalog: str | None = None
@@ -75,7 +75,7 @@ class DataPipelineConfig:
         return f"{self.table_root.rstrip('/')}/{table}" if self.table_root else None
 
 
-def read_source(spark: SparkSession, cfg: DataPipelineConfig) -> DataFrame:
+def read_source(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
     if cfg.source_format == "csv":
         return read_csv(spark, cfg.source, header=cfg.header, infer_schema=cfg.infer_schema,
                         sep=cfg.sep, schema=cfg.csv_schema)
@@ -102,7 +102,7 @@ def split_and_order(df: DataFrame, key_cols: Sequence[str], ratios: Sequence[flo
     raise ValueError("shuffle must be 'hash', 'random' or None")
 
 
-def run_data_pipeline(spark: SparkSession, cfg: DataPipelineConfig) -> DataFrame:
+def run_data_flow(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
     """Run the pipeline; return a report frame ``table, split, rows, columns``."""
     check_ratios(*cfg.ratios)
     raw_df = read_source(spark, cfg)
@@ -136,10 +136,10 @@ def run_data_pipeline(spark: SparkSession, cfg: DataPipelineConfig) -> DataFrame
                                        y_path=cfg.path(f"{base}_y"))
             xy_names += [(xn, s, "x"), (yn, s, "y")]
         log.info("x/y tables written in %.1fs", time.perf_counter() - t0)
-    return pipeline_report(spark, raw, processed, xy_names)
+    return flow_report(spark, raw, processed, xy_names)
 
 
-def pipeline_report(spark: SparkSession, raw: str, processed: str,
+def flow_report(spark: SparkSession, raw: str, processed: str,
                     xy_names: list[tuple[str, str, str]]) -> DataFrame:
     """Rows and columns of every written table, counted from storage (no recompute)."""
     r = spark.table(raw)

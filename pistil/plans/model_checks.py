@@ -21,8 +21,8 @@ from ..operators.space import LR_SPACE, RF_SPACE
 from ..operators.split import tag_split
 from ..operators.tune import tune
 from ..session import scratch_path, shared_dir, unique_name
-from .data_pipeline import DataPipelineConfig, run_data_pipeline
-from .model_pipeline import ModelPipelineConfig, run_model_pipeline
+from .data_flow import DataFlowConfig, run_data_flow
+from .model_flow import ModelFlowConfig, run_model_flow
 from .registry import LINE_FEATURES, LINE_KEY, LINE_TARGET, RATIOS, SEED, read
 
 BAND = "price_band"
@@ -160,21 +160,21 @@ def q_model_save_load(spark, d):
                     (F.col("a_prediction") == F.col("b_prediction")).alias("same"))
 
 
-def q_model_pipeline(spark, d):
-    cfg = ModelPipelineConfig(key_cols=LINE_KEY, feature_cols=LINE_FEATURES, target_col=BAND,
+def q_model_flow(spark, d):
+    cfg = ModelFlowConfig(key_cols=LINE_KEY, feature_cols=LINE_FEATURES, target_col=BAND,
                               max_evals=3, seed=SEED, parallelism=3)
-    return run_model_pipeline(_banded(spark, d), cfg).metrics
+    return run_model_flow(_banded(spark, d), cfg).metrics
 
 
-def q_data_pipeline(spark, d):
+def q_data_flow(spark, d):
     uid = unique_name("dp")
-    cfg = DataPipelineConfig(
+    cfg = DataFlowConfig(
         source=f"{d.rstrip('/')}/lineitem.parquet", source_format="parquet",
         raw_table=f"{uid}_raw", processed_table=f"{uid}_processed",
         train_table=f"{uid}_train", val_table=f"{uid}_val", test_table=f"{uid}_test",
         id_column=None, key_cols=LINE_KEY, feature_cols=LINE_FEATURES, target_col=LINE_TARGET,
         ratios=RATIOS, seed=SEED, shuffle="hash", table_root=shared_dir(spark, "tables", uid))
-    return run_data_pipeline(spark, cfg)
+    return run_data_flow(spark, cfg)
 
 
 MODEL_QUERIES = {
@@ -189,8 +189,8 @@ MODEL_QUERIES = {
     "ensemble_predict": q_ensemble_predict,
     "ensemble_accuracy": q_ensemble_accuracy,
     "model_save_load": q_model_save_load,
-    "model_pipeline": q_model_pipeline,
-    "data_pipeline": q_data_pipeline,
+    "model_flow": q_model_flow,
+    "data_flow": q_data_flow,
 }
 
 
@@ -211,7 +211,7 @@ MODEL_ORACLES = {
         f"SELECT {LINE_TARGET}, CAST(dense_rank() OVER (ORDER BY {LINE_TARGET}) - 1 AS BIGINT)"
         f" AS label_index, count FROM (SELECT {LINE_TARGET}, count(*) AS count FROM lineitem "
         f"GROUP BY 1)"),
-    "data_pipeline": (
+    "data_flow": (
         "SELECT 'raw' AS \"table\", CAST(NULL AS VARCHAR) AS split, count(*) AS rows, "
         "11 AS columns FROM lineitem "
         f"UNION ALL SELECT 'processed', split, count(*), 12 FROM {_SPLIT} GROUP BY split "

@@ -29,11 +29,11 @@ from ..operators.space import Distribution
 from ..operators.tune import TuneResult, tune
 
 
-log = logging.getLogger("pistil.model_pipeline")
+log = logging.getLogger("pistil.model_flow")
 
 
 @dataclass
-class ModelPipelineConfig:
+class ModelFlowConfig:
     key_cols: Sequence[str]
     feature_cols: Sequence[str]
     target_col: str
@@ -55,7 +55,7 @@ class ModelPipelineConfig:
 
 
 @dataclass
-class ModelPipelineResult:
+class ModelFlowResult:
     predictions: DataFrame
     metrics: DataFrame
     trials: DataFrame
@@ -64,13 +64,13 @@ class ModelPipelineResult:
     labels: list[Any]
 
 
-def prepare(df: DataFrame, cfg: ModelPipelineConfig, indexer) -> DataFrame:
+def prepare(df: DataFrame, cfg: ModelFlowConfig, indexer) -> DataFrame:
     a = assemble(df, cfg.feature_cols, handle_invalid=cfg.handle_invalid)
     a = indexer.transform(a)
     return a.select(*cfg.key_cols, cfg.target_col, "features", "label")
 
 
-def run_model_pipeline(data: DataFrame, cfg: ModelPipelineConfig) -> ModelPipelineResult:
+def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
     spark: SparkSession = data.sparkSession
     cols = [*cfg.key_cols, *cfg.feature_cols, cfg.target_col, cfg.split_col]
     data = data.select(*dict.fromkeys(cols))
@@ -143,4 +143,4 @@ def run_model_pipeline(data: DataFrame, cfg: ModelPipelineConfig) -> ModelPipeli
                  F.col("rows").cast("double").alias("value")))).alias("m"))
     metrics = best.unionByName(
         ens.select(F.lit("ensemble").alias("family"), "m.metric", "m.value"))
-    return ModelPipelineResult(predictions, metrics, trials, tuned, models, labels)
+    return ModelFlowResult(predictions, metrics, trials, tuned, models, labels)

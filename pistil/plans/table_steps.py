@@ -2,8 +2,8 @@
 
 Each step reads catalog tables, runs the frame operators and writes catalog tables,
 returning the row/column counts it logged. They exist so a user of the original
-functions can move over step by step; the pipelines in ``data_pipeline`` /
-``model_pipeline`` run the same operators with fewer passes.
+functions can move over step by step; the pipelines in ``data_flow`` /
+``model_flow`` run the same operators with fewer passes.
 """
 
 from __future__ import annotations

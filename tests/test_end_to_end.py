@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from pistil.operators.space import Choice, IntRange, Uniform
-from pistil.plans.data_pipeline import DataPipelineConfig, run_data_pipeline
-from pistil.plans.model_pipeline import ModelPipelineConfig, run_model_pipeline
+from pistil.plans.data_flow import DataFlowConfig, run_data_flow
+from pistil.plans.model_flow import ModelFlowConfig, run_model_flow
 from pistil.session import scratch_path, shared_dir, unique_name
 from pistil.sources.csv import write_csv
 
@@ -29,11 +29,11 @@ def iris_csv(spark):
 
 def test_flow(spark, iris_csv):
     uid = unique_name("flow")
-    cfg = DataPipelineConfig(
+    cfg = DataFlowConfig(
         source=iris_csv, raw_table=f"{uid}_raw", processed_table=f"{uid}_processed",
         train_table=f"{uid}_train", val_table=f"{uid}_val", test_table=f"{uid}_test",
         table_root=shared_dir(spark, "tables", uid))
-    report = {(r["table"], r["split"]): r for r in run_data_pipeline(spark, cfg).collect()}
+    report = {(r["table"], r["split"]): r for r in run_data_flow(spark, cfg).collect()}
     n = report[("raw", None)]["rows"]
     assert n == 6000 and report[("raw", None)]["columns"] == 7      # + row_key
     assert sum(report[("processed", s)]["rows"] for s in ("train", "val", "test")) == n
@@ -47,10 +47,10 @@ def test_flow(spark, iris_csv):
     small = {"n_estimators": IntRange(5, 11, 5), "max_depth": IntRange(3, 6),
              "min_samples_split": Uniform(0.01, 0.05), "min_samples_leaf": Uniform(0.01, 0.05),
              "bootstrap": Choice([True, False])}
-    mcfg = ModelPipelineConfig(key_cols=["row_key"], feature_cols=list(cfg.feature_cols),
+    mcfg = ModelFlowConfig(key_cols=["row_key"], feature_cols=list(cfg.feature_cols),
                                target_col="species", spaces={"random_forest": small},
                                trial_table=None)
-    res = run_model_pipeline(processed, mcfg)
+    res = run_model_flow(processed, mcfg)
     m = {(r["family"], r["metric"]): r["value"] for r in res.metrics.collect()}
     assert m[("ensemble", "test_accuracy")] > 0.9
     assert m[("ensemble", "test_rows")] == report[("processed", "test")]["rows"]

@@ -10,7 +10,7 @@ from pistil.operators.models import (FitContext, assemble, fit, fit_label_indexe
 from pistil.operators.space import Choice, IntRange, LogUniform, Uniform, trial_frame
 from pistil.operators.split import tag_split
 from pistil.operators.tune import tune
-from pistil.plans.model_pipeline import ModelPipelineConfig, run_model_pipeline
+from pistil.plans.model_flow import ModelFlowConfig, run_model_flow
 
 FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -125,9 +125,9 @@ def test_pipeline_with_int_labels(spark, banded):
     small_rf = {"n_estimators": IntRange(5, 11, 5), "max_depth": IntRange(3, 5),
                 "min_samples_split": Uniform(0.01, 0.05), "min_samples_leaf": Uniform(0.01, 0.05),
                 "bootstrap": Choice([True, False])}
-    cfg = ModelPipelineConfig(key_cols=KEY, feature_cols=FEATS, target_col="band_id",
+    cfg = ModelFlowConfig(key_cols=KEY, feature_cols=FEATS, target_col="band_id",
                               max_evals=2, spaces={"random_forest": small_rf})
-    res = run_model_pipeline(data, cfg)
+    res = run_model_flow(data, cfg)
     preds = {r["predicted"] for r in res.predictions.select("predicted").distinct().collect()}
     assert preds <= {10, 20, 30}
     m = {(r["family"], r["metric"]): r["value"] for r in res.metrics.collect()}
