@@ -50,17 +50,22 @@ def camel(name: str) -> str:
 # ---------------------------------------------------------------- sources / sinks
 
 def q_csv_scan(spark, d):
-    path = write_csv(read(spark, d, "nation"), scratch_path(spark, "nation_csv"))
-    return read_csv(spark, path, header=True, infer_schema=True)
+    """customer -> '|'-separated CSV -> read back with header and type inference."""
+    path = write_csv(read(spark, d, "customer"), scratch_path(spark, "customer_csv"), sep="|")
+    return read_csv(spark, path, header=True, infer_schema=True, sep="|")
 
 
-def _region_csv(spark, d):
-    return write_csv(read(spark, d, "region"), scratch_path(spark, "region_csv"))
+def _customer_csv(spark, d):
+    src = read(spark, d, "customer")
+    return write_csv(src, scratch_path(spark, "customer_csv")), src.schema
 
 
 def q_load_roundtrip(spark, d):
-    name = unique_name("region_raw")
-    load_csv_table(spark, _region_csv(spark, d), name,
+    """The load step (CSV -> table, rows/columns counted) with an explicit schema,
+    the at-scale path that skips the inference pass."""
+    name = unique_name("customer_raw")
+    csv, schema = _customer_csv(spark, d)
+    load_csv_table(spark, csv, name, schema=schema,
                    table_path=shared_dir(spark, "tables", name))
     return spark.table(name)
 
@@ -68,17 +73,17 @@ def q_load_roundtrip(spark, d):
 def q_table_scan(spark, d):
     db = unique_name("pistil_db")
     ensure_schema(spark, "spark_catalog", db, location=shared_dir(spark, "databases", db))
-    full = table_name("spark_catalog", db, "region")
-    write_table(read(spark, d, "region"), full)
+    full = table_name("spark_catalog", db, "customer")
+    write_table(read(spark, d, "customer"), full)
     return spark.table(full)
 
 
 def q_append_load(spark, d):
-    name = unique_name("region_app")
-    csv = _region_csv(spark, d)
+    name = unique_name("customer_app")
+    csv, schema = _customer_csv(spark, d)
     where = shared_dir(spark, "tables", name)
-    load_csv_table(spark, csv, name, mode="overwrite", table_path=where)
-    load_csv_table(spark, csv, name, mode="append", table_path=where)
+    load_csv_table(spark, csv, name, mode="overwrite", schema=schema, table_path=where)
+    load_csv_table(spark, csv, name, mode="append", schema=schema, table_path=where)
     return spark.table(name)
 
 
@@ -426,10 +431,12 @@ _FEATS = ", ".join(LINE_FEATURES)
 _ORDER_U = H.sql_hash_uniform(H.sql_key("o_orderkey"), SEED)
 
 ORACLES: dict[str, str] = {
-    "csv_scan": "SELECT * FROM nation",
-    "load_roundtrip": "SELECT * FROM region",
-    "table_scan": "SELECT * FROM region",
-    "append_load": "SELECT * FROM region UNION ALL SELECT * FROM region",
+    # type inference reads the (small) integer ids as 32-bit ints
+    "csv_scan": ("SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, "
+                 "c_acctbal, c_mktsegment FROM customer"),
+    "load_roundtrip": "SELECT * FROM customer",
+    "table_scan": "SELECT * FROM customer",
+    "append_load": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "drop_column": "SELECT c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "snake_case_columns": "SELECT * FROM part",
     "process_table": "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer",
