@@ -57,19 +57,34 @@ def fit_label_indexer(df: DataFrame, target_col: str, out: str = LABEL_COL,
                          handleInvalid=handle_invalid).fit(df)
 
 
+def _input_partitions(df: DataFrame) -> int | None:
+    """Partition count of a frame whose plan has no exchange (a scan plus narrow
+    operators), found without running anything; None when the plan has an exchange
+    (its partition count comes from the shuffle and asking for it through ``.rdd``
+    would run the shuffle stages under adaptive execution)."""
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no plan access
+        return None
+    if "Exchange" in plan:
+        return None
+    return df.rdd.getNumPartitions()
+
+
 def training_frame(df: DataFrame, min_partitions: int | None = None,
                    storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
     """Persist a frame that iterative fits will scan many times.
 
     Every tree level and every gradient step is one task per partition, so a frame
     with fewer partitions than the cluster has cores leaves cores idle for the whole
-    fit; such a frame is spread round-robin first (one shuffle of the training rows,
-    deterministic on retry). Large inputs already have enough partitions and are
-    cached as they are. Cached blocks lost with an executor are recomputed from
-    lineage.
+    fit; such a frame (a scan of few large files) is spread round-robin first (one
+    shuffle of the training rows, deterministic on retry). Large inputs already have
+    enough partitions and frames coming out of a shuffle are cached as they are.
+    Cached blocks lost with an executor are recomputed from lineage.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    n = _input_partitions(df)
+    if n is not None and n < target:
         df = df.repartition(target)
     return df.persist(storage)
 

@@ -157,3 +157,20 @@ def test_unknown_family_and_metric(prepared):
         tune(parts["train"], parts["val"], "svm")
     with pytest.raises(ValueError):
         tune(parts["train"], parts["val"], "random_forest", metric="auc")
+
+
+def test_training_frame_runs_nothing_for_shuffled_input(spark):
+    from pistil.operators.models import training_frame
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    agg = o.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("s"))
+    sc = spark.sparkContext
+    sc.setJobGroup("tf_probe", "training_frame sizing")
+    try:
+        cached = training_frame(agg)
+        assert list(sc.statusTracker().getJobIdsForGroup("tf_probe")) == []
+        cached.unpersist()
+        spread = training_frame(o, min_partitions=4)
+        assert spread.rdd.getNumPartitions() == 4
+        spread.unpersist()
+    finally:
+        sc.setJobGroup(None, None)
