@@ -101,6 +101,22 @@ def read_xy(spark: SparkSession, base: str, key_cols: Sequence[str], target_col:
     return prep.join_features_target(x, y, key_cols)
 
 
+def frame_from_xy(spark: SparkSession, bases: dict[str, str], key_cols: Sequence[str],
+                  target_col: str, catalog: str | None = None, schema: str | None = None,
+                  split_col: str = "split") -> DataFrame:
+    """One keyed frame with a split column from per-split ``_x``/``_y`` tables
+    (``bases`` maps split name -> table base name), ready for the model flow."""
+    from pyspark.sql import functions as F
+    out = None
+    for split_name, base in bases.items():
+        part = read_xy(spark, base, key_cols, target_col, catalog, schema).withColumn(
+            split_col, F.lit(split_name))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("bases is empty")
+    return out
+
+
 def hp_tune(spark: SparkSession, train_base: str, val_base: str, family: str, *,
             feature_cols: Sequence[str], target_col: str, key_cols: Sequence[str],
             space=None, max_evals: int = 3, metric="accuracy", maximize: bool = True,

@@ -71,3 +71,35 @@ def test_zone_stamp_independent_of_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", prev)
     b = sorted(E.queries()["zone_stamp"](spark, SF_CHECK).collect())
     assert a == b
+
+
+def test_model_flow_from_xy_tables(spark, iris_csv):
+    from pistil.plans.table_steps import frame_from_xy
+    uid = unique_name("flowxy")
+    cfg = DataFlowConfig(
+        source=iris_csv, raw_table=f"{uid}_raw", processed_table=f"{uid}_processed",
+        train_table=f"{uid}_train", val_table=f"{uid}_val", test_table=f"{uid}_test",
+        shuffle=None, xy_buckets=4, table_root=shared_dir(spark, "tables", uid))
+    run_data_flow(spark, cfg).collect()
+    data = frame_from_xy(spark, {"train": f"{uid}_train", "val": f"{uid}_val",
+                                 "test": f"{uid}_test"}, ["row_key"], "species")
+    assert data.count() == 6000
+    small = {"penalty": Choice(["l2"]), "C": Uniform(0.5, 2.0)}
+    mcfg = ModelFlowConfig(key_cols=["row_key"], feature_cols=list(cfg.feature_cols),
+                           target_col="species", families=["logistic_regression"],
+                           spaces={"logistic_regression": small}, max_evals=2)
+    m = {(r["family"], r["metric"]): r["value"] for r in run_model_flow(data, mcfg).metrics.collect()}
+    assert m[("ensemble", "test_accuracy")] > 0.9
+
+
+def test_explore_frames(spark, iris_csv):
+    from pistil.plans.explore import explore
+    from pistil.sources.csv import read_csv
+    df = read_csv(spark, iris_csv)
+    out = explore(df, ["SepalLengthCm", "SepalWidthCm", "PetalLengthCm", "PetalWidthCm"],
+                  "Species", "PetalLengthCm", ("SepalLengthCm", "SepalWidthCm"), ["Id"])
+    assert [r["Id"] for r in out["head"].collect()] == [1, 2, 3, 4, 5]
+    assert [r["summary"] for r in out["describe"].collect()] == ["count", "mean", "stddev", "min", "max"]
+    assert sum(r["count"] for r in out["class_counts"].collect()) == 6000
+    assert out["class_means"].columns == ["Species", "avg(PetalLengthCm)"]
+    assert out["corr"].count() == 1
