@@ -16,6 +16,11 @@ Parameter mapping from the original (single-machine) hyperparameters to Spark ML
   minimising ``C * sum(loss) + 0.5 * |W|^2``); ``penalty='none'`` -> ``regParam = 0``.
   ``solver`` and ``l1_ratio`` select solver internals / are unused, so they are
   recorded with the trial but do not change the fit.
+
+A seeded forest is the same on re-run over the same partitioning; after the
+training frame is repartitioned differently the trees can differ (bootstrap draws
+and split candidates are drawn per partition), so forest outputs are checked by
+shape and accuracy, never value by value.
 """
 
 from __future__ import annotations

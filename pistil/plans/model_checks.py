@@ -19,11 +19,11 @@ from ..operators.models import (FitContext, assemble, fit, fit_label_indexer, lo
                                 predict, save_model, training_frame)
 from ..operators.space import LR_SPACE, RF_SPACE
 from ..operators.split import tag_split
-from ..operators.tune import tune
+from ..operators.tune import TRIAL_SCHEMA, tune
 from ..session import scratch_path, shared_dir, unique_name
 from .data_flow import DataFlowConfig, run_data_flow
 from .model_flow import ModelFlowConfig, run_model_flow
-from .registry import LINE_FEATURES, LINE_KEY, LINE_TARGET, RATIOS, SEED, read
+from .registry import LINE_FEATURES, LINE_KEY, LINE_TARGET, RATIOS, SEED, read, sql_split
 
 BAND = "price_band"
 # Fixed parameter sets for the single-fit checks, taken from inside the search spaces.
@@ -114,10 +114,8 @@ def q_tune_lr(spark, d):
 def q_trial_log(spark, d):
     name = unique_name("trials")
     parts, _ = _prepared(spark, d)
-    spark.sql(f"CREATE TABLE {name} (experiment STRING, family STRING, trial_id BIGINT, "
-              "run_id STRING, params STRING, val_score DOUBLE, val_loss DOUBLE, "
-              "status STRING, error STRING, artifact_uri STRING) USING parquet "
-              f"LOCATION '{shared_dir(spark, 'tables', name)}'")
+    spark.createDataFrame([], TRIAL_SCHEMA).write.option(
+        "path", shared_dir(spark, "tables", name)).saveAsTable(name)
     train, val = training_frame(parts["train"]), training_frame(parts["val"])
     for fam in ("logistic_regression", "random_forest"):
         tune(train, val, fam, max_evals=2, seed=SEED, parallelism=2,
@@ -194,14 +192,7 @@ MODEL_QUERIES = {
 }
 
 
-def _sql_split_expr() -> str:
-    lo, hi = RATIOS[0], RATIOS[0] + RATIOS[1]
-    u = H.sql_hash_uniform(H.sql_key(*LINE_KEY), SEED)
-    return (f"CASE WHEN {u} < {lo!r}::DOUBLE THEN 'train' "
-            f"WHEN {u} < {hi!r}::DOUBLE THEN 'val' ELSE 'test' END")
-
-
-_SPLIT = f"(SELECT {_sql_split_expr()} AS split FROM lineitem)"
+_SPLIT = f"(SELECT {sql_split(H.sql_key(*LINE_KEY))} AS split FROM lineitem)"
 
 MODEL_ORACLES = {
     "assemble_features": (

@@ -345,7 +345,7 @@ QUERIES: dict[str, Query] = {
 
 # ================================================================ DuckDB oracles
 
-def _sql_split(key_sql: str) -> str:
+def sql_split(key_sql: str) -> str:
     lo, hi = split.split_thresholds(RATIOS)
     u = H.sql_hash_uniform(key_sql, SEED)
     return (f"CASE WHEN {u} < {lo!r}::DOUBLE THEN 'train' "
@@ -445,11 +445,11 @@ ORACLES: dict[str, str] = {
         "SELECT o_orderkey, row_number() OVER (ORDER BY "
         f"{H.sql_hash_hex(H.sql_key('o_orderkey'), SEED)}, o_orderkey) AS position FROM orders"),
     "hash_uniform": f"SELECT o_orderkey, {_ORDER_U} AS u FROM orders",
-    "split_hash": f"SELECT o_orderkey, {_sql_split(H.sql_key('o_orderkey'))} AS split FROM orders",
+    "split_hash": f"SELECT o_orderkey, {sql_split(H.sql_key('o_orderkey'))} AS split FROM orders",
     "split_counts": (
-        f"SELECT {_sql_split(H.sql_key('o_orderkey'))} AS split, o_orderpriority, "
+        f"SELECT {sql_split(H.sql_key('o_orderkey'))} AS split, o_orderpriority, "
         "count(*) AS rows FROM orders GROUP BY 1, 2"),
-    "split_stream": f"SELECT o_orderkey, {_sql_split(H.sql_key('o_orderkey'))} AS split FROM orders",
+    "split_stream": f"SELECT o_orderkey, {sql_split(H.sql_key('o_orderkey'))} AS split FROM orders",
     "union_train_val": (
         f"SELECT * FROM orders WHERE {_ORDER_U} < {split.split_thresholds(RATIOS)[1]!r}::DOUBLE"),
     "features_x": f"SELECT {_KEYS}, {_FEATS} FROM lineitem",
