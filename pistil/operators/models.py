@@ -40,6 +40,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import default_parallelism
 from .space import LR_SPACE, RF_SPACE, Distribution
 
 FEATURES_COL = "features"
@@ -87,7 +88,7 @@ def training_frame(df: DataFrame, min_partitions: int | None = None,
     enough partitions and frames coming out of a shuffle are cached as they are.
     Cached blocks lost with an executor are recomputed from lineage.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    target = min_partitions or default_parallelism(df.sparkSession)
     n = _input_partitions(df)
     if n is not None and n < target:
         df = df.repartition(target)

@@ -34,9 +34,19 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 def _is_local(spark: SparkSession) -> bool:
     try:
-        return spark.sparkContext.master.startswith("local")
-    except Exception:  # pragma: no cover - e.g. Spark Connect
-        return False
+        master = spark.conf.get("spark.master", "") or ""
+    except Exception:  # pragma: no cover
+        master = ""
+    return master.startswith("local")
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores the cluster offers (falls back to the shuffle partition count where the
+    SparkContext is not reachable, e.g. over Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -50,15 +60,19 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         try:
             base = spark.sparkContext.getCheckpointDir()
-        except Exception:  # pragma: no cover
+        except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
             base = None
     if not base:
         if not _is_local(spark):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; a cluster job needs a shared folder")
         base = tempfile.mkdtemp(prefix="pistil-shared-")
-        spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
+    try:  # lineage cuts (e.g. Spark ML checkpoints) go to the same shared folder
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(base)
+    except Exception:  # noqa: BLE001
+        pass
     return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
