@@ -104,16 +104,26 @@ class FitContext:
     standardize: bool = False
     features_col: str = FEATURES_COL
     label_col: str = LABEL_COL
+    # Engine settings per family name, applied on top of the mapped params, e.g.
+    # {"random_forest": {"cacheNodeIds": True, "maxMemoryInMB": 512}} for deep
+    # forests (node-id caching costs one int per tree per row) or
+    # {"logistic_regression": {"aggregationDepth": 3}} on very many partitions.
+    engine: dict[str, dict[str, Any]] = field(default_factory=dict)
+
+
+def _with_engine(est: Estimator, family: str, ctx: FitContext) -> Estimator:
+    opts = ctx.engine.get(family)
+    return est.setParams(**opts) if opts else est
 
 
 def build_random_forest(p: dict[str, Any], ctx: FitContext) -> Estimator:
     min_split = int(math.ceil(float(p["min_samples_split"]) * ctx.n_rows / 2.0))
-    return RandomForestClassifier(
+    return _with_engine(RandomForestClassifier(
         featuresCol=ctx.features_col, labelCol=ctx.label_col, seed=ctx.seed,
         numTrees=int(p["n_estimators"]), maxDepth=int(p["max_depth"]),
         bootstrap=bool(p["bootstrap"]), featureSubsetStrategy="sqrt",
         minWeightFractionPerNode=float(p["min_samples_leaf"]),
-        minInstancesPerNode=max(1, min_split))
+        minInstancesPerNode=max(1, min_split)), "random_forest", ctx)
 
 
 def lr_reg_param(p: dict[str, Any], n_rows: int) -> float:
@@ -123,10 +133,10 @@ def lr_reg_param(p: dict[str, Any], n_rows: int) -> float:
 
 
 def build_logistic_regression(p: dict[str, Any], ctx: FitContext) -> Estimator:
-    return LogisticRegression(
+    return _with_engine(LogisticRegression(
         featuresCol=ctx.features_col, labelCol=ctx.label_col, family="multinomial",
         regParam=lr_reg_param(p, ctx.n_rows), elasticNetParam=0.0,
-        standardization=ctx.standardize, maxIter=ctx.max_iter)
+        standardization=ctx.standardize, maxIter=ctx.max_iter), "logistic_regression", ctx)
 
 
 @dataclass

@@ -66,7 +66,8 @@ def tune(train: DataFrame, val: DataFrame, family: str | Family,
          model_dir: str | None = None, trial_table: str | None = None,
          max_iter: int = 100, standardize: bool = False,
          features_col: str = "features", label_col: str = "label",
-         n_train: int | None = None) -> TuneResult:
+         n_train: int | None = None,
+         engine: dict[str, dict[str, Any]] | None = None) -> TuneResult:
     """Run ``max_evals`` trials of ``family`` and return the trials and the best one.
 
     ``train``/``val`` carry an assembled ``features_col`` and an indexed ``label_col``;
@@ -82,7 +83,7 @@ def tune(train: DataFrame, val: DataFrame, family: str | Family,
     draws = trial_frame(spark, space, max_evals, seed).collect()  # max_evals small rows
     n = n_train if n_train is not None else train.count()
     ctx = FitContext(n_rows=n, seed=seed, max_iter=max_iter, standardize=standardize,
-                     features_col=features_col, label_col=label_col)
+                     features_col=features_col, label_col=label_col, engine=engine or {})
 
     def run(row):
         tid = int(row["trial_id"])

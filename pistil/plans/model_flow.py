@@ -52,6 +52,7 @@ class ModelFlowConfig:
     model_dir: str | None = None
     trial_table: str | None = None
     handle_invalid: str = "error"
+    engine: dict[str, dict[str, Any]] = field(default_factory=dict)   # see FitContext
 
 
 @dataclass
@@ -100,7 +101,8 @@ def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
                 parallelism=cfg.parallelism,
                 experiment=experiment_name(cfg.experiment_base, fam.name, stamp),
                 model_dir=cfg.model_dir, trial_table=cfg.trial_table,
-                max_iter=cfg.max_iter, standardize=cfg.standardize, n_train=n_train)
+                max_iter=cfg.max_iter, standardize=cfg.standardize, n_train=n_train,
+                engine=cfg.engine)
 
         # Families are independent: their fits are submitted from separate driver
         # threads and share the executors (each fit is itself distributed).
@@ -112,7 +114,7 @@ def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
 
         train_val = union_train_val(train, val)
         ctx = FitContext(n_rows=n_train + n_val, seed=cfg.seed, max_iter=cfg.max_iter,
-                         standardize=cfg.standardize)
+                         standardize=cfg.standardize, engine=cfg.engine)
         with ThreadPoolExecutor(max_workers=workers) as pool:
             fitted = list(pool.map(
                 lambda item: (item[0], refit(train_val, item[0], item[1].best_params, ctx)),

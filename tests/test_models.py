@@ -174,3 +174,15 @@ def test_training_frame_runs_nothing_for_shuffled_input(spark):
         spread.unpersist()
     finally:
         sc.setJobGroup(None, None)
+
+
+def test_engine_settings_reach_the_estimator():
+    from pistil.operators.models import build_logistic_regression, build_random_forest
+    ctx = FitContext(n_rows=100, engine={"random_forest": {"cacheNodeIds": True,
+                                                           "maxMemoryInMB": 512},
+                                         "logistic_regression": {"aggregationDepth": 3}})
+    rf = build_random_forest({"n_estimators": 5, "max_depth": 3, "min_samples_split": 0.1,
+                              "min_samples_leaf": 0.1, "bootstrap": True}, ctx)
+    assert rf.getCacheNodeIds() and rf.getMaxMemoryInMB() == 512 and rf.getNumTrees() == 5
+    lr = build_logistic_regression({"penalty": "l2", "C": 2.0}, ctx)
+    assert lr.getAggregationDepth() == 3 and lr.getRegParam() == pytest.approx(1 / 200)
