@@ -75,7 +75,8 @@ def q_label_index(spark, d):
 def _single(spark, d, family, params, refit=False):
     parts, labels = _prepared(spark, d)
     train = training_frame(
-        union_train_val(parts["train"], parts["val"]) if refit else parts["train"])
+        (union_train_val(parts["train"], parts["val"]) if refit else parts["train"])
+        .select("features", "label"))
     model = fit(family, params, train, FitContext(n_rows=train.count(), seed=SEED))
     train.unpersist()
     return _probs_out(predict(model, parts["test"]), labels)
@@ -95,7 +96,8 @@ def q_refit_predict(spark, d):
 
 def _tune(spark, d, family, space, **kw):
     parts, _ = _prepared(spark, d)
-    train, val = training_frame(parts["train"]), training_frame(parts["val"])
+    train = training_frame(parts["train"].select("features", "label"))
+    val = training_frame(parts["val"].select("features", "label"))
     res = tune(train, val, family, space, max_evals=3, seed=SEED, parallelism=3,
                experiment=f"check_{family}", **kw)
     train.unpersist()
@@ -116,7 +118,8 @@ def q_trial_log(spark, d):
     parts, _ = _prepared(spark, d)
     spark.createDataFrame([], TRIAL_SCHEMA).write.option(
         "path", shared_dir(spark, "tables", name)).saveAsTable(name)
-    train, val = training_frame(parts["train"]), training_frame(parts["val"])
+    train = training_frame(parts["train"].select("features", "label"))
+    val = training_frame(parts["val"].select("features", "label"))
     for fam in ("logistic_regression", "random_forest"):
         tune(train, val, fam, max_evals=2, seed=SEED, parallelism=2,
              experiment=f"log_{fam}", trial_table=name)
@@ -127,7 +130,7 @@ def q_trial_log(spark, d):
 
 def _ensemble(spark, d):
     parts, labels = _prepared(spark, d)
-    tv = training_frame(union_train_val(parts["train"], parts["val"]))
+    tv = training_frame(union_train_val(parts["train"], parts["val"]).select("features", "label"))
     ctx = FitContext(n_rows=tv.count(), seed=SEED)
     models = {"rf": fit("random_forest", RF_PARAMS, tv, ctx),
               "lr": fit("logistic_regression", LR_PARAMS, tv, ctx)}
@@ -147,7 +150,7 @@ def q_ensemble_accuracy(spark, d):
 
 def q_model_save_load(spark, d):
     parts, labels = _prepared(spark, d)
-    train = training_frame(parts["train"])
+    train = training_frame(parts["train"].select("features", "label"))
     model = fit("random_forest", RF_PARAMS, train, FitContext(n_rows=train.count(), seed=SEED))
     train.unpersist()
     path = save_model(model, scratch_path(spark, "rf_model"))

@@ -84,8 +84,9 @@ def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
                                 cfg.target_col, handle_invalid=cfg.handle_invalid)
     labels = list(indexer.labelsArray[0])
 
-    train = training_frame(prepare(part["train"], cfg, indexer))
-    val = training_frame(prepare(part["val"], cfg, indexer))
+    # Fits and scoring read only (features, label): cache just those columns.
+    train = training_frame(prepare(part["train"], cfg, indexer).select("features", "label"))
+    val = training_frame(prepare(part["val"], cfg, indexer).select("features", "label"))
     try:
         t0 = time.perf_counter()
         n_train, n_val = train.count(), val.count()
