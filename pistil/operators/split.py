@@ -61,6 +61,14 @@ def hash_split(df: DataFrame, key_cols: Sequence[str] | str,
     return tuple(tagged.where(F.col("_split") == n).drop("_split") for n in SPLIT_NAMES)
 
 
+def select_splits(tagged: DataFrame, names: Sequence[str], split_col: str = "split"
+                  ) -> DataFrame:
+    """Rows of several parts of a tagged frame, e.g. train + validation for a refit:
+    one filter over one scan (a partition filter when the table is partitioned by
+    the split), rather than a union of separately filtered scans."""
+    return tagged.where(F.col(split_col).isin(list(names)))
+
+
 def random_split(df: DataFrame, ratios: Sequence[float] = DEFAULT_RATIOS,
                  seed: int = 42) -> list[DataFrame]:
     """Spark's ``randomSplit``: same parts on re-run of the same plan, different ones

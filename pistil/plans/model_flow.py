@@ -26,6 +26,7 @@ from ..operators.ensemble import ensemble_accuracy, refit, soft_vote, union_trai
 from ..operators.models import (FitContext, assemble, fit_label_indexer, get_family,
                                 training_frame)
 from ..operators.space import Distribution
+from ..operators.split import select_splits
 from ..operators.tune import TuneResult, tune
 
 
@@ -80,7 +81,7 @@ def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
 
     # One label list for every model (fitted on train + val), so class i means the
     # same thing in each probability vector.
-    indexer = fit_label_indexer(union_train_val(part["train"], part["val"]),
+    indexer = fit_label_indexer(select_splits(data, ["train", "val"], cfg.split_col),
                                 cfg.target_col, handle_invalid=cfg.handle_invalid)
     labels = list(indexer.labelsArray[0])
 

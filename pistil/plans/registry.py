@@ -152,8 +152,8 @@ def q_split_stream(spark, d):
 
 
 def q_union_train_val(spark, d):
-    train, val, _ = split.hash_split(read(spark, d, "orders"), "o_orderkey", RATIOS, SEED)
-    return train.unionByName(val)
+    tagged = split.tag_split(read(spark, d, "orders"), "o_orderkey", RATIOS, SEED)
+    return split.select_splits(tagged, ["train", "val"]).drop("split")
 
 
 # ---------------------------------------------------------------- features / target
