@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import TWO_POW_32, hash_hex, key_string
 from ..functions.naming import snake_case, snake_case_all
+from ..session import partitions_for
 
 
 def _case_sensitive(df: DataFrame) -> bool:
@@ -67,7 +68,7 @@ def hash_ordered(df: DataFrame, key_cols: Sequence[str], seed: int = 42,
     relative order is arbitrary anyway).
     """
     keys = list(key_cols)
-    n = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(partitions or partitions_for(df))
     hexcol = hash_hex(key_string(*keys), seed)
     top = F.conv(F.substring(F.col("_ord_h"), 1, 8), 16, 10).cast("double")
     tagged = df.withColumn("_ord_h", hexcol)
@@ -116,7 +117,7 @@ def with_hash_position(df: DataFrame, key_cols: Sequence[str] | str, seed: int =
     order and share one bucket.
     """
     keys = _keys(key_cols)
-    nb = int(buckets or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nb = int(buckets or partitions_for(df))
     h = hash_hex(key_string(*keys), seed)
     top = F.conv(F.substring(F.col("_pos_h"), 1, 8), 16, 10).cast("double")
     base = (df.withColumn("_pos_h", h)

@@ -76,6 +76,33 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
+DEFAULT_PARTITION_BYTES = 512 << 20
+MAX_PARTITIONS = 50_000
+
+
+def partitions_for(df, bytes_per_partition: int = DEFAULT_PARTITION_BYTES,
+                   cap: int = MAX_PARTITIONS) -> int:
+    """Shuffle partitions for an exchange whose count Spark will not adapt
+    (``repartitionById``, explicit bucket counts).
+
+    Uses the optimizer's size estimate of ``df`` (file sizes scaled by the projected
+    columns; no job runs): one partition per ``bytes_per_partition``, never fewer
+    than ``spark.sql.shuffle.partitions`` and at most ``cap`` (beyond that the
+    number of shuffle blocks, mappers x reducers, becomes the bottleneck; larger
+    partitions still sort with spill). Frames without a size estimate get the
+    session default.
+    """
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = int(raw if isinstance(raw, int) else str(raw.toString()))
+    except Exception:  # noqa: BLE001 - no plan access (e.g. Spark Connect)
+        return base
+    if size <= 0 or size >= (1 << 62):  # unknown size is reported as "huge"
+        return base
+    return max(base, min(cap, -(-size // bytes_per_partition)))
+
+
 def unique_name(prefix: str) -> str:
     """A table/folder name that no other call will use."""
     return f"{prefix}_{uuid.uuid4().hex[:12]}"

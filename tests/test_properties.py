@@ -96,3 +96,12 @@ def test_skew_safe_order_with_hot_key(spark):
     keys = [r["k"] for r in out.collect()]
     ref = [r["k"] for r in hot.orderBy(hash_hex(key_string("k"), 5), "k").collect()]
     assert keys == ref
+
+
+def test_partitions_for_scales_with_size(spark):
+    from pistil.session import partitions_for
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions_for(o) == base                      # small: session default
+    assert partitions_for(o, bytes_per_partition=1024) > base   # ~KBs per partition
+    assert partitions_for(o, bytes_per_partition=1, cap=77) == 77
