@@ -77,6 +77,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
 
 DEFAULT_PARTITION_BYTES = 512 << 20
+MIN_PARTITION_BYTES = 8 << 20
 MAX_PARTITIONS = 50_000
 
 
@@ -85,22 +86,24 @@ def partitions_for(df, bytes_per_partition: int = DEFAULT_PARTITION_BYTES,
     """Shuffle partitions for an exchange whose count Spark will not adapt
     (``repartitionById``, explicit bucket counts).
 
-    Uses the optimizer's size estimate of ``df`` (file sizes scaled by the projected
-    columns; no job runs): one partition per ``bytes_per_partition``, never fewer
-    than ``spark.sql.shuffle.partitions`` and at most ``cap`` (beyond that the
-    number of shuffle blocks, mappers x reducers, becomes the bottleneck; larger
-    partitions still sort with spill). Frames without a size estimate get the
-    session default.
+    From the optimizer's size estimate of ``df`` (file sizes scaled by the projected
+    columns; no job runs): one partition per ``bytes_per_partition``, raised to use
+    every core as long as partitions stay above 8 MB, and at most ``cap`` (beyond
+    that the number of shuffle blocks, mappers x reducers, becomes the bottleneck;
+    larger partitions still sort with spill). Small inputs get few partitions (and
+    few output files); frames without a size estimate get
+    ``spark.sql.shuffle.partitions``.
     """
-    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     try:
         raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         size = int(raw if isinstance(raw, int) else str(raw.toString()))
     except Exception:  # noqa: BLE001 - no plan access (e.g. Spark Connect)
-        return base
+        size = -1
     if size <= 0 or size >= (1 << 62):  # unknown size is reported as "huge"
-        return base
-    return max(base, min(cap, -(-size // bytes_per_partition)))
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_size = -(-size // bytes_per_partition)
+    by_cores = min(default_parallelism(df.sparkSession), -(-size // MIN_PARTITION_BYTES))
+    return int(max(1, min(cap, max(by_size, by_cores))))
 
 
 def unique_name(prefix: str) -> str:
