@@ -29,13 +29,15 @@ def _as_col(c: str | Column) -> Column:
 def key_string(*cols: str | Column) -> Column:
     """Row key as one string: a single column cast to string, or several joined by '|'.
 
-    Use integer or string columns; doubles print differently across engines.
+    A NULL part counts as the empty string, so every row gets a draw (a NULL key
+    would otherwise make the hash NULL and the row fall out of joins on it). Use
+    integer or string columns; doubles print differently across engines.
     """
     if len(cols) == 1 and isinstance(cols[0], (list, tuple)):
         cols = tuple(cols[0])
     if not cols:
         raise ValueError("at least one key column is needed")
-    parts = [_as_col(c).cast("string") for c in cols]
+    parts = [F.coalesce(_as_col(c).cast("string"), F.lit("")) for c in cols]
     return parts[0] if len(parts) == 1 else F.concat_ws(KEY_SEP, *parts)
 
 
@@ -62,9 +64,10 @@ def keyed_uniform(key_cols: Sequence[str] | str, seed: int, salt: str | None = N
 # DuckDB twins, used only by the oracle SQL in __spark_entry__.py and the tests.
 
 def sql_key(*cols: str) -> str:
-    if len(cols) == 1:
-        return f"CAST({cols[0]} AS VARCHAR)"
-    return "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + ")"
+    parts = [f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols]
+    if len(parts) == 1:
+        return parts[0]
+    return "concat_ws('|', " + ", ".join(parts) + ")"
 
 
 def sql_hash_hex(key_sql: str, seed: int, salt: str | None = None) -> str:

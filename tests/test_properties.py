@@ -104,3 +104,11 @@ def test_partitions_for_scales_with_size(spark):
     assert partitions_for(o) == 1                         # ~40 KB: one partition
     assert partitions_for(o, bytes_per_partition=1024) > 8   # ~KBs per partition
     assert partitions_for(o, bytes_per_partition=1, cap=77) == 77
+
+
+def test_null_keys_keep_their_rows(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,), (None,)], "k int")
+    pos = prep.with_hash_position(df, ["k"], seed=1, buckets=3)
+    assert sorted(r["position"] for r in pos.collect()) == [1, 2, 3, 4]
+    tagged = split.tag_split(df, "k")
+    assert tagged.where(F.col("split").isNull()).count() == 0
