@@ -168,7 +168,10 @@ def join_features_target(x: DataFrame, y: DataFrame, key_cols: Sequence[str] | s
 
     When both sides are stored bucketed and sorted by the key (see
     ``write_features_target``), the sort-merge join needs no exchange.
-    ``check_counts`` raises when a row finds no partner (costs extra jobs).
+    ``check_counts`` raises when a row finds no partner (costs extra jobs). Keys
+    compare with SQL equality, so a NULL key pairs with nothing; keys made at ingest
+    are never NULL (a null-safe comparison would turn the join keys into
+    expressions and cost the bucketed layout its shuffle-free join).
     """
     keys = _keys(key_cols)
     if not keys:
