@@ -186,3 +186,18 @@ def test_engine_settings_reach_the_estimator():
     assert rf.getCacheNodeIds() and rf.getMaxMemoryInMB() == 512 and rf.getNumTrees() == 5
     lr = build_logistic_regression({"penalty": "l2", "C": 2.0}, ctx)
     assert lr.getAggregationDepth() == 3 and lr.getRegParam() == pytest.approx(1 / 200)
+
+
+def test_one_pass_scoring_equals_per_trial(prepared):
+    from pistil.operators.metrics import resolve_metric
+    from pistil.operators.tune import _accuracy_all, _score
+    parts, _ = prepared
+    ctx = FitContext(n_rows=parts["train"].count())
+    models = {1: fit("random_forest", {"n_estimators": 5, "max_depth": 3,
+                                       "min_samples_split": 0.01, "min_samples_leaf": 0.01,
+                                       "bootstrap": True}, parts["train"], ctx),
+              2: fit("logistic_regression", {"penalty": "l2", "C": 0.01}, parts["train"], ctx)}
+    fused = _accuracy_all(models, parts["val"], "label")
+    acc = resolve_metric("accuracy")
+    for tid, m in models.items():
+        assert fused[tid] == pytest.approx(_score(m, parts["val"], acc, "label"), abs=1e-12)
