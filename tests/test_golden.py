@@ -1,6 +1,5 @@
 """Golden micro-tables for edge behaviour (FIXTURES.md part 2)."""
 
-import math
 
 import pytest
 from pyspark.sql import functions as F

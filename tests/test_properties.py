@@ -3,7 +3,6 @@
 import hashlib
 import math
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
