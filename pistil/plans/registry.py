@@ -151,6 +151,20 @@ def q_split_stream(spark, d):
     return spark.read.parquet(out).select("o_orderkey", "split")
 
 
+def q_split_stream_counts(spark, d):
+    """Split x priority counts kept as a stateful streaming aggregate over orders."""
+    from ..streaming.split_stream import stream_split_counts
+    src = f"{d.rstrip('/')}/orders.parquet"
+    schema = spark.read.parquet(src).schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet")
+              .parquet(d).select("o_orderkey", "o_orderpriority"))
+    name = unique_name("split_counts_stream")
+    q = stream_split_counts(stream, "o_orderkey", by=["o_orderpriority"], ratios=RATIOS,
+                            seed=SEED, query_name=name)
+    q.awaitTermination()
+    return spark.table(name)
+
+
 def q_union_train_val(spark, d):
     tagged = split.tag_split(read(spark, d, "orders"), "o_orderkey", RATIOS, SEED)
     return split.select_splits(tagged, ["train", "val"]).drop("split")
@@ -318,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "split_hash": q_split_hash,
     "split_counts": q_split_counts,
     "split_stream": q_split_stream,
+    "split_stream_counts": q_split_stream_counts,
     "union_train_val": q_union_train_val,
     "features_x": q_features_x,
     "target_y": q_target_y,
@@ -450,6 +465,9 @@ ORACLES: dict[str, str] = {
         f"SELECT {sql_split(H.sql_key('o_orderkey'))} AS split, o_orderpriority, "
         "count(*) AS rows FROM orders GROUP BY 1, 2"),
     "split_stream": f"SELECT o_orderkey, {sql_split(H.sql_key('o_orderkey'))} AS split FROM orders",
+    "split_stream_counts": (
+        f"SELECT {sql_split(H.sql_key('o_orderkey'))} AS split, o_orderpriority, "
+        "count(*) AS rows FROM orders GROUP BY 1, 2"),
     "union_train_val": (
         f"SELECT * FROM orders WHERE {_ORDER_U} < {split.split_thresholds(RATIOS)[1]!r}::DOUBLE"),
     "features_x": f"SELECT {_KEYS}, {_FEATS} FROM lineitem",

@@ -44,3 +44,24 @@ def write_split_stream(stream: DataFrame, key_cols: Sequence[str] | str, path: s
     elif available_now:
         w = w.trigger(availableNow=True)
     return w.start()
+
+
+def stream_split_counts(stream: DataFrame, key_cols: Sequence[str] | str,
+                        by: Sequence[str] = (), ratios: Sequence[float] = DEFAULT_RATIOS,
+                        seed: int = 42, checkpoint: str | None = None,
+                        query_name: str | None = None) -> StreamingQuery:
+    """Running rows per split (and ``by`` columns) as a stateful streaming aggregate.
+
+    Partial aggregation happens inside each micro-batch; the running totals live in
+    the state store, checkpointed in the shared folder, so a restart resumes them.
+    Results go to an in-memory table named ``query_name`` (one row per group: the
+    output is as small as the number of groups).
+    """
+    from ..operators.split import split_counts
+    from ..session import unique_name
+    name = query_name or unique_name("split_counts")
+    ckpt = checkpoint or shared_dir(stream.sparkSession, "streams", name)
+    counts = split_counts(split_stream(stream, key_cols, ratios, seed), by=by)
+    return (counts.writeStream.format("memory").queryName(name)
+            .option("checkpointLocation", ckpt).outputMode("complete")
+            .trigger(availableNow=True).start())
