@@ -34,3 +34,18 @@ def test_stream_memory_sink(spark):
     q.stop()
     total = spark.sql("SELECT sum(`count`) AS n FROM split_counts_mem").first()["n"]
     assert total == 1500
+
+
+def test_stream_restart_is_exactly_once(spark):
+    src = f"{SF_SMALL}/orders.parquet"
+    schema = spark.read.parquet(src).schema
+
+    def stream():
+        return (spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet")
+                .parquet(SF_SMALL).select("o_orderkey"))
+    out = scratch_path(spark, "stream_once")
+    ckpt = out + "_ckpt"
+    write_split_stream(stream(), "o_orderkey", out, checkpoint=ckpt).awaitTermination()
+    first = spark.read.parquet(out).count()
+    write_split_stream(stream(), "o_orderkey", out, checkpoint=ckpt).awaitTermination()
+    assert spark.read.parquet(out).count() == first == 1500

@@ -78,3 +78,15 @@ def test_bucketed_xy_join_has_no_exchange(spark):
         assert j.count() == 1500
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_process_without_key_uses_seeded_rand(spark):
+    db = unique_name("steps_p")
+    ensure_schema(spark, None, db, location=shared_dir(spark, "databases", db))
+    src = spark.read.parquet(f"{SF_SMALL}/customer.parquet").toDF(
+        "Id", "CName", "CNationkey", "CAcctbal", "CMktsegment")
+    src.write.saveAsTable(f"{db}.raw")
+    rows, cols = S.process_data(spark, "raw", "proc", schema=db)
+    assert (rows, cols) == (150, 4)
+    assert spark.table(f"{db}.proc").columns == ["c_name", "c_nationkey", "c_acctbal",
+                                                  "c_mktsegment"]
