@@ -40,7 +40,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism
+from ..session import default_parallelism, shared_dir
 from .space import LR_SPACE, RF_SPACE, Distribution
 
 FEATURES_COL = "features"
@@ -78,7 +78,8 @@ def _input_partitions(df: DataFrame) -> int | None:
 
 
 def training_frame(df: DataFrame, min_partitions: int | None = None,
-                   storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+                   storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+                   checkpoint: bool = False) -> DataFrame:
     """Persist a frame that iterative fits will scan many times.
 
     Every tree level and every gradient step is one task per partition, so a frame
@@ -86,12 +87,18 @@ def training_frame(df: DataFrame, min_partitions: int | None = None,
     fit; such a frame (a scan of few large files) is spread round-robin first (one
     shuffle of the training rows, deterministic on retry). Large inputs already have
     enough partitions and frames coming out of a shuffle are cached as they are.
-    Cached blocks lost with an executor are recomputed from lineage.
+    Cached blocks lost with an executor are recomputed from lineage; with
+    ``checkpoint=True`` the frame is first written to the shared checkpoint folder
+    (``spark.checkpoint.dir``), so recomputation reads those files instead of
+    re-running a long upstream plan.
     """
     target = min_partitions or default_parallelism(df.sparkSession)
     n = _input_partitions(df)
     if n is not None and n < target:
         df = df.repartition(target)
+    if checkpoint:
+        shared_dir(df.sparkSession)          # make sure the shared folder is registered
+        df = df.checkpoint(eager=True)
     return df.persist(storage)
 
 

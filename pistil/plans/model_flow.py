@@ -54,6 +54,7 @@ class ModelFlowConfig:
     trial_table: str | None = None
     handle_invalid: str = "error"
     engine: dict[str, dict[str, Any]] = field(default_factory=dict)   # see FitContext
+    checkpoint_inputs: bool = False   # write train/val to the shared checkpoint folder
 
 
 @dataclass
@@ -86,8 +87,10 @@ def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
     labels = list(indexer.labelsArray[0])
 
     # Fits and scoring read only (features, label): cache just those columns.
-    train = training_frame(prepare(part["train"], cfg, indexer).select("features", "label"))
-    val = training_frame(prepare(part["val"], cfg, indexer).select("features", "label"))
+    train = training_frame(prepare(part["train"], cfg, indexer).select("features", "label"),
+                           checkpoint=cfg.checkpoint_inputs)
+    val = training_frame(prepare(part["val"], cfg, indexer).select("features", "label"),
+                         checkpoint=cfg.checkpoint_inputs)
     try:
         t0 = time.perf_counter()
         n_train, n_val = train.count(), val.count()

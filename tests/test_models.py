@@ -201,3 +201,14 @@ def test_one_pass_scoring_equals_per_trial(prepared):
     acc = resolve_metric("accuracy")
     for tid, m in models.items():
         assert fused[tid] == pytest.approx(_score(m, parts["val"], acc, "label"), abs=1e-12)
+
+
+def test_training_frame_checkpoint_cuts_lineage(spark):
+    from pistil.operators.models import training_frame
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    agg = o.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("s"))
+    cut = training_frame(agg, checkpoint=True)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan            # reads the checkpoint files, not the plan
+    assert cut.count() == agg.count()
+    cut.unpersist()
