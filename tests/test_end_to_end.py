@@ -103,3 +103,22 @@ def test_explore_frames(spark, iris_csv):
     assert sum(r["count"] for r in out["class_counts"].collect()) == 6000
     assert out["class_means"].columns == ["Species", "avg(PetalLengthCm)"]
     assert out["corr"].count() == 1
+
+
+def test_data_flow_table_source_random_shuffle_zero_ratio(spark):
+    uid = unique_name("flowt")
+    src = f"{uid}_src"
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").write.option(
+        "path", shared_dir(spark, "tables", src)).saveAsTable(src)
+    cfg = DataFlowConfig(
+        source=src, source_format="table", raw_table=f"{uid}_raw",
+        processed_table=f"{uid}_processed", train_table=f"{uid}_train",
+        val_table=f"{uid}_val", test_table=f"{uid}_test", id_column="o_custkey",
+        key_cols=["o_orderkey"], feature_cols=["o_totalprice"],
+        target_col="o_orderpriority", ratios=(0.5, 0.5, 0.0), shuffle="random",
+        table_root=shared_dir(spark, "tables", uid))
+    rep = {(r["table"], r["split"]): r["rows"] for r in run_data_flow(spark, cfg).collect()}
+    assert rep[("raw", None)] == 1500
+    assert rep[("processed", "train")] + rep[("processed", "val")] == 1500
+    assert ("processed", "test") not in rep and rep[("test_x", "test")] == 0
+    assert "o_custkey" not in spark.table(f"{uid}_processed").columns
