@@ -122,3 +122,17 @@ def test_data_flow_table_source_random_shuffle_zero_ratio(spark):
     assert rep[("processed", "train")] + rep[("processed", "val")] == 1500
     assert ("processed", "test") not in rep and rep[("test_x", "test")] == 0
     assert "o_custkey" not in spark.table(f"{uid}_processed").columns
+
+
+def test_cli_runs_both_flows(spark, iris_csv):
+    from pistil.plans.cli import main
+    from pistil.sources.tables import ensure_schema
+    db = unique_name("cli")
+    ensure_schema(spark, None, db, location=shared_dir(spark, "databases", db))
+    rep = main(["data", "--source", iris_csv, "--schema", db, "--train_ratio", "0.5",
+                "--val_ratio", "0.25", "--test_ratio", "0.25"], spark)
+    rows = {(r["table"], r["split"]): r["rows"] for r in rep.collect()}
+    assert rows[("raw", None)] == 6000
+    met = main(["model", "--schema", db, "--max_evals", "2"], spark)
+    m = {(r["family"], r["metric"]): r["value"] for r in met.collect()}
+    assert m[("ensemble", "test_accuracy")] > 0.9
