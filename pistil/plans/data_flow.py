@@ -104,6 +104,10 @@ def split_and_order(df: DataFrame, key_cols: Sequence[str], ratios: Sequence[flo
 def run_data_flow(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
     """Run the pipeline; return a report frame ``table, split, rows, columns``."""
     check_ratios(*cfg.ratios)
+    if cfg.id_column and cfg.key_cols and cfg.id_column.lower() in {
+            k.lower() for k in cfg.key_cols}:
+        raise ValueError(f"id column {cfg.id_column!r} is also a key column; keep it as the "
+                         "key with id_column=None, or choose other key columns")
     raw_df = read_source(spark, cfg)
     key_cols = list(cfg.key_cols) if cfg.key_cols else [ROW_KEY]
     if not cfg.key_cols:

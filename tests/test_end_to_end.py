@@ -136,3 +136,9 @@ def test_cli_runs_both_flows(spark, iris_csv):
     met = main(["model", "--schema", db, "--max_evals", "2"], spark)
     m = {(r["family"], r["metric"]): r["value"] for r in met.collect()}
     assert m[("ensemble", "test_accuracy")] > 0.9
+
+
+def test_id_column_cannot_be_the_key(spark):
+    cfg = DataFlowConfig(source="unused", id_column="Id", key_cols=["id"])
+    with pytest.raises(ValueError, match="also a key"):
+        run_data_flow(spark, cfg)
