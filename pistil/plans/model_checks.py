@@ -60,12 +60,14 @@ def _probs_out(df: DataFrame, labels) -> DataFrame:
 
 
 def q_assemble_features(spark, d):
+    """Feature columns as one vector (summed back for the check)."""
     a = assemble(read(spark, d, "lineitem"), LINE_FEATURES)
     total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda acc, x: acc + x)
     return a.select(*LINE_KEY, F.round(total, 2).alias("value"))
 
 
 def q_label_index(spark, d):
+    """Sorted-label class index and rows per label."""
     li = read(spark, d, "lineitem")
     idx = fit_label_indexer(li, LINE_TARGET).transform(li)
     return idx.groupBy(LINE_TARGET, F.col("label").cast("bigint").alias("label_index")).agg(
@@ -83,14 +85,17 @@ def _single(spark, d, family, params, refit=False):
 
 
 def q_rf_predict(spark, d):
+    """Forest fitted on train, labels and probabilities on test."""
     return _single(spark, d, "random_forest", RF_PARAMS)
 
 
 def q_lr_predict(spark, d):
+    """Logistic regression fitted on train, predictions on test."""
     return _single(spark, d, "logistic_regression", LR_PARAMS)
 
 
 def q_refit_predict(spark, d):
+    """I8: forest refitted on train + validation, predictions on test."""
     return _single(spark, d, "random_forest", RF_PARAMS, refit=True)
 
 
@@ -106,14 +111,17 @@ def _tune(spark, d, family, space, **kw):
 
 
 def q_tune_rf(spark, d):
+    """Three seeded forest trials, each scored on validation."""
     return _tune(spark, d, "random_forest", RF_SPACE)
 
 
 def q_tune_lr(spark, d):
+    """Three seeded logistic-regression trials, each scored on validation."""
     return _tune(spark, d, "logistic_regression", LR_SPACE)
 
 
 def q_trial_log(spark, d):
+    """Trials of both families appended to a trial table."""
     name = unique_name("trials")
     parts, _ = _prepared(spark, d)
     spark.createDataFrame([], TRIAL_SCHEMA).write.option(
@@ -139,16 +147,19 @@ def _ensemble(spark, d):
 
 
 def q_ensemble_predict(spark, d):
+    """Soft vote of a forest and a logistic regression on test."""
     out = _ensemble(spark, d)
     return out.select(*LINE_KEY, BAND, "prediction_index", "predicted",
                       *[F.round(F.col("probability")[j], 6).alias(f"p{j}") for j in range(3)])
 
 
 def q_ensemble_accuracy(spark, d):
+    """Test accuracy of the soft-vote ensemble."""
     return ensemble_accuracy(_ensemble(spark, d), BAND)
 
 
 def q_model_save_load(spark, d):
+    """A fitted forest saved, loaded and compared prediction by prediction."""
     parts, labels = _prepared(spark, d)
     train = training_frame(parts["train"].select("features", "label"))
     model = fit("random_forest", RF_PARAMS, train, FitContext(n_rows=train.count(), seed=SEED))
@@ -162,12 +173,14 @@ def q_model_save_load(spark, d):
 
 
 def q_model_flow(spark, d):
+    """Tune both families, refit, vote, score: the metrics frame."""
     cfg = ModelFlowConfig(key_cols=LINE_KEY, feature_cols=LINE_FEATURES, target_col=BAND,
                               max_evals=3, seed=SEED, parallelism=3)
     return run_model_flow(_banded(spark, d), cfg).metrics
 
 
 def q_data_flow(spark, d):
+    """Load, process + split, x/y tables: rows and columns per written table."""
     uid = unique_name("dp")
     cfg = DataFlowConfig(
         source=f"{d.rstrip('/')}/lineitem.parquet", source_format="parquet",

@@ -71,6 +71,7 @@ def q_load_roundtrip(spark, d):
 
 
 def q_table_scan(spark, d):
+    """A4: a table written under a three-part name and read back by that name."""
     db = unique_name("pistil_db")
     ensure_schema(spark, "spark_catalog", db, location=shared_dir(spark, "databases", db))
     full = table_name("spark_catalog", db, "customer")
@@ -79,6 +80,7 @@ def q_table_scan(spark, d):
 
 
 def q_append_load(spark, d):
+    """A0/A5: the load step twice, overwrite then append (rows doubled)."""
     name = unique_name("customer_app")
     csv, schema = _customer_csv(spark, d)
     where = shared_dir(spark, "tables", name)
@@ -90,6 +92,7 @@ def q_append_load(spark, d):
 # ---------------------------------------------------------------- schema operators
 
 def q_drop_column(spark, d):
+    """B1: drop one column by name (a missing name would be a no-op)."""
     return prep.drop_column(read(spark, d, "customer"), "c_custkey")
 
 
@@ -98,24 +101,29 @@ def _camel_frame(df):
 
 
 def q_snake_case_columns(spark, d):
+    """B2: CamelCase names renamed by the snake_case rule (schema only)."""
     return prep.rename_snake_case(_camel_frame(read(spark, d, "part")))
 
 
 def q_process_table(spark, d):
+    """Drop the id-like column, rename, seeded hash order by the key."""
     return prep.process_table(_camel_frame(read(spark, d, "customer")), id_column="CName",
                               key_cols=["CCustkey"], seed=SEED, shuffle="hash")
 
 
 def q_shuffle_random(spark, d):
+    """Seeded random order with rand(seed), as in the original."""
     return prep.shuffle_rows(read(spark, d, "orders"), seed=SEED, method="random")
 
 
 def q_shuffle_hash(spark, d):
+    """1-based position of each key in the seeded hash order."""
     o = read(spark, d, "orders").select("o_orderkey")
     return prep.with_hash_position(o, ["o_orderkey"], seed=SEED)
 
 
 def q_hash_uniform(spark, d):
+    """H1: the per-key hash-uniform draw in [0, 1)."""
     o = read(spark, d, "orders")
     return o.select("o_orderkey", H.keyed_uniform("o_orderkey", SEED).alias("u"))
 
@@ -123,16 +131,19 @@ def q_hash_uniform(spark, d):
 # ---------------------------------------------------------------- splits
 
 def q_split_random(spark, d):
+    """Spark's randomSplit, parts tagged and concatenated (rows-only)."""
     o = read(spark, d, "orders").select("o_orderkey", "o_orderpriority")
     return split.tag_random_split(o, RATIOS, SEED).select("o_orderkey", "split")
 
 
 def q_split_hash(spark, d):
+    """Split name per key from the hash draw."""
     o = read(spark, d, "orders")
     return split.tag_split(o, "o_orderkey", RATIOS, SEED).select("o_orderkey", "split")
 
 
 def q_split_counts(spark, d):
+    """Rows per split and priority in one grouped count."""
     o = split.tag_split(read(spark, d, "orders"), "o_orderkey", RATIOS, SEED)
     return split.split_counts(o, by=["o_orderpriority"])
 
@@ -166,6 +177,7 @@ def q_split_stream_counts(spark, d):
 
 
 def q_union_train_val(spark, d):
+    """train and validation rows together (one split filter)."""
     tagged = split.tag_split(read(spark, d, "orders"), "o_orderkey", RATIOS, SEED)
     return split.select_splits(tagged, ["train", "val"]).drop("split")
 
@@ -178,14 +190,17 @@ def _xy(spark, d):
 
 
 def q_features_x(spark, d):
+    """Key + feature columns."""
     return _xy(spark, d)[0]
 
 
 def q_target_y(spark, d):
+    """Key + the target column."""
     return _xy(spark, d)[1]
 
 
 def q_join_features_target(spark, d):
+    """G1: features and target re-paired on the key."""
     x, y = _xy(spark, d)
     return prep.join_features_target(x, y, LINE_KEY)
 
@@ -193,14 +208,17 @@ def q_join_features_target(spark, d):
 # ---------------------------------------------------------------- profile
 
 def q_row_count(spark, d):
+    """Rows and columns of a table."""
     return profile.row_count(read(spark, d, "lineitem"))
 
 
 def q_head5(spark, d):
+    """First five rows by key (distributed top-k)."""
     return profile.head(read(spark, d, "orders"), 5, ["o_orderkey"])
 
 
 def q_describe_numeric(spark, d):
+    """count/mean/stddev/min/max per column, typed long form."""
     out = profile.describe(read(spark, d, "lineitem"), LINE_FEATURES)
     return out.withColumn("value", F.round("value", 4))
 
@@ -211,26 +229,31 @@ def q_describe_strings(spark, d):
 
 
 def q_class_counts(spark, d):
+    """Rows per class."""
     return profile.class_counts(read(spark, d, "lineitem"), LINE_TARGET)
 
 
 def q_class_means(spark, d):
+    """Mean of each feature per class."""
     out = profile.class_means(read(spark, d, "lineitem"), LINE_TARGET, LINE_FEATURES)
     return out.select(LINE_TARGET, *[F.round(f"{c}_mean", 4).alias(f"{c}_mean")
                                      for c in LINE_FEATURES])
 
 
 def q_event_class_means(spark, d):
+    """E3/E4 on another table: count and mean value per event type."""
     out = profile.class_summary(read(spark, d, "events"), "event_type", ["value"])
     return out.select("event_type", "count", F.round("value_mean", 6).alias("value_mean"))
 
 
 def q_pearson_corr(spark, d):
+    """E5: Pearson correlation per column pair (NULL on a constant column)."""
     out = profile.correlations(read(spark, d, "lineitem"), LINE_PAIRS)
     return out.withColumn("corr", F.round("corr", 8))
 
 
 def q_profile_report(spark, d):
+    """Every exploration statistic, whole table and per class, one scan."""
     out = profile.profile_report(read(spark, d, "lineitem"), LINE_FEATURES, LINE_TARGET,
                                  LINE_PAIRS)
     return out.withColumn("value", F.when(F.col("statistic") == "corr", F.round("value", 8))
@@ -240,17 +263,20 @@ def q_profile_report(spark, d):
 # ---------------------------------------------------------------- metrics / naming / trials
 
 def q_accuracy(spark, d):
+    """Share of rows whose prediction equals the label."""
     lab = read(spark, d, "labels").select(
         F.col("quality").alias("label"), (F.lit(1) - F.col("toxic")).alias("prediction"))
     return accuracy(lab)
 
 
 def q_zone_stamp(spark, d):
+    """H7: a UTC timestamp rendered in the experiment time zone."""
     e = read(spark, d, "events")
     return e.select("event_id", zone_stamp("ts").alias("stamp"))
 
 
 def q_experiment_path(spark, d):
+    """H8: experiment path from base, lower-cased name and stamp."""
     e = read(spark, d, "events")
     return e.select("event_id", experiment_path(EXPERIMENT_BASE, F.col("event_type"),
                                                 zone_stamp("ts")).alias("experiment_path"))
@@ -267,15 +293,18 @@ def _event_trials(spark, d):
 
 
 def q_trial_loss(spark, d):
+    """H3: loss from score (negated when maximising)."""
     return _event_trials(spark, d).select("trial_id", "val_score", "val_loss")
 
 
 def q_best_trial(spark, d):
+    """D3: lowest-loss successful trial per experiment, smallest id on ties."""
     return best_trial(_event_trials(spark, d)).select(
         "experiment", "trial_id", "val_score", "val_loss")
 
 
 def q_sample_search_space(spark, d):
+    """Both search spaces drawn for every trial id."""
     o = read(spark, d, "orders").select(F.col("o_orderkey").alias("trial_id"))
     out = sample_space(sample_space(o, RF_SPACE, SEED), LR_SPACE, SEED)
     return out.withColumn("C", F.round("C", 9))
@@ -304,15 +333,18 @@ def _voted(spark, d):
 
 
 def q_soft_vote(spark, d):
+    """Element-wise mean of two probability vectors."""
     # no rounding: both engines do the same IEEE operations on exact k/2^32 draws
     return _voted(spark, d).select(*LINE_KEY, *[F.col("p")[j].alias(f"p{j}") for j in range(3)])
 
 
 def q_argmax_class(spark, d):
+    """H5: index of the largest averaged probability (first on ties)."""
     return _voted(spark, d).select(*LINE_KEY, argmax("p").alias("class_index"))
 
 
 def q_index_to_label(spark, d):
+    """H6: class index mapped to its label."""
     return _voted(spark, d).select(
         *LINE_KEY, index_to_label(argmax("p"), CLASS_LABELS).alias("label"))
 
