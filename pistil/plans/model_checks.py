@@ -5,6 +5,10 @@ feature assembly, label indexing and the data pipeline report do have one. Every
 query fits on the whole ``lineitem`` train part (hash split), never a sample. The
 target is a label Spark derives from the table (a price band), because the
 return flag is not learnable from these features.
+
+These checks read the driver's parquet files directly, so each split is a filtered
+scan of ``lineitem``; in the flows the model input is the processed table, which is
+partitioned by split, and each part is read by partition pruning instead.
 """
 
 from __future__ import annotations
