@@ -36,7 +36,7 @@ from pyspark.ml.classification import (LogisticRegression, LogisticRegressionMod
                                        RandomForestClassificationModel,
                                        RandomForestClassifier)
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +47,35 @@ FEATURES_COL = "features"
 LABEL_COL = "label"
 
 
+def free_name(taken: Sequence[str], name: str) -> str:
+    """``name``, or ``_name``, ``__name``... whichever no existing column uses."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name
+
+
 def assemble(df: DataFrame, feature_cols: Sequence[str], out: str = FEATURES_COL,
              handle_invalid: str = "error") -> DataFrame:
-    """All feature columns, in order, as one vector column (JVM-side)."""
-    return VectorAssembler(inputCols=list(feature_cols), outputCol=out,
-                           handleInvalid=handle_invalid).transform(df)
+    """All feature columns, in order, as one vector column (JVM-side).
+
+    Numeric and boolean columns are used as they are; array columns (e.g. an
+    embedding stored as ``array<float>``) are converted with ``array_to_vector``
+    and contribute all their elements, in order.
+    """
+    types = dict(df.dtypes)
+    inputs, tmp = [], []
+    for c in feature_cols:
+        if types.get(c, "").startswith("array<"):
+            name = f"_vec_{len(tmp)}_{c}"
+            df = df.withColumn(name, array_to_vector(F.col(c)))
+            inputs.append(name)
+            tmp.append(name)
+        else:
+            inputs.append(c)
+    out_df = VectorAssembler(inputCols=inputs, outputCol=out,
+                             handleInvalid=handle_invalid).transform(df)
+    return out_df.drop(*tmp) if tmp else out_df
 
 
 def fit_label_indexer(df: DataFrame, target_col: str, out: str = LABEL_COL,

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from ..functions.stamps import experiment_name, now_stamp
 from ..operators.ensemble import ensemble_accuracy, refit, soft_vote, union_train_val
-from ..operators.models import (FitContext, assemble, fit_label_indexer, get_family,
-                                training_frame)
+from ..operators.models import (FitContext, assemble, fit_label_indexer, free_name,
+                                get_family, training_frame)
 from ..operators.space import Distribution
 from ..operators.split import select_splits
 from ..operators.tune import TuneResult, tune
@@ -67,10 +67,11 @@ class ModelFlowResult:
     labels: list[Any]
 
 
-def prepare(df: DataFrame, cfg: ModelFlowConfig, indexer) -> DataFrame:
-    a = assemble(df, cfg.feature_cols, handle_invalid=cfg.handle_invalid)
+def prepare(df: DataFrame, cfg: ModelFlowConfig, indexer, feat: str = "features",
+            lab: str = "label") -> DataFrame:
+    a = assemble(df, cfg.feature_cols, out=feat, handle_invalid=cfg.handle_invalid)
     a = indexer.transform(a)
-    return a.select(*cfg.key_cols, cfg.target_col, "features", "label")
+    return a.select(*cfg.key_cols, cfg.target_col, feat, lab)
 
 
 def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
@@ -80,16 +81,19 @@ def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
     part = {s: data.where(F.col(cfg.split_col) == s) for s in ("train", "val", "test")}
     target_type = data.schema[cfg.target_col].dataType.simpleString()
 
+    # Internal vector/index columns, named so they cannot clash with input columns
+    # (a target called "label" is common).
+    feat, lab = free_name(data.columns, "features"), free_name(data.columns, "label")
     # One label list for every model (fitted on train + val), so class i means the
     # same thing in each probability vector.
     indexer = fit_label_indexer(select_splits(data, ["train", "val"], cfg.split_col),
-                                cfg.target_col, handle_invalid=cfg.handle_invalid)
+                                cfg.target_col, out=lab, handle_invalid=cfg.handle_invalid)
     labels = list(indexer.labelsArray[0])
 
     # Fits and scoring read only (features, label): cache just those columns.
-    train = training_frame(prepare(part["train"], cfg, indexer).select("features", "label"),
+    train = training_frame(prepare(part["train"], cfg, indexer, feat, lab).select(feat, lab),
                            checkpoint=cfg.checkpoint_inputs)
-    val = training_frame(prepare(part["val"], cfg, indexer).select("features", "label"),
+    val = training_frame(prepare(part["val"], cfg, indexer, feat, lab).select(feat, lab),
                          checkpoint=cfg.checkpoint_inputs)
     try:
         t0 = time.perf_counter()
@@ -107,7 +111,7 @@ def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
                 experiment=experiment_name(cfg.experiment_base, fam.name, stamp),
                 model_dir=cfg.model_dir, trial_table=cfg.trial_table,
                 max_iter=cfg.max_iter, standardize=cfg.standardize, n_train=n_train,
-                engine=cfg.engine)
+                engine=cfg.engine, features_col=feat, label_col=lab)
 
         # Families are independent: their fits are submitted from separate driver
         # threads and share the executors (each fit is itself distributed).
@@ -119,7 +123,8 @@ def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
 
         train_val = union_train_val(train, val)
         ctx = FitContext(n_rows=n_train + n_val, seed=cfg.seed, max_iter=cfg.max_iter,
-                         standardize=cfg.standardize, engine=cfg.engine)
+                         standardize=cfg.standardize, engine=cfg.engine,
+                         features_col=feat, label_col=lab)
         with ThreadPoolExecutor(max_workers=workers) as pool:
             fitted = list(pool.map(
                 lambda item: (item[0], refit(train_val, item[0], item[1].best_params, ctx)),
@@ -130,7 +135,7 @@ def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
         train.unpersist()
         val.unpersist()
 
-    test = prepare(part["test"], cfg, indexer)
+    test = prepare(part["test"], cfg, indexer, feat, lab)
     predictions = soft_vote(test, models, labels, keep=[*cfg.key_cols, cfg.target_col],
                             label_type=None if target_type == "string" else target_type)
     acc = ensemble_accuracy(predictions, cfg.target_col)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.naming import snake_case
 from ..operators import prep, split
-from ..operators.models import assemble, fit_label_indexer, training_frame
+from ..operators.models import assemble, fit_label_indexer, free_name, training_frame
 from ..operators.tune import TuneResult, tune
 from ..sources.tables import LoadResult, load_csv_table, table_name, write_table
 
@@ -126,15 +126,17 @@ def hp_tune(spark: SparkSession, train_base: str, val_base: str, family: str, *,
     """Tune one family on ``<train_base>_x/_y`` and ``<val_base>_x/_y``."""
     tr = read_xy(spark, train_base, key_cols, target_col, catalog, schema)
     va = read_xy(spark, val_base, key_cols, target_col, catalog, schema)
-    indexer = fit_label_indexer(tr.unionByName(va), target_col)
+    feat, lab = free_name(tr.columns, "features"), free_name(tr.columns, "label")
+    indexer = fit_label_indexer(tr.unionByName(va), target_col, out=lab)
 
     def prepare(df):
-        return indexer.transform(assemble(df, feature_cols)).select("features", "label")
+        return indexer.transform(assemble(df, feature_cols, out=feat)).select(feat, lab)
     train, val = training_frame(prepare(tr)), training_frame(prepare(va))
     try:
         return tune(train, val, family, space, max_evals=max_evals, metric=metric,
                     maximize=maximize, seed=seed, parallelism=parallelism,
-                    experiment=experiment, model_dir=model_dir, trial_table=trial_table)
+                    experiment=experiment, model_dir=model_dir, trial_table=trial_table,
+                    features_col=feat, label_col=lab)
     finally:
         train.unpersist()
         val.unpersist()

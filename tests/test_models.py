@@ -212,3 +212,18 @@ def test_training_frame_checkpoint_cuts_lineage(spark):
     assert "Aggregate" not in plan            # reads the checkpoint files, not the plan
     assert cut.count() == agg.count()
     cut.unpersist()
+
+
+def test_array_features_and_integer_labels(spark):
+    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    dim = len(emb.first()["embedding"])
+    assert assemble(emb, ["embedding"]).first()["features"].size == dim
+    tagged = tag_split(emb, "vec_id", (.7, .15, .15), 42)
+    small = {"penalty": Choice(["l2"]), "C": Uniform(0.5, 1.0)}
+    res = run_model_flow(tagged, ModelFlowConfig(
+        key_cols=["vec_id"], feature_cols=["embedding"], target_col="label",
+        families=["logistic_regression"], spaces={"logistic_regression": small},
+        max_evals=1))
+    preds = {r["predicted"] for r in res.predictions.select("predicted").distinct().collect()}
+    assert preds <= set(range(10))              # integer labels come back as themselves
+    assert dict(res.predictions.dtypes)["predicted"] == "int"
