@@ -111,3 +111,37 @@ def test_null_keys_keep_their_rows(spark):
     assert sorted(r["position"] for r in pos.collect()) == [1, 2, 3, 4]
     tagged = split.tag_split(df, "k")
     assert tagged.where(F.col("split").isNull()).count() == 0
+
+
+@settings(max_examples=6, deadline=None)
+@given(seed=st.integers(0, 10_000), parts=st.integers(1, 9), buckets=st.integers(1, 13),
+       in_parts=st.integers(1, 5))
+def test_hash_order_and_positions_any_layout(spark, seed, parts, buckets, in_parts):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
+    o = o.repartition(in_parts)
+    ref = o.orderBy(hash_hex(key_string("o_orderkey"), seed), "o_orderkey")
+    want = [r[0] for r in ref.collect()]
+    assert [r[0] for r in prep.hash_ordered(o, ["o_orderkey"], seed, parts).collect()] == want
+    pos = prep.with_hash_position(o, ["o_orderkey"], seed=seed, buckets=buckets)
+    got = [k for k, _ in sorted((r["o_orderkey"], r["position"]) for r in pos.collect())]
+    by_pos = {r["position"]: r["o_orderkey"] for r in pos.collect()}
+    assert [by_pos[i + 1] for i in range(len(want))] == want and len(got) == len(want)
+
+
+@settings(max_examples=6, deadline=None)
+@given(a=st.integers(0, 10), b=st.integers(0, 10), c=st.integers(0, 10),
+       seed=st.integers(0, 1000))
+def test_split_parts_cover_for_any_ratios(spark, a, b, c, seed):
+    total = a + b + c
+    if total == 0:
+        return
+    ratios = (a / total, b / total, c / total)
+    if abs(sum(ratios) - 1) >= 1e-6:
+        return
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
+    counts = {r["split"]: r["rows"] for r in
+              split.split_counts(split.tag_split(o, "o_orderkey", ratios, seed)).collect()}
+    assert sum(counts.values()) == 1500
+    for name, r in zip(split.SPLIT_NAMES, ratios):
+        if r == 0:
+            assert name not in counts
