@@ -154,7 +154,7 @@ def run_data_flow(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
 
 
 def flow_report(spark: SparkSession, raw: str, processed: str,
-                    xy_names: list[tuple[str, str, str]]) -> DataFrame:
+                xy_names: list[tuple[str, str, str]]) -> DataFrame:
     """Rows and columns of every written table, counted from storage (no recompute)."""
     r = spark.table(raw)
     parts = [r.agg(F.count(F.lit(1)).alias("rows")).select(
@@ -162,7 +162,8 @@ def flow_report(spark: SparkSession, raw: str, processed: str,
         F.lit(len(r.columns)).alias("columns"))]
     p = spark.table(processed)
     parts.append(p.groupBy("split").agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit("processed").alias("table"), "split", "rows", F.lit(len(p.columns)).alias("columns")))
+        F.lit("processed").alias("table"), "split", "rows",
+        F.lit(len(p.columns)).alias("columns")))
     for name, s, role in xy_names:
         t = spark.table(name)
         parts.append(t.agg(F.count(F.lit(1)).alias("rows")).select(
