@@ -1,7 +1,8 @@
 """Command line for the two flows.
 
-    python -m pistil.plans.cli data  --source Iris.csv --schema schema_iris ...
-    python -m pistil.plans.cli model --schema schema_iris ...
+    python -m pistil data  --source Iris.csv --schema schema_iris ...
+    python -m pistil model --schema schema_iris ...
+    spark-submit --py-files pistil.zip pistil/plans/cli.py data ...
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (spark-submit or the
 cluster provides master and settings). Both commands print their report frame.
@@ -15,9 +16,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from ..operators.split import DEFAULT_RATIOS
-from .data_flow import DataFlowConfig, run_data_flow
-from .model_flow import ModelFlowConfig, run_model_flow
+# Absolute imports: this file is also run as a script by spark-submit.
+from pistil.operators.split import DEFAULT_RATIOS
+from pistil.plans.data_flow import DataFlowConfig, run_data_flow
+from pistil.plans.model_flow import ModelFlowConfig, run_model_flow
 
 # Default table names of the original flow.
 DEFAULT_TABLES = {
