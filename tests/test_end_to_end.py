@@ -142,3 +142,17 @@ def test_id_column_cannot_be_the_key(spark):
     cfg = DataFlowConfig(source="unused", id_column="Id", key_cols=["id"])
     with pytest.raises(ValueError, match="also a key"):
         run_data_flow(spark, cfg)
+
+
+def test_model_flow_with_checkpointed_inputs(spark, iris_csv):
+    from pistil.sources.csv import read_csv
+    from pistil.operators.split import tag_split
+    df = tag_split(read_csv(spark, iris_csv), "Id")
+    cfg = ModelFlowConfig(key_cols=["Id"], feature_cols=["SepalLengthCm", "SepalWidthCm",
+                                                         "PetalLengthCm", "PetalWidthCm"],
+                          target_col="Species", families=["logistic_regression"],
+                          spaces={"logistic_regression": {"penalty": Choice(["l2"]),
+                                                          "C": Uniform(0.5, 2.0)}},
+                          max_evals=1, checkpoint_inputs=True)
+    m = {(r["family"], r["metric"]): r["value"] for r in run_model_flow(df, cfg).metrics.collect()}
+    assert m[("ensemble", "test_accuracy")] > 0.9
