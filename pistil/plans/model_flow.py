@@ -48,6 +48,7 @@ class ModelFlowConfig:
     parallelism: int = 3              # trials of one family at a time
     family_parallelism: int = 2       # families tuned (and refitted) at a time
     max_iter: int = 100
+    refit_max_iter: int | None = None   # None: same as the trials (the original refit used 1000)
     standardize: bool = False
     experiment_base: str = "experiments"
     model_dir: str | None = None
@@ -122,7 +123,8 @@ def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
         log.info("tuning done in %.1fs", time.perf_counter() - t0)
 
         train_val = union_train_val(train, val)
-        ctx = FitContext(n_rows=n_train + n_val, seed=cfg.seed, max_iter=cfg.max_iter,
+        ctx = FitContext(n_rows=n_train + n_val, seed=cfg.seed,
+                         max_iter=cfg.refit_max_iter or cfg.max_iter,
                          standardize=cfg.standardize, engine=cfg.engine,
                          features_col=feat, label_col=lab)
         with ThreadPoolExecutor(max_workers=workers) as pool:

@@ -156,3 +156,16 @@ def test_model_flow_with_checkpointed_inputs(spark, iris_csv):
                           max_evals=1, checkpoint_inputs=True)
     m = {(r["family"], r["metric"]): r["value"] for r in run_model_flow(df, cfg).metrics.collect()}
     assert m[("ensemble", "test_accuracy")] > 0.9
+
+
+def test_refit_max_iter_reaches_the_refit(spark, iris_csv):
+    from pistil.sources.csv import read_csv
+    from pistil.operators.split import tag_split
+    df = tag_split(read_csv(spark, iris_csv), "Id")
+    cfg = ModelFlowConfig(key_cols=["Id"], feature_cols=["SepalLengthCm", "PetalWidthCm"],
+                          target_col="Species", families=["logistic_regression"],
+                          spaces={"logistic_regression": {"penalty": Choice(["l2"]),
+                                                          "C": Uniform(0.5, 2.0)}},
+                          max_evals=1, max_iter=5, refit_max_iter=1000)
+    res = run_model_flow(df, cfg)
+    assert res.models["logistic_regression"].getMaxIter() == 1000
