@@ -73,6 +73,11 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--base_experiment_path", default="experiments")
     m.add_argument("--model_dir", default=None)
     m.add_argument("--trial_table", default=None)
+    m.add_argument("--families", nargs="+",
+                   default=["random_forest", "logistic_regression"])
+    m.add_argument("--max_iter", type=int, default=100)
+    m.add_argument("--refit_max_iter", type=int, default=None)
+    m.add_argument("--checkpoint_inputs", action="store_true")
     return top
 
 
@@ -97,7 +102,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
             key_cols=args.key_columns, feature_cols=args.feature_columns,
             target_col=args.target_column, max_evals=args.max_evals, seed=args.random_seed,
             parallelism=args.parallelism, experiment_base=args.base_experiment_path,
-            model_dir=args.model_dir, trial_table=args.trial_table)
+            model_dir=args.model_dir, trial_table=args.trial_table, families=args.families,
+            max_iter=args.max_iter, refit_max_iter=args.refit_max_iter,
+            checkpoint_inputs=args.checkpoint_inputs)
         name = DataFlowConfig(source="", catalog=args.catalog, schema=args.schema).name(
             args.processed_table_name)
         out = run_model_flow(spark.table(name), cfg).metrics
