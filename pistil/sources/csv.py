@@ -16,7 +16,9 @@ def read_csv(spark: SparkSession, path: str, *, header: bool = True,
 
     Pass ``schema`` at scale: inference is an extra full pass over the files before
     the first action. Short rows are padded with NULL and long rows cut in the default
-    PERMISSIVE mode; FAILFAST raises, DROPMALFORMED removes them.
+    PERMISSIVE mode; FAILFAST raises, DROPMALFORMED removes them. Rows are only parsed
+    (and so only dropped or rejected) when columns are read: a bare ``count()`` of
+    the file counts every line.
     """
     mode = parse_mode.upper()
     if mode not in PARSE_MODES:

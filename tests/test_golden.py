@@ -132,3 +132,31 @@ def test_zone_stamp(spark):
     from zoneinfo import ZoneInfo
     now = dt.datetime(2025, 8, 12, 19, 50, tzinfo=ZoneInfo("UTC"))
     assert now_stamp(now=now) == "20250812_215000"
+
+
+def _ragged(spark):
+    path = scratch_path(spark, "ragged_modes") + ".csv"
+    lines = ["Id,A,B", "1,1.5,x", "2,2.5", "3,3.5,z,extra"]
+    spark.createDataFrame([(l,) for l in lines], "v string").coalesce(1).write.text(path)
+    return path
+
+
+def test_csv_parse_modes(spark):
+    path = _ragged(spark)
+    schema = "Id int, A double, B string"
+    assert read_csv(spark, path, schema=schema).count() == 3               # permissive
+    kept = read_csv(spark, path, schema=schema, parse_mode="DROPMALFORMED").collect()
+    assert [r["Id"] for r in kept] == [1]      # rows are parsed only when materialised
+    with pytest.raises(Exception):
+        read_csv(spark, path, schema=schema, parse_mode="FAILFAST").collect()
+    with pytest.raises(ValueError):
+        read_csv(spark, path, parse_mode="LENIENT")
+
+
+def test_write_modes_and_names(spark):
+    from pistil.sources.tables import table_name, write_table
+    assert table_name("spark_catalog", "db", "t") == "`spark_catalog`.`db`.`t`"
+    assert table_name(None, "db", "we`ird") == "`db`.`we``ird`"
+    df = spark.range(3)
+    with pytest.raises(ValueError):
+        write_table(df, "never_written", mode="upsert")
