@@ -145,3 +145,16 @@ def test_split_parts_cover_for_any_ratios(spark, a, b, c, seed):
     for name, r in zip(split.SPLIT_NAMES, ratios):
         if r == 0:
             assert name not in counts
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(1_577_836_800, 1_893_456_000), min_size=20, max_size=60))
+def test_zone_stamp_matches_zoneinfo(spark, seconds):
+    import datetime as dt
+    from pistil.functions.stamps import now_stamp, zone_stamp
+    # DST boundaries in Europe/Rome (2025-03-30 01:00 UTC, 2025-10-26 01:00 UTC) +/- 1 s
+    seconds = seconds + [1743296399, 1743296400, 1761440399, 1761440400]
+    utc = [dt.datetime.fromtimestamp(x, dt.timezone.utc) for x in seconds]
+    df = spark.createDataFrame([(u.replace(tzinfo=None),) for u in utc], "ts timestamp_ntz")
+    got = [r["s"] for r in df.select(zone_stamp("ts").alias("s")).collect()]
+    assert got == [now_stamp(now=u) for u in utc]
