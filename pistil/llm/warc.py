@@ -45,25 +45,28 @@ RECORD_SCHEMA = ("page_id long, url string, payload_bytes long, payload_digest s
 
 def plan_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
                  dedup_bytes: int = MIN_DEDUP_BYTES) -> DataFrame:
-    """Row per record: id, url, payload (null for revisits), digest, size, refers_to.
+    """Input of ``write_warc``: every row with its payload (``kind`` 1), and for every row that
+    shall be a revisit a small row in front of it that says so (``kind`` 0, no payload).
 
     Groups are formed on (digest, size) and salted, so a payload that a third of all rows
-    share is aggregated map-side and joined over ``SALTS`` tasks.
+    share is aggregated map-side and joined over ``SALTS`` tasks. Payloads take no part in the
+    join; they are shuffled once, into their shards.
     """
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"),
         F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8").alias("payload")
     ).withColumn("digest", F.sha1("payload")).withColumn("size", F.octet_length("payload").cast("long"))
-    groups = (rows.where(F.col("size") >= dedup_bytes).groupBy("digest", "size")
-                  .agg(F.max("id").alias("head"), F.count("*").alias("n"))
-                  .where("n > 1 and head is not null").drop("n")
-                  .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int"))
-    revisit = F.col("head").isNotNull() & (F.col("id").isNull() | (F.col("id") < F.col("head")))
-    return (salted.join(groups, ["digest", "size", "salt"], "left")
-                  .select("id", "url", "digest", "size",
-                          F.when(revisit, F.col("head")).alias("refers_to"),
-                          F.when(~revisit | F.col("head").isNull(), F.col("payload")).alias("payload")))
+    keyed = rows.drop("payload").where(F.col("size") >= dedup_bytes)
+    groups = (keyed.groupBy("digest", "size").agg(F.max("id").alias("head"), F.count("*").alias("n"))
+                   .where("n > 1 and head is not null").drop("n")
+                   .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    revisits = (keyed.withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int"))
+                     .join(groups, ["digest", "size", "salt"])
+                     .where("id is null or id < head")
+                     .select("id", "url", "digest", "size", F.col("head").alias("refers_to"),
+                             F.lit(None).cast("binary").alias("payload"), F.lit(0).alias("kind")))
+    return rows.select("id", "url", "digest", "size", F.lit(None).cast("long").alias("refers_to"),
+                       "payload", F.lit(1).alias("kind")).unionByName(revisits)
 
 
 def record_id(page_id: int | None, digest: str) -> str:
@@ -117,6 +120,7 @@ def write_warc(records: DataFrame, root: str, shards: int, roll_bytes: int = ROL
         attempt = uuid.uuid4().hex
         out = sink = None
         shard, part, made = 0, 0, []
+        revisit: tuple = (None, None)            # the last row that was announced as a revisit
 
         def close():
             nonlocal out, sink, part
@@ -128,9 +132,15 @@ def write_warc(records: DataFrame, root: str, shards: int, roll_bytes: int = ROL
         for b in batches:
             shard = b.column(b.schema.get_field_index("shard"))[0].as_py() if len(b) else shard
             cols = [b.column(b.schema.get_field_index(c))
-                    for c in ("id", "url", "payload", "digest", "size", "refers_to")]
+                    for c in ("id", "url", "digest", "size", "refers_to", "kind", "payload")]
             for i in range(len(b)):
-                data = _gzip_member(make_record(*(c[i].as_py() for c in cols)), level)
+                page, url, digest, size, head, kind = (c[i].as_py() for c in cols[:6])
+                if kind == 0:
+                    revisit = (page, url, digest), head
+                    continue
+                head = revisit[1] if revisit[0] == (page, url, digest) else None
+                payload = cols[6][i].as_py() if head is None else None
+                data = _gzip_member(make_record(page, url, payload, digest, size, head), level)
                 if out and out["bytes"] + len(data) > roll_bytes:
                     close()
                 if out is None:
@@ -165,7 +175,7 @@ def write_warc(records: DataFrame, root: str, shards: int, roll_bytes: int = ROL
     sorted_rows = (records.withColumn("key", key)
                           .withColumn("shard", F.floor(F.col("key") * F.lit(shards) / F.lit(1 << 32)).cast("int"))
                           .repartitionById(shards, F.col("shard"))
-                          .sortWithinPartitions("shard", "key", "id", "digest", "url"))
+                          .sortWithinPartitions("shard", "key", "id", "digest", "url", "kind"))
     # int columns come out of Python as int64: keep the declared types
     def typed(f):
         def g(batches):
