@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import url_filter, warc
+from . import packing, url_filter, warc
 
 QUERIES = {
     "op2_warc": warc.op2_warc,
+    "op3_packing": packing.op3_packing,
     "op6_url_filter": url_filter.op6_url_filter,
 }
 
