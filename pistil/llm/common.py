@@ -52,6 +52,14 @@ def ship_package(spark: SparkSession) -> None:
     sc._pistil_shipped = True
 
 
+def free_name(taken, name: str) -> str:
+    """``name`` with as many underscores in front as no column of ``taken`` has."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name
+
+
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and inner path of a URI such as ``file:/x``, ``hdfs://...`` or ``/x``."""
     parts = urlsplit(path)
@@ -88,5 +96,5 @@ def binary_array(buf, offsets) -> pa.Array:
                                  [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(buf))])
 
 
-__all__ = ["binary_array", "file_system", "scratch_path", "shared_dir", "ship_package", "table",
+__all__ = ["binary_array", "file_system", "free_name", "scratch_path", "shared_dir", "ship_package", "table",
            "text_column", "write_bytes", "written"]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import packing, url_filter, warc
+from . import langid, packing, url_filter, warc
 
 QUERIES = {
     "op2_warc": warc.op2_warc,
     "op3_packing": packing.op3_packing,
     "op6_url_filter": url_filter.op6_url_filter,
+    "op7_ppm_langid": langid.op7_ppm_langid,
 }
 
 ORACLES = {
