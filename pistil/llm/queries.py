@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import langid, packing, url_filter, warc
+from . import decontam, langid, packing, url_filter, warc
 
 QUERIES = {
     "op2_warc": warc.op2_warc,
     "op3_packing": packing.op3_packing,
+    "op5_decontam": decontam.op5_decontam,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_ppm_langid": langid.op7_ppm_langid,
 }
 
 ORACLES = {
     "op2_warc": warc.ORACLE,
+    "op5_decontam": decontam.ORACLE,
     "op6_url_filter": url_filter.ORACLE,
 }
