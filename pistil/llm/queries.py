@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, ngram_join, packing, url_filter, warc
+from . import decontam, langid, ngram_join, packing, repeats, url_filter, warc
 
 QUERIES = {
     "op2_warc": warc.op2_warc,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_decontam": decontam.op5_decontam,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_ppm_langid": langid.op7_ppm_langid,
+    "op8_repeats": repeats.op8_repeats,
     "op9_ngram_join": ngram_join.op9_ngram_join,
 }
 

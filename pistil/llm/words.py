@@ -114,12 +114,12 @@ def split_words(col: pa.Array, word_bytes: np.ndarray, piece_bytes: int = 1 << 2
         yield Words(lo, n, start, end, row, first, hash_spans(buf, start, end), buf)
 
 
-def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of (lower-cased) bytes, from one running polynomial sum."""
+def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray, fold_case: bool = True) -> np.ndarray:
+    """64-bit hash of each span of (by default lower-cased) bytes, from one running polynomial sum."""
     p, inv = _powers(len(buf) + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(len(buf) + 1, dtype=U64)
-        v = LOWER[buf].astype(U64)
+        v = (LOWER[buf] if fold_case else buf).astype(U64)
         v += U64(1)
         v *= p[:len(buf)]
         np.cumsum(v, out=total[1:])
