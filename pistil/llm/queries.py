@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, ngram_join, packing, repeats, url_filter, warc
+from . import decontam, graph_neardup, langid, ngram_join, packing, repeats, url_filter, warc
 
 QUERIES = {
     "op2_warc": warc.op2_warc,
     "op3_packing": packing.op3_packing,
+    "op4_graph_neardup": graph_neardup.op4_graph_neardup,
     "op5_decontam": decontam.op5_decontam,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_ppm_langid": langid.op7_ppm_langid,
