@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontam, graph_neardup, langid, ngram_join, packing, repeats, url_filter, warc
+from . import decontam, graph_neardup, langid, licenses, ngram_join, packing, repeats, url_filter, warc, xent
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
     "op2_warc": warc.op2_warc,
     "op3_packing": packing.op3_packing,
     "op4_graph_neardup": graph_neardup.op4_graph_neardup,
@@ -13,9 +14,11 @@ QUERIES = {
     "op7_ppm_langid": langid.op7_ppm_langid,
     "op8_repeats": repeats.op8_repeats,
     "op9_ngram_join": ngram_join.op9_ngram_join,
+    "op10_xent_score": xent.op10_xent_score,
 }
 
 ORACLES = {
+    "op1_license_scan": licenses.ORACLE,
     "op2_warc": warc.ORACLE,
     "op5_decontam": decontam.ORACLE,
     "op6_url_filter": url_filter.ORACLE,
