@@ -436,4 +436,20 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
-__all__ = ["free_name", "op9_ngram_join", "shingle_sets", "similar_components"]
+def keep_first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: of each group of near duplicates, the document with the smallest id stays.
+
+    Rows that share that id are told apart by their texts: the smallest text digest stays, once. Documents
+    without words are in no group and stay.
+    """
+    row = free_name(docs.columns, "row")
+    stored = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = similar_components(stored.select(row, "text"), id_col=row)
+    ids = stored.select(row, F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), row).alias("place"))
+    grouped = found.where("n_shingles > 0").select(F.col("id").alias(row), F.col("component_id").alias("group")).join(ids, row)
+    first = grouped.groupBy("group").agg(F.min_by(row, "place").alias("first"))
+    gone = written(grouped.join(first, "group").where(F.col(row) != F.col("first")).select(row), "dropped")
+    return stored.join(gone, row, "left_anti").drop(row)
+
+
+__all__ = ["keep_first_of_group", "op9_ngram_join", "shingle_sets", "similar_components"]

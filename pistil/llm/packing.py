@@ -290,3 +290,8 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = ["Encoder", "hilbert_key", "op3_packing", "pack", "pack_documents",
            "tokenize"]
+
+
+def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: pieces with their ids."""
+    return pack_documents(docs, default_tokenizer())

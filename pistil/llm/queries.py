@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import decontam, graph_neardup, langid, licenses, ngram_join, packing, repeats, url_filter, warc, xent
 
 QUERIES = {
@@ -15,6 +17,7 @@ QUERIES = {
     "op8_repeats": repeats.op8_repeats,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_xent_score": xent.op10_xent_score,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
