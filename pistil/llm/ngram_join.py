@@ -11,10 +11,12 @@ blocks; a probe skips all blocks whose size cannot reach the threshold and, with
 whose position leaves too few shingles behind.
 
 Skipping by set relation: first only the pair of each set with one leader per list (the smallest
-set it may link to) is verified. Sets found similar that way are one component, and pairs inside
-it need no further work, as their answer follows from the leader's: whole blocks of a list that lie
-in one component are passed over. Only pairs between components are verified one by one.
-Verification intersects the full sets.
+set it may link to) is looked at. Pairs whose prefixes leave similarity possible make one cell, and whole
+blocks of a list that lie in one cell are passed over from then on; only pairs between cells are
+enumerated, and join cells where their prefixes do not rule them out. So cells hold every candidate
+pair, without the pairs of a large group of near copies ever being listed. Each set is then sent to its
+cell once. There, the overlaps of a set with all others are derived from those of the set before
+it, mostly a near copy, by the few lists in which the two differ; links leave the cell as a forest.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased, compared by 64-bit hashes, as are
 shingles and the digests that name equal sets.
@@ -46,6 +48,7 @@ SLICES = 64
 HOT_LIST = 200_000           # entries of one shingle that one list takes; longer ones are split
 BUCKET_ENTRIES = 1_000_000
 BLOOM_BITS = 25
+CELL = 512                   # sets that one task compares with each other
 U64 = np.uint64
 
 
@@ -122,6 +125,10 @@ def _frequency(rows: DataFrame) -> np.ndarray:
     return out
 
 
+def _levels(count: np.ndarray) -> np.ndarray:
+    return np.minimum(63, np.floor(2 * np.log2(count + 1.0))).astype(U64)
+
+
 def _rank_keys(h: np.ndarray, level: np.ndarray) -> np.ndarray:
     """Shingle -> sort key, rarest first: frequency level in the top 6 bits, the hash below."""
     return (level[(h >> U64(64 - SKETCH_BITS)).astype(np.int64)] << U64(58)) | (h & U64((1 << 58) - 1))
@@ -130,7 +137,7 @@ def _rank_keys(h: np.ndarray, level: np.ndarray) -> np.ndarray:
 def _prefix_index(docs: DataFrame, count: np.ndarray, buckets: int, k: int, percent: int) -> DataFrame:
     """Written inverted index over prefixes: per bucket, entries sorted by (key, size, position);
     lists that hold one class only are left out."""
-    level = np.minimum(63, np.floor(2 * np.log2(count + 1.0))).astype(U64)
+    level = _levels(count)
     shared = docs.sparkSession.sparkContext.broadcast((level, count))       # fixed size
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,12 +343,8 @@ def _bloom_positions(node: np.ndarray) -> np.ndarray:
     return np.stack([(h >> U64(s)) & U64((1 << BLOOM_BITS) - 1) for s in (0, 18, 36)], 1).astype(np.int64)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (written ``x, y``) whose full sets are similar enough.
-
-    Sets are made again from the texts; a Bloom filter of fixed size over the nodes that pairs
-    name keeps the others from being shuffled.
-    """
+def _node_filter(nodes: DataFrame) -> np.ndarray:
+    """Bloom filter of fixed size over all values of ``nodes``' columns, as packed bits."""
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = np.zeros(1 << BLOOM_BITS, dtype=bool)
         for b in batches:
@@ -360,13 +363,19 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
         return pa.table({"slice": t.column("slice")[:1], "bits": pa.array([out.tobytes()], pa.binary())})
 
     packed = np.zeros((SLICES, (1 << BLOOM_BITS) // 8 // SLICES), dtype=np.uint8)
-    for r in (pairs.select("x", "y").mapInArrow(bits, "slice int, bits binary").groupBy("slice")
+    for r in (nodes.mapInArrow(bits, "slice int, bits binary").groupBy("slice")
                    .applyInArrow(either, "slice int, bits binary").collect()):
         packed[r["slice"]] = np.frombuffer(r["bits"], dtype=np.uint8)
-    wanted = docs.sparkSession.sparkContext.broadcast(packed.ravel())        # fixed size
+    return packed.ravel()
+
+
+def _sets_of(docs: DataFrame, wanted: np.ndarray, k: int, make) -> DataFrame:
+    """``node, n, set`` of the classes that pass a node filter, one row each; sets are made again from the
+    texts and ``make(shingles)`` gives the bytes to send. The filter keeps the other sets from being shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)               # fixed size
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = wanted.value
+        f = shared.value
         done: set[int] = set()
         for b in batches:
             for _, h, off in shingle_sets(text_column(b, "text"), k):
@@ -380,28 +389,126 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
                 for i, c in zip(full[ok].tolist(), node[ok].tolist()):
                     if c not in done:
                         done.add(c)
-                        rows.append((c, h[off[i]:off[i + 1]].astype("<u8").tobytes()))
+                        rows.append((c, int(off[i + 1] - off[i]), make(h[off[i]:off[i + 1]])))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
-                                                      pa.array([r[1] for r in rows], pa.binary())], ["node", "set"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], ["node", "n", "set"])
+
+    return docs.mapInArrow(sets, "node long, n long, set binary").dropDuplicates(["node"])
+
+
+def prefix_bound(x: np.ndarray, nx: int, y: np.ndarray, ny: int) -> int:
+    """Most shingles that two sets can share, seen from their sorted prefixes alone."""
+    if x[-1] > y[-1]:
+        x, nx, y, ny = y, ny, x, nx
+    both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+    return both + min(nx - len(x), ny - int(np.searchsorted(y, x[-1], side="right")))
 
-    made = docs.mapInArrow(sets, "node long, set binary").dropDuplicates(["node"])
+
+def _alike(docs: DataFrame, pairs: DataFrame, count: np.ndarray, k: int, percent: int) -> DataFrame:
+    """The pairs (written ``x, y``) that their prefixes do not rule out."""
+    level = docs.sparkSession.sparkContext.broadcast(_levels(count))
+
+    def prefix(h: np.ndarray) -> bytes:
+        key = np.sort(_rank_keys(h, level.value))
+        return key[:len(h) - (-(-percent * len(h) // 100)) + 1].astype("<u8").tobytes()
+
+    made = _sets_of(docs, _node_filter(pairs.select("x", "y")), k, prefix)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ok = []
-            for i in range(len(b)):
-                x = np.frombuffer(b.column(2)[i].as_buffer(), dtype="<u8")
-                y = np.frombuffer(b.column(3)[i].as_buffer(), dtype="<u8")
-                both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                ok.append(both >= least_overlap(len(x), len(y), percent))
-            keep = pa.array(ok, pa.bool_())
+            nx, ny = b.column(4).to_pylist(), b.column(5).to_pylist()
+            keep = pa.array([prefix_bound(np.frombuffer(b.column(2)[i].as_buffer(), dtype="<u8"), nx[i],
+                                          np.frombuffer(b.column(3)[i].as_buffer(), dtype="<u8"), ny[i])
+                             >= least_overlap(nx[i], ny[i], percent) for i in range(len(b))], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["a", "b"])
 
-    joined = (pairs.join(made.select(F.col("node").alias("x"), F.col("set").alias("sx")), "x")
-                   .join(made.select(F.col("node").alias("y"), F.col("set").alias("sy")), "y")
-                   .select("x", "y", "sx", "sy"))
-    return written(joined.mapInArrow(check, "a long, b long"), "links")
+    x, y = (made.select(F.col("node").alias(c), F.col("set").alias(f"s{c}"), F.col("n").alias(f"n{c}")) for c in "xy")
+    joined = pairs.join(x, "x").join(y, "y").select("x", "y", "sx", "sy", "nx", "ny")
+    return written(joined.mapInArrow(check, "a long, b long"), "alike")
+
+
+def set_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each set the later ones that are similar to it.
+
+    The overlaps of a set with all others are derived from those of the set before it: lists of the
+    shingles it has and the other lacks are added, and the other way round taken off. Sets are walked by
+    size and first shingles, so neighbours are mostly near copies and few lists are read.
+    """
+    n = np.array([len(s) for s in sets], dtype=np.int64)
+    owner = np.repeat(np.arange(len(sets)), n)
+    _, token, spread = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = spread[token] > 1                              # a shingle of one set meets nothing
+    owner, token = owner[shared], token[shared]
+    by_token = np.argsort(token, kind="stable")
+    members = owner[by_token]
+    begin = np.searchsorted(token[by_token], np.arange(len(spread) + 1))
+    at = np.searchsorted(owner, np.arange(len(sets) + 1))
+    own = [np.sort(token[at[i]:at[i + 1]]) for i in range(len(sets))]
+    order = sorted(range(len(sets)), key=lambda i: (own[i][:3].tolist(), n[i]))
+    overlap = np.zeros(len(sets), dtype=np.int64)
+    before = np.zeros(0, dtype=np.int64)
+
+    def lists(t: np.ndarray) -> np.ndarray:
+        size = begin[t + 1] - begin[t]
+        return members[np.repeat(begin[t] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+
+    for i in order:
+        more, less = np.setdiff1d(own[i], before, assume_unique=True), np.setdiff1d(before, own[i], assume_unique=True)
+        if len(more) + len(less) < len(own[i]):
+            overlap = overlap + np.bincount(lists(more), minlength=len(sets)) - np.bincount(lists(less), minlength=len(sets))
+        else:                                               # nothing to gain: start anew
+            overlap = np.bincount(lists(own[i]), minlength=len(sets))
+        before = own[i]
+        hit = np.flatnonzero(overlap * (100 + percent) >= percent * (n[i] + n))
+        yield i, hit[hit > i]
+
+
+def _cell_links(docs: DataFrame, cells: DataFrame, k: int, percent: int) -> DataFrame:
+    """Written ``a, b``: for each cell (``node, root``) of sets that may be similar, edges that connect the
+    similar ones. Each set is sent to its cell once; cells of more than ``CELL`` sets meet block by block."""
+    size = written(cells.groupBy("root").agg(F.count("*").alias("m")).where("m > 1")
+                        .withColumn("blocks", F.ceil(F.col("m") / CELL).cast("int")), "cells")
+    total = size.agg(F.sum("m").alias("n")).first()["n"] or 0
+    groups = max(1, -(-total // CELL))
+    placed = cells.join(size, "root").select("node", "root", "blocks")
+    made = _sets_of(docs, _node_filter(placed.select("node")), k, lambda h: h.astype("<u8").tobytes())
+    rows = placed.join(made.drop("n"), "node").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    small = rows.where("blocks = 1").select(
+        F.pmod(F.xxhash64("root"), F.lit(groups)).alias("g"), F.lit(0).alias("i"), F.lit(0).alias("j"), "root", "node", "side", "set")
+    large = (rows.where("blocks > 1").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .select(F.col("root").alias("g"), F.least("side", "o").alias("i"), (F.greatest("side", "o") + 1).alias("j"),
+                         "root", "node", "side", "set"))
+
+    def link(t: pa.Table) -> pa.Table:
+        root, node = np.asarray(t.column("root")), np.asarray(t.column("node"))
+        order = np.argsort(root, kind="stable")
+        cut = np.append(np.flatnonzero(np.append(True, root[order][1:] != root[order][:-1])), len(order))
+        sets = t.column("set").to_pylist()
+        a, b = [], []
+        for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            at = order[lo:hi]
+            # links as a forest: each set to the smallest place that its links reach
+            low = np.arange(len(at))
+
+            def top(x: int) -> int:
+                while low[x] != x:
+                    low[x] = low[low[x]]
+                    x = low[x]
+                return x
+
+            for i, hit in set_links([np.frombuffer(sets[x], dtype="<u8") for x in at.tolist()], percent):
+                for j in np.unique(low[hit]).tolist():
+                    p, q = top(i), top(j)
+                    if p != q:
+                        low[max(p, q)] = min(p, q)
+            reach = np.array([top(x) for x in range(len(at))])
+            own = np.flatnonzero(reach != np.arange(len(at)))
+            a.append(node[at[own]])
+            b.append(node[at[reach[own]]])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return written(small.unionByName(large).groupBy("g", "i", "j").applyInArrow(link, "a long, b long"), "links")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
@@ -413,14 +520,17 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = rows.where("slice is null").select("id", "n", "node")
     total = members.agg(F.sum("n").alias("n")).first()["n"] or 0
     buckets = max(1, -(-total * (100 - percent) // 100 // BUCKET_ENTRIES))
-    index = _prefix_index(docs, _frequency(rows), int(buckets), k, percent)
-    links = _verified(docs, written(_leader_pairs(index, percent).distinct(), "pairs"), k, percent)
-    roots = written(components(links), "roots")
-    more = written(_cross_pairs(index, roots, percent).distinct(), "pairs")
+    count = _frequency(rows)
+    index = _prefix_index(docs, count, int(buckets), k, percent)
+    pairs = written(_leader_pairs(index, percent).distinct(), "pairs")
+    alike = _alike(docs, pairs, count, k, percent)
+    cells = written(components(alike), "cells")
+    more = written(_cross_pairs(index, cells, percent).distinct(), "pairs")
     if not more.isEmpty():
-        found = _verified(docs, more, k, percent)
+        found = _alike(docs, more, count, k, percent)
         if not found.isEmpty():
-            roots = written(components(links.unionByName(found)), "roots")
+            cells = written(components(alike.unionByName(found)), "cells")
+    roots = written(components(_cell_links(docs, cells, k, percent)), "roots")
     classes = (members.where("node is not null").groupBy("node").agg(F.min("id").alias("low"))
                       .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     low = classes.groupBy("root").agg(F.min("low").alias("component_id"))
