@@ -44,8 +44,9 @@ from .words import U64, hash_spans, mix, pieces
 
 SIZE, GRAM = 50, 20
 SEGMENT_BYTES = 2 << 20
-BUCKET_BYTES = 16 << 20          # text bytes a bucket answers for
+BUCKET_BYTES = 8 << 20           # text bytes a bucket answers for
 SUFFIX = 2 * SIZE                # bytes of a suffix that are compared (stretches are mostly shorter)
+STEP = 1 << 20                   # string marks made at once
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -284,15 +285,24 @@ def bucket_answers(contents: list[bytes], key: np.ndarray, low: np.ndarray, size
         left = np.where(nth > 0, buf[at - 1].astype(np.int64), -1)
         order, found = suffix_groups(buf, at, begin[own] + length[own], left, kind_low[own], size)
         n = found[:, 1] - found[:, 0] + 1
-        group = np.repeat(np.arange(len(found)), n)
-        who = order[found[group, 0] + np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)]
-        over = found[group, 2] - size + 1                # strings a repeat covers in each occurrence
-        hit = np.repeat(s_begin[own[who]] + nth[who], over) + np.arange(int(over.sum())) - np.repeat(np.cumsum(over) - over, over)
-        np.minimum.at(best, hit, np.repeat(found[group, 3], over))
+        over = found[:, 2] - size + 1                    # strings a repeat covers in each occurrence
+        work = np.cumsum(n * over)
+
+        def occurrences(lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+            """Repeat and suffix of each occurrence of the repeats ``lo..hi``."""
+            group = np.repeat(np.arange(lo, hi), n[lo:hi])
+            return group, order[found[group, 0] + np.arange(len(group)) - np.repeat(np.cumsum(n[lo:hi]) - n[lo:hi], n[lo:hi])]
+
+        steps = np.unique(np.searchsorted(work, np.arange(0, int(work[-1]) + STEP, STEP))) if len(work) else [0]
+        for lo, hi in zip(steps, [*steps[1:], len(found)]):
+            group, who = occurrences(lo, hi)
+            o = over[group]
+            hit = np.repeat(s_begin[own[who]] + nth[who] - (np.cumsum(o) - o), o) + np.arange(int(o.sum()))
+            np.minimum.at(best, hit, np.repeat(found[group, 3], o))
 
         def repeats():
             for g in range(len(found)):
-                w = who[group == g]
+                _, w = occurrences(g, g + 1)
                 yield (buf[at[w[0]]:at[w[0]] + found[g, 2]].tobytes(),
                        [(int(e), int(nth[x])) for x in w for e in np.flatnonzero(kind == own[x])], int(found[g, 3]))
     return [best[s_begin[k]:s_begin[k] + strings[k]] for k in kind.tolist()], repeats
