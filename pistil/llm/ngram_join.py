@@ -234,19 +234,49 @@ class Lists:
         self.block_key = (self.list[head] << 32) + self.size[head]
         self.block_size, self.block_pos = self.size[head], self.pos[head]
 
-    def blocks(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-        """``(probe entry, block)`` that no skipping rule excludes, for the probes ``lo..hi``."""
-        probe = np.arange(lo, hi)
-        size, base = self.size[lo:hi], self.list[lo:hi] << 32
-        first = np.searchsorted(self.block_key, base + -(-self.percent * size // 100), side="left")
-        last = np.searchsorted(self.block_key, base + size, side="right")
+    def ranges(self, probe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First block of a size that each probe can reach, and one past the last."""
+        base, size = self.list[probe] << 32, self.size[probe]
+        return (np.searchsorted(self.block_key, base + -(-self.percent * size // 100), side="left"),
+                np.searchsorted(self.block_key, base + size, side="right"))
+
+    def reachable(self, probe: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """Whether positions leave enough: at most min(i, j) common shingles lie in front, this one and
+        the shorter tail behind."""
+        x, y, i, j = self.size[probe], self.block_size[block], self.pos[probe], self.block_pos[block]
+        return np.minimum(i, j) + np.minimum(x - i, y - j) >= least_overlap(x, y, self.percent)
+
+    def leaders(self) -> tuple[np.ndarray, np.ndarray]:
+        """``(probe entry, index entry)``: for each probe the first entry of a reachable block that is not
+        its own set. All probes step over their blocks together."""
+        probe = np.arange(len(self.node))
+        block, last = self.ranges(probe)
+        found = [(probe[:0], probe[:0])]
+        while True:
+            live = block < last
+            probe, block, last = probe[live], block[live], last[live]
+            if not len(probe):
+                break
+            at = self.block_at[block]
+            at = at + (self.node[self.ind[at]] == self.node[probe])
+            ok = (at < self.block_at[block + 1]) & self.reachable(probe, block)
+            found.append((probe[ok], self.ind[at[ok]]))
+            probe, block, last = probe[~ok], block[~ok] + 1, last[~ok]
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def blocks(self, probes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``(probe entry, block)`` that no skipping rule excludes, about ``STEP`` at a time."""
+        first, last = self.ranges(probes)
         n = last - first
-        owner = np.repeat(np.arange(len(probe)), n)
-        block = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(len(owner))
-        # at most min(i, j) common shingles lie in front, this one and the shorter tail behind
-        x, y, i, j = size[owner], self.block_size[block], self.pos[lo:hi][owner], self.block_pos[block]
-        ok = np.minimum(i, j) + np.minimum(x - i, y - j) >= least_overlap(x, y, self.percent)
-        return probe[owner[ok]], block[ok]
+        work = np.cumsum(n)
+        steps = np.unique(np.searchsorted(work, np.arange(0, int(work[-1]) + STEP, STEP))) if len(work) else np.zeros(1, int)
+        for lo, hi in zip(steps.tolist(), [*steps[1:].tolist(), len(probes)]):
+            m = n[lo:hi]
+            owner = np.repeat(np.arange(lo, hi), m)
+            block = np.repeat(first[lo:hi] - (np.cumsum(m) - m), m) + np.arange(len(owner))
+            probe = probes[owner]
+            ok = self.reachable(probe, block)
+            yield probe[ok], block[ok]
 
     def entries(self, probe: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(probe entry, index entry)`` of the blocks."""
@@ -256,7 +286,7 @@ class Lists:
         return probe[own], self.ind[at]
 
 
-STEP = 50_000
+STEP = 1_000_000             # probes times blocks, and pairs, looked at together
 
 
 def _pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -276,17 +306,8 @@ def _leader_pairs(index: DataFrame, percent: int) -> DataFrame:
         for b in batches:
             for i in range(len(b)):
                 ls = _read_lists(pa.Table.from_batches([b.slice(i, 1)]), percent)
-                found = [np.zeros((0, 2), np.int64)]
-                for lo in range(0, len(ls.node), STEP):
-                    probe, block = ls.blocks(lo, min(lo + STEP, len(ls.node)))
-                    # the first entry of the first block that is not the probe's own set
-                    e = ls.ind[ls.block_at[block]]
-                    own = ls.node[e] == ls.node[probe]
-                    more = ls.block_at[block] + own < ls.block_at[block + 1]
-                    probe, e = probe[more], ls.ind[(ls.block_at[block] + own)[more]]
-                    _, at = np.unique(probe, return_index=True)
-                    found.append(_pairs(ls.node[probe[at]], ls.node[e[at]]))
-                found = np.unique(np.concatenate(found), axis=0)
+                probe, e = ls.leaders()
+                found = _pairs(ls.node[probe], ls.node[e])
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["x", "y"])
 
     return index.mapInArrow(run, "x long, y long")
@@ -309,27 +330,28 @@ def _cross_pairs(index: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
 
     def run(t: pa.Table, lab: pa.Table) -> pa.Table:
         found = [np.zeros((0, 2), np.int64)]
-        if t.num_rows:
-            ls = _read_lists(t, percent)
+        ls = _read_lists(t, percent) if t.num_rows else None
+        if ls is not None and len(ls.node):
             node, root = np.asarray(lab.column("node")), np.asarray(lab.column("root"))
             order = np.argsort(node)
             comp = root[order][np.searchsorted(node[order], ls.node)]
-            c = comp[ls.ind]
+            at = np.flatnonzero(np.append(True, ls.list[1:] != ls.list[:-1]))
+            mixed = np.minimum.reduceat(comp, at) < np.maximum.reduceat(comp, at)     # lists of one cell are skipped
+            probes = np.flatnonzero(mixed[ls.list])
             at = ls.block_at[:-1]
             if len(at):
-                low, high = np.minimum.reduceat(c, at), np.maximum.reduceat(c, at)
+                low, high = np.minimum.reduceat(comp[ls.ind], at), np.maximum.reduceat(comp[ls.ind], at)
             pending = 0
-            for lo in range(0, len(ls.node), STEP):
-                probe, block = ls.blocks(lo, min(lo + STEP, len(ls.node)))
-                known = (low[block] == high[block]) & (low[block] == comp[probe])     # one component: skip
+            for probe, block in ls.blocks(probes):
+                known = (low[block] == high[block]) & (low[block] == comp[probe])     # blocks of one cell too
                 probe, block = probe[~known], block[~known]
                 n = ls.block_at[block + 1] - ls.block_at[block]
-                for part in np.split(np.arange(len(probe)), np.searchsorted(np.cumsum(n), np.arange(4_000_000, int(n.sum()), 4_000_000))):
+                for part in np.split(np.arange(len(probe)), np.searchsorted(np.cumsum(n), np.arange(STEP, int(n.sum()), STEP))):
                     p, q = ls.entries(probe[part], block[part])
                     far = comp[p] != comp[q]
                     found.append(_pairs(ls.node[p[far]], ls.node[q[far]]))
                     pending += len(found[-1])
-                if pending > 2_000_000:
+                if pending > STEP:
                     found = [np.unique(np.concatenate(found), axis=0)]
                     pending = 0
             found = [np.unique(np.concatenate(found), axis=0)]
