@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stored_bytes
 from .common import ship_package, table, text_column
 from .words import U64, WORD_BYTES, Words, split_words
 
 WORDS, CLASSES = 1536, 512
 MU = 64.0
+BUCKET_BYTES = 64 << 20          # stored bytes whose words one bucket counts
 
 
 def top_words(docs: DataFrame, size: int, buckets: int) -> np.ndarray:
@@ -135,9 +137,9 @@ def score_documents(docs: DataFrame, good_ids: DataFrame, id_col: str = "doc_id"
     ship_package(spark)
     kind = dict(docs.dtypes)[id_col]
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vocabulary = top_words(docs, words, parts)
-    good = good_ids.toDF("id").where("id is not null").distinct()
+    vocabulary = top_words(docs, words, max(8, stored_bytes(docs) // BUCKET_BYTES))
+    # the labels have no size bound: never broadcast, so the plan is the same at every size
+    good = good_ids.toDF("id").where("id is not null").distinct().hint("merge")
     shared = spark.sparkContext.broadcast((
         vocabulary, losses(bigram_counts(docs.join(good, "id", "left_semi"), vocabulary, classes)),
         losses(bigram_counts(docs, vocabulary, classes))))
