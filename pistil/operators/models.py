@@ -6,26 +6,26 @@ partitions); nothing is collected except the fitted model itself.
 Parameter mapping from the original (single-machine) hyperparameters to Spark ML:
 
 * random forest: ``n_estimators -> numTrees``, ``max_depth -> maxDepth``,
-  ``bootstrap -> bootstrap``, ``min_samples_leaf`` (a fraction) ->
-  ``minWeightFractionPerNode``; ``min_samples_split`` (fraction f) has no Spark twin
-  and becomes ``minInstancesPerNode = ceil(f * n / 2)`` (no node under f*n rows can
-  be split into two valid children; stricter than the original on unbalanced
-  splits). Features per split: ``sqrt``.
+  ``bootstrap -> bootstrap``, ``min_samples_leaf`` and
+  ``min_samples_split`` (both fractions of the rows) -> ``minWeightFractionPerNode =
+  max(min_samples_leaf, min_samples_split / 2)``: a node under f*n rows cannot be
+  split into two children of f*n/2 rows each (stricter than the original on unbalanced
+  splits). A share, not a count: it holds at any number of rows. Features per split:
+  ``sqrt``.
 * logistic regression: ``penalty='l2'`` with ``C`` -> ``regParam = 1 / (C * n)``,
   ``elasticNetParam = 0``, ``standardization = False`` (the same optimum as
   minimising ``C * sum(loss) + 0.5 * |W|^2``); ``penalty='none'`` -> ``regParam = 0``.
   ``solver`` and ``l1_ratio`` select solver internals / are unused, so they are
   recorded with the trial but do not change the fit.
 
-A seeded forest is the same on re-run over the same partitioning; after the
-training frame is repartitioned differently the trees can differ (bootstrap draws
-and split candidates are drawn per partition), so forest outputs are checked by
-shape and accuracy, never value by value.
+Bootstrap draws and split candidates depend on how rows lie in partitions.
+``training_frame`` therefore places rows by key into a number of partitions that
+follows from the data alone, so a seeded fit does not depend on the cluster's cores or
+on how the input was partitioned.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -40,7 +40,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism, shared_dir
+from ..session import shared_dir, stored_bytes
 from .space import LR_SPACE, RF_SPACE, Distribution
 
 FEATURES_COL = "features"
@@ -87,18 +87,35 @@ def fit_label_indexer(df: DataFrame, target_col: str, out: str = LABEL_COL,
                          handleInvalid=handle_invalid).fit(df)
 
 
+TRAIN_PARTITION_BYTES = 64 << 20
+LEAST_TRAIN_PARTITIONS = 16
+
+
+def train_partitions(df: DataFrame) -> int:
+    """Partitions of a training frame: one per ``TRAIN_PARTITION_BYTES`` of the stored input,
+    ``LEAST_TRAIN_PARTITIONS`` at least. The same for the same data on any cluster."""
+    size = stored_bytes(df)
+    return max(LEAST_TRAIN_PARTITIONS, -(-size // TRAIN_PARTITION_BYTES) if size else 0)
+
+
+def place_rows(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Rows in a layout that only their values decide: hashed by ``by`` into ``partitions``
+    (default ``train_partitions``) and sorted inside by ``by`` and then all other columns
+    that can be ordered."""
+    rest = [f.name for f in df.schema.fields if f.name not in by
+            and f.dataType.typeName() not in ("map", "variant")]
+    n = partitions or train_partitions(df)
+    return df.repartition(n, *by).sortWithinPartitions(*by, *rest)
+
+
 def _input_partitions(df: DataFrame) -> int | None:
-    """Partition count of a frame whose plan has no exchange (a scan plus narrow
-    operators), found without running anything; None when the plan has an exchange
-    (its partition count comes from the shuffle and asking for it through ``.rdd``
-    would run the shuffle stages under adaptive execution)."""
+    """Partition count of a frame whose plan has no exchange, found without running anything;
+    None when the plan has one."""
     try:
         plan = df._jdf.queryExecution().executedPlan().toString()
     except Exception:  # noqa: BLE001 - e.g. Spark Connect: no plan access
         return None
-    if "Exchange" in plan:
-        return None
-    return df.rdd.getNumPartitions()
+    return None if "Exchange" in plan else df.rdd.getNumPartitions()
 
 
 def training_frame(df: DataFrame, min_partitions: int | None = None,
@@ -106,20 +123,18 @@ def training_frame(df: DataFrame, min_partitions: int | None = None,
                    checkpoint: bool = False) -> DataFrame:
     """Persist a frame that iterative fits will scan many times.
 
-    Every tree level and every gradient step is one task per partition, so a frame
-    with fewer partitions than the cluster has cores leaves cores idle for the whole
-    fit; such a frame (a scan of few large files) is spread round-robin first (one
-    shuffle of the training rows, deterministic on retry). Large inputs already have
-    enough partitions and frames coming out of a shuffle are cached as they are.
+    Every tree level and every gradient step is one task per partition; ``place_rows``
+    gives the frame a number of partitions and an order that do not depend on the cluster.
     Cached blocks lost with an executor are recomputed from lineage; with
     ``checkpoint=True`` the frame is first written to the shared checkpoint folder
     (``spark.checkpoint.dir``), so recomputation reads those files instead of
-    re-running a long upstream plan.
+    re-running a long upstream plan. ``min_partitions`` spreads a scan of fewer partitions
+    round-robin, for frames that were not placed.
     """
-    target = min_partitions or default_parallelism(df.sparkSession)
-    n = _input_partitions(df)
-    if n is not None and n < target:
-        df = df.repartition(target)
+    if min_partitions:
+        n = _input_partitions(df)
+        if n is not None and n < min_partitions:
+            df = df.repartition(min_partitions)
     if checkpoint:
         shared_dir(df.sparkSession)          # make sure the shared folder is registered
         df = df.checkpoint(eager=True)
@@ -148,13 +163,12 @@ def _with_engine(est: Estimator, family: str, ctx: FitContext) -> Estimator:
 
 
 def build_random_forest(p: dict[str, Any], ctx: FitContext) -> Estimator:
-    min_split = int(math.ceil(float(p["min_samples_split"]) * ctx.n_rows / 2.0))
+    share = max(float(p["min_samples_leaf"]), float(p["min_samples_split"]) / 2.0)
     return _with_engine(RandomForestClassifier(
         featuresCol=ctx.features_col, labelCol=ctx.label_col, seed=ctx.seed,
         numTrees=int(p["n_estimators"]), maxDepth=int(p["max_depth"]),
         bootstrap=bool(p["bootstrap"]), featureSubsetStrategy="sqrt",
-        minWeightFractionPerNode=float(p["min_samples_leaf"]),
-        minInstancesPerNode=max(1, min_split)), "random_forest", ctx)
+        minWeightFractionPerNode=share), "random_forest", ctx)
 
 
 def lr_reg_param(p: dict[str, Any], n_rows: int) -> float:
@@ -200,6 +214,13 @@ def fit(family: str | Family, params: dict[str, Any], train: DataFrame,
     return get_family(family).build(params, ctx).fit(train)
 
 
+def fit_iterations(model: Model) -> int | None:
+    """Iterations an iterative fit took (None for others): at the cap, it did not converge."""
+    if isinstance(model, LogisticRegressionModel) and model.hasSummary:
+        return int(model.summary.totalIterations)
+    return None
+
+
 def predict(model: Model, df: DataFrame, prefix: str = "",
             probability_array: bool = True) -> DataFrame:
     """Add ``{prefix}prediction`` (class index, double) and ``{prefix}probability``
