@@ -65,7 +65,7 @@ def hash_ordered(df: DataFrame, key_cols: Sequence[str], seed: int = 42,
     rows would fill one partition. ``skew_safe=True`` is for such data: a sampled
     range sort with a per-row tiebreaker, which lets Spark cut a run of equal keys
     across partitions (the tiebreaker only orders copies of the same key, whose
-    relative order is arbitrary anyway).
+    relative order is arbitrary anyway). ``partitions`` holds for both.
     """
     keys = list(key_cols)
     n = int(partitions or partitions_for(df))
@@ -73,8 +73,10 @@ def hash_ordered(df: DataFrame, key_cols: Sequence[str], seed: int = 42,
     top = F.conv(F.substring(F.col("_ord_h"), 1, 8), 16, 10).cast("double")
     tagged = df.withColumn("_ord_h", hexcol)
     if skew_safe:
+        order = [*first, "_ord_h", *keys, "_ord_t"]
         return (tagged.withColumn("_ord_t", F.monotonically_increasing_id())
-                      .orderBy(*first, "_ord_h", *keys, "_ord_t").drop("_ord_h", "_ord_t"))
+                      .repartitionByRange(n, *order).sortWithinPartitions(*order)
+                      .drop("_ord_h", "_ord_t"))
     if not hasattr(tagged, "repartitionById"):  # Spark < 4.1: sampled range partitioning
         return tagged.orderBy(*first, "_ord_h", *keys).drop("_ord_h")
     pid = F.floor(top / F.lit(TWO_POW_32) * F.lit(n)).cast("int")
@@ -127,11 +129,20 @@ def with_hash_position(df: DataFrame, key_cols: Sequence[str] | str, seed: int =
     offsets = counts.select(
         "_pos_b", F.coalesce(F.sum("_pos_n").over(before), F.lit(0)).alias("_pos_off"))
     within = Window.partitionBy("_pos_b").orderBy("_pos_h", *keys)
-    return (base.join(F.broadcast(offsets), "_pos_b")
+    # one partition per bucket (hash-dealt): the window is satisfied with this exchange, and
+    # its size does not depend on spark.sql.shuffle.partitions
+    return (base.repartition(nb, "_pos_b").join(F.broadcast(offsets), "_pos_b")
                 .withColumn(col, F.col("_pos_off") + F.row_number().over(within))
                 .drop("_pos_h", "_pos_b", "_pos_off"))
 
 
+def check_id_is_no_key(id_column: str | None, key_cols: Sequence[str] | str | None) -> None:
+    """The id column is dropped, so it cannot be a key too."""
+    if id_column and id_column.lower() in {k.lower() for k in _keys(key_cols)}:
+        raise ValueError(f"id column {id_column!r} is also a key column; keep it as the "
+                         "key with id_column=None, or choose other key columns")
+
+
 def process_table(df: DataFrame, id_column: str | None = "id",
                   key_cols: Sequence[str] | str | None = None, seed: int = 42,
                   shuffle: str | None = "hash", missing: str = "ignore") -> DataFrame:
@@ -162,22 +173,37 @@ def features_and_target(df: DataFrame, feature_cols: Sequence[str], target_col:
     return x, y
 
 
+def key_faults(df: DataFrame, key_cols: Sequence[str] | str) -> DataFrame:
+    """Keys that do not identify a row: those that repeat or hold a NULL, with their row count
+    (column ``rows``)."""
+    keys = _keys(key_cols)
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where((F.col("rows") > 1) | null)
+
+
 def join_features_target(x: DataFrame, y: DataFrame, key_cols: Sequence[str] | str,
                          check_counts: bool = False) -> DataFrame:
     """Re-pair features with targets on the key (inner join).
 
+    The key must identify rows: the pipeline's persisted row key does; with keys of the
+    data's own, repeated ones multiply and NULL ones pair with nothing. ``check_counts``
+    finds such keys (one grouped count per side) and keys without a partner, and raises.
     When both sides are stored bucketed and sorted by the key (see
-    ``write_features_target``), the sort-merge join needs no exchange.
-    ``check_counts`` raises when a row finds no partner (costs extra jobs). Keys
-    compare with SQL equality, so a NULL key pairs with nothing; keys made at ingest
-    are never NULL (a null-safe comparison would turn the join keys into
-    expressions and cost the bucketed layout its shuffle-free join).
+    ``write_features_target``), the sort-merge join needs no exchange. Other columns that
+    both sides carry are taken from ``x``.
     """
     keys = _keys(key_cols)
     if not keys:
         raise ValueError("join_features_target needs key_cols")
+    y = y.drop(*[c for c in y.columns if c in x.columns and c not in keys])
     joined = x.join(y, keys, "inner")
     if check_counts:
+        for side, frame in (("features", x), ("target", y)):
+            bad = key_faults(frame, keys).limit(3).collect()
+            if bad:
+                raise ValueError(f"{side} keys do not pair up (repeated or NULL): {[r.asDict() for r in bad]}")
         nx, ny, nj = x.count(), y.count(), joined.count()
         if not nx == ny == nj:
             raise ValueError(f"features/target do not pair up: x={nx}, y={ny}, joined={nj}")

@@ -21,8 +21,8 @@ def best_trial(trials: DataFrame, group_cols: Sequence[str] = ("experiment",),
 
     Only successful trials with a loss take part (a NULL loss would sort first in
     Spark); NaN sorts above every number, so a NaN loss wins only when nothing else
-    is left. ``min_by`` over a (loss, id) struct is a hash aggregate with a partial
-    phase: no sort, no single-task window, any group size.
+    is left. ``min_by`` over a (loss, id) struct aggregates partially before the exchange
+    (Spark sorts for it, as its buffer is a struct): no single-task window, any group size.
     """
     ok = trials.where(F.col(loss_col).isNotNull())
     if status_col:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -81,25 +80,39 @@ MIN_PARTITION_BYTES = 8 << 20
 MAX_PARTITIONS = 50_000
 
 
+def stored_bytes(df) -> int:
+    """Bytes of the stored tables and files that ``df`` reads (0 when unknown).
+
+    The sum over the plan's leaves, not the optimizer's estimate of ``df`` itself: a join's
+    estimate is the product of its sides.
+    """
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        total = 0
+        for i in range(leaves.size()):
+            raw = leaves.apply(i).stats().sizeInBytes()
+            size = raw if isinstance(raw, int) else int(raw.toString())
+            if size < (1 << 62):                 # an unknown size is reported as huge
+                total += size
+        return total
+    except Exception:  # noqa: BLE001 - no plan access (e.g. Spark Connect)
+        return 0
+
+
 def partitions_for(df, bytes_per_partition: int = DEFAULT_PARTITION_BYTES,
                    cap: int = MAX_PARTITIONS) -> int:
     """Shuffle partitions for an exchange whose count Spark will not adapt
     (``repartitionById``, explicit bucket counts).
 
-    From the optimizer's size estimate of ``df`` (file sizes scaled by the projected
-    columns; no job runs): one partition per ``bytes_per_partition``, raised to use
-    every core as long as partitions stay above 8 MB, and at most ``cap`` (beyond
-    that the number of shuffle blocks, mappers x reducers, becomes the bottleneck;
-    larger partitions still sort with spill). Small inputs get few partitions (and
-    few output files); frames without a size estimate get
+    From the size of the stored input (no job runs): one partition per
+    ``bytes_per_partition``, raised to use every core as long as partitions stay above
+    8 MB, and at most ``cap`` (beyond that the number of shuffle blocks, mappers x
+    reducers, becomes the bottleneck; larger partitions still sort with spill). Small
+    inputs get few partitions (and few output files); frames without a size get
     ``spark.sql.shuffle.partitions``.
     """
-    try:
-        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = int(raw if isinstance(raw, int) else str(raw.toString()))
-    except Exception:  # noqa: BLE001 - no plan access (e.g. Spark Connect)
-        size = -1
-    if size <= 0 or size >= (1 << 62):  # unknown size is reported as "huge"
+    size = stored_bytes(df)
+    if size <= 0:
         return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by_size = -(-size // bytes_per_partition)
     by_cores = min(default_parallelism(df.sparkSession), -(-size // MIN_PARTITION_BYTES))
@@ -115,9 +128,3 @@ def scratch_path(spark: SparkSession, prefix: str) -> str:
     """A fresh sub-folder of the shared folder."""
     return shared_dir(spark, "scratch", unique_name(prefix))
 
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

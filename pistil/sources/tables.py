@@ -31,7 +31,7 @@ def ensure_schema(spark: SparkSession, catalog: str | None, schema: str,
                   location: str | None = None) -> None:
     """Create the database if it does not exist (optionally at a shared location)."""
     name = ".".join(_quote(p) for p in (catalog, schema) if p)
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = " LOCATION '{}'".format(location.replace("\\", "\\\\").replace("'", "\\'")) if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
 
 
@@ -64,6 +64,20 @@ def table_shape(spark: SparkSession, name: str) -> DataFrame:
         F.lit(name).alias("table"), F.col("rows"), F.lit(len(t.columns)).alias("columns"))
 
 
+def next_row_key(spark: SparkSession, name: str, key: str, mode: str) -> int:
+    """First row key of a load: above all stored ones when appending to a table, else 0."""
+    if mode != "append" or not spark.catalog.tableExists(name) or key not in spark.table(name).columns:
+        return 0
+    top = spark.table(name).agg(F.max(key).alias("top")).first()["top"]
+    return 0 if top is None else int(top) + 1
+
+
+def with_row_key(df: DataFrame, key: str, first: int = 0) -> DataFrame:
+    """Add a row key, unique within the frame and from ``first`` upwards. It is only stable
+    once written, so it is made at ingest and never recomputed."""
+    return df.withColumn(key, F.monotonically_increasing_id() + F.lit(first).cast("long"))
+
+
 @dataclass
 class LoadResult:
     table: str
@@ -77,14 +91,13 @@ def load_csv_table(spark: SparkSession, path: str, table: str, *, header: bool =
                    add_key: str | None = None, table_path: str | None = None) -> LoadResult:
     """CSV -> managed (or external) table, then report its rows and columns.
 
-    ``add_key`` adds a persisted row key (``monotonically_increasing_id``) for sources
-    that have no natural key: the id is only stable once written, which is why it is
-    made here, at ingest, and never recomputed.
+    ``add_key`` adds a persisted row key, unique across appended loads, for sources that
+    have no natural key. Loads into one table run one after another.
     """
     df = read_csv(spark, path, header=header, infer_schema=infer_schema, sep=sep,
                   schema=schema, parse_mode=parse_mode)
     if add_key:
-        df = df.withColumn(add_key, F.monotonically_increasing_id())
+        df = with_row_key(df, add_key, next_row_key(spark, table, add_key, mode))
     write_table(df, table, mode=mode, fmt=fmt, path=table_path)
     row = table_shape(spark, table).first()
     return LoadResult(table, int(row["rows"]), int(row["columns"]))
