@@ -1,20 +1,22 @@
 """Hyperparameter search: sample trials, fit each on train, score on validation.
 
-Each trial is a distributed Spark ML fit followed by a distributed scoring
-aggregate; ``parallelism`` trials run at once from a small driver thread pool (the
-same scheme as Spark's own CrossValidator), so the cluster is shared between fits
-instead of waiting on one. Every trial, failed ones included, is a row of the
-trials frame, which can be appended to a catalog table.
+Trials run in batches of ``parallelism``: the batch's fits are submitted together from a
+small driver thread pool (the same scheme as Spark's own CrossValidator), its models are
+scored in one pass over the validation rows, and its trials are logged before the next
+batch starts. Of all models only the best so far stays on the driver. Every trial, failed
+ones included, is a row of the trials frame.
 """
 
 from __future__ import annotations
 
 import json
 import logging
+import math
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import Lock
 from typing import Any
 
 from pyspark.ml import Model
@@ -23,9 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .metrics import Metric, resolve_metric
-from .models import FitContext, Family, get_family, predict, save_model
+from .models import FitContext, Family, fit_iterations, get_family, predict, save_model
 from .space import Distribution, row_params, trial_frame
-from .trials import best_trial
 
 log = logging.getLogger("pistil.tune")
 
@@ -40,9 +41,27 @@ TRIAL_SCHEMA = T.StructType([
     T.StructField("status", T.StringType(), False),
     T.StructField("error", T.StringType(), True),
     T.StructField("artifact_uri", T.StringType(), True),
+    T.StructField("iterations", T.IntegerType(), True),
 ])
 
 
+class TrialLog:
+    """The one writer of a trial table: creates it if it does not exist and appends trials
+    as they finish. Families that are tuned at the same time share one object, so appends
+    never race."""
+
+    def __init__(self, spark: SparkSession, table: str, path: str | None = None):
+        self.spark, self.table, self._lock = spark, table, Lock()
+        if not spark.catalog.tableExists(table):
+            w = spark.createDataFrame([], TRIAL_SCHEMA).write
+            (w.option("path", path) if path else w).mode("ignore").saveAsTable(table)
+
+    def add(self, records: list[dict[str, Any]]) -> None:
+        with self._lock:
+            (self.spark.createDataFrame(records, schema=TRIAL_SCHEMA).coalesce(1)
+                 .write.mode("append").saveAsTable(self.table))
+
+
 @dataclass
 class TuneResult:
     family: str
@@ -80,7 +99,7 @@ def tune(train: DataFrame, val: DataFrame, family: str | Family,
          space: dict[str, Distribution] | None = None, max_evals: int = 3,
          metric: str | Metric = "accuracy", maximize: bool = True, seed: int = 42,
          parallelism: int = 2, experiment: str | None = None,
-         model_dir: str | None = None, trial_table: str | None = None,
+         model_dir: str | None = None, trial_table: str | TrialLog | None = None,
          max_iter: int = 100, standardize: bool = False,
          features_col: str = "features", label_col: str = "label",
          n_train: int | None = None,
@@ -89,7 +108,8 @@ def tune(train: DataFrame, val: DataFrame, family: str | Family,
 
     ``train``/``val`` carry an assembled ``features_col`` and an indexed ``label_col``;
     cache them first, every trial reads them. ``model_dir`` keeps each trial's model
-    under ``model_dir/<experiment>/<trial_id>``; ``trial_table`` appends the trials.
+    under ``model_dir/<experiment>/<trial_id>``; ``trial_table`` (a name, or a ``TrialLog`` that
+    several calls share) gets each batch of trials as it finishes.
     The best trial is the lowest loss among successful trials, first trial id on ties.
     """
     fam = get_family(family)
@@ -99,15 +119,18 @@ def tune(train: DataFrame, val: DataFrame, family: str | Family,
     experiment = experiment or f"{fam.name}_{uuid.uuid4().hex[:8]}"
     draws = trial_frame(spark, space, max_evals, seed).collect()  # max_evals small rows
     n = n_train if n_train is not None else train.count()
+    if val.isEmpty():
+        raise ValueError("no validation rows to score trials on; give the validation part a ratio above 0")
     ctx = FitContext(n_rows=n, seed=seed, max_iter=max_iter, standardize=standardize,
                      features_col=features_col, label_col=label_col, engine=engine or {})
 
-    # Built-in accuracy is scored for all trials in one pass after the fits; a
-    # metric callable sees each trial's (label, prediction) frame on its own.
+    # Built-in accuracy is scored for a batch in one pass; a metric callable sees each
+    # trial's (label, prediction) frame on its own.
     fused = metric == "accuracy"
+    trial_log = TrialLog(spark, trial_table) if isinstance(trial_table, str) else trial_table
 
     def fail(rec, e):
-        rec["status"], rec["error"] = "failed", f"{type(e).__name__}: {e}"[:2000]
+        rec["status"], rec["error"] = "failed", f"{type(e).__name__}: {e}"
 
     def record(rec, score):
         rec["val_score"] = score
@@ -119,11 +142,12 @@ def tune(train: DataFrame, val: DataFrame, family: str | Family,
         rec = {"experiment": experiment, "family": fam.name, "trial_id": tid,
                "run_id": uuid.uuid4().hex, "params": json.dumps(params, sort_keys=True),
                "val_score": None, "val_loss": None, "status": "ok", "error": None,
-               "artifact_uri": None}
+               "artifact_uri": None, "iterations": None}
         model = None
         t0 = time.perf_counter()
         try:
             model = fam.build(params, ctx).fit(train)
+            rec["iterations"] = fit_iterations(model)
             log.info("%s trial %d: fit %.1fs", fam.name, tid, time.perf_counter() - t0)
             if not fused:
                 record(rec, _score(model, val, metric_fn, label_col))
@@ -135,35 +159,44 @@ def tune(train: DataFrame, val: DataFrame, family: str | Family,
             model = None
         return rec, params, model
 
-    workers = max(1, min(parallelism, len(draws)))
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        results = list(pool.map(run, draws))
-
-    if fused:
-        fitted = {r["trial_id"]: m for r, _, m in results if m is not None}
+    def score(batch):
+        fitted = {r["trial_id"]: m for r, _, m in batch if m is not None}
         try:
             scores = _accuracy_all(fitted, val, label_col) if fitted else {}
-        except Exception:  # noqa: BLE001 - fall back to scoring trials one by one
+        except Exception as e:  # noqa: BLE001 - one bad model must not spoil the batch
+            log.warning("%s: batch scoring failed, scoring trials one by one: %s", fam.name, e)
             scores = {}
             for tid, m in fitted.items():
                 try:
                     scores[tid] = _score(m, val, metric_fn, label_col)
                 except Exception as e:  # noqa: BLE001
-                    fail(next(r for r, _, _ in results if r["trial_id"] == tid), e)
-        for rec, _, _ in results:
+                    fail(next(r for r, _, _ in batch if r["trial_id"] == tid), e)
+        for rec, _, _ in batch:
             if rec["trial_id"] in scores:
                 record(rec, scores[rec["trial_id"]])
 
-    recs = [r for r, _, _ in results]
+    workers = max(1, min(parallelism, len(draws)))
+    recs: list[dict[str, Any]] = []
+    best: tuple | None = None                     # (order, record, params, model)
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        for at in range(0, len(draws), workers):
+            batch = list(pool.map(run, draws[at:at + workers]))
+            if fused:
+                score(batch)
+            if trial_log:
+                trial_log.add([r for r, _, _ in batch])
+            for rec, params, model in batch:
+                recs.append(rec)
+                loss = rec["val_loss"]
+                if rec["status"] != "ok" or loss is None:
+                    continue
+                place = (math.isnan(loss), loss if not math.isnan(loss) else 0.0, rec["trial_id"])
+                if best is None or place < best[0]:
+                    best = (place, rec, params, model)
+            del batch
     trials = spark.createDataFrame(recs, schema=TRIAL_SCHEMA)
-    if trial_table:
-        trials.write.mode("append").saveAsTable(trial_table)
-    ok = [r for r in recs if r["status"] == "ok" and r["val_loss"] is not None]
-    if not ok:
+    if best is None:
         errors = "; ".join(f"trial {r['trial_id']}: {r['error']}" for r in recs)
         raise ValueError(f"all {len(recs)} trials of {fam.name} failed: {errors}")
-    best_row = best_trial(trials, ["experiment"]).first().asDict()
-    best_row["experiment"] = experiment
-    by_id = {r["trial_id"]: (p, m) for r, p, m in results}
-    best_params, best_model = by_id[best_row["trial_id"]]
-    return TuneResult(fam.name, experiment, trials, best_row, best_params, best_model)
+    _, best_row, best_params, best_model = best
+    return TuneResult(fam.name, experiment, trials, dict(best_row), best_params, best_model)
