@@ -19,17 +19,9 @@ from pyspark.sql import SparkSession
 # Absolute imports: this file is also run as a script by spark-submit.
 from pistil.operators.split import DEFAULT_RATIOS
 from pistil.plans.data_flow import DataFlowConfig, run_data_flow
+from pistil.plans.defaults import FEATURES, REFIT_MAX_ITER, TABLES, TARGET
 from pistil.plans.model_flow import ModelFlowConfig, run_model_flow
-
-# Default table names of the original flow.
-DEFAULT_TABLES = {
-    "raw": "table_iris_raw",
-    "processed": "table_iris_processed",
-    "train": "table_iris_train",
-    "val": "table_iris_val",
-    "test": "table_iris_test",
-}
-DEFAULT_FEATURES = ["sepal_length_cm", "sepal_width_cm", "petal_length_cm", "petal_width_cm"]
+from pistil.plans.table_steps import frame_from_xy
 
 
 def _common(p: argparse.ArgumentParser) -> None:
@@ -47,27 +39,39 @@ def parser() -> argparse.ArgumentParser:
     _common(d)
     d.add_argument("--source", required=True, help="CSV path (or table / parquet path)")
     d.add_argument("--source_format", default="csv", choices=["csv", "parquet", "table"])
-    d.add_argument("--raw_table_name", default=DEFAULT_TABLES["raw"])
-    d.add_argument("--processed_table_name", default=DEFAULT_TABLES["processed"])
+    d.add_argument("--raw_table_name", default=TABLES["raw"])
+    d.add_argument("--processed_table_name", default=TABLES["processed"])
     d.add_argument("--id_column_name", default="id")
     d.add_argument("--key_columns", nargs="*", default=None)
-    d.add_argument("--train_table_name", default=DEFAULT_TABLES["train"])
-    d.add_argument("--val_table_name", default=DEFAULT_TABLES["val"])
-    d.add_argument("--test_table_name", default=DEFAULT_TABLES["test"])
+    d.add_argument("--train_table_name", default=TABLES["train"])
+    d.add_argument("--val_table_name", default=TABLES["val"])
+    d.add_argument("--test_table_name", default=TABLES["test"])
     d.add_argument("--train_ratio", type=float, default=DEFAULT_RATIOS[0])
     d.add_argument("--val_ratio", type=float, default=DEFAULT_RATIOS[1])
     d.add_argument("--test_ratio", type=float, default=DEFAULT_RATIOS[2])
     d.add_argument("--csv_separator", default=",")
-    d.add_argument("--feature_columns", nargs="+", default=DEFAULT_FEATURES)
-    d.add_argument("--target_column", default="species")
+    d.add_argument("--feature_columns", nargs="+", default=list(FEATURES))
+    d.add_argument("--target_column", default=TARGET)
+    d.add_argument("--table_root", default=None,
+                   help="shared folder for the tables (default: the warehouse)")
+    d.add_argument("--schema_ddl", default=None,
+                   help="column names and types of the CSV; skips the inference pass")
+    d.add_argument("--parse_mode", default="PERMISSIVE",
+                   choices=["PERMISSIVE", "DROPMALFORMED", "FAILFAST"])
+    d.add_argument("--load_mode", default="overwrite", choices=["overwrite", "append"])
+    d.add_argument("--skew_safe", action="store_true")
     d.add_argument("--shuffle", default="hash", choices=["hash", "random", "none"])
 
     m = sub.add_parser("model", help="tune -> refit -> soft vote -> test accuracy")
     _common(m)
-    m.add_argument("--processed_table_name", default=DEFAULT_TABLES["processed"])
+    m.add_argument("--processed_table_name", default=None,
+                   help="one table with a split column (default: " + TABLES["processed"] + ")")
+    for part in ("train", "val", "test"):
+        m.add_argument(f"--{part}_table_name", default=None,
+                       help=f"base name of the {part} _x/_y tables (all three, instead of one table)")
     m.add_argument("--key_columns", nargs="+", default=["row_key"])
-    m.add_argument("--feature_columns", nargs="+", default=DEFAULT_FEATURES)
-    m.add_argument("--target_column", default="species")
+    m.add_argument("--feature_columns", nargs="+", default=list(FEATURES))
+    m.add_argument("--target_column", default=TARGET)
     m.add_argument("--max_evals", type=int, default=3)
     m.add_argument("--parallelism", type=int, default=3)
     m.add_argument("--base_experiment_path", default="experiments")
@@ -76,7 +80,7 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--families", nargs="+",
                    default=["random_forest", "logistic_regression"])
     m.add_argument("--max_iter", type=int, default=100)
-    m.add_argument("--refit_max_iter", type=int, default=None)
+    m.add_argument("--refit_max_iter", type=int, default=REFIT_MAX_ITER)
     m.add_argument("--checkpoint_inputs", action="store_true")
     return top
 
@@ -94,7 +98,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
             id_column=args.id_column_name or None, key_cols=args.key_columns,
             feature_cols=args.feature_columns, target_col=args.target_column,
             ratios=(args.train_ratio, args.val_ratio, args.test_ratio),
-            seed=args.random_seed, sep=args.csv_separator,
+            seed=args.random_seed, sep=args.csv_separator, table_root=args.table_root,
+            csv_schema=args.schema_ddl, infer_schema=args.schema_ddl is None,
+            parse_mode=args.parse_mode, load_mode=args.load_mode, skew_safe=args.skew_safe,
             shuffle=None if args.shuffle == "none" else args.shuffle)
         out = run_data_flow(spark, cfg)
     else:
@@ -105,9 +111,15 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
             model_dir=args.model_dir, trial_table=args.trial_table, families=args.families,
             max_iter=args.max_iter, refit_max_iter=args.refit_max_iter,
             checkpoint_inputs=args.checkpoint_inputs)
-        name = DataFlowConfig(source="", catalog=args.catalog, schema=args.schema).name(
-            args.processed_table_name)
-        out = run_model_flow(spark.table(name), cfg).metrics
+        bases = {"train": args.train_table_name, "val": args.val_table_name, "test": args.test_table_name}
+        if all(bases.values()) and not args.processed_table_name:
+            data = frame_from_xy(spark, bases, args.key_columns, args.target_column, args.catalog, args.schema)
+        elif any(bases.values()):
+            raise SystemExit("give either --processed_table_name or all of --train/--val/--test_table_name")
+        else:
+            data = spark.table(DataFlowConfig(source="", catalog=args.catalog, schema=args.schema).name(
+                args.processed_table_name or TABLES["processed"]))
+        out = run_model_flow(data, cfg).metrics
     out.show(truncate=False)
     return out
 

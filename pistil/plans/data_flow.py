@@ -2,14 +2,15 @@
 
 Compared with writing eleven tables one after another, the plan here is:
 
-1. ``raw``: the source as a table (CSV, parquet or an existing table), with a
-   persisted row key added at ingest when the source has none.
+1. ``raw``: the source as a table (CSV, parquet or an existing table), with a persisted
+   row key added at ingest, unique across appended loads.
 2. ``processed``: id dropped, names snake_cased, every row tagged with its split by
    a hash of its key, optionally ordered by a seeded hash, written **once**,
    partitioned by ``split``. Train, validation and test are partitions of it, so
    reading one of them prunes the others away.
-3. ``<split>_x`` / ``<split>_y``: key + features and key + target per split,
-   optionally bucketed and sorted by the key so re-pairing them is shuffle-free.
+3. ``train`` / ``val`` / ``test``: views of ``processed``, one per part (no copy).
+4. ``<split>_x`` / ``<split>_y``: row key (and the user's keys) + features and + target
+   per split, bucketed and sorted by the pairing key so re-pairing them is shuffle-free.
 
 The hash split is narrow (no shuffle). The optional hash shuffle is the only
 exchange: a range-partitioned sort, kept because the original flow stores its rows
@@ -32,9 +33,12 @@ from ..functions.naming import snake_case
 from ..operators import prep
 from ..operators.split import DEFAULT_RATIOS, SPLIT_NAMES, check_ratios, split_label
 from ..sources.csv import read_csv
-from ..sources.tables import table_name, write_table
+from ..session import stored_bytes
+from ..sources.tables import next_row_key, table_name, with_row_key, write_table
+from . import defaults
 
 ROW_KEY = "row_key"
+XY_BUCKET_BYTES = 512 << 20
 log = logging.getLogger("pistil.data_flow")
 
 
@@ -44,20 +48,22 @@ class DataFlowConfig:
     source_format: str = "csv"                # "csv" | "parquet" | "table"
     catalog: str | None = None
     schema: str | None = None
-    raw_table: str = "table_iris_raw"
-    processed_table: str = "table_iris_processed"
-    train_table: str = "table_iris_train"
-    val_table: str = "table_iris_val"
-    test_table: str = "table_iris_test"
+    raw_table: str = defaults.TABLES["raw"]
+    processed_table: str = defaults.TABLES["processed"]
+    train_table: str = defaults.TABLES["train"]
+    val_table: str = defaults.TABLES["val"]
+    test_table: str = defaults.TABLES["test"]
     id_column: str | None = "id"
-    key_cols: Sequence[str] | None = None     # None: add ROW_KEY at ingest
-    feature_cols: Sequence[str] = ("sepal_length_cm", "sepal_width_cm",
-                                   "petal_length_cm", "petal_width_cm")
-    target_col: str = "species"
+    key_cols: Sequence[str] | None = None     # keys that the split hashes; None: the row key
+    row_key: str | None = ROW_KEY             # persisted key of each row; None: key_cols alone
+    feature_cols: Sequence[str] = defaults.FEATURES
+    target_col: str = defaults.TARGET
     ratios: Sequence[float] = DEFAULT_RATIOS
     seed: int = 42
     shuffle: str | None = "hash"              # "hash" | "random" | None
     partitions: int | None = None             # processed-table partitions (hash shuffle)
+    skew_safe: bool = False                   # hash shuffle of keys that repeat very often
+    parse_mode: str = "PERMISSIVE"            # of CSV records that do not fit the schema
     header: bool = True
     infer_schema: bool = True
     csv_schema: object = None
@@ -65,7 +71,8 @@ class DataFlowConfig:
     load_mode: str = "overwrite"
     fmt: str = "parquet"
     write_xy: bool = True
-    xy_buckets: int | None = None
+    xy_buckets: int | None = None             # None: from the stored size; 0: no buckets
+    split_views: bool = True                  # train/val/test as views of the processed table
     table_root: str | None = None             # external table folder (shared storage)
     write_parallelism: int = 3                # per-split x/y writes submitted together
 
@@ -76,10 +83,14 @@ class DataFlowConfig:
         return f"{self.table_root.rstrip('/')}/{table}" if self.table_root else None
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def read_source(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
     if cfg.source_format == "csv":
         return read_csv(spark, cfg.source, header=cfg.header, infer_schema=cfg.infer_schema,
-                        sep=cfg.sep, schema=cfg.csv_schema)
+                        sep=cfg.sep, schema=cfg.csv_schema, parse_mode=cfg.parse_mode)
     if cfg.source_format == "parquet":
         return spark.read.parquet(cfg.source)
     if cfg.source_format == "table":
@@ -88,14 +99,16 @@ def read_source(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
 
 
 def split_and_order(df: DataFrame, key_cols: Sequence[str], ratios: Sequence[float],
-                    seed: int, shuffle: str | None, partitions: int | None = None) -> DataFrame:
+                    seed: int, shuffle: str | None, partitions: int | None = None,
+                    skew_safe: bool = False) -> DataFrame:
     """Tag the split; with the hash shuffle, place rows by hash range and sort each
     partition by (split, hash, key): every split directory is then written in seeded
     order, and the writer's required ordering by ``split`` already holds (no second
     sort)."""
     out = df.withColumn("split", split_label(keyed_uniform(list(key_cols), seed), ratios))
     if shuffle == "hash":
-        return prep.hash_ordered(out, key_cols, seed, partitions, first=["split"])
+        return prep.hash_ordered(out, key_cols, seed, partitions, first=["split"],
+                                 skew_safe=skew_safe)
     if shuffle == "random":
         return out.orderBy("split", F.rand(seed))
     if shuffle is None:
@@ -106,15 +119,14 @@ def split_and_order(df: DataFrame, key_cols: Sequence[str], ratios: Sequence[flo
 def run_data_flow(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
     """Run the pipeline; return a report frame ``table, split, rows, columns``."""
     check_ratios(*cfg.ratios)
-    if cfg.id_column and cfg.key_cols and cfg.id_column.lower() in {
-            k.lower() for k in cfg.key_cols}:
-        raise ValueError(f"id column {cfg.id_column!r} is also a key column; keep it as the "
-                         "key with id_column=None, or choose other key columns")
+    prep.check_id_is_no_key(cfg.id_column, cfg.key_cols)
+    if not cfg.key_cols and not cfg.row_key:
+        raise ValueError("either key_cols or row_key must name a key")
     raw_df = read_source(spark, cfg)
-    key_cols = list(cfg.key_cols) if cfg.key_cols else [ROW_KEY]
-    if not cfg.key_cols:
-        raw_df = raw_df.withColumn(ROW_KEY, F.monotonically_increasing_id())
     raw = cfg.name(cfg.raw_table)
+    key_cols = list(cfg.key_cols or [cfg.row_key])
+    if cfg.row_key:
+        raw_df = with_row_key(raw_df, cfg.row_key, next_row_key(spark, raw, cfg.row_key, cfg.load_mode))
     t0 = time.perf_counter()
     write_table(raw_df, raw, mode=cfg.load_mode, fmt=cfg.fmt, path=cfg.path(cfg.raw_table))
     log.info("raw table %s written in %.1fs", raw, time.perf_counter() - t0)
@@ -122,13 +134,23 @@ def run_data_flow(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
     processed_df = prep.process_table(spark.table(raw), cfg.id_column, None, shuffle=None)
     keys = [snake_case(k) for k in key_cols]
     processed_df = split_and_order(processed_df, keys, cfg.ratios, cfg.seed, cfg.shuffle,
-                                   cfg.partitions)
+                                   cfg.partitions, cfg.skew_safe)
     processed = cfg.name(cfg.processed_table)
     write_table(processed_df, processed, fmt=cfg.fmt, partition_by=["split"],
                 path=cfg.path(cfg.processed_table))
     log.info("processed table %s written in %.1fs", processed, time.perf_counter() - t0)
 
     stored = spark.table(processed)
+    pair = [snake_case(cfg.row_key)] if cfg.row_key else keys
+    carried = list(dict.fromkeys([*pair, *keys]))
+    buckets = cfg.xy_buckets
+    if buckets is None:
+        buckets = max(1, -(-stored_bytes(stored) // XY_BUCKET_BYTES))
+    if cfg.split_views:
+        for s, base in zip(SPLIT_NAMES, (cfg.train_table, cfg.val_table, cfg.test_table)):
+            spark.sql(f"CREATE OR REPLACE VIEW {cfg.name(base)} AS "
+                      f"SELECT {', '.join(_quoted(c) for c in stored.columns if c != 'split')} "
+                      f"FROM {processed} WHERE split = '{s}'")
     xy_names = []
     if cfg.write_xy:
         split_tables = dict(zip(SPLIT_NAMES, (cfg.train_table, cfg.val_table, cfg.test_table)))
@@ -136,9 +158,9 @@ def run_data_flow(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
         def write_split(item):
             s, base = item
             part = stored.where(F.col("split") == s)
-            x, y = prep.features_and_target(part, cfg.feature_cols, cfg.target_col, keys)
+            x, y = prep.features_and_target(part, cfg.feature_cols, cfg.target_col, carried)
             xn, yn = cfg.name(f"{base}_x"), cfg.name(f"{base}_y")
-            prep.write_features_target(x, y, xn, yn, keys, buckets=cfg.xy_buckets,
+            prep.write_features_target(x, y, xn, yn, pair, buckets=buckets,
                                        fmt=cfg.fmt, x_path=cfg.path(f"{base}_x"),
                                        y_path=cfg.path(f"{base}_y"))
             return [(xn, s, "x"), (yn, s, "y")]

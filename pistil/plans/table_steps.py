@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.naming import snake_case
 from ..operators import prep, split
-from ..operators.models import assemble, fit_label_indexer, free_name, training_frame
+from ..operators.models import assemble, fit_label_indexer, free_name, place_rows, training_frame
 from ..operators.tune import TuneResult, tune
 from ..sources.tables import LoadResult, load_csv_table, table_name, write_table
 
@@ -48,6 +48,7 @@ def process_data(spark: SparkSession, source_table: str, target_table: str, *,
                  fmt: str = "parquet") -> tuple[int, int]:
     """Drop id, snake_case names, seeded shuffle (hash of the key when given, else
     ``rand(seed)`` as in the original), overwrite the target table."""
+    prep.check_id_is_no_key(id_column, key_cols)
     df = spark.table(_name(catalog, schema, source_table))
     method = "hash" if key_cols else "random"
     out = prep.process_table(df, id_column, key_cols, seed, shuffle=method)
@@ -87,15 +88,17 @@ def features_and_target(spark: SparkSession, table: str, feature_cols: Sequence[
                         buckets: int | None = None, fmt: str = "parquet") -> tuple[str, str]:
     """Write ``<table>_x`` and ``<table>_y`` (each with the key, if one is given)."""
     df = spark.table(_name(catalog, schema, table))
+    key_cols = [snake_case(k) for k in key_cols or []]
     x, y = prep.features_and_target(df, feature_cols, target_col, key_cols)
     xn, yn = _name(catalog, schema, f"{table}_x"), _name(catalog, schema, f"{table}_y")
-    prep.write_features_target(x, y, xn, yn, key_cols or [], buckets=buckets, fmt=fmt)
+    prep.write_features_target(x, y, xn, yn, key_cols, buckets=buckets, fmt=fmt)
     return xn, yn
 
 
 def read_xy(spark: SparkSession, base: str, key_cols: Sequence[str], target_col: str,
             catalog: str | None = None, schema: str | None = None) -> DataFrame:
     """Re-pair ``<base>_x`` with ``<base>_y`` on the key."""
+    key_cols = [snake_case(k) for k in key_cols]
     x = spark.table(_name(catalog, schema, f"{base}_x"))
     y = spark.table(_name(catalog, schema, f"{base}_y")).select(*key_cols, target_col)
     return prep.join_features_target(x, y, key_cols)
@@ -130,7 +133,8 @@ def hp_tune(spark: SparkSession, train_base: str, val_base: str, family: str, *,
     indexer = fit_label_indexer(tr.unionByName(va), target_col, out=lab)
 
     def prepare(df):
-        return indexer.transform(assemble(df, feature_cols, out=feat)).select(feat, lab)
+        rows = place_rows(df, [snake_case(k) for k in key_cols])
+        return indexer.transform(assemble(rows, feature_cols, out=feat)).select(feat, lab)
     train, val = training_frame(prepare(tr)), training_frame(prepare(va))
     try:
         return tune(train, val, family, space, max_evals=max_evals, metric=metric,

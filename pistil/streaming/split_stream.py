@@ -8,6 +8,7 @@ watermark: each micro-batch is independent.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -24,6 +25,12 @@ def split_stream(stream: DataFrame, key_cols: Sequence[str] | str,
     return tag_split(stream, key_cols, ratios, seed, col)
 
 
+def checkpoint_name(path: str) -> str:
+    """A folder name that no other output path shares: its last part and a hash of all of it."""
+    whole = path.rstrip("/")
+    return f"{whole.rsplit('/', 1)[-1]}_{hashlib.sha256(whole.encode()).hexdigest()[:32]}"
+
+
 def write_split_stream(stream: DataFrame, key_cols: Sequence[str] | str, path: str,
                        checkpoint: str | None = None,
                        ratios: Sequence[float] = DEFAULT_RATIOS, seed: int = 42,
@@ -34,8 +41,7 @@ def write_split_stream(stream: DataFrame, key_cols: Sequence[str] | str, path: s
     The file sink with a checkpoint in the shared folder is exactly-once: a restarted
     query (or a lost executor) replays only uncommitted micro-batches.
     """
-    ckpt = checkpoint or shared_dir(stream.sparkSession, "streams",
-                                    path.rstrip("/").replace("/", "_").strip("_"))
+    ckpt = checkpoint or shared_dir(stream.sparkSession, "streams", checkpoint_name(path))
     w = (split_stream(stream, key_cols, ratios, seed).writeStream.format(fmt)
          .option("path", path).option("checkpointLocation", ckpt)
          .partitionBy("split").outputMode("append"))
@@ -49,19 +55,30 @@ def write_split_stream(stream: DataFrame, key_cols: Sequence[str] | str, path: s
 def stream_split_counts(stream: DataFrame, key_cols: Sequence[str] | str,
                         by: Sequence[str] = (), ratios: Sequence[float] = DEFAULT_RATIOS,
                         seed: int = 42, checkpoint: str | None = None,
-                        query_name: str | None = None) -> StreamingQuery:
+                        table: str | None = None) -> StreamingQuery:
     """Running rows per split (and ``by`` columns) as a stateful streaming aggregate.
 
     Partial aggregation happens inside each micro-batch; the running totals live in
-    the state store, checkpointed in the shared folder, so a restart resumes them.
-    Results go to an in-memory table named ``query_name`` (one row per group: the
-    output is as small as the number of groups).
+    the state store, checkpointed in the shared folder, so a restart resumes them. Each
+    micro-batch rewrites the table ``table`` with the totals so far (two folders take turns,
+    the table points to the last complete one), so the result never passes through the driver.
     """
     from ..operators.split import split_counts
     from ..session import unique_name
-    name = query_name or unique_name("split_counts")
-    ckpt = checkpoint or shared_dir(stream.sparkSession, "streams", name)
+    spark = stream.sparkSession
+    name = table or unique_name("split_counts")
+    base = shared_dir(spark, "streams", name)
     counts = split_counts(split_stream(stream, key_cols, ratios, seed), by=by)
-    return (counts.writeStream.format("memory").queryName(name)
-            .option("checkpointLocation", ckpt).outputMode("complete")
+
+    def publish(batch: DataFrame, epoch: int) -> None:
+        where = f"{base}/totals_{epoch % 2}"
+        batch.write.mode("overwrite").parquet(where)
+        if batch.sparkSession.catalog.tableExists(name):
+            batch.sparkSession.sql(f"ALTER TABLE {name} SET LOCATION '{where}'")
+            batch.sparkSession.catalog.refreshTable(name)
+        else:
+            batch.sparkSession.catalog.createTable(name, path=where, source="parquet")
+
+    return (counts.writeStream.foreachBatch(publish)
+            .option("checkpointLocation", checkpoint or f"{base}/checkpoint").outputMode("complete")
             .trigger(availableNow=True).start())
