@@ -17,12 +17,13 @@ from ..functions import hashing as H
 from ..functions.stamps import experiment_path, zone_stamp
 from ..functions.vectors import argmax, index_to_label, mean_arrays
 from ..operators import prep, profile, split
+from ..operators.ensemble import union_train_val
 from ..operators.metrics import accuracy
 from ..operators.space import LR_SPACE, RF_SPACE, sample_space, sql_sample_space
 from ..operators.trials import best_trial, score_to_loss
 from ..session import scratch_path, shared_dir, unique_name
 from ..sources.csv import read_csv, write_csv
-from ..sources.tables import ensure_schema, load_csv_table, table_name, write_table
+from ..sources.tables import ensure_schema, load_csv_table, table_name, with_row_key, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,9 +132,24 @@ def q_hash_uniform(spark, d):
 # ---------------------------------------------------------------- splits
 
 def q_split_random(spark, d):
-    """Spark's randomSplit, parts tagged and concatenated (rows-only)."""
-    o = read(spark, d, "orders").select("o_orderkey", "o_orderpriority")
-    return split.tag_random_split(o, RATIOS, SEED).select("o_orderkey", "split")
+    """The seeded random split, by Spark's randomSplit and as a tag: each key in exactly one part, and
+    each part within four standard errors of its share."""
+    o = read(spark, d, "orders").select("o_orderkey")
+    parts = split.random_split(o, RATIOS, SEED)
+    both = split.tag_random_split(o, RATIOS, SEED).select("o_orderkey", "split", F.lit("tag").alias("how"))
+    for name, p in zip(split.SPLIT_NAMES, parts):
+        both = both.unionByName(p.select("o_orderkey", F.lit(name).alias("split"), F.lit("parts").alias("how")))
+    stored = scratch_path(spark, "random_split")      # one draw for all that follows
+    both.write.parquet(stored)
+    both = spark.read.parquet(stored)
+    shares = dict(zip(split.SPLIT_NAMES, RATIOS))
+    want = F.element_at(F.create_map(*[F.lit(x) for k in shares for x in (k, shares[k])]), F.col("split"))
+    total = both.groupBy("how").agg(F.count("*").alias("n"))
+    fair = (both.groupBy("how", "split").agg(F.count("*").alias("m")).join(total, "how")
+                .select("how", (F.abs(F.col("m") / F.col("n") - want) <= 4 * F.sqrt(want * (1 - want) / F.col("n"))).alias("f"))
+                .groupBy("how").agg(F.bool_and("f").alias("fair_shares")))
+    return (both.groupBy("how", "o_orderkey").agg(F.count("*").alias("times"), F.bool_and(F.col("split").isin(*shares)).alias("known_part"))
+                .join(fair, "how"))
 
 
 def q_split_hash(spark, d):
@@ -171,17 +187,23 @@ def q_split_stream_counts(spark, d):
               .parquet(d).select("o_orderkey", "o_orderpriority"))
     name = unique_name("split_counts_stream")
     q = stream_split_counts(stream, "o_orderkey", by=["o_orderpriority"], ratios=RATIOS,
-                            seed=SEED, query_name=name)
+                            seed=SEED, table=name)
     q.awaitTermination()
     return spark.table(name)
 
 
-def q_union_train_val(spark, d):
-    """train and validation rows together (one split filter)."""
+def q_select_train_val(spark, d):
+    """Train and validation rows together by one split filter."""
     tagged = split.tag_split(read(spark, d, "orders"), "o_orderkey", RATIOS, SEED)
     return split.select_splits(tagged, ["train", "val"]).drop("split")
 
 
+def q_union_train_val(spark, d):
+    """the train frame and the validation frame, one after the other."""
+    train, val, _ = split.hash_split(read(spark, d, "orders"), "o_orderkey", RATIOS, SEED)
+    return union_train_val(train, val)
+
+
 # ---------------------------------------------------------------- features / target
 
 def _xy(spark, d):
@@ -200,9 +222,12 @@ def q_target_y(spark, d):
 
 
 def q_join_features_target(spark, d):
-    """G1: features and target re-paired on the key."""
-    x, y = _xy(spark, d)
-    return prep.join_features_target(x, y, LINE_KEY)
+    """G1: features and target re-paired on the persisted row key (the four-part key of the table
+    does not identify its rows at every size)."""
+    path = scratch_path(spark, "keyed")
+    with_row_key(read(spark, d, "lineitem"), "row_key").write.parquet(path)
+    x, y = prep.features_and_target(spark.read.parquet(path), LINE_FEATURES, LINE_TARGET, ["row_key", *LINE_KEY])
+    return prep.join_features_target(x, y, "row_key").select(*LINE_KEY, *LINE_FEATURES, LINE_TARGET)
 
 
 # ---------------------------------------------------------------- profile
@@ -224,8 +249,12 @@ def q_describe_numeric(spark, d):
 
 
 def q_describe_strings(spark, d):
-    """Spark's own ``describe`` (string values, one row per statistic)."""
-    return profile.describe_strings(read(spark, d, "lineitem"), LINE_FEATURES)
+    """Spark's own ``describe`` (string values, one row per statistic), read back as numbers in long
+    form."""
+    out = profile.describe_strings(read(spark, d, "lineitem"), LINE_FEATURES)
+    stat = F.col(out.columns[0]).alias("statistic")
+    return out.select(stat, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.round(F.col(c).cast("double"), 4).alias("value"))
+                                                for c in LINE_FEATURES])).alias("v")).select("statistic", "v.column", "v.value")
 
 
 def q_class_counts(spark, d):
@@ -366,6 +395,7 @@ QUERIES: dict[str, Query] = {
     "split_stream": q_split_stream,
     "split_stream_counts": q_split_stream_counts,
     "union_train_val": q_union_train_val,
+    "select_train_val": q_select_train_val,
     "features_x": q_features_x,
     "target_y": q_target_y,
     "join_features_target": q_join_features_target,
@@ -508,6 +538,11 @@ ORACLES: dict[str, str] = {
     "row_count": "SELECT count(*) AS rows, 11 AS columns FROM lineitem",
     "head5": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
     "describe_numeric": _sql_describe(),
+    "describe_strings": _sql_describe(),
+    "split_random": ("SELECT how, o_orderkey, CAST(1 AS BIGINT) AS times, true AS known_part, true AS fair_shares "
+                     "FROM orders, (VALUES ('tag'), ('parts')) h(how)"),
+    "select_train_val": (
+        f"SELECT * FROM orders WHERE {_ORDER_U} < {split.split_thresholds(RATIOS)[1]!r}::DOUBLE"),
     "class_counts": f"SELECT {LINE_TARGET}, count(*) AS count FROM lineitem GROUP BY 1",
     "class_means": (
         f"SELECT {LINE_TARGET}, "

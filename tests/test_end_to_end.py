@@ -169,3 +169,57 @@ def test_refit_max_iter_reaches_the_refit(spark, iris_csv):
                           max_evals=1, max_iter=5, refit_max_iter=1000)
     res = run_model_flow(df, cfg)
     assert res.models["logistic_regression"].getMaxIter() == 1000
+
+
+def test_appended_loads_pair_row_by_row(spark):
+    from pistil.plans.table_steps import frame_from_xy
+    uid = unique_name("app")
+    cfg = DataFlowConfig(
+        source=f"{SF_SMALL}/region.parquet", source_format="parquet", raw_table=f"{uid}_raw", processed_table=f"{uid}_processed",
+        train_table=f"{uid}_train", val_table=f"{uid}_val", test_table=f"{uid}_test", id_column=None, feature_cols=["r_regionkey"],
+        target_col="r_name", table_root=shared_dir(spark, "tables", uid))
+    for mode in ("overwrite", "append", "append"):
+        cfg.load_mode = mode
+        run_data_flow(spark, cfg)
+    raw = spark.table(f"{uid}_raw")
+    assert raw.count() == raw.select("row_key").distinct().count() == 15
+    data = frame_from_xy(spark, {s: f"{uid}_{s}" for s in ("train", "val", "test")}, ["row_key"], "r_name")
+    assert data.count() == 15
+    views = [spark.table(f"{uid}_{s}") for s in ("train", "val", "test")]
+    assert sum(v.count() for v in views) == 15 and all("split" not in v.columns for v in views)
+
+
+def test_hot_key_is_spread_by_the_skew_safe_shuffle(spark):
+    uid = unique_name("hot")
+    hot = spark.range(9000).select((F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))).alias("k"),
+                                   F.col("id").cast("double").alias("f"), F.lit("a").alias("t"))
+    src = scratch_path(spark, "hot")
+    hot.write.parquet(src)
+    cfg = DataFlowConfig(
+        source=src, source_format="parquet", raw_table=f"{uid}_raw", processed_table=f"{uid}_processed", train_table=f"{uid}_train",
+        val_table=f"{uid}_val", test_table=f"{uid}_test", id_column=None, key_cols=["k"], feature_cols=["f"], target_col="t",
+        partitions=8, skew_safe=True, write_xy=False, table_root=shared_dir(spark, "tables", uid))
+    run_data_flow(spark, cfg)
+    sizes = [r["n"] for r in spark.table(f"{uid}_processed").groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 9000 and max(sizes) < 2 * 9000 / 8
+
+
+def test_repeated_and_null_keys_are_reported(spark):
+    from pistil.operators.prep import join_features_target, key_faults
+    x = spark.createDataFrame([(1, 1.0), (1, 2.0), (None, 3.0), (4, 4.0)], "k int, f double")
+    y = spark.createDataFrame([(1, "a"), (4, "b")], "k int, t string")
+    assert {(r["k"], r["rows"]) for r in key_faults(x, "k").collect()} == {(1, 2), (None, 1)}
+    with pytest.raises(ValueError, match="repeated or NULL"):
+        join_features_target(x, y, "k", check_counts=True)
+
+
+def test_partition_count_of_a_join_follows_the_stored_bytes(spark):
+    from pistil.session import partitions_for, stored_bytes
+    o, li = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("orders", "lineitem"))
+    both = li.join(o, li.l_orderkey == o.o_orderkey)
+    assert 10e6 < stored_bytes(both) < 20e6 and partitions_for(both) <= 8
+
+
+def test_stream_checkpoints_do_not_collide():
+    from pistil.streaming.split_stream import checkpoint_name
+    assert checkpoint_name("/s/a_b/c") != checkpoint_name("/s/a/b_c")

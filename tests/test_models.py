@@ -227,3 +227,76 @@ def test_array_features_and_integer_labels(spark):
     preds = {r["predicted"] for r in res.predictions.select("predicted").distinct().collect()}
     assert preds <= set(range(10))              # integer labels come back as themselves
     assert dict(res.predictions.dtypes)["predicted"] == "int"
+
+
+RF_ANY = {"n_estimators": 5, "max_depth": 4, "min_samples_split": 0.02, "min_samples_leaf": 0.005, "bootstrap": True}
+
+
+def test_forest_estimator_takes_any_number_of_rows(prepared):
+    from pistil.operators.models import build_random_forest
+    parts, _ = prepared
+    est = build_random_forest(RF_ANY, FitContext(n_rows=10 ** 12))
+    assert est.getMinWeightFractionPerNode() == 0.01 and est.getMinInstancesPerNode() == 1
+    assert est.fit(parts["train"]).getNumTrees == 5
+
+
+def test_forest_does_not_depend_on_input_partitioning(spark):
+    from pistil.operators.models import fit_label_indexer, place_rows
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    idx = fit_label_indexer(li, "l_returnflag")
+    out = []
+    for n in (3, 11):
+        rows = place_rows(li.repartition(n).select("l_orderkey", "l_linenumber", *cols, "l_returnflag"), ["l_orderkey"], 6)
+        train = idx.transform(assemble(rows, cols)).select("features", "label")
+        model = fit("random_forest", RF_ANY, train, FitContext(n_rows=li.count()))
+        p = predict(model, idx.transform(assemble(li.orderBy("l_orderkey", "l_linenumber", *cols), cols)))
+        out.append([tuple(r["probability"]) for r in p.select("probability").collect()])
+    assert out[0] == out[1]
+
+
+def test_many_trials_keep_one_model_and_log_each_once(spark, prepared):
+    from pistil.session import shared_dir, unique_name
+    from pistil.operators.tune import TrialLog
+    parts, _ = prepared
+    name = unique_name("trials")
+    log = TrialLog(spark, name, shared_dir(spark, "tables", name))
+    res = tune(parts["train"], parts["val"], "logistic_regression", max_evals=30, parallelism=8, max_iter=3,
+               experiment="many", trial_table=log)
+    rows = spark.table(name).collect()
+    assert sorted(r["trial_id"] for r in rows) == list(range(1, 31))
+    assert {r["status"] for r in rows} == {"ok"} and all(r["iterations"] <= 3 for r in rows)
+    best = min(rows, key=lambda r: (r["val_loss"], r["trial_id"]))
+    assert res.best["trial_id"] == best["trial_id"] and res.best_model is not None
+
+
+def test_no_validation_rows_is_an_error_before_any_fit(prepared):
+    parts, _ = prepared
+    with pytest.raises(ValueError, match="no validation rows"):
+        tune(parts["train"], parts["val"].limit(0), "random_forest")
+
+
+def test_custom_family_and_metric_in_the_model_flow(spark):
+    from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
+    from pistil.operators.models import Family
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    fam = Family("bayes", {"smoothing": Uniform(0.1, 2.0)},
+                 lambda p, c: NaiveBayes(featuresCol=c.features_col, labelCol=c.label_col, smoothing=p["smoothing"]), NaiveBayesModel)
+
+    def share_right(df):
+        return df.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+
+    cfg = ModelFlowConfig(key_cols=["l_orderkey", "l_linenumber"], feature_cols=["l_quantity", "l_extendedprice"],
+                          target_col="l_returnflag", families=[fam, "logistic_regression"], max_evals=2, metric=share_right)
+    res = run_model_flow(tag_split(li, ["l_orderkey"], (.7, .15, .15), 42), cfg)
+    assert set(res.models) == {"bayes", "logistic_regression"}
+    assert {r["family"] for r in res.metrics.collect()} == {"bayes", "logistic_regression", "ensemble"}
+    with pytest.raises(ValueError, match="keep"):
+        run_model_flow(li, ModelFlowConfig(key_cols=[], feature_cols=[], target_col="x", handle_invalid="keep"))
+
+
+def test_fit_inputs_are_read_by_partition(spark):
+    from pistil.plans.model_flow import store_by_split
+    li = tag_split(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"), ["l_orderkey"], (.7, .15, .15), 42)
+    plan = store_by_split(li).where("split = 'train'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
