@@ -78,13 +78,24 @@ def size_range(size: int, t: float) -> range:
     return range(least_shared(size, t), int((2 - t) / t * size + 1e-9) + 1)
 
 
+def any_of(strings: set[str]) -> str:
+    """Pattern that matches where one of ``strings`` begins, as a prefix tree: at most positions of a
+    text the first character decides."""
+    if "" in strings:
+        return ""
+    by_first: dict[str, set[str]] = {}
+    for x in strings:
+        by_first.setdefault(x[0], set()).add(x[1:])
+    return "(?:" + "|".join(c + any_of(rest) for c, rest in sorted(by_first.items())) + ")"
+
+
 def required_pattern(templates: dict[str, str], t: float) -> str:
     """Pattern that every normalised text similar to a template contains."""
-    found = set()
+    found: set[str] = set()
     for text in templates.values():
         b = sorted(template_bigrams(text), key=lambda x: (-len(x), x))
         found.update(b[:len(b) - least_shared(len(b), t) + 1])
-    return "|".join(sorted(found)) or "(?!)"
+    return f"(?:^|[ \\n]){any_of(found)}" if found else "(?!)"
 
 
 def _normal(text: Column) -> Column:
