@@ -6,26 +6,62 @@ import io
 import os
 import posixpath
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_path, shared_dir
+from ..session import scratch_path as _new_path
+from ..session import shared_dir
+
+_collecting: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch_path(spark: SparkSession, what: str) -> str:
+    """A fresh folder or file name in the shared folder, noted for ``collected``."""
+    path = _new_path(spark, what)
+    for paths in _collecting:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def collected() -> Iterator[list[str]]:
+    """The scratch paths made inside, for ``discard`` once nothing reads them any more."""
+    paths: list[str] = []
+    _collecting.append(paths)
+    try:
+        yield paths
+    finally:
+        _collecting.remove(paths)
+
+
+def discard(spark: SparkSession, *what: str | DataFrame) -> None:
+    """Delete scratch paths, or what ``written`` made. Only for results that were used up: all that was
+    made from them is stored itself."""
+    for x in what:
+        for path in [x] if isinstance(x, str) else [getattr(x, "_stored_at", None)]:
+            if path:
+                p = spark._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts the lineage, so
     a lost executor re-reads files instead of re-running what came before."""
     spark = df.sparkSession
     path = scratch_path(spark, what)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -46,7 +82,7 @@ def ship_package(spark: SparkSession) -> None:
                 if n.endswith(".py"):
                     p = os.path.join(folder, n)
                     z.write(p, os.path.join("pistil", os.path.relpath(p, root)))
-    path = scratch_path(spark, "py") + ".zip"
+    path = _new_path(spark, "py") + ".zip"            # kept for executors that start later
     write_bytes(path, data.getvalue())
     sc.addPyFile(path)
     sc._pistil_shipped = True
@@ -96,5 +132,5 @@ def binary_array(buf, offsets) -> pa.Array:
                                  [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(buf))])
 
 
-__all__ = ["binary_array", "file_system", "free_name", "scratch_path", "shared_dir", "ship_package", "table",
+__all__ = ["binary_array", "collected", "discard", "file_system", "free_name", "scratch_path", "shared_dir", "ship_package", "table",
            "text_column", "write_bytes", "written"]

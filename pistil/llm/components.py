@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 MAX_STEPS = 60
 
@@ -19,11 +19,10 @@ def _both_ways(e: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, root`` for every node of ``edges`` (columns ``a``, ``b``; any order, loops and
+    """Written ``node, root`` for every node of ``edges`` (columns ``a``, ``b``; any order, loops and
     repeats allowed); the root is the smallest node reachable."""
-    e = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    nodes = _both_ways(e).select(F.col("a").alias("node")).distinct()
-    e = e.where("a <> b")
+    given = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    spark, e, stored = given.sparkSession, given.where("a <> b"), None
     before = None
     for _ in range(MAX_STEPS):
         # every larger neighbour of a node is linked to the smallest of its neighbourhood
@@ -35,6 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(low, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("x"))
                       .select(F.col("x.b").alias("a"), F.col("x.m").alias("b")).where("a <> b").distinct())
         e = written(small, "edges")
+        discard(spark, stored)
+        stored = e
         # a fixed point is a set of stars; compare by size and an order-free digest
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
@@ -42,5 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
     else:
         raise RuntimeError(f"components did not settle in {MAX_STEPS} steps")
-    return nodes.join(e.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root"))
+    nodes = _both_ways(given).select(F.col("a").alias("node")).distinct()
+    out = written(nodes.join(e.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root")), "components")
+    discard(spark, given, stored)
+    return out

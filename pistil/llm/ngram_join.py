@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_name, ship_package, table, text_column, written
+from .common import discard, free_name, ship_package, table, text_column, written
 from .components import components
 from .words import NOT_SPACE, chain, fold, split_words
 
@@ -546,13 +546,14 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     index = _prefix_index(docs, count, int(buckets), k, percent)
     pairs = written(_leader_pairs(index, percent).distinct(), "pairs")
     alike = _alike(docs, pairs, count, k, percent)
-    cells = written(components(alike), "cells")
+    cells = components(alike)
     more = written(_cross_pairs(index, cells, percent).distinct(), "pairs")
+    discard(docs.sparkSession, index, pairs)
     if not more.isEmpty():
         found = _alike(docs, more, count, k, percent)
         if not found.isEmpty():
-            cells = written(components(alike.unionByName(found)), "cells")
-    roots = written(components(_cell_links(docs, cells, k, percent)), "roots")
+            cells = components(alike.unionByName(found))
+    roots = components(_cell_links(docs, cells, k, percent))
     classes = (members.where("node is not null").groupBy("node").agg(F.min("id").alias("low"))
                       .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     low = classes.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -571,17 +572,27 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of near duplicates, the document with the smallest id stays.
 
-    Rows that share that id are told apart by their texts: the smallest text digest stays, once. Documents
+    Rows that share that id are told apart by their texts: the smallest text hash stays, once. Documents
     without words are in no group and stay.
     """
-    row = free_name(docs.columns, "row")
-    stored = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    found = similar_components(stored.select(row, "text"), id_col=row)
-    ids = stored.select(row, F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), row).alias("place"))
-    grouped = found.where("n_shingles > 0").select(F.col("id").alias(row), F.col("component_id").alias("group")).join(ids, row)
-    first = grouped.groupBy("group").agg(F.min_by(row, "place").alias("first"))
-    gone = written(grouped.join(first, "group").where(F.col(row) != F.col("first")).select(row), "dropped")
-    return stored.join(gone, row, "left_anti").drop(row)
+    place, taken = free_name(docs.columns, "place"), docs.columns
+    # the order of documents, the same wherever a row is read: no copy of the texts is needed
+    docs = docs.withColumn(place, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                                           F.xxhash64("text").alias("digest")))
+    found = written(similar_components(docs, id_col=place).where("n_shingles > 0").select(
+        F.col("id").alias(place), (F.col("id") == F.col("component_id")).alias("first")), "decisions")
+    # null-safe on every field: a struct itself is never null
+    gone = found.where("not first").select(place).distinct()
+    kept = docs.join(gone, _same(docs[place], gone[place]), "left_anti")
+    twice = found.where("first").groupBy(place).agg(F.count("*").alias("n")).where("n > 1").select(place)
+    if not twice.isEmpty():                                   # rows with the same id and text
+        again = _same(kept[place], twice[place])
+        kept = kept.join(twice, again, "left_anti").unionByName(kept.join(twice, again, "left_semi").dropDuplicates([place]))
+    return kept.select(*taken)
+
+
+def _same(a, b):
+    return (a["none"] == b["none"]) & a["id"].eqNullSafe(b["id"]) & (a["digest"] == b["digest"])
 
 
 __all__ = ["keep_first_of_group", "op9_ngram_join", "shingle_sets", "similar_components"]
