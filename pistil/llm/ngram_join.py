@@ -241,10 +241,10 @@ class Lists:
                 np.searchsorted(self.block_key, base + size, side="right"))
 
     def reachable(self, probe: np.ndarray, block: np.ndarray) -> np.ndarray:
-        """Whether positions leave enough: at most min(i, j) common shingles lie in front, this one and
-        the shorter tail behind."""
+        """Whether positions leave enough: in the list of the first shingle that two sets share, all they
+        share is this one and what the shorter tail holds (other lists need not find the pair)."""
         x, y, i, j = self.size[probe], self.block_size[block], self.pos[probe], self.block_pos[block]
-        return np.minimum(i, j) + np.minimum(x - i, y - j) >= least_overlap(x, y, self.percent)
+        return np.minimum(x - i, y - j) >= least_overlap(x, y, self.percent)
 
     def leaders(self) -> tuple[np.ndarray, np.ndarray]:
         """``(probe entry, index entry)``: for each probe the first entry of a reachable block that is not
