@@ -23,7 +23,6 @@ benchmark hits nothing; empty documents give no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np

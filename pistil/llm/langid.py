@@ -39,8 +39,7 @@ DEPTH = 3
 SYMBOLS = 64
 RARE = SYMBOLS - 1
 SAMPLE_DOCS = 3000
-PIECE_BYTES = 1 << 20
-_slot_maps: dict[bytes, np.ndarray] = {}
+PIECE_BYTES = 1 << 19
 _ASCII_LETTER = np.zeros(256, dtype=bool)
 _ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
 
@@ -163,9 +162,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
                      float(np.log2(max(1, 256 - 26 - len(top)))))
 
 
-def code_lengths(model: Model, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+def code_lengths(model: Model, buf: np.ndarray, off: np.ndarray, slots: np.ndarray | None = None) -> np.ndarray:
     """Bits of each row under each language."""
-    slots = _slot_map(model)
+    slots = slot_map(model) if slots is None else slots
     code = _symbol_codes(buf, off, model.symbol, model.blank)
     slot = slots[code]
     row = np.repeat(np.arange(len(off) - 1), np.diff(off))
@@ -182,15 +181,11 @@ def code_lengths(model: Model, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def _slot_map(model: Model) -> np.ndarray:
-    """Code -> row of ``model.bits`` (0: not seen), kept while the Python worker lives."""
-    key = model.codes.tobytes()
-    if key not in _slot_maps:
-        _slot_maps.clear()
-        t = np.zeros(SYMBOLS ** 4, dtype=np.int32)
-        t[model.codes] = np.arange(1, len(model.codes) + 1, dtype=np.int32)
-        _slot_maps[key] = t
-    return _slot_maps[key]
+def slot_map(model: Model) -> np.ndarray:
+    """Code -> row of ``model.bits`` (0: not seen); a task makes one and drops it at its end."""
+    t = np.zeros(SYMBOLS ** 4, dtype=np.int32)
+    t[model.codes] = np.arange(1, len(model.codes) + 1, dtype=np.int32)
+    return t
 
 
 def _has_letter(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -215,11 +210,12 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         names = np.array([*m.languages, UND], dtype=object)
+        slots = slot_map(m) if m.languages else None
         for b in batches:
             pred, score = np.full(len(b), len(m.languages)), np.zeros(len(b))
             if m.languages:
                 for lo, buf, off in pieces(text_column(b, text_col), PIECE_BYTES):
-                    bits = code_lengths(m, buf, off)
+                    bits = code_lengths(m, buf, off, slots)
                     best = bits.argmin(1)
                     ok = _has_letter(buf, off)
                     rel = np.exp2(np.minimum(bits.min(1, keepdims=True) - bits, 0.0)).sum(1)

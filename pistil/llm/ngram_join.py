@@ -46,7 +46,7 @@ PERCENT = 80
 SKETCH_BITS = 20
 SLICES = 64
 HOT_LIST = 200_000           # entries of one shingle that one list takes; longer ones are split
-BUCKET_ENTRIES = 1_000_000
+BUCKET_ENTRIES = 500_000
 BLOOM_BITS = 25
 CELL = 512                   # sets that one task compares with each other
 U64 = np.uint64

@@ -39,7 +39,7 @@ WORD_BYTES[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "pow" not in _tables or len(_tables["pow"]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 19)
         with np.errstate(over="ignore"):
             for name, base in (("pow", _BASE), ("inv", _INVERSE)):
                 t = np.ones(size, dtype=U64)
@@ -94,7 +94,7 @@ def pieces(col: pa.Array, piece_bytes: int) -> Iterator[tuple[int, np.ndarray, n
         lo = hi
 
 
-def split_words(col: pa.Array, word_bytes: np.ndarray, piece_bytes: int = 1 << 21) -> Iterator[Words]:
+def split_words(col: pa.Array, word_bytes: np.ndarray, piece_bytes: int = 1 << 19) -> Iterator[Words]:
     """Words of a ``large_binary`` column, a piece of rows at a time (bounded memory)."""
     for lo, buf, off in pieces(col, piece_bytes):
         n = len(off) - 1
