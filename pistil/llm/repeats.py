@@ -4,7 +4,7 @@ Every string of ``size`` bytes has an anchor: the smallest hash among its ``gram
 substrings. Consecutive strings with one anchor hash form a stretch, so equal strings lie in
 stretches of equal anchor hash, wherever they occur, and only those have to meet.
 
-1. Documents are stored in segments (about 2 MB of whole documents, at least one).
+1. Documents are stored in segments (about 1 MB of whole documents, at least one).
 2. Segments send their anchor hashes (5 bytes each) to buckets, which answer a bit each: met in
    another segment or not. Stretches whose anchor occurs in one document only are done.
 3. Of the others, a segment sends each distinct stretch once, with the smallest id it has for it
@@ -43,8 +43,8 @@ from .common import file_system, free_name, scratch_path, ship_package, table, t
 from .words import U64, hash_spans, mix, pieces
 
 SIZE, GRAM = 50, 20
-SEGMENT_BYTES = 2 << 20
-BUCKET_BYTES = 8 << 20           # text bytes a bucket answers for
+SEGMENT_BYTES = 1 << 20
+BUCKET_BYTES = 4 << 20           # text bytes a bucket answers for
 SUFFIX = 2 * SIZE                # bytes of a suffix that are compared (stretches are mostly shorter)
 STEP = 1 << 20                   # string marks made at once
 NO_ID = np.iinfo(np.int64).max
