@@ -1,16 +1,19 @@
 """Cross-entropy difference scores from two matched bigram models.
 
 The target model is learned from the documents labelled good, the background model from all
-documents, both with the same shared vocabulary, order and smoothing. The vocabulary is the
-most frequent words of the whole corpus; every other word is one of a fixed number of hashed
-classes, so each token has a place in both models and the tables have a fixed size. The share
-of a word inside its class would be the same in both models and cancels in the difference.
+documents, both with the same vocabulary, order and smoothing. The vocabulary is every word of
+the corpus and every bigram is counted as itself, so the models grow with the input; ``CLASSES`` is
+the number of unseen words for which the smoothing keeps room.
 
 Both models interpolate: P(w|v) = (c(v,w) + MU * P(w)) / (c(v) + MU) with
 P(w) = (c(w) + 1/2) / (N + V/2). A document's score is its mean loss in bits per token under the target
 model minus that under the background model: the lower, the more it is like the target.
 
-All counts are taken over all documents, combined per task and shuffled as packed cells.
+The rows are stored once as segments of bounded size. A segment sends each of its distinct words, words
+in front and bigrams once, with both counts, to the bucket of its hash; buckets add up and send
+each segment the sums of its own keys, in the order in which they came. A word or context that is in
+every row is thus one entry a segment, and no model is ever in one place. 63-bit hashes name words
+and bigrams; a collision would add up two of them.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased.
 
@@ -22,148 +25,190 @@ Other columns are ignored; empty input gives no rows.
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stored_bytes
-from .common import ship_package, table, text_column
-from .words import U64, WORD_BYTES, Words, split_words
+from .common import file_system, scratch_path, ship_package, table, text_column, write_bytes, written
+from .words import U64, WORD_BYTES, mix, pieces, split_words
 
-WORDS, CLASSES = 1536, 512
+WORDS = math.inf                 # the vocabulary has no bound
+CLASSES = 512
 MU = 64.0
-BUCKET_BYTES = 64 << 20          # stored bytes whose words one bucket counts
-
-
-def top_words(docs: DataFrame, size: int, buckets: int) -> np.ndarray:
-    """Hashes of the ``size`` most frequent words of all documents (ties by hash), sorted."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            parts = [w.hash for w in split_words(text_column(b, "text"), WORD_BYTES)]
-            h, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, U64), return_counts=True)
-            bucket = (h >> U64(33)).astype(np.int64) % buckets
-            order = np.argsort(bucket, kind="stable")
-            cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            full = np.flatnonzero(np.diff(cut))
-            h, n = h[order].astype("<u8"), n[order].astype("<u4")
+SEGMENT_BYTES = 24 << 20         # text of a segment
+START = U64(0x5851F42D4C957F2D)  # stands in front of a row's first word
+FRONT = U64(0x14057B7EF767814F)
+IS_WORD = U64(1)                 # lowest bit of a key: set for words only
+
+
+def planes(x: np.ndarray, kind: str) -> bytes:
+    """Values byte by byte: first all lowest bytes, and so on (compresses well)."""
+    x = x.astype(kind)
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def unplanes(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def write_segments(docs: DataFrame, path: str, segment_bytes: int) -> DataFrame:
+    """Store ``id, text`` in files of about ``segment_bytes`` of text; ``segment, at, id`` of every row."""
+    kind = dict(docs.dtypes)["id"]
+
+    def store(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not rows:
+            return
+        segment = uuid.uuid4().int >> 65
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            for b in rows:
+                out.write_batch(b)
+        write_bytes(f"{path}/{segment}", sink.getvalue())
+        at = 0
+        for b in rows:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(full.astype(np.int32)), pa.array([h[cut[j]:cut[j + 1]].tobytes() for j in full], pa.binary()),
-                 pa.array([n[cut[j]:cut[j + 1]].tobytes() for j in full], pa.binary())], ["bucket", "words", "counts"])
-
-    def best(t: pa.Table) -> pa.Table:
-        h = np.frombuffer(b"".join(t.column("words").to_pylist()), dtype="<u8")
-        n = np.frombuffer(b"".join(t.column("counts").to_pylist()), dtype="<u4")
-        h, inv = np.unique(h, return_inverse=True)
-        n = np.bincount(inv, weights=n, minlength=len(h)).astype(np.int64)
-        top = np.lexsort((h, -n))[:size]
-        return pa.table([pa.array(h[top].view(np.int64)), pa.array(n[top])], names=["word", "n"])
-
-    rows = (docs.select("text").mapInArrow(count, "bucket int, words binary, counts binary")
-                .groupBy("bucket").applyInArrow(best, "word long, n long")
-                .orderBy(F.desc("n"), "word").limit(size).collect())          # a vocabulary: fixed size
-    return np.sort(np.array([r["word"] for r in rows], dtype=np.int64).view(U64))
-
-
-def word_numbers(h: np.ndarray, vocabulary: np.ndarray, classes: int) -> np.ndarray:
-    out = len(vocabulary) + (h >> U64(20)).astype(np.int64) % classes
-    if len(vocabulary):
-        at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-        out = np.where(vocabulary[at] == h, at, out)
-    return out
-
-
-def _pairs(w: Words, vocabulary: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Number of each word and of the word in front of it (of the row's start: one past the last)."""
-    n = word_numbers(w.hash, vocabulary, classes)
-    before = np.empty_like(n)
-    before[1:] = n[:-1]
-    before[w.first[:-1][np.diff(w.first) > 0]] = len(vocabulary) + classes
-    return before, n
-
-
-def bigram_counts(docs: DataFrame, vocabulary: np.ndarray, classes: int, slices: int = 64) -> np.ndarray:
-    """Dense counts ``[V + 1, V]`` of (word in front, word) over all rows of ``docs``."""
-    size = len(vocabulary) + classes
-    cells = (size + 1) * size
-    width = -(-cells // slices)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(width * slices, dtype=np.uint32)       # one fixed table a task
-        for b in batches:
-            for w in split_words(text_column(b, "text"), WORD_BYTES):
-                before, n = _pairs(w, vocabulary, classes)
-                cell, k = np.unique(before * size + n, return_counts=True)
-                total[cell] += k.astype(np.uint32)
-        total = total.reshape(slices, width)
-        full = np.flatnonzero(total.any(1))
-        at = [np.flatnonzero(total[j]) for j in full]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(full.astype(np.int32)), pa.array([a.astype("<u4").tobytes() for a in at], pa.binary()),
-             pa.array([total[j][a].tobytes() for j, a in zip(full, at)], pa.binary())], ["slice", "cells", "counts"])
+                [pa.array(np.full(len(b), segment)), pa.array(np.arange(at, at + len(b), dtype=np.int32)), b.column(0)],
+                ["segment", "at", "id"])
+            at += len(b)
 
-    def add(t: pa.Table) -> pa.Table:
-        out = np.zeros(width, dtype=np.int64)
-        for c, n in zip(t.column("cells").to_pylist(), t.column("counts").to_pylist()):
-            out[np.frombuffer(c, dtype="<u4")] += np.frombuffer(n, dtype="<u4")
-        at = np.flatnonzero(out)
-        return pa.table([t.column("slice")[:1], pa.array([at.astype("<u4").tobytes()], pa.binary()),
-                         pa.array([out[at].astype("<i8").tobytes()], pa.binary())], names=["slice", "cells", "counts"])
-
-    schema = "slice int, cells binary, counts binary"
-    out = np.zeros(width * slices, dtype=np.int64)
-    # the sums have the fixed size of the model
-    for r in docs.select("text").mapInArrow(count, schema).groupBy("slice").applyInArrow(add, schema).toLocalIterator():
-        out[r["slice"] * width + np.frombuffer(r["cells"], dtype="<u4").astype(np.int64)] = np.frombuffer(r["counts"], dtype="<i8")
-    return out[:cells].reshape(size + 1, size)
-
-
-def losses(counts: np.ndarray, mu: float = MU) -> np.ndarray:
-    """Bits of each word after each word in front, under the interpolated model."""
-    size = counts.shape[1]
-    one = counts.sum(0).astype(np.float64)
-    base = (one + 0.5) / (one.sum() + 0.5 * size)
-    front = counts.sum(1, keepdims=True).astype(np.float64)
-    return -np.log2((counts + mu * base) / (front + mu)).astype(np.float32)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for b in batches:
+            b = pa.RecordBatch.from_arrays([b.column(0), text_column(b, "text")], ["id", "text"])
+            for lo, buf, off in pieces(b.column(1), segment_bytes):
+                more = len(buf) + 64 * (len(off) - 1)
+                if rows and size + more > segment_bytes:
+                    yield from store(rows)
+                    rows, size = [], 0
+                rows.append(b.slice(lo, len(off) - 1))
+                size += more
+        yield from store(rows)
+
+    return written(docs.mapInArrow(cut, f"segment long, at int, id {kind}"), "xent_rows")
+
+
+@dataclass
+class Segment:
+    """A stored segment and its keys: words, words in front (the last: a row's start), bigrams."""
+    ids: pa.ChunkedArray
+    tokens: np.ndarray       # of each row
+    words: int               # distinct words
+    word: np.ndarray         # number of each token's word
+    front: np.ndarray        # and of the word in front of it
+    pair: np.ndarray         # number of its bigram
+    first: np.ndarray        # a token of each bigram
+    keys: np.ndarray
+
+    def counts(self, tokens: np.ndarray | slice) -> np.ndarray:
+        """Count of each key over some of the tokens."""
+        return np.concatenate([np.bincount(x[tokens], minlength=n) for x, n in
+                               ((self.word, self.words), (self.front, self.words + 1), (self.pair, len(self.first)))])
+
+
+def read_segment(path: str) -> Segment:
+    fs, p = file_system(path)
+    with fs.open_input_file(p) as f:
+        t = pa.ipc.open_stream(f.read_buffer()).read_all()
+    parts = [w for b in t.to_batches() for w in split_words(text_column(b, "text"), WORD_BYTES)]
+    tokens = np.concatenate([np.diff(w.first) for w in parts])
+    h = np.concatenate([w.hash for w in parts])
+    del parts
+    own, word = np.unique(h, return_inverse=True)
+    front = np.empty_like(word)
+    front[1:] = word[:-1]
+    front[(np.cumsum(tokens) - tokens)[tokens > 0]] = len(own)
+    before = mix(np.append(own, START) ^ FRONT)
+    pairs, first, pair = np.unique(mix(before[front] + h), return_index=True, return_inverse=True)
+    keys = np.concatenate([own | IS_WORD, before & ~IS_WORD, pairs & ~IS_WORD])
+    return Segment(t.column("id"), tokens, len(own), word, front, pair, first, keys)
+
+
+def losses(s: Segment, counts: np.ndarray, total: int, size: int, mu: float = MU) -> np.ndarray:
+    """Bits of each bigram of ``s`` under the interpolated model of ``counts`` (by key), ``total`` tokens
+    and a vocabulary of ``size``."""
+    one, front, pair = np.split(counts.astype(np.float64), [s.words, 2 * s.words + 1])
+    base = (one + 0.5) / (total + 0.5 * size)
+    return -np.log2((pair + mu * base[s.word[s.first]]) / (front[s.front[s.first]] + mu))
 
 
 def score_documents(docs: DataFrame, good_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    words: int = WORDS, classes: int = CLASSES) -> DataFrame:
+                    classes: int = CLASSES, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """``id, n_tokens, target_loss, background_loss, score`` of every row of ``docs``; the target model
     learns from the rows whose id is in ``good_ids`` (one column)."""
     spark = docs.sparkSession
     ship_package(spark)
     kind = dict(docs.dtypes)[id_col]
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    vocabulary = top_words(docs, words, max(8, stored_bytes(docs) // BUCKET_BYTES))
+    path = scratch_path(spark, "xent")
+    rows = write_segments(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")),
+                          path, segment_bytes)
+    segments = max(1, rows.select("segment").distinct().count())
+    buckets = max(8, segments // 2)              # a few million keys each
     # the labels have no size bound: never broadcast, so the plan is the same at every size
-    good = good_ids.toDF("id").where("id is not null").distinct().hint("merge")
-    shared = spark.sparkContext.broadcast((
-        vocabulary, losses(bigram_counts(docs.join(good, "id", "left_semi"), vocabulary, classes)),
-        losses(bigram_counts(docs, vocabulary, classes))))
+    good = good_ids.toDF("id").where("id is not null").distinct().withColumn("good", F.lit(True)).hint("merge")
+    marked = rows.join(good, "id", "left").select("segment", F.when(F.col("good"), F.col("at")).alias("at"))
+
+    def count(t: pa.Table) -> pa.Table:
+        segment = t.column("segment")[0].as_py()
+        s = read_segment(f"{path}/{segment}")
+        chosen = np.zeros(len(s.tokens), dtype=bool)
+        chosen[t.column("at").drop_null().to_numpy()] = True
+        order = np.argsort(s.keys, kind="stable")
+        cut = np.searchsorted((s.keys[order] >> U64(40)) * U64(buckets) >> U64(24), np.arange(buckets + 1, dtype=U64))
+        columns = ((s.keys[order], "<u8"), (s.counts(slice(None))[order], "<u4"),
+                   (s.counts(np.repeat(chosen, s.tokens))[order], "<u4"))
+        # every bucket gets a row, also an empty one: its sums over all words are needed everywhere
+        return pa.table([pa.array(np.full(buckets, segment)), pa.array(np.arange(buckets, dtype=np.int32)),
+                         *(pa.array([planes(x[a:b], k) for a, b in zip(cut, cut[1:])], pa.binary()) for x, k in columns)],
+                        names=["segment", "bucket", "keys", "background", "target"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, target, background = shared.value
-        for b in batches:
-            for w in split_words(text_column(b, "text"), WORD_BYTES):
-                before, n = _pairs(w, vocabulary, classes)
-                tokens = np.diff(w.first)
-                t, g = (np.bincount(w.row, weights=m[before, n], minlength=w.rows) / np.maximum(tokens, 1)
-                        for m in (target, background))
-                none = tokens == 0
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(w.lo, w.rows), pa.array(tokens),
-                     *(pa.array(x, mask=none) for x in (t, g, t - g))], names)
-
-    names = ["id", "n_tokens", "target_loss", "background_loss", "score"]
-    return docs.mapInArrow(run, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double")
+    def add(t: pa.Table) -> pa.Table:
+        parts = [unplanes(k, "<u8") for k in t.column("keys").to_pylist()]
+        cut = np.cumsum([0, *map(len, parts)])
+        keys, at = np.unique(np.concatenate(parts), return_inverse=True)
+        is_word = (keys & IS_WORD) == IS_WORD
+        columns, totals = [], [np.full(len(parts), is_word.sum())]
+        for name in ("background", "target"):
+            n = np.concatenate([unplanes(x, "<u4") for x in t.column(name).to_pylist()])
+            n = np.bincount(at, weights=n, minlength=len(keys)).astype(np.int64)
+            totals.append(np.full(len(parts), n[is_word].sum()))
+            columns.append(pa.array([planes(n[at[a:b]], "<i8") for a, b in zip(cut, cut[1:])], pa.binary()))
+        return pa.table([t.column("segment"), t.column("bucket"), *columns, *map(pa.array, totals)],
+                        names=["segment", "bucket", "background", "target", "words", "n_background", "n_target"])
+
+    def score(t: pa.Table) -> pa.Table:
+        t = t.sort_by("bucket")
+        s = read_segment(f"{path}/{t.column('segment')[0].as_py()}")
+        order = np.argsort(s.keys, kind="stable")
+        size = int(np.sum(t.column("words").to_numpy())) + classes
+        row = np.repeat(np.arange(len(s.tokens)), s.tokens)
+        out = []
+        for name in ("target", "background"):
+            n = np.empty(len(order), dtype=np.int64)
+            n[order] = np.concatenate([unplanes(x, "<i8") for x in t.column(name).to_pylist()])
+            bits = losses(s, n, int(np.sum(t.column(f"n_{name}").to_numpy())), size)
+            out.append(np.bincount(row, weights=bits[s.pair], minlength=len(s.tokens)) / np.maximum(s.tokens, 1))
+        none = s.tokens == 0
+        return pa.table([s.ids, pa.array(s.tokens), *(pa.array(x, mask=none) for x in (*out, out[0] - out[1]))],
+                        names=["id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    # explicit numbers of partitions: the work of a segment is not seen in the bytes shuffled to it
+    return (marked.repartition(segments, "segment").groupBy("segment")
+                  .applyInArrow(count, "segment long, bucket int, keys binary, background binary, target binary")
+                  .groupBy("bucket")
+                  .applyInArrow(add, "segment long, bucket int, background binary, target binary, words long, "
+                                     "n_background long, n_target long")
+                  .repartition(segments, "segment").groupBy("segment")
+                  .applyInArrow(score, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double"))
 
 
 def op10_xent_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of all ``documents``; target: those with a label of quality 1."""
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return score_documents(table(spark, sf_dir, "documents"), good).withColumnRenamed("id", "doc_id")
-
-

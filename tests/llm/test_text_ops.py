@@ -338,6 +338,17 @@ def test_scores_equal_a_dictionary_model(spark):
             assert (r["target_loss"], r["background_loss"], r["score"]) == pytest.approx((t, g, t - g), abs=1e-4)
 
 
+def test_scores_count_every_word_of_a_large_vocabulary(spark):
+    texts = sentences(24, 300, words=60, vocabulary=6000)
+    good = list(range(0, 300, 3))
+    rows = xent.score_documents(documents(spark, texts), spark.createDataFrame([(g,) for g in good], "doc_id long"),
+                                segment_bytes=4000).collect()
+    want = scores_by_hand(texts, good, math.inf, xent.CLASSES, xent.MU)
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert (r["target_loss"], r["background_loss"]) == pytest.approx(want[r["id"]], abs=1e-9)
+
+
 def test_scores_without_rows_or_targets(spark):
     none = spark.createDataFrame([], "doc_id long")
     assert xent.score_documents(documents(spark, []), none).collect() == []
