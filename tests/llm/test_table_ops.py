@@ -42,6 +42,23 @@ def test_licences_equal_brute_force(spark):
     assert got == {i: licences_by_hand(t) for i, t in enumerate(texts)}
 
 
+def test_licences_inside_longer_texts(spark):
+    mit, bsd = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["BSD-3-Clause"]
+    for end in ("conditions: ", "Software. "):
+        mit = mit.replace(end, end.strip() + "\n\n", 1)
+    before, after = sentences(31, 2, words=300)
+    header = "\n".join(f" * {x}" for x in bsd.replace(". ", ".\n\n").split("\n"))
+    texts = [f"{before}\n\n{mit}\n\n{after}", f"/*\n{header}\n */\n{after}",
+             f"{before} Released under the MIT License. {after}", f"{mit}\n\n{after}", f"{before}\n\n{mit}",
+             f"{before} {near_copy(mit, 2, 40)} {after}", f"{before}\n{mit[:300]}\n{after}"]
+    rows = {r["id"]: r for r in licenses.scan_licenses(documents(spark, texts)).collect()}
+    assert [rows[i]["licenses"] for i in range(7)] == [
+        "MIT", "BSD-2-Clause,BSD-3-Clause", "MIT-notice", "MIT", "MIT", "MIT", ""]
+    assert rows[1]["license"] == "BSD-3-Clause"
+    assert [rows[i]["n_matches"] for i in range(7)] == [1, 2, 1, 1, 1, 1, 0]
+    assert [rows[i]["score"] for i in range(5)] == [1.0] * 5 and 0.8 <= rows[5]["score"] < 1
+
+
 def test_licences_of_repeated_rows_and_nothing(spark):
     t = "Released under the MIT License."
     rows = licenses.scan_licenses(documents(spark, [t, t, t], ids=[1, 1, None])).collect()
