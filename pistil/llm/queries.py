@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontam, graph_neardup, langid, licenses, ngram_join, packing, repeats, url_filter, warc, xent
+from . import (bisector, decontam, graph_neardup, langid, licenses, ngram_join, packing, quality, repeats, runs, url_filter,
+               warc, xent)
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -17,6 +18,9 @@ QUERIES = {
     "op8_repeats": repeats.op8_repeats,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_xent_score": xent.op10_xent_score,
+    "op11_periodic_runs": runs.op11_periodic_runs,
+    "op12_bisector_clusters": bisector.op12_bisector_clusters,
+    "op13_quality_rules": quality.op13_quality_rules,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -25,4 +29,6 @@ ORACLES = {
     "op2_warc": warc.ORACLE,
     "op5_decontam": decontam.ORACLE,
     "op6_url_filter": url_filter.ORACLE,
+    "op12_bisector_clusters": bisector.ORACLE,
+    "op13_quality_rules": quality.ORACLE,
 }

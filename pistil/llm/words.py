@@ -70,6 +70,7 @@ class Words:
     first: np.ndarray        # rows + 1 offsets into the words
     hash: np.ndarray         # uint64
     buf: np.ndarray          # bytes of these rows
+    off: np.ndarray          # rows + 1 offsets into them
 
 
 def pieces(col: pa.Array, piece_bytes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -94,7 +95,7 @@ def pieces(col: pa.Array, piece_bytes: int) -> Iterator[tuple[int, np.ndarray, n
         lo = hi
 
 
-def split_words(col: pa.Array, word_bytes: np.ndarray, piece_bytes: int = 1 << 19) -> Iterator[Words]:
+def split_words(col: pa.Array, word_bytes: np.ndarray, piece_bytes: int = 1 << 19, fold_case: bool = True) -> Iterator[Words]:
     """Words of a ``large_binary`` column, a piece of rows at a time (bounded memory)."""
     for lo, buf, off in pieces(col, piece_bytes):
         n = len(off) - 1
@@ -111,7 +112,7 @@ def split_words(col: pa.Array, word_bytes: np.ndarray, piece_bytes: int = 1 << 1
         start, end = np.flatnonzero(start_mark), np.flatnonzero(end_mark)
         first = np.searchsorted(start, off, side="left")
         row = np.repeat(np.arange(n), np.diff(first))
-        yield Words(lo, n, start, end, row, first, hash_spans(buf, start, end), buf)
+        yield Words(lo, n, start, end, row, first, hash_spans(buf, start, end, fold_case), buf, off)
 
 
 def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray, fold_case: bool = True) -> np.ndarray:
