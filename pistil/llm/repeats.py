@@ -13,7 +13,10 @@ stretches of equal anchor hash, wherever they occur, and only those have to meet
    are taken, and a stack scan of these gives the tree of common-prefix intervals. An interval
    whose occurrences have different bytes on their left is a maximal repeat, with all its
    occurrences; one whose occurrences all extend to the left is part of a longer one. Each
-   repeat passes its smallest id on to the strings it covers.
+   repeat passes its smallest id on to the strings it covers. Suffixes are compared to two string lengths: a
+   repeat that goes on beyond that is output window by window, each with all its occurrences, and is not
+   left to a longer one, so every string of it gets the smallest id too, and a stretch of n equal
+   bytes costs n windows and not n nested repeats.
 4. Segments read the answers and remove every byte covered by a string that also starts in a
    document with a smaller id.
 
@@ -45,7 +48,6 @@ from .words import U64, hash_spans, mix, pieces
 SIZE, GRAM = 50, 20
 SEGMENT_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20           # text bytes a bucket answers for
-SUFFIX = 2 * SIZE                # bytes of a suffix that are compared (stretches are mostly shorter)
 STEP = 1 << 20                   # string marks made at once
 NO_ID = np.iinfo(np.int64).max
 
@@ -236,24 +238,28 @@ def lcp_intervals(lcp: np.ndarray, least: int, low: np.ndarray) -> Iterator[tupl
 def suffix_groups(buf: np.ndarray, at: np.ndarray, stop: np.ndarray, left: np.ndarray, low: np.ndarray,
                   size: int) -> tuple[np.ndarray, np.ndarray]:
     """Maximal repeats among the suffixes at ``at`` (ending before ``stop``; ``left`` the byte before,
-    below 0 at a stretch's start): the suffix array, and rows ``first, last, length, smallest id``."""
-    padded = np.concatenate([buf, np.zeros(SUFFIX, dtype=np.uint8)])
-    rows = np.lib.stride_tricks.sliding_window_view(padded, SUFFIX)[at]
-    length = np.minimum(stop - at, SUFFIX)
-    rows[np.arange(SUFFIX) >= length[:, None]] = 0
-    order = np.argsort(rows.view(f"S{SUFFIX}").ravel(), kind="stable")
+    below 0 at a stretch's start): the suffix array, and rows ``first, last, length, smallest id``. Repeats
+    of ``2 * size`` bytes or more come as all their windows of that many bytes."""
+    most = 2 * size                                  # bytes of a suffix that are compared
+    padded = np.concatenate([buf, np.zeros(most, dtype=np.uint8)])
+    rows = np.lib.stride_tricks.sliding_window_view(padded, most)[at]
+    length = np.minimum(stop - at, most)
+    rows[np.arange(most) >= length[:, None]] = 0
+    order = np.argsort(length, kind="stable")        # of equal rows, the one that ends first (others go on with zero bytes)
+    order = order[np.argsort(rows[order].view(f"S{most}").ravel(), kind="stable")]
     rows, length, left = rows[order], length[order], left[order]
     lcp = np.zeros(len(order), dtype=np.int64)
     diff = rows[1:] != rows[:-1]
-    same = np.where(diff.any(1), diff.argmax(1), SUFFIX)
+    same = np.where(diff.any(1), diff.argmax(1), most)
     lcp[1:] = np.minimum(same, np.minimum(length[1:], length[:-1]))
     found = np.array(list(lcp_intervals(lcp, size, low[order])), dtype=np.int64).reshape(-1, 4)
     changes = np.concatenate([[0], np.cumsum(left[1:] != left[:-1])])
     diverse = (left[found[:, 0]] < 0) | (changes[found[:, 1]] > changes[found[:, 0]])
-    return order, found[diverse]                     # the others all extend to the left
+    # one that all extend to the left is part of a longer one, unless that would not be seen in full either
+    return order, found[diverse | (found[:, 2] == most)]
 
 
-def bucket_answers(contents: list[bytes], key: np.ndarray, low: np.ndarray, size: int
+def bucket_answers(contents: list[bytes], key: np.ndarray, low: np.ndarray, size: int, step: int = STEP
                    ) -> tuple[list[np.ndarray], Callable[[], Iterator[tuple[bytes, list[tuple[int, int]], int]]]]:
     """For each entry (a stretch with a segment's smallest id) the smallest id anywhere of each of its
     strings; and a function that lists the maximal repeats as ``(string, [(entry, offset)], smallest id)``."""
@@ -293,7 +299,7 @@ def bucket_answers(contents: list[bytes], key: np.ndarray, low: np.ndarray, size
             group = np.repeat(np.arange(lo, hi), n[lo:hi])
             return group, order[found[group, 0] + np.arange(len(group)) - np.repeat(np.cumsum(n[lo:hi]) - n[lo:hi], n[lo:hi])]
 
-        steps = np.unique(np.searchsorted(work, np.arange(0, int(work[-1]) + STEP, STEP))) if len(work) else [0]
+        steps = np.unique(np.searchsorted(work, np.arange(0, int(work[-1]) + step, step))) if len(work) else [0]
         for lo, hi in zip(steps, [*steps[1:], len(found)]):
             group, who = occurrences(lo, hi)
             o = over[group]

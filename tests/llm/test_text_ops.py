@@ -129,13 +129,57 @@ def test_repeats_equal_brute_force(spark, seed, monkeypatch):
     assert removed(spark, texts, ids) == cut(texts, ids)
 
 
-def test_repeats_many_small_steps(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "STEP", 7)
-    texts = corpus(3)
+def long_stretches(seed, pairs):
+    """Pairs that share rows of a table, rulers and markup: one anchor recurs, stretches get long."""
+    rng = random.Random(seed)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    out = []
+    for i in range(pairs):
+        kind = i % 4
+        if kind == 0:
+            cell = word(29)
+            shared = "".join(f"{cell}{rng.randrange(10, 99)}" for _ in range(8))
+        elif kind == 1:
+            shared = "".join(f"{'-' * 24}{n:02d}" for n in range(rng.randrange(5, 15)))
+        elif kind == 2:
+            shared = "".join(f"<td class='c'>{rng.randrange(9)}</td>" for _ in range(12))
+        else:
+            shared = word(7) * rng.randrange(10, 40) + "\0" * rng.randrange(70)
+        for _ in range(2):
+            out.append(word(rng.randrange(30)) + shared[rng.randrange(30):len(shared) - rng.randrange(30)] + word(rng.randrange(30)))
+    return out
+
+
+def test_repeats_in_long_stretches(spark):
+    texts = long_stretches(5, 120)
     ids = list(range(len(texts)))
+    random.Random(1).shuffle(ids)
     assert removed(spark, texts, ids) == cut(texts, ids)
 
 
+@pytest.mark.parametrize("step", [7, 1 << 20])
+def test_bucket_answers_are_exact(step):
+    """Any contents in one bucket under few keys, zero bytes and prefixes of each other included."""
+    rng = random.Random(step)
+    for _ in range(40):
+        size = rng.choice([3, 5, 50])
+        unit = [bytes(rng.choice(b"ab\0") for _ in range(rng.randrange(1, 9))) for _ in range(3)]
+        contents = [(b"".join(rng.choice(unit) for _ in range(rng.randrange(60))) + b"a" * size)[:rng.randrange(size, 260)]
+                    for _ in range(rng.randrange(1, 9))]
+        key = np.array([len(c) % 2 for c in contents], dtype="<u4")
+        low = np.array([rng.randrange(50) for _ in contents])
+        where = {}
+        for c, k, m in zip(contents, key.tolist(), low.tolist()):
+            for i in range(len(c) - size + 1):
+                where.setdefault(c[i:i + size], []).append((k, m))
+        best, _ = repeats.bucket_answers(contents, key, low, size, step=step)
+        for c, k, got in zip(contents, key.tolist(), best):
+            for i, x in enumerate(got.tolist()):
+                # equal strings have one anchor, so those of other keys may be met or not
+                found = where[c[i:i + size]]
+                assert min(m for _, m in found) <= x <= min(m for kk, m in found if kk == k)
+
+
 def test_repeats_empty_table(spark):
     assert repeats.remove_repeats(documents(spark, [])).collect() == []
 
