@@ -15,6 +15,7 @@ are kept; an empty table gives no pieces; other columns are ignored.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -33,6 +34,7 @@ DIMS, BITS = 4, 15
 BUCKETS = 256
 # Fixed value: the split pattern of byte-level BPE vocabularies of this kind.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_LONG_BLANKS = re.compile(r"\s{50000}")      # the faster library's split pattern recurses over blanks
 _loaded: dict[str, "Encoder"] = {}
 
 
@@ -60,8 +62,8 @@ def _byte_ranks(spec: str) -> dict[bytes, int] | None:
 
 class Encoder:
     """Ids of texts. Where the vocabulary allows it (see ``_byte_ranks``) the merges run in a
-    faster library with the same ids; texts that spell a special token, and all texts under
-    other kinds of tokenizer, go through the tokenizer itself."""
+    faster library with the same ids; texts that spell a special token or hold a very long run of
+    blanks, and all texts under other kinds of tokenizer, go through the tokenizer itself."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -79,7 +81,7 @@ class Encoder:
         """Ids of each text with ``end_id`` behind, as little-endian bytes of ``dtype``."""
         kind, out, whole = self.dtype.char, [], []
         for i, t in enumerate(texts):
-            if self.fast is None or any(x in t for x in self.special):
+            if self.fast is None or any(x in t for x in self.special) or (len(t) >= 50_000 and _LONG_BLANKS.search(t)):
                 whole.append(i)
                 out.append(b"")
             else:

@@ -86,18 +86,18 @@ class DigestArray:
         return out
 
 
-def build_digest_array(rules: DataFrame, shards: int | None = None) -> tuple[list[str], list[int]]:
+def build_digest_array(rules: DataFrame, shards: int | None = None) -> tuple[list[str], list[int], int]:
     """Write ``rules`` (columns ``rule``, ``verdict``) as digest files, one per digest range.
 
-    Returns the file paths (one per shard, in digest order) and the distinct lengths of rule
-    paths, both small. The rules themselves never pass through the driver.
+    Returns the file paths (one per shard, in digest order), the distinct lengths of rule
+    paths, both small, and the length of the longest rule host. The rules themselves never pass through the driver.
     """
     spark = rules.sparkSession
     ship_package(spark)
     clean = (rules.where("instr(rule, '/') > 0 and verdict is not null")
                   .groupBy("rule").agg(F.max((F.col("verdict") == "block").cast("int")).alias("value")))
-    sized = clean.agg(F.count("*").alias("n")).first()["n"]
-    n = int(shards or max(1, -(-sized // SHARD_ENTRIES)))
+    sized = clean.agg(F.count("*").alias("n"), F.max(F.expr("instr(rule, '/') - 1")).alias("host")).first()
+    n = int(shards or max(1, -(-sized["n"] // SHARD_ENTRIES)))
     lengths = [r["k"] for r in clean.select(
         F.length(F.expr("substr(rule, instr(rule, '/'))")).alias("k")).distinct().collect()]
     root = scratch_path(spark, "digests")
@@ -126,7 +126,7 @@ def build_digest_array(rules: DataFrame, shards: int | None = None) -> tuple[lis
     paths = [""] * n
     for r in made:
         paths[r["shard"]] = r["path"]
-    return paths, sorted(lengths)
+    return paths, sorted(lengths), sized["host"] or 0
 
 
 def _local(path: str) -> str:
@@ -153,7 +153,7 @@ def judge_urls(urls: DataFrame, id_col: str, url_col: str, rules: DataFrame) ->
     """``id, host, path, rule, verdict`` for every row of ``urls``."""
     spark = urls.sparkSession
     ship_package(spark)
-    paths, lengths = build_digest_array(rules)
+    paths, lengths, longest = build_digest_array(rules)
     for p in filter(None, paths):
         if file_system(p)[0].type_name != "local":
             spark.sparkContext.addFile(p)
@@ -169,7 +169,11 @@ def judge_urls(urls: DataFrame, id_col: str, url_col: str, rules: DataFrame) ->
                 url_paths.append(path)
                 if not host:
                     continue
-                suffix = host
+                # longer suffixes are no rule's host
+                at = host.find(".", len(host) - longest - 1) if len(host) > longest else -1
+                if at < 0 and len(host) > longest:
+                    continue
+                suffix = host[at + 1:]
                 while True:
                     for k in lengths:
                         if k <= len(path):

@@ -10,8 +10,9 @@ P(w) = (c(w) + 1/2) / (N + V/2). A document's score is its mean loss in bits per
 model minus that under the background model: the lower, the more it is like the target.
 
 The rows are stored once as segments of bounded size. A segment sends each of its distinct words, words
-in front and bigrams once, with both counts, to the bucket of its hash; buckets add up and send
-each segment the sums of its own keys, in the order in which they came. A word or context that is in
+in front and bigrams once, with both counts, to the bucket of its hash; buckets add up and write
+each segment the sums of its own keys, in the order in which they came. The size of the vocabulary and the
+numbers of tokens are one small aggregate over the buckets. A word or context that is in
 every row is thus one entry a segment, and no model is ever in one place. 63-bit hashes name words
 and bigrams; a collision would add up two of them.
 
@@ -25,7 +26,6 @@ Other columns are ignored; empty input gives no rows.
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,10 +38,9 @@ from pyspark.sql import functions as F
 from .common import file_system, scratch_path, ship_package, table, text_column, write_bytes, written
 from .words import U64, WORD_BYTES, mix, pieces, split_words
 
-WORDS = math.inf                 # the vocabulary has no bound
 CLASSES = 512
 MU = 64.0
-SEGMENT_BYTES = 24 << 20         # text of a segment
+SEGMENT_BYTES = 6 << 20          # text of a segment
 START = U64(0x5851F42D4C957F2D)  # stands in front of a row's first word
 FRONT = U64(0x14057B7EF767814F)
 IS_WORD = U64(1)                 # lowest bit of a key: set for words only
@@ -116,18 +115,19 @@ def read_segment(path: str) -> Segment:
     fs, p = file_system(path)
     with fs.open_input_file(p) as f:
         t = pa.ipc.open_stream(f.read_buffer()).read_all()
-    parts = [w for b in t.to_batches() for w in split_words(text_column(b, "text"), WORD_BYTES)]
-    tokens = np.concatenate([np.diff(w.first) for w in parts])
-    h = np.concatenate([w.hash for w in parts])
-    del parts
+    tokens, h = zip(*((np.diff(w.first), w.hash) for b in t.to_batches() for w in split_words(text_column(b, "text"), WORD_BYTES)))
+    ids, tokens, h = t.column("id"), np.concatenate(tokens), np.concatenate(h)
+    del t
     own, word = np.unique(h, return_inverse=True)
+    word = word.astype(np.int32)
     front = np.empty_like(word)
     front[1:] = word[:-1]
     front[(np.cumsum(tokens) - tokens)[tokens > 0]] = len(own)
     before = mix(np.append(own, START) ^ FRONT)
-    pairs, first, pair = np.unique(mix(before[front] + h), return_index=True, return_inverse=True)
+    h += before[front]
+    pairs, first, pair = np.unique(mix(h), return_index=True, return_inverse=True)
     keys = np.concatenate([own | IS_WORD, before & ~IS_WORD, pairs & ~IS_WORD])
-    return Segment(t.column("id"), tokens, len(own), word, front, pair, first, keys)
+    return Segment(ids, tokens, len(own), word, front, pair.astype(np.int32), first.astype(np.int32), keys)
 
 
 def losses(s: Segment, counts: np.ndarray, total: int, size: int, mu: float = MU) -> np.ndarray:
@@ -161,11 +161,11 @@ def score_documents(docs: DataFrame, good_ids: DataFrame, id_col: str = "doc_id"
         chosen[t.column("at").drop_null().to_numpy()] = True
         order = np.argsort(s.keys, kind="stable")
         cut = np.searchsorted((s.keys[order] >> U64(40)) * U64(buckets) >> U64(24), np.arange(buckets + 1, dtype=U64))
+        full = np.flatnonzero(np.diff(cut))
         columns = ((s.keys[order], "<u8"), (s.counts(slice(None))[order], "<u4"),
                    (s.counts(np.repeat(chosen, s.tokens))[order], "<u4"))
-        # every bucket gets a row, also an empty one: its sums over all words are needed everywhere
-        return pa.table([pa.array(np.full(buckets, segment)), pa.array(np.arange(buckets, dtype=np.int32)),
-                         *(pa.array([planes(x[a:b], k) for a, b in zip(cut, cut[1:])], pa.binary()) for x, k in columns)],
+        return pa.table([pa.array(np.full(len(full), segment)), pa.array(full.astype(np.int32)),
+                         *(pa.array([planes(x[cut[j]:cut[j + 1]], k) for j in full.tolist()], pa.binary()) for x, k in columns)],
                         names=["segment", "bucket", "keys", "background", "target"])
 
     def add(t: pa.Table) -> pa.Table:
@@ -173,11 +173,13 @@ def score_documents(docs: DataFrame, good_ids: DataFrame, id_col: str = "doc_id"
         cut = np.cumsum([0, *map(len, parts)])
         keys, at = np.unique(np.concatenate(parts), return_inverse=True)
         is_word = (keys & IS_WORD) == IS_WORD
-        columns, totals = [], [np.full(len(parts), is_word.sum())]
+        once = np.zeros(len(parts), dtype=bool)       # the bucket's own totals stand in one of its rows
+        once[0] = True
+        columns, totals = [], [np.where(once, is_word.sum(), 0)]
         for name in ("background", "target"):
             n = np.concatenate([unplanes(x, "<u4") for x in t.column(name).to_pylist()])
             n = np.bincount(at, weights=n, minlength=len(keys)).astype(np.int64)
-            totals.append(np.full(len(parts), n[is_word].sum()))
+            totals.append(np.where(once, n[is_word].sum(), 0))
             columns.append(pa.array([planes(n[at[a:b]], "<i8") for a, b in zip(cut, cut[1:])], pa.binary()))
         return pa.table([t.column("segment"), t.column("bucket"), *columns, *map(pa.array, totals)],
                         names=["segment", "bucket", "background", "target", "words", "n_background", "n_target"])
@@ -186,26 +188,28 @@ def score_documents(docs: DataFrame, good_ids: DataFrame, id_col: str = "doc_id"
         t = t.sort_by("bucket")
         s = read_segment(f"{path}/{t.column('segment')[0].as_py()}")
         order = np.argsort(s.keys, kind="stable")
-        size = int(np.sum(t.column("words").to_numpy())) + classes
+        size = total["words"] + classes
         row = np.repeat(np.arange(len(s.tokens)), s.tokens)
         out = []
         for name in ("target", "background"):
             n = np.empty(len(order), dtype=np.int64)
             n[order] = np.concatenate([unplanes(x, "<i8") for x in t.column(name).to_pylist()])
-            bits = losses(s, n, int(np.sum(t.column(f"n_{name}").to_numpy())), size)
+            bits = losses(s, n, total[f"n_{name}"], size)
             out.append(np.bincount(row, weights=bits[s.pair], minlength=len(s.tokens)) / np.maximum(s.tokens, 1))
         none = s.tokens == 0
         return pa.table([s.ids, pa.array(s.tokens), *(pa.array(x, mask=none) for x in (*out, out[0] - out[1]))],
                         names=["id", "n_tokens", "target_loss", "background_loss", "score"])
 
     # explicit numbers of partitions: the work of a segment is not seen in the bytes shuffled to it
-    return (marked.repartition(segments, "segment").groupBy("segment")
-                  .applyInArrow(count, "segment long, bucket int, keys binary, background binary, target binary")
-                  .groupBy("bucket")
-                  .applyInArrow(add, "segment long, bucket int, background binary, target binary, words long, "
-                                     "n_background long, n_target long")
-                  .repartition(segments, "segment").groupBy("segment")
-                  .applyInArrow(score, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double"))
+    sums = written(marked.repartition(segments, "segment").groupBy("segment")
+                         .applyInArrow(count, "segment long, bucket int, keys binary, background binary, target binary")
+                         .groupBy("bucket")
+                         .applyInArrow(add, "segment long, bucket int, background binary, target binary, words long, "
+                                            "n_background long, n_target long"), "xent_sums")
+    totals = ("words", "n_background", "n_target")
+    total = {k: v or 0 for k, v in sums.agg(*(F.sum(c).alias(c) for c in totals)).first().asDict().items()}
+    return (sums.drop(*totals).repartition(segments, "segment").groupBy("segment")
+                .applyInArrow(score, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double"))
 
 
 def op10_xent_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -130,6 +130,17 @@ def test_encoder_equals_the_tokenizer():
         [*tok.encode(t, add_special_tokens=False).ids, 0] for t in texts]
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\u00a0"])
+def test_encoder_takes_very_long_runs_of_blanks(blank):
+    from tokenizers import Tokenizer
+    path = packing.default_tokenizer()
+    enc, tok = packing.Encoder(open(path, encoding="utf-8").read()), Tokenizer.from_file(path)
+    texts = [blank * n + tail for n, tail in ((49_999, "x y"), (50_000, ""), (1_000_000, "x"))]
+    texts += [" " * 5_000_000] if blank == " " else [f"a {blank * 300_000} b" + blank * 60_000]
+    for t, b in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(b, dtype=enc.dtype).tolist() == [*tok.encode(t, add_special_tokens=False).ids, 0]
+
+
 def test_hilbert_curve_visits_neighbours():
     for dims, bits in ((2, 4), (3, 3), (4, 2)):
         grid = np.array(np.meshgrid(*[np.arange(1 << bits)] * dims)).reshape(dims, -1).T
@@ -275,7 +286,8 @@ URLS = [None, "", "nothing", "://", "http://", "http://com/", "http://com", "htt
 
 def test_url_verdicts(spark):
     rng = random.Random(1)
-    urls = URLS + [f"{rng.choice(['http', 'https'])}://{rng.choice(['', 'www.', 'm.a.'])}{rng.choice(['example', 'foo'])}.{rng.choice(['com', 'net', 'org'])}"
+    urls = URLS + ["http://" + "a." * 500_000 + "example.com/en/x", "http://" + "b" * 1_000_000 + "/en/", "http://" + "." * 1000 + "net/es/"]
+    urls += [f"{rng.choice(['http', 'https'])}://{rng.choice(['', 'www.', 'm.a.'])}{rng.choice(['example', 'foo'])}.{rng.choice(['com', 'net', 'org'])}"
                    f"{rng.choice(['', '/', '/en/', '/es/a', '/fr', '/fr/x'])}{rng.choice(['', '?a=/en/', '#t'])}" for _ in range(200)]
     df = spark.createDataFrame([(i, u, "x", "x") for i, u in enumerate(urls)], "page_id long, url string, host string, rule string")
     rules = spark.createDataFrame([*url_filter.RULES, (None, "block"), ("nopath", "block"), ("net/es/", "allow")], "rule string, verdict string")
