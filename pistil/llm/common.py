@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import posixpath
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from typing import Any
 from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
@@ -53,23 +55,29 @@ def discard(spark: SparkSession, *what: str | DataFrame) -> None:
                 p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
+def written(df: DataFrame, what: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts the lineage, so
     a lost executor re-reads files instead of re-running what came before."""
     spark = df.sparkSession
     path = scratch_path(spark, what)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
 
 
+ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers (once per application).
 
-    What ``--py-files`` does at submit time, for sessions that were started without it.
+    What ``--py-files`` does at submit time, for sessions that were started without it. Also makes the batches
+    that go to Python smaller where the session has Spark's default of 64 MB: a task holds each a few times over.
     """
     sc = spark.sparkContext
+    if spark.conf.get(ARROW_BATCH, None) in ("67108864b", "67108864", "64m", "64MB"):
+        spark.conf.set(ARROW_BATCH, "8m")
     if getattr(sc, "_pistil_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -88,6 +96,34 @@ def ship_package(spark: SparkSession) -> None:
     sc._pistil_shipped = True
 
 
+def _trim() -> None:
+    """Give memory that Arrow and the C library keep for later back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):      # another C library
+        pass
+
+
+def lean(task: Callable[[Any], Any]) -> Callable[[Any], Any]:
+    """A function for ``mapInArrow`` or ``applyInArrow`` (of one argument) whose worker is small again when it ends:
+    idle workers stay beside the JVM of their executor."""
+    def run(data):
+        out = task(data)
+        if isinstance(out, Iterator):
+            return _then_trim(out)
+        _trim()
+        return out
+    return run
+
+
+def _then_trim(out: Iterator) -> Iterator:
+    try:
+        yield from out
+    finally:
+        _trim()
+
+
 def free_name(taken, name: str) -> str:
     """``name`` with as many underscores in front as no column of ``taken`` has."""
     used = {c.lower() for c in taken}
@@ -132,5 +168,5 @@ def binary_array(buf, offsets) -> pa.Array:
                                  [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(buf))])
 
 
-__all__ = ["binary_array", "collected", "discard", "file_system", "free_name", "scratch_path", "shared_dir", "ship_package", "table",
+__all__ = ["binary_array", "collected", "discard", "file_system", "free_name", "lean", "scratch_path", "shared_dir", "ship_package", "table",
            "text_column", "write_bytes", "written"]

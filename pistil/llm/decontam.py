@@ -31,7 +31,7 @@ import pyarrow.dataset as pads
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import file_system, free_name, scratch_path, ship_package, table, text_column, written
+from .common import file_system, free_name, lean, scratch_path, ship_package, table, text_column, written
 from .words import WORD_BYTES, split_words
 
 WINDOW = 10
@@ -67,7 +67,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     ["ids", "first", "terms", "ends", "places"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"ids array<{kind}>, first binary, terms binary, ends binary, places binary")
+        lean(run), f"ids array<{kind}>, first binary, terms binary, ends binary, places binary")
 
 
 def write_index(index: DataFrame, path: str) -> DataFrame:
@@ -97,7 +97,7 @@ def write_windows(items: DataFrame, path: str, id_col: str = "item_id", text_col
 
     rows = written(items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
                         .where("item is not null")
-                        .mapInArrow(run, "item string, words binary").distinct(), "windows")
+                        .mapInArrow(lean(run), "item string, words binary").distinct(), "windows")
     rounds = max(1, -(-rows.count() // round_windows))
     (rows.withColumn("round", F.pmod(F.xxhash64("item", "words"), F.lit(rounds)).cast("int"))
          .repartition(rounds, "round").write.partitionBy("round").parquet(path))
@@ -245,7 +245,7 @@ def match_documents(index: DataFrame, windows_path: str, rounds: int, id_name: s
                      pa.array([sorted(x) for x in met], pa.list_(pa.string()))],
                     [id_name, "n_words", "n_hit", "items"])
 
-    return index.mapInArrow(run, f"`{id_name}` {kind}, n_words long, n_hit long, items array<string>")
+    return index.mapInArrow(lean(run), f"`{id_name}` {kind}, n_words long, n_hit long, items array<string>")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, ship_package, table, text_column
+from .common import free_name, lean, ship_package, table, text_column
 from .words import LOWER, pieces
 
 UND = "und"
@@ -135,7 +135,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(256, dtype=np.int32)), pa.array(total)], ["byte", "n"])
 
     freq = np.zeros(256)
-    for r in sample.mapInArrow(count_bytes, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect():
+    for r in sample.mapInArrow(lean(count_bytes), "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect():
         freq[r["byte"]] = r["n"]
     freq[32] += 1                                             # a blank always is a symbol
     order = np.argsort(-freq, kind="stable")
@@ -155,7 +155,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
 
     # at most sample_docs texts a language: the table of distinct codes is as bounded as the sample
-    got = (sample.mapInArrow(count_codes, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    got = (sample.mapInArrow(lean(count_codes), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
                  .toArrow())
     key, n = np.asarray(got.column("key")), np.asarray(got.column("n"))
     return fit_trees(languages, symbol, blank, key >> 24, key & (SYMBOLS ** 4 - 1), n,
@@ -224,7 +224,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names[pred], pa.string()), pa.array(score)],
                                              [*b.schema.names, pred_col, score_col])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def op7_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, free_name, ship_package, table, text_column, written
+from .common import discard, free_name, lean, ship_package, table, text_column, written
 from .components import components
 from .words import NOT_SPACE, chain, fold, split_words
 
@@ -107,7 +107,7 @@ def _sizes_and_counts(docs: DataFrame, k: int) -> DataFrame:
                  pa.array([sketch[i * width:(i + 1) * width].astype("<u4").tobytes() for i in range(SLICES)], pa.binary())],
                 names)
 
-    return written(docs.mapInArrow(run, f"id {kind}, n long, node long, slice int, counts binary"), "sets")
+    return written(docs.mapInArrow(lean(run), f"id {kind}, n long, node long, slice int, counts binary"), "sets")
 
 
 def _frequency(rows: DataFrame) -> np.ndarray:
@@ -117,7 +117,7 @@ def _frequency(rows: DataFrame) -> np.ndarray:
         return pa.table({"slice": t.column("slice")[:1], "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
     parts = (rows.where("slice is not null").select("slice", "counts").groupBy("slice")
-                 .applyInArrow(add, "slice int, counts binary").collect())
+                 .applyInArrow(lean(add), "slice int, counts binary").collect())
     out = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     width = len(out) // SLICES
     for r in parts:
@@ -202,7 +202,7 @@ def _prefix_index(docs: DataFrame, count: np.ndarray, buckets: int, k: int, perc
         cols = [x[keep] for x in (key, node, size, pos, part)]
         return pa.table([t.column("bucket")[:1], *(pa.array([x.tobytes()], pa.binary()) for x in cols)], names=names)
 
-    return written(docs.mapInArrow(emit, schema).groupBy("bucket").applyInArrow(gather, schema), "prefixes")
+    return written(docs.mapInArrow(lean(emit), schema).groupBy("bucket").applyInArrow(lean(gather), schema), "prefixes")
 
 
 _TYPES = ("<u8", "<i8", "<u4", "<u4", "<u2")
@@ -310,7 +310,7 @@ def _leader_pairs(index: DataFrame, percent: int) -> DataFrame:
                 found = _pairs(ls.node[probe], ls.node[e])
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["x", "y"])
 
-    return index.mapInArrow(run, "x long, y long")
+    return index.mapInArrow(lean(run), "x long, y long")
 
 
 def _bucket_nodes(index: DataFrame) -> DataFrame:
@@ -321,7 +321,7 @@ def _bucket_nodes(index: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(node), b.column(0)[i].as_py(), np.int32)), pa.array(node)], ["bucket", "node"])
 
-    return index.select("bucket", "node").mapInArrow(run, "bucket int, node long")
+    return index.select("bucket", "node").mapInArrow(lean(run), "bucket int, node long")
 
 
 def _cross_pairs(index: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -385,8 +385,8 @@ def _node_filter(nodes: DataFrame) -> np.ndarray:
         return pa.table({"slice": t.column("slice")[:1], "bits": pa.array([out.tobytes()], pa.binary())})
 
     packed = np.zeros((SLICES, (1 << BLOOM_BITS) // 8 // SLICES), dtype=np.uint8)
-    for r in (nodes.mapInArrow(bits, "slice int, bits binary").groupBy("slice")
-                   .applyInArrow(either, "slice int, bits binary").collect()):
+    for r in (nodes.mapInArrow(lean(bits), "slice int, bits binary").groupBy("slice")
+                   .applyInArrow(lean(either), "slice int, bits binary").collect()):
         packed[r["slice"]] = np.frombuffer(r["bits"], dtype=np.uint8)
     return packed.ravel()
 
@@ -416,7 +416,7 @@ def _sets_of(docs: DataFrame, wanted: np.ndarray, k: int, make) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], ["node", "n", "set"])
 
-    return docs.mapInArrow(sets, "node long, n long, set binary").dropDuplicates(["node"])
+    return docs.mapInArrow(lean(sets), "node long, n long, set binary").dropDuplicates(["node"])
 
 
 def prefix_bound(x: np.ndarray, nx: int, y: np.ndarray, ny: int) -> int:
@@ -447,7 +447,7 @@ def _alike(docs: DataFrame, pairs: DataFrame, count: np.ndarray, k: int, percent
 
     x, y = (made.select(F.col("node").alias(c), F.col("set").alias(f"s{c}"), F.col("n").alias(f"n{c}")) for c in "xy")
     joined = pairs.join(x, "x").join(y, "y").select("x", "y", "sx", "sy", "nx", "ny")
-    return written(joined.mapInArrow(check, "a long, b long"), "alike")
+    return written(joined.mapInArrow(lean(check), "a long, b long"), "alike")
 
 
 def set_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -530,7 +530,7 @@ def _cell_links(docs: DataFrame, cells: DataFrame, k: int, percent: int) -> Data
             b.append(node[at[reach[own]]])
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    return written(small.unionByName(large).groupBy("g", "i", "j").applyInArrow(link, "a long, b long"), "links")
+    return written(small.unionByName(large).groupBy("g", "i", "j").applyInArrow(lean(link), "a long, b long"), "links")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,

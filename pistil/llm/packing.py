@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_array, ship_package, table, written
+from .common import binary_array, lean, ship_package, table, written
 
 SEQ_LEN = 1024
 END_ID = 0
@@ -173,7 +173,7 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, tokenizer_path: str,
 
     return (docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col)).alias("tie"),
                         F.col(text_col).cast("string").alias("text"))
-                .mapInArrow(run, f"doc_id {kind}, tie long, key long, n long, width int, ids binary"))
+                .mapInArrow(lean(run), f"doc_id {kind}, tie long, key long, n long, width int, ids binary"))
 
 
 def _cut_points(total: int, seq_len: int, last: bool) -> np.ndarray:
@@ -269,7 +269,7 @@ def pack(tokens: DataFrame, seq_len: int = SEQ_LEN, range_bytes: int = 32 << 20,
               + (", ids binary" if with_ids else ""))
     return (tokens.repartitionByRange(ranges, "key", "tie", "doc_id")
                   .sortWithinPartitions("key", "tie", "doc_id")
-                  .select("doc_id", "width", "ids").mapInArrow(run, schema))
+                  .select("doc_id", "width", "ids").mapInArrow(lean(run), schema))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",

@@ -42,13 +42,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import file_system, free_name, scratch_path, ship_package, table, text_column
+from .common import file_system, free_name, lean, scratch_path, ship_package, table, text_column
 from .words import U64, hash_spans, mix, pieces
 
 SIZE, GRAM = 50, 20
 SEGMENT_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20           # text bytes a bucket answers for
 STEP = 1 << 20                   # string marks made at once
+CHUNK = 1 << 17                  # suffixes of a bucket that are indexed at once
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -164,7 +165,7 @@ def store_segments(docs: DataFrame, text_col: str, path: str) -> DataFrame:
                 number += 1
 
     schema = "segment long, rest binary, ends binary, text binary"
-    (docs.mapInArrow(run, schema).write.option("compression", "zstd").option("parquet.block.size", 8 << 20)
+    (docs.mapInArrow(lean(run), schema).write.option("compression", "zstd").option("parquet.block.size", 8 << 20)
          .option("parquet.block.size.row.check.min", 1).parquet(path))
     return docs.sparkSession.read.schema(schema).parquet(path)
 
@@ -259,10 +260,27 @@ def suffix_groups(buf: np.ndarray, at: np.ndarray, stop: np.ndarray, left: np.nd
     return order, found[diverse | (found[:, 2] == most)]
 
 
-def bucket_answers(contents: list[bytes], key: np.ndarray, low: np.ndarray, size: int, step: int = STEP
+def _runs_of(key: np.ndarray, size: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Bounds of stretches of ``key`` (sorted) of about ``most`` together by ``size``, never inside equal keys."""
+    if not len(key):
+        return []
+    edge = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+    total = np.append(0, np.cumsum(size))[edge]
+    cuts, at = [0], 0
+    while at < len(edge) - 1:
+        at = max(at + 1, int(np.searchsorted(total, total[at] + most, side="right")) - 1)
+        cuts.append(int(edge[at]))
+    return list(zip(cuts[:-1], cuts[1:]))
+
+
+def bucket_answers(contents: list[bytes], key: np.ndarray, low: np.ndarray, size: int, step: int = STEP, chunk: int = CHUNK
                    ) -> tuple[list[np.ndarray], Callable[[], Iterator[tuple[bytes, list[tuple[int, int]], int]]]]:
     """For each entry (a stretch with a segment's smallest id) the smallest id anywhere of each of its
-    strings; and a function that lists the maximal repeats as ``(string, [(entry, offset)], smallest id)``."""
+    strings; and a function that lists the maximal repeats as ``(string, [(entry, offset)], smallest id)``.
+
+    Equal strings have one key and one hash: the strings of some keys, and of these the suffixes of some hashes, are
+    indexed at a time, about ``chunk`` together.
+    """
     at_of: dict[bytes, int] = {}
     kind = np.array([at_of.setdefault(c, len(at_of)) for c in contents], dtype=np.int64)
     distinct = list(at_of)
@@ -278,37 +296,51 @@ def bucket_answers(contents: list[bytes], key: np.ndarray, low: np.ndarray, size
     # strings that several contents of a key share are sorted; a string met once is in no interval
     _, inv, n = np.unique(kind_key, return_inverse=True, return_counts=True)
     mixed = np.flatnonzero(n[inv] > 1)
-    repeats = lambda: iter(())
-    if len(mixed):
-        buf = np.frombuffer(b"".join(distinct), dtype=np.uint8)
-        own = np.repeat(mixed, strings[mixed])
-        nth = np.arange(len(own)) - np.repeat(np.cumsum(strings[mixed]) - strings[mixed], strings[mixed])
-        at = begin[own] + nth
-        h = hash_spans_exact(buf, at, at + size)
-        _, inv, n = np.unique(h, return_inverse=True, return_counts=True)
-        live = n[inv] > 1
-        own, nth, at = own[live], nth[live], at[live]
-        left = np.where(nth > 0, buf[at - 1].astype(np.int64), -1)
-        order, found = suffix_groups(buf, at, begin[own] + length[own], left, kind_low[own], size)
-        n = found[:, 1] - found[:, 0] + 1
+    mixed = mixed[np.argsort(kind_key[mixed], kind="stable")]
+    buf = np.frombuffer(b"".join(distinct), dtype=np.uint8) if len(mixed) else np.zeros(0, dtype=np.uint8)
+
+    def indexed() -> Iterator[tuple[np.ndarray, ...]]:
+        """Per chunk: content, number in it and place of the suffixes, their order, and the repeats."""
+        for a, e in _runs_of(kind_key[mixed], strings[mixed], chunk):
+            some = mixed[a:e]
+            own = np.repeat(some, strings[some])
+            nth = np.arange(len(own)) - np.repeat(np.cumsum(strings[some]) - strings[some], strings[some])
+            # only the bytes of these contents are hashed
+            text = np.concatenate([buf[begin[c]:begin[c] + length[c]] for c in some.tolist()])
+            shift = np.cumsum(length[some]) - length[some]
+            here = np.repeat(shift, strings[some]) + nth
+            h = hash_spans_exact(text, here, here + size)
+            by_hash = np.argsort(h, kind="stable")
+            h = h[by_hash]
+            alone = np.append(True, h[1:] != h[:-1]) & np.append(h[1:] != h[:-1], True)
+            by_hash, h = by_hash[~alone], h[~alone]
+            for lo, hi in _runs_of(h, np.ones(len(h), dtype=np.int64), chunk):
+                pick = by_hash[lo:hi]
+                at = here[pick]
+                left = np.where(nth[pick] > 0, text[at - 1].astype(np.int64), -1)
+                stop = at + length[own[pick]] - nth[pick]
+                yield own[pick], nth[pick], begin[own[pick]] + nth[pick], *suffix_groups(text, at, stop, left, kind_low[own[pick]], size)
+
+    def occurrences(order: np.ndarray, found: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """Repeat and suffix of each occurrence of the repeats ``lo..hi``."""
+        n = found[lo:hi, 1] - found[lo:hi, 0] + 1
+        group = np.repeat(np.arange(lo, hi), n)
+        return group, order[found[group, 0] + np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)]
+
+    for own, nth, _, order, found in indexed():
         over = found[:, 2] - size + 1                    # strings a repeat covers in each occurrence
-        work = np.cumsum(n * over)
-
-        def occurrences(lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-            """Repeat and suffix of each occurrence of the repeats ``lo..hi``."""
-            group = np.repeat(np.arange(lo, hi), n[lo:hi])
-            return group, order[found[group, 0] + np.arange(len(group)) - np.repeat(np.cumsum(n[lo:hi]) - n[lo:hi], n[lo:hi])]
-
+        work = np.cumsum((found[:, 1] - found[:, 0] + 1) * over)
         steps = np.unique(np.searchsorted(work, np.arange(0, int(work[-1]) + step, step))) if len(work) else [0]
         for lo, hi in zip(steps, [*steps[1:], len(found)]):
-            group, who = occurrences(lo, hi)
+            group, who = occurrences(order, found, lo, hi)
             o = over[group]
             hit = np.repeat(s_begin[own[who]] + nth[who] - (np.cumsum(o) - o), o) + np.arange(int(o.sum()))
             np.minimum.at(best, hit, np.repeat(found[group, 3], o))
 
-        def repeats():
+    def repeats():
+        for own, nth, at, order, found in indexed():
             for g in range(len(found)):
-                _, w = occurrences(g, g + 1)
+                _, w = occurrences(order, found, g, g + 1)
                 yield (buf[at[w[0]]:at[w[0]] + found[g, 2]].tobytes(),
                        [(int(e), int(nth[x])) for x in w for e in np.flatnonzero(kind == own[x])], int(found[g, 3]))
     return [best[s_begin[k]:s_begin[k] + strings[k]] for k in kind.tolist()], repeats
@@ -344,8 +376,8 @@ def _met_elsewhere(segments: DataFrame, path: str, buckets: int, shards: int, si
         return pa.table([t.column("segment"), t.column("bucket"), pa.array(bits, pa.binary())],
                         names=["segment", "bucket", "bits"])
 
-    sent = segments.select("segment", "ends", "text").mapInArrow(send, "bucket int, segment long, keys binary")
-    _write_answers(sent.groupBy("bucket").applyInArrow(answer, "segment long, bucket int, bits binary"), path, shards)
+    sent = segments.select("segment", "ends", "text").mapInArrow(lean(send), "bucket int, segment long, keys binary")
+    _write_answers(sent.groupBy("bucket").applyInArrow(lean(answer), "segment long, bucket int, bits binary"), path, shards)
 
 
 def _shared(st: Stretches, seg: int, shard: int, met: Answers, buckets: int) -> np.ndarray:
@@ -425,8 +457,8 @@ def _answer_strings(segments: DataFrame, met_path: str, path: str, buckets: int,
                         names=["segment", "bucket", "runs", "lows"])
 
     sent = _with_shard(segments, shards).mapInArrow(
-        send, "bucket int, segment long, lengths binary, keys binary, lows binary, text binary")
-    _write_answers(sent.groupBy("bucket").applyInArrow(answer, "segment long, bucket int, runs binary, lows binary"), path, shards)
+        lean(send), "bucket int, segment long, lengths binary, keys binary, lows binary, text binary")
+    _write_answers(sent.groupBy("bucket").applyInArrow(lean(answer), "segment long, bucket int, runs binary, lows binary"), path, shards)
 
 
 def _with_shard(segments: DataFrame, shards: int) -> DataFrame:
@@ -491,7 +523,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     kinds = {"kept_sha256": T.StringType(), "kept": T.StringType() if kept_as == "string" else T.BinaryType()}
     schema = T.StructType([*rest, *(T.StructField(c, kinds.get(c, T.LongType())) for c in names)])
-    return _with_shard(segments, shards).mapInArrow(finish, schema)
+    return _with_shard(segments, shards).mapInArrow(lean(finish), schema)
 
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

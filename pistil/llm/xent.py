@@ -35,12 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import file_system, scratch_path, ship_package, table, text_column, write_bytes, written
+from .common import file_system, lean, scratch_path, ship_package, table, text_column, write_bytes, written
 from .words import U64, WORD_BYTES, mix, pieces, split_words
 
 CLASSES = 512
 MU = 64.0
-SEGMENT_BYTES = 6 << 20          # text of a segment
+SEGMENT_BYTES = 12 << 20         # text of a segment
 START = U64(0x5851F42D4C957F2D)  # stands in front of a row's first word
 FRONT = U64(0x14057B7EF767814F)
 IS_WORD = U64(1)                 # lowest bit of a key: set for words only
@@ -90,7 +90,7 @@ def write_segments(docs: DataFrame, path: str, segment_bytes: int) -> DataFrame:
                 size += more
         yield from store(rows)
 
-    return written(docs.mapInArrow(cut, f"segment long, at int, id {kind}"), "xent_rows")
+    return written(docs.mapInArrow(lean(cut), f"segment long, at int, id {kind}"), "xent_rows")
 
 
 @dataclass
@@ -202,14 +202,14 @@ def score_documents(docs: DataFrame, good_ids: DataFrame, id_col: str = "doc_id"
 
     # explicit numbers of partitions: the work of a segment is not seen in the bytes shuffled to it
     sums = written(marked.repartition(segments, "segment").groupBy("segment")
-                         .applyInArrow(count, "segment long, bucket int, keys binary, background binary, target binary")
+                         .applyInArrow(lean(count), "segment long, bucket int, keys binary, background binary, target binary")
                          .groupBy("bucket")
-                         .applyInArrow(add, "segment long, bucket int, background binary, target binary, words long, "
-                                            "n_background long, n_target long"), "xent_sums")
+                         .applyInArrow(lean(add), "segment long, bucket int, background binary, target binary, words long, "
+                                            "n_background long, n_target long"), "xent_sums", compression="zstd")
     totals = ("words", "n_background", "n_target")
     total = {k: v or 0 for k, v in sums.agg(*(F.sum(c).alias(c) for c in totals)).first().asDict().items()}
     return (sums.drop(*totals).repartition(segments, "segment").groupBy("segment")
-                .applyInArrow(score, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double"))
+                .applyInArrow(lean(score), f"id {kind}, n_tokens long, target_loss double, background_loss double, score double"))
 
 
 def op10_xent_score(spark: SparkSession, sf_dir: str) -> DataFrame:

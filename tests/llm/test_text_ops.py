@@ -157,10 +157,10 @@ def test_repeats_in_long_stretches(spark):
     assert removed(spark, texts, ids) == cut(texts, ids)
 
 
-@pytest.mark.parametrize("step", [7, 1 << 20])
-def test_bucket_answers_are_exact(step):
+@pytest.mark.parametrize("step, chunk", [(7, 5), (1 << 20, 60), (1 << 20, 1 << 17)])
+def test_bucket_answers_are_exact(step, chunk):
     """Any contents in one bucket under few keys, zero bytes and prefixes of each other included."""
-    rng = random.Random(step)
+    rng = random.Random(step + chunk)
     for _ in range(40):
         size = rng.choice([3, 5, 50])
         unit = [bytes(rng.choice(b"ab\0") for _ in range(rng.randrange(1, 9))) for _ in range(3)]
@@ -172,7 +172,7 @@ def test_bucket_answers_are_exact(step):
         for c, k, m in zip(contents, key.tolist(), low.tolist()):
             for i in range(len(c) - size + 1):
                 where.setdefault(c[i:i + size], []).append((k, m))
-        best, _ = repeats.bucket_answers(contents, key, low, size, step=step)
+        best, _ = repeats.bucket_answers(contents, key, low, size, step=step, chunk=chunk)
         for c, k, got in zip(contents, key.tolist(), best):
             for i, x in enumerate(got.tolist()):
                 # equal strings have one anchor, so those of other keys may be met or not
