@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import argmax, index_to_label, mean_arrays
 from .metrics import accuracy
-from .models import FitContext, Family, get_family, predict
+from .models import FitContext, Family, fit, predict
 
 
 def refit(train_val: DataFrame, family: str | Family, params: dict[str, Any],
           ctx: FitContext) -> Model:
     """Fit ``family`` with chosen params on the combined training data."""
-    return get_family(family).build(params, ctx).fit(train_val)
+    return fit(family, params, train_val, ctx)
 
 
 def union_train_val(train: DataFrame, val: DataFrame) -> DataFrame:

@@ -6,17 +6,16 @@ partitions); nothing is collected except the fitted model itself.
 Parameter mapping from the original (single-machine) hyperparameters to Spark ML:
 
 * random forest: ``n_estimators -> numTrees``, ``max_depth -> maxDepth``,
-  ``bootstrap -> bootstrap``, ``min_samples_leaf`` and
-  ``min_samples_split`` (both fractions of the rows) -> ``minWeightFractionPerNode =
-  max(min_samples_leaf, min_samples_split / 2)``: a node under f*n rows cannot be
-  split into two children of f*n/2 rows each (stricter than the original on unbalanced
-  splits). A share, not a count: it holds at any number of rows. Features per split:
-  ``sqrt``.
+  ``bootstrap -> bootstrap``, ``min_samples_leaf`` (a fraction of the rows) ->
+  ``minWeightFractionPerNode``, features per split ``sqrt``. ``min_samples_split`` (a fraction too) has no setting in
+  Spark: after the fit every node of fewer than ``ceil(min_samples_split * rows)`` rows is made a leaf (see
+  ``forests``). Shares, not counts: they hold at any number of rows.
 * logistic regression: ``penalty='l2'`` with ``C`` -> ``regParam = 1 / (C * n)``,
   ``elasticNetParam = 0``, ``standardization = False`` (the same optimum as
   minimising ``C * sum(loss) + 0.5 * |W|^2``); ``penalty='none'`` -> ``regParam = 0``.
-  ``solver`` and ``l1_ratio`` select solver internals / are unused, so they are
-  recorded with the trial but do not change the fit.
+  ``solver='liblinear'`` has another optimum, one fit per class with a penalised intercept (see ``one_vs_rest``); it
+  cannot do without a penalty, which fails such a trial as in the original. The other solvers share one
+  optimum and ``l1_ratio`` is unused: they are recorded with the trial but do not change the fit.
 
 Bootstrap draws and split candidates depend on how rows lie in partitions.
 ``training_frame`` therefore places rows by key into a number of partitions that
@@ -41,6 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir, stored_bytes
+from .forests import with_least_split
+from .one_vs_rest import OneVsRestLogistic, OneVsRestLogisticModel
 from .space import LR_SPACE, RF_SPACE, Distribution
 
 FEATURES_COL = "features"
@@ -163,12 +164,19 @@ def _with_engine(est: Estimator, family: str, ctx: FitContext) -> Estimator:
 
 
 def build_random_forest(p: dict[str, Any], ctx: FitContext) -> Estimator:
-    share = max(float(p["min_samples_leaf"]), float(p["min_samples_split"]) / 2.0)
     return _with_engine(RandomForestClassifier(
         featuresCol=ctx.features_col, labelCol=ctx.label_col, seed=ctx.seed,
         numTrees=int(p["n_estimators"]), maxDepth=int(p["max_depth"]),
         bootstrap=bool(p["bootstrap"]), featureSubsetStrategy="sqrt",
-        minWeightFractionPerNode=share), "random_forest", ctx)
+        minWeightFractionPerNode=float(p["min_samples_leaf"])), "random_forest", ctx)
+
+
+def finish_random_forest(model: Model, p: dict[str, Any], ctx: FitContext) -> Model:
+    """The forest without splits of nodes under ``min_samples_split``. Both children of a split hold
+    ``min_samples_leaf`` of the rows, so a limit up to twice that is met as it is."""
+    if float(p["min_samples_split"]) <= 2 * float(p["min_samples_leaf"]):
+        return model
+    return with_least_split(model, float(p["min_samples_split"]), ctx.n_rows)
 
 
 def lr_reg_param(p: dict[str, Any], n_rows: int) -> float:
@@ -178,25 +186,37 @@ def lr_reg_param(p: dict[str, Any], n_rows: int) -> float:
 
 
 def build_logistic_regression(p: dict[str, Any], ctx: FitContext) -> Estimator:
+    if p.get("solver") == "liblinear":
+        if str(p.get("penalty", "l2")) == "none":
+            raise ValueError("solver 'liblinear' needs a penalty")
+        return _with_engine(OneVsRestLogistic(
+            featuresCol=ctx.features_col, labelCol=ctx.label_col, regParam=lr_reg_param(p, ctx.n_rows),
+            maxIter=ctx.max_iter), "logistic_regression", ctx)
     return _with_engine(LogisticRegression(
         featuresCol=ctx.features_col, labelCol=ctx.label_col, family="multinomial",
         regParam=lr_reg_param(p, ctx.n_rows), elasticNetParam=0.0,
         standardization=ctx.standardize, maxIter=ctx.max_iter), "logistic_regression", ctx)
 
 
+def load_logistic_regression(path: str) -> Model:
+    return (OneVsRestLogisticModel if OneVsRestLogisticModel.stored_at(path) else LogisticRegressionModel).load(path)
+
+
 @dataclass
 class Family:
     name: str
     space: dict[str, Distribution]
     build: Callable[[dict[str, Any], FitContext], Estimator]
     model_class: type = field(default=Model)
+    finish: Callable[[Model, dict[str, Any], FitContext], Model] | None = None    # applied to a fitted model
+    load: Callable[[str], Model] | None = None                                    # default: ``model_class.load``
 
 
 FAMILIES: dict[str, Family] = {
     "random_forest": Family("random_forest", RF_SPACE, build_random_forest,
-                            RandomForestClassificationModel),
+                            RandomForestClassificationModel, finish_random_forest),
     "logistic_regression": Family("logistic_regression", LR_SPACE, build_logistic_regression,
-                                  LogisticRegressionModel),
+                                  LogisticRegressionModel, load=load_logistic_regression),
 }
 
 
@@ -211,11 +231,15 @@ def get_family(family: str | Family) -> Family:
 
 def fit(family: str | Family, params: dict[str, Any], train: DataFrame,
         ctx: FitContext) -> Model:
-    return get_family(family).build(params, ctx).fit(train)
+    fam = get_family(family)
+    model = fam.build(params, ctx).fit(train)
+    return fam.finish(model, params, ctx) if fam.finish else model
 
 
 def fit_iterations(model: Model) -> int | None:
     """Iterations an iterative fit took (None for others): at the cap, it did not converge."""
+    if isinstance(model, OneVsRestLogisticModel):
+        return model.totalIterations
     if isinstance(model, LogisticRegressionModel) and model.hasSummary:
         return int(model.summary.totalIterations)
     return None
@@ -238,9 +262,13 @@ def predict(model: Model, df: DataFrame, prefix: str = "",
 
 
 def save_model(model: Model, path: str) -> str:
-    model.write().overwrite().save(path)
+    if isinstance(model, OneVsRestLogisticModel):
+        model.save(path)
+    else:
+        model.write().overwrite().save(path)
     return path
 
 
 def load_model(family: str | Family, path: str) -> Model:
-    return get_family(family).model_class.load(path)
+    fam = get_family(family)
+    return fam.load(path) if fam.load else fam.model_class.load(path)

@@ -3,8 +3,7 @@
 A space is a dict ``name -> distribution``. Each trial's value of each parameter is
 a hash-uniform draw keyed by ``trial_id|name|seed``, so a trials frame of any size
 is one projection over a frame of trial ids, reproducible without a random state
-and checkable in SQL. With the small default budget (three trials per family) this
-is the same distribution as the start-up phase of a tree-structured Parzen search.
+and checkable in SQL. This is the start-up phase of the Parzen search in ``tpe``.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from typing import Any, Union
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import hash_uniform, key_string, sql_hash_uniform, sql_key
 
@@ -114,6 +114,18 @@ def row_params(row, space: dict[str, Distribution]) -> dict[str, Any]:
     return out
 
 
+def space_fields(space: dict[str, Distribution]) -> list[T.StructField]:
+    """Columns of a frame that holds one value of each parameter."""
+    kinds = {bool: T.BooleanType(), int: T.IntegerType(), float: T.DoubleType(), str: T.StringType()}
+
+    def kind(d: Distribution) -> T.DataType:
+        if isinstance(d, IntRange):
+            return T.IntegerType()
+        return kinds[type(d.values[0])] if isinstance(d, Choice) else T.DoubleType()
+
+    return [T.StructField(name, kind(d)) for name, d in space.items()]
+
+
 # DuckDB twin of ``draw`` for the oracle SQL.
 
 def _sql_lit(v) -> str:

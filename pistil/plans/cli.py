@@ -17,7 +17,9 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 # Absolute imports: this file is also run as a script by spark-submit.
+from pistil.operators.positions import POSITION
 from pistil.operators.split import DEFAULT_RATIOS
+from pistil.operators.tpe import TpeSettings
 from pistil.plans.data_flow import DataFlowConfig, run_data_flow
 from pistil.plans.defaults import FEATURES, REFIT_MAX_ITER, TABLES, TARGET
 from pistil.plans.model_flow import ModelFlowConfig, run_model_flow
@@ -69,7 +71,8 @@ def parser() -> argparse.ArgumentParser:
     for part in ("train", "val", "test"):
         m.add_argument(f"--{part}_table_name", default=None,
                        help=f"base name of the {part} _x/_y tables (all three, instead of one table)")
-    m.add_argument("--key_columns", nargs="+", default=["row_key"])
+    m.add_argument("--key_columns", nargs="*", default=["row_key"],
+                   help="keys of the rows; give none to pair keyless _x/_y tables by position")
     m.add_argument("--feature_columns", nargs="+", default=list(FEATURES))
     m.add_argument("--target_column", default=TARGET)
     m.add_argument("--max_evals", type=int, default=3)
@@ -77,6 +80,12 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--base_experiment_path", default="experiments")
     m.add_argument("--model_dir", default=None)
     m.add_argument("--trial_table", default=None)
+    m.add_argument("--search", default="tpe", choices=["tpe", "random"])
+    m.add_argument("--startup_trials", type=int, default=TpeSettings.startup,
+                   help="random trials before the Parzen search proposes")
+    m.add_argument("--stamp", default=None, help="stamp of the experiments' names (default: now)")
+    m.add_argument("--resume", action="store_true",
+                   help="run only the trials of --stamp that --trial_table does not hold")
     m.add_argument("--families", nargs="+",
                    default=["random_forest", "logistic_regression"])
     m.add_argument("--max_iter", type=int, default=100)
@@ -105,12 +114,13 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
         out = run_data_flow(spark, cfg)
     else:
         cfg = ModelFlowConfig(
-            key_cols=args.key_columns, feature_cols=args.feature_columns,
+            key_cols=args.key_columns or [POSITION], feature_cols=args.feature_columns,
             target_col=args.target_column, max_evals=args.max_evals, seed=args.random_seed,
             parallelism=args.parallelism, experiment_base=args.base_experiment_path,
             model_dir=args.model_dir, trial_table=args.trial_table, families=args.families,
             max_iter=args.max_iter, refit_max_iter=args.refit_max_iter,
-            checkpoint_inputs=args.checkpoint_inputs)
+            checkpoint_inputs=args.checkpoint_inputs, search=args.search,
+            settings=TpeSettings(startup=args.startup_trials), stamp=args.stamp, resume=args.resume)
         bases = {"train": args.train_table_name, "val": args.val_table_name, "test": args.test_table_name}
         if all(bases.values()) and not args.processed_table_name:
             data = frame_from_xy(spark, bases, args.key_columns, args.target_column, args.catalog, args.schema)

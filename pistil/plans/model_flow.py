@@ -30,6 +30,7 @@ from ..operators.models import (Family, FitContext, assemble, fit_iterations, fi
                                 free_name, get_family, place_rows, training_frame)
 from ..operators.space import Distribution
 from ..operators.split import select_splits
+from ..operators.tpe import TpeSettings
 from ..operators.tune import TrialLog, TuneResult, tune
 from ..session import scratch_path
 from . import defaults
@@ -64,6 +65,10 @@ class ModelFlowConfig:
     checkpoint_inputs: bool = False   # write train/val to the shared checkpoint folder
     store_input: bool = True          # store the input once, partitioned by split
     train_partitions: int | None = None   # layout of train/val; None: from the stored bytes
+    search: str = "tpe"               # "tpe" (random for the first trials) | "random"
+    settings: TpeSettings = TpeSettings()
+    stamp: str | None = None          # part of the experiments' names; that of a stored search to resume it
+    resume: bool = False              # run only the trials that trial_table does not hold
 
 
 @dataclass
@@ -128,7 +133,7 @@ def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
                  time.perf_counter() - t0)
         if not n_val:
             raise ValueError("the validation part has no rows; trials cannot be compared")
-        stamp = now_stamp()
+        stamp = cfg.stamp or now_stamp()
         trial_log = TrialLog(spark, cfg.trial_table, cfg.trial_path) if cfg.trial_table else None
 
         def tune_family(fam: Family) -> TuneResult:
@@ -139,7 +144,8 @@ def run_model_flow(data: DataFrame, cfg: ModelFlowConfig) -> ModelFlowResult:
                 experiment=experiment_name(cfg.experiment_base, fam.name, stamp),
                 model_dir=cfg.model_dir, trial_table=trial_log,
                 max_iter=cfg.max_iter, standardize=cfg.standardize, n_train=n_train,
-                engine=cfg.engine, features_col=feat, label_col=lab)
+                engine=cfg.engine, features_col=feat, label_col=lab, search=cfg.search,
+                settings=cfg.settings, resume=cfg.resume)
 
         # Families are independent: their fits are submitted from separate driver
         # threads and share the executors (each fit is itself distributed).

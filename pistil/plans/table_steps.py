@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.naming import snake_case
 from ..operators import prep, split
 from ..operators.models import assemble, fit_label_indexer, free_name, place_rows, training_frame
+from ..operators.positions import POSITION, pair_by_position
+from ..operators.tpe import TpeSettings
 from ..operators.tune import TuneResult, tune
 from ..sources.tables import LoadResult, load_csv_table, table_name, write_table
 
@@ -95,16 +97,20 @@ def features_and_target(spark: SparkSession, table: str, feature_cols: Sequence[
     return xn, yn
 
 
-def read_xy(spark: SparkSession, base: str, key_cols: Sequence[str], target_col: str,
+def read_xy(spark: SparkSession, base: str, key_cols: Sequence[str] | None, target_col: str,
             catalog: str | None = None, schema: str | None = None) -> DataFrame:
-    """Re-pair ``<base>_x`` with ``<base>_y`` on the key."""
-    key_cols = [snake_case(k) for k in key_cols]
+    """Re-pair ``<base>_x`` with ``<base>_y`` on the key; without one, row by row in stored order, with
+    the position as the column ``position``."""
+    key_cols = [snake_case(k) for k in key_cols or []]
     x = spark.table(_name(catalog, schema, f"{base}_x"))
-    y = spark.table(_name(catalog, schema, f"{base}_y")).select(*key_cols, target_col)
-    return prep.join_features_target(x, y, key_cols)
+    y = spark.table(_name(catalog, schema, f"{base}_y"))
+    if not key_cols:
+        paired = pair_by_position(x, y)
+        return paired.select(POSITION, *x.columns, target_col)
+    return prep.join_features_target(x, y.select(*key_cols, target_col), key_cols)
 
 
-def frame_from_xy(spark: SparkSession, bases: dict[str, str], key_cols: Sequence[str],
+def frame_from_xy(spark: SparkSession, bases: dict[str, str], key_cols: Sequence[str] | None,
                   target_col: str, catalog: str | None = None, schema: str | None = None,
                   split_col: str = "split") -> DataFrame:
     """One keyed frame with a split column from per-split ``_x``/``_y`` tables
@@ -121,26 +127,27 @@ def frame_from_xy(spark: SparkSession, bases: dict[str, str], key_cols: Sequence
 
 
 def hp_tune(spark: SparkSession, train_base: str, val_base: str, family: str, *,
-            feature_cols: Sequence[str], target_col: str, key_cols: Sequence[str],
+            feature_cols: Sequence[str], target_col: str, key_cols: Sequence[str] | None = None,
             space=None, max_evals: int = 3, metric="accuracy", maximize: bool = True,
             seed: int = 42, parallelism: int = 2, catalog: str | None = None,
             schema: str | None = None, experiment: str | None = None,
-            model_dir: str | None = None, trial_table: str | None = None) -> TuneResult:
-    """Tune one family on ``<train_base>_x/_y`` and ``<val_base>_x/_y``."""
+            model_dir: str | None = None, trial_table: str | None = None, search: str = "tpe",
+            settings: TpeSettings = TpeSettings(), resume: bool = False) -> TuneResult:
+    """Tune one family on ``<train_base>_x/_y`` and ``<val_base>_x/_y`` (paired by position without ``key_cols``)."""
     tr = read_xy(spark, train_base, key_cols, target_col, catalog, schema)
     va = read_xy(spark, val_base, key_cols, target_col, catalog, schema)
     feat, lab = free_name(tr.columns, "features"), free_name(tr.columns, "label")
     indexer = fit_label_indexer(tr.unionByName(va), target_col, out=lab)
 
     def prepare(df):
-        rows = place_rows(df, [snake_case(k) for k in key_cols])
+        rows = place_rows(df, [snake_case(k) for k in key_cols or [POSITION]])
         return indexer.transform(assemble(rows, feature_cols, out=feat)).select(feat, lab)
     train, val = training_frame(prepare(tr)), training_frame(prepare(va))
     try:
         return tune(train, val, family, space, max_evals=max_evals, metric=metric,
                     maximize=maximize, seed=seed, parallelism=parallelism,
                     experiment=experiment, model_dir=model_dir, trial_table=trial_table,
-                    features_col=feat, label_col=lab)
+                    features_col=feat, label_col=lab, search=search, settings=settings, resume=resume)
     finally:
         train.unpersist()
         val.unpersist()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 PARSE_MODES = ("PERMISSIVE", "FAILFAST", "DROPMALFORMED")
 
@@ -31,6 +31,17 @@ def read_csv(spark: SparkSession, path: str, *, header: bool = True,
     return reader.csv(path)
 
 
+def read_csv_marked(spark: SparkSession, path: str, schema: StructType | str, *, header: bool = True, sep: str = ",",
+                    line_col: str = "rejected_line") -> DataFrame:
+    """Every line of the CSV file(s): its columns, and in ``line_col`` the line itself where it does not fit the schema
+    (a value of another type, too few or too many fields), else NULL. Blank lines are skipped."""
+    kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    if line_col.lower() in {f.name.lower() for f in kind.fields}:
+        raise ValueError(f"column {line_col!r} is in the schema; choose another name for the rejected lines")
+    return (spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", line_col).schema(StructType([*kind.fields, StructField(line_col, StringType())])).csv(path))
+
+
 def write_csv(df: DataFrame, path: str, *, header: bool = True, sep: str = ",",
               mode: str = "overwrite") -> str:
     """Write ``df`` as CSV part files under ``path`` (one per partition)."""

@@ -11,8 +11,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, StringType
 
-from .csv import read_csv
+from .csv import read_csv, read_csv_marked
 
 DEFAULT_CATALOG = "spark_catalog"
 WRITE_MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
@@ -101,3 +102,43 @@ def load_csv_table(spark: SparkSession, path: str, table: str, *, header: bool =
     write_table(df, table, mode=mode, fmt=fmt, path=table_path)
     row = table_shape(spark, table).first()
     return LoadResult(table, int(row["rows"]), int(row["columns"]))
+
+
+@dataclass
+class CheckedLoad(LoadResult):
+    rejects: str
+    rejected: int
+
+
+def _folder_table(spark: SparkSession, name: str, path: str, schema: StructType) -> None:
+    """An external Parquet table over a folder (made if missing)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
+
+
+def load_csv_checked(spark: SparkSession, path: str, table: str, rejects: str, schema: StructType | str, root: str, *,
+                     header: bool = True, sep: str = ",", mode: str = "overwrite", line_col: str = "rejected_line") -> CheckedLoad:
+    """CSV -> one table of the lines that fit the schema and one (``rejects``) of the lines that do not.
+
+    The file is read once: lines are written to ``root``, partitioned by whether they fit, and the two tables are
+    external tables over the two partitions' folders. Every line is in exactly one of them, so the two counts
+    (from the Parquet footers) add up to the lines read. ``mode="append"`` adds to both.
+    """
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode must be 'overwrite' or 'append', got {mode!r}")
+    kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    kind = StructType([StructField(f.name, f.dataType, True) for f in kind.fields])
+    part = "rejected"
+    while part in {f.name.lower() for f in kind.fields}:
+        part = "_" + part
+    marked = read_csv_marked(spark, path, StructType(kind.fields), header=header, sep=sep, line_col=line_col)
+    (marked.withColumn(part, F.col(line_col).isNotNull()).write.mode(mode).partitionBy(part).parquet(root.rstrip("/")))
+    sides = ((table, "false", kind), (rejects, "true", StructType([StructField(line_col, StringType(), True)])))
+    for name, value, columns in sides:
+        if mode == "overwrite" or not spark.catalog.tableExists(name):
+            _folder_table(spark, name, f"{root.rstrip('/')}/{part}={value}", columns)
+        spark.catalog.refreshTable(name)
+    good, bad = (spark.table(name).count() for name, _, _ in sides)
+    return CheckedLoad(table, good, len(kind.fields), rejects, bad)
