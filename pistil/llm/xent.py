@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,14 +48,15 @@ IS_WORD = U64(1)                 # lowest bit of a key: set for words only
 
 
 def planes(x: np.ndarray, kind: str) -> bytes:
-    """Values byte by byte: first all lowest bytes, and so on (compresses well)."""
+    """Values byte by byte, first all lowest bytes, and so on, compressed: what Spark sorts and sends is a third."""
     x = x.astype(kind)
-    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
 
 
 def unplanes(data: bytes, kind: str) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def write_segments(docs: DataFrame, path: str, segment_bytes: int) -> DataFrame:
@@ -149,7 +151,7 @@ def score_documents(docs: DataFrame, good_ids: DataFrame, id_col: str = "doc_id"
     rows = write_segments(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")),
                           path, segment_bytes)
     segments = max(1, rows.select("segment").distinct().count())
-    buckets = max(8, segments // 2)              # a few million keys each
+    buckets = max(8, segments)                   # about as many keys as a segment's
     # the labels have no size bound: never broadcast, so the plan is the same at every size
     good = good_ids.toDF("id").where("id is not null").distinct().withColumn("good", F.lit(True)).hint("merge")
     marked = rows.join(good, "id", "left").select("segment", F.when(F.col("good"), F.col("at")).alias("at"))
@@ -203,9 +205,9 @@ def score_documents(docs: DataFrame, good_ids: DataFrame, id_col: str = "doc_id"
     # explicit numbers of partitions: the work of a segment is not seen in the bytes shuffled to it
     sums = written(marked.repartition(segments, "segment").groupBy("segment")
                          .applyInArrow(lean(count), "segment long, bucket int, keys binary, background binary, target binary")
-                         .groupBy("bucket")
+                         .repartition(buckets, "bucket").groupBy("bucket")
                          .applyInArrow(lean(add), "segment long, bucket int, background binary, target binary, words long, "
-                                            "n_background long, n_target long"), "xent_sums", compression="zstd")
+                                            "n_background long, n_target long"), "xent_sums")
     totals = ("words", "n_background", "n_target")
     total = {k: v or 0 for k, v in sums.agg(*(F.sum(c).alias(c) for c in totals)).first().asDict().items()}
     return (sums.drop(*totals).repartition(segments, "segment").groupBy("segment")
