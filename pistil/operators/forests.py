@@ -11,17 +11,17 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import current_session, scratch_path
 
 NODE = "nodeData"
 
 
 def forest_nodes(path: str) -> DataFrame:
     """The nodes of a stored forest: ``treeID`` and ``nodeData``."""
-    return SparkSession.getActiveSession().read.parquet(f"{path}/data")
+    return current_session().read.parquet(f"{path}/data")
 
 
 def cut_small_splits(nodes: DataFrame, least: int) -> DataFrame:
@@ -52,7 +52,7 @@ def cut_small_splits(nodes: DataFrame, least: int) -> DataFrame:
 
 def with_least_split(model: RandomForestClassificationModel, share: float, rows: int) -> RandomForestClassificationModel:
     """The forest with no split of a node under ``ceil(share * rows)`` rows."""
-    spark = SparkSession.getActiveSession()
+    spark = current_session()
     path = scratch_path(spark, "forest")
     model.write().save(path)
     cut_small_splits(forest_nodes(path), math.ceil(share * rows)).coalesce(1).write.parquet(f"{path}/cut")

@@ -24,9 +24,11 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasProbabilityCol,
                                      HasRawPredictionCol, HasRegParam, HasTol)
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import current_session
+
 MARKER = "one_vs_rest"
 MAX_FEATURES = 1000               # second derivatives are summed in full
 STORED = "coefficients array<array<double>>, iterations int, features string, prediction string, probability string, raw string"
@@ -156,16 +158,16 @@ class OneVsRestLogisticModel(Model, _Columns):
     def save(self, path: str) -> None:
         """The weights and column names as one row (overwrites)."""
         row = (self.coefficients.tolist(), self.totalIterations, self.getFeaturesCol(), self.getPredictionCol(), self.getProbabilityCol(), self.getRawPredictionCol())
-        SparkSession.getActiveSession().createDataFrame([row], STORED).coalesce(1).write.mode("overwrite").parquet(f"{path}/{MARKER}")
+        current_session().createDataFrame([row], STORED).coalesce(1).write.mode("overwrite").parquet(f"{path}/{MARKER}")
 
     @staticmethod
     def stored_at(path: str) -> bool:
-        spark = SparkSession.getActiveSession()
+        spark = current_session()
         p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MARKER}")
         return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
     @classmethod
     def load(cls, path: str) -> "OneVsRestLogisticModel":
-        r = SparkSession.getActiveSession().read.schema(STORED).parquet(f"{path}/{MARKER}").first()
+        r = current_session().read.schema(STORED).parquet(f"{path}/{MARKER}").first()
         model = cls(r["coefficients"], r["iterations"])
         return model._set(featuresCol=r["features"], predictionCol=r["prediction"], probabilityCol=r["probability"], rawPredictionCol=r["raw"])

@@ -31,6 +31,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     )
 
 
+def current_session() -> SparkSession:
+    """The active session, or in a thread that has none the application's."""
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
 def _is_local(spark: SparkSession) -> bool:
     try:
         master = spark.conf.get("spark.master", "") or ""

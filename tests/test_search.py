@@ -262,6 +262,16 @@ def test_no_split_below_min_samples_split(spark, parts):
     assert len(one) == 8 and {(r.id, r.leftChild, r.gain) for r in one} == {(0, -1, -1.0)}
 
 
+def test_limits_hold_in_the_search_itself(parts):
+    """Fits run in threads of the search."""
+    rf = {"n_estimators": IntRange(3, 5), "max_depth": IntRange(5, 9), "min_samples_split": Uniform(0.2, 0.3), "min_samples_leaf": Uniform(0.01, 0.02),
+          "bootstrap": Choice([True, False])}
+    lr = {"penalty": Choice(["l2"]), "C": Uniform(0.5, 1.0), "solver": Choice(["liblinear"]), "l1_ratio": Uniform(0, 1)}
+    for family, space in (("random_forest", rf), ("logistic_regression", lr)):
+        res = tune(parts["train"], parts["val"], family, space, max_evals=3, parallelism=3)
+        assert {(r.status, r.error) for r in res.trials.collect()} == {("ok", None)}
+
+
 @pytest.mark.parametrize("classes", [2, 3])
 def test_liblinear_optimum(spark, parts, classes):
     rows = parts["train"].withColumn("label", F.least("label", F.lit(float(classes - 1)))).select("features", "label")
