@@ -12,6 +12,8 @@ The tagged table is stored once, partitioned by split; each part is read by part
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,11 +50,12 @@ def _prepared(spark, d):
     df = store_by_split(_banded(spark, d).select(*LINE_KEY, *LINE_FEATURES, BAND, "split"))
     indexer = fit_label_indexer(df.where(F.col("split") != "test"), BAND)
 
-    def prep(frame):
-        rows = place_rows(frame.drop("split"), LINE_KEY)
+    def prep(name):
+        rows = df.where(F.col("split") == name).drop("split")
+        if name != "test":                   # fits need rows in a fixed layout, predictions do not
+            rows = place_rows(rows, LINE_KEY)
         return indexer.transform(assemble(rows, LINE_FEATURES)).select(*LINE_KEY, BAND, "features", "label")
-    parts = {s: prep(df.where(F.col("split") == s)) for s in ("train", "val", "test")}
-    return parts, list(indexer.labelsArray[0])
+    return {s: prep(s) for s in ("train", "val", "test")}, list(indexer.labelsArray[0])
 
 
 def _checked(df: DataFrame, labels, prob="probability", index="prediction", label=None, more=()) -> DataFrame:
@@ -84,19 +87,22 @@ def q_label_index(spark, d):
         F.count(F.lit(1)).alias("count"))
 
 
-def _single(spark, d, family, params, refit=False):
+def _single(spark, d, family, params, refit=False, check=None):
+    """The checked test predictions of one fit; ``check`` looks at the model and its (cached) training rows."""
     parts, labels = _prepared(spark, d)
     train = training_frame(
         (union_train_val(parts["train"], parts["val"]) if refit else parts["train"])
         .select("features", "label"))
     ctx = FitContext(n_rows=train.count(), seed=SEED)
     model = fit(family, params, train, ctx)
-    return model, train, ctx, _checked(predict(model, parts["test"]), labels)
+    found = check(model, train, ctx) if check else None
+    train.unpersist()
+    return _checked(predict(model, parts["test"]), labels), found
 
 
 def q_rf_predict(spark, d):
     """Forest fitted on train, labels and probabilities on test."""
-    return _single(spark, d, "random_forest", RF_PARAMS)[3]
+    return _single(spark, d, "random_forest", RF_PARAMS)[0]
 
 
 def gradient_norm(model, train: DataFrame, reg: float) -> float:
@@ -115,14 +121,14 @@ def gradient_norm(model, train: DataFrame, reg: float) -> float:
 def q_lr_predict(spark, d):
     """Logistic regression fitted on train, predictions on test, and whether the
     gradient of what the fit minimises vanishes on the training rows."""
-    model, train, ctx, out = _single(spark, d, "logistic_regression", LR_PARAMS)
-    flat = gradient_norm(model, train, lr_reg_param(LR_PARAMS, ctx.n_rows)) < 1e-3
+    out, flat = _single(spark, d, "logistic_regression", LR_PARAMS,
+                        check=lambda model, train, ctx: gradient_norm(model, train, lr_reg_param(LR_PARAMS, ctx.n_rows)) < 1e-3)
     return out.withColumn("gradient_vanishes", F.lit(flat))
 
 
 def q_refit_predict(spark, d):
     """I8: forest refitted on train + validation, predictions on test."""
-    return _single(spark, d, "random_forest", RF_PARAMS, refit=True)[3]
+    return _single(spark, d, "random_forest", RF_PARAMS, refit=True)[0]
 
 
 def _params(space) -> list:
@@ -172,8 +178,9 @@ def _ensemble(spark, d):
     parts, labels = _prepared(spark, d)
     tv = training_frame(union_train_val(parts["train"], parts["val"]).select("features", "label"))
     ctx = FitContext(n_rows=tv.count(), seed=SEED)
-    models = {"rf": fit("random_forest", RF_PARAMS, tv, ctx),
-              "lr": fit("logistic_regression", LR_PARAMS, tv, ctx)}
+    with ThreadPoolExecutor(max_workers=2) as pool:       # independent fits on the same cached rows
+        fitted = list(pool.map(lambda f: fit(f[0], f[1], tv, ctx), [("random_forest", RF_PARAMS), ("logistic_regression", LR_PARAMS)]))
+    models = dict(zip(("rf", "lr"), fitted))
     tv.unpersist()
     return soft_vote(parts["test"], models, labels, keep=[*LINE_KEY, BAND]), labels
 

@@ -44,9 +44,10 @@ def q_positional_pairing(spark, d):
     half = li.count() // 2
     for mode, part in (("overwrite", F.col("at") < half), ("append", F.col("at") >= half)):
         # ranges of positions as files: the order of the files is the order of the lines
-        rows = lines.where(part).repartitionByRange(5, "at").sortWithinPartitions("at")
+        rows = lines.where(part).repartitionByRange(5, "at").sortWithinPartitions("at").persist()
         x, y = prep.features_and_target(rows, [*LINE_KEY, *LINE_FEATURES], LINE_TARGET)
         prep.write_features_target(x, y, *sides, [], mode=mode, x_path=shared_dir(spark, "tables", sides[0]), y_path=shared_dir(spark, "tables", sides[1]))
+        rows.unpersist()
     return pair_by_position(*map(spark.table, sides))
 
 
