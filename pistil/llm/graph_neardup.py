@@ -12,7 +12,8 @@ reverse edges and every vector reachable from the medoid. The adjacency lists th
 cells give a vector are then united by vector, and each cell is searched with the united lists:
 a greedy beam from the medoid, then an expansion over everything in range. Links are verified by
 cosine in double precision. The recall of the whole search is audited against brute force for a
-fixed number of query vectors over all rows, and the beam is widened if it falls short.
+fixed number of query vectors over all rows; if it falls short the beam is widened, and after that every cell is
+compared exactly (linked pairs meet in a cell, so that misses nothing).
 
 A cell that cannot be split (its vectors are almost equal) is compared exactly, block by block.
 Links inside a cell are counted where they are found and leave it only as one edge per vector, so a
@@ -38,7 +39,8 @@ from .common import ship_package, table, written
 from .components import components
 
 THRESHOLD = 0.98
-MAX_CELL = 4096
+MAX_CELL = 2048
+STEP = 1 << 21                   # components of pairs that are verified at once
 CHILDREN = 16
 SAMPLE_ROWS = 2048               # rows of a cell that its centroids are fitted on
 MAX_DEPTH = 12
@@ -199,9 +201,26 @@ def range_search(x: np.ndarray, begin: np.ndarray, to: np.ndarray, queries: np.n
 
 
 def cosine_pairs(raw: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine in double precision of the original vectors."""
+    """Cosine in double precision of the original vectors, about ``STEP`` components at a time."""
     norm = np.sqrt((raw * raw).sum(1))
-    return np.einsum("ij,ij->i", raw[a], raw[b]) / (norm[a] * norm[b])
+    out, step = np.empty(len(a)), max(1, STEP // raw.shape[1])
+    for lo in range(0, len(a), step):
+        p, q = a[lo:lo + step], b[lo:lo + step]
+        out[lo:lo + step] = np.einsum("ij,ij->i", raw[p], raw[q]) / (norm[p] * norm[q])
+    return out
+
+
+def exact_pairs(raw: np.ndarray, own: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs over the threshold with one of the cell's own vectors, by blocked products."""
+    x, found = _unit(raw), [np.zeros((0, 2), dtype=np.int64)]
+    for lo in range(0, len(x), 512):
+        a, b = np.nonzero(x[lo:lo + 512] @ x[lo:].T >= threshold - 1e-9)
+        keep = (a < b) & (own[a + lo] | own[b + lo])
+        a, b = a[keep] + lo, b[keep] + lo
+        ok = cosine_pairs(raw, a, b) >= threshold
+        found.append(np.stack([a[ok], b[ok]], 1))
+    pair = np.concatenate(found)
+    return pair[:, 0], pair[:, 1]
 
 
 # ---------------------------------------------------------------- cells
@@ -324,11 +343,13 @@ def _report(rid: np.ndarray, own: np.ndarray, a: np.ndarray, b: np.ndarray) -> p
 _FOUND = "a long, b long, n long"
 
 
-def search_cells(cells: DataFrame, graph: DataFrame, threshold: float, beam: int) -> DataFrame:
+def search_cells(cells: DataFrame, graph: DataFrame, threshold: float, beam: int | None) -> DataFrame:
     """Written links: rows ``a, b, n`` with ``n`` links of ``a`` counted (``b`` its root in the cell), or
-    with ``n`` 0 a single link between cells."""
+    with ``n`` 0 a single link between cells. Without a beam every cell is compared exactly."""
     def search(t: pa.Table) -> pa.Table:
         raw, rid, own = _vectors(t), np.asarray(t.column("rid")), np.asarray(t.column("own"))
+        if beam is None:
+            return _report(rid, own, *exact_pairs(raw, own, threshold))
         x = _unit(raw)
         order = np.argsort(rid)
         near = t.column("near").combine_chunks()
@@ -341,9 +362,9 @@ def search_cells(cells: DataFrame, graph: DataFrame, threshold: float, beam: int
         sort = np.argsort(a, kind="stable")
         begin = np.concatenate([[0], np.cumsum(np.bincount(a, minlength=len(rid)))])
         p, q = range_search(x, begin, b[sort], np.flatnonzero(own), threshold, beam)
-        pair = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)], 1), axis=0)
-        pair = pair[cosine_pairs(raw, pair[:, 0], pair[:, 1]) >= threshold] if len(pair) else pair
-        return _report(rid, own, pair[:, 0], pair[:, 1])
+        p, q = np.divmod(np.unique(np.minimum(p, q) * len(x) + np.maximum(p, q)), len(x))
+        ok = cosine_pairs(raw, p, q) >= threshold
+        return _report(rid, own, p[ok], q[ok])
 
     def exact(t: pa.Table) -> pa.Table:
         raw, rid, own = _vectors(t), np.asarray(t.column("rid")), np.asarray(t.column("own"))
@@ -357,7 +378,8 @@ def search_cells(cells: DataFrame, graph: DataFrame, threshold: float, beam: int
         ok = cosine_pairs(raw, a, b) >= threshold if len(a) else ok[:0]
         return _report(rid, own, a[ok], b[ok])
 
-    found = (cells.where("blocks = 1").join(graph, "rid").groupBy("cell").applyInArrow(search, _FOUND))
+    small = cells.where("blocks = 1")
+    found = (small.join(graph, "rid") if beam else small).groupBy("cell").applyInArrow(search, _FOUND)
     dense = cells.where("blocks > 1").withColumn("side", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
     dense = (dense.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                   .withColumn("i", F.least("side", "o")).withColumn("j", F.greatest("side", "o")))
@@ -366,10 +388,14 @@ def search_cells(cells: DataFrame, graph: DataFrame, threshold: float, beam: int
 
 def audit(rows: DataFrame, links: DataFrame, threshold: float, queries: int = AUDIT_ROWS) -> float:
     """Share of the links of a fixed number of query vectors that were found, by brute force over all
-    rows. The queries are the ones with the smallest id hashes; their vectors are broadcast."""
+    rows: the ``queries`` vectors with the smallest id hashes, and as many of those for which a link was found. Of
+    both the share of links and the mean share of each vector's links (in which small groups count as
+    much as large ones); the least of these. The queries' vectors are broadcast."""
     spark = rows.sparkSession
-    picked = (rows.where("vec is not null").select("rid", "cell", "vec", F.xxhash64("rid").alias("h"))
-                  .orderBy("h", "rid").limit(queries).collect())
+    hashed = rows.where("vec is not null").select("rid", "cell", "vec", F.xxhash64("rid").alias("h"))
+    least = lambda df: df.select("rid", "cell", "vec", "h").orderBy("h", "rid").limit(queries).collect()
+    strata = [least(hashed), least(hashed.join(link_counts(links), "rid"))]
+    picked = {r["rid"]: r for side in strata for r in side}.values()
     shared = spark.sparkContext.broadcast([(r["rid"], r["cell"], bytes(r["vec"])) for r in picked])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,8 +414,13 @@ def audit(rows: DataFrame, links: DataFrame, threshold: float, queries: int = AU
     truth = {r["rid"]: r["n"] - 1 for r in rows.where("vec is not null").select("rid", "cell", "vec")
              .mapInArrow(count, "rid long, n long").groupBy("rid").agg(F.sum("n").alias("n")).collect()}
     got = {r["rid"]: r["n"] for r in link_counts(links).where(F.col("rid").isin([q[0] for q in shared.value])).collect()}
-    want = sum(truth.values())
-    return sum(min(got.get(k, 0), n) for k, n in truth.items()) / want if want else 1.0
+    shares = [1.0]
+    for side in strata:
+        n = {r["rid"]: truth[r["rid"]] for r in side if truth[r["rid"]]}
+        if n:
+            met = {k: min(got.get(k, 0), v) for k, v in n.items()}
+            shares += [sum(met.values()) / sum(n.values()), sum(met[k] / n[k] for k in n) / len(n)]
+    return min(shares)
 
 
 def link_counts(links: DataFrame) -> DataFrame:
@@ -408,13 +439,12 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     rows = clean_vectors(df, id_col, vec_col, label_col)
     cells = split_cells(rows, threshold, max_cell)
     graph = graph_edges(cells)
-    for _ in range(3):
-        links = search_cells(cells, graph, threshold, beam)
-        recall = audit(rows, links, threshold)
-        log.info("graph search with beam %d: audited recall %.4f", beam, recall)
+    for width in (beam, 2 * beam, None):                 # at last every cell exactly
+        links = search_cells(cells, graph, threshold, width)
+        recall = audit(rows, links, threshold) if width else 1.0
+        log.info("graph search with beam %s: audited recall %.4f", width, recall)
         if recall >= LEAST_RECALL:
             break
-        beam *= 2
     roots = components(links.select("a", "b"))
     named = rows.select("rid", "id").join(roots.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     low = named.groupBy("root").agg(F.min("id").alias("component_id"))

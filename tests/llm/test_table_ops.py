@@ -245,6 +245,27 @@ def test_vectors_against_brute_force(spark, seed, max_cell):
         assert got == want
 
 
+def test_vectors_compared_exactly_where_the_search_falls_short(spark, monkeypatch):
+    monkeypatch.setattr(graph_neardup, "LEAST_RECALL", 1.01)          # no search is good enough: the driver decides
+    rows = vector_rows(3)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["id"]: (r["n_links"], r["component_id"], r["kept"]) for r in graph_neardup.near_vectors(df, max_cell=60).collect()}
+    assert got == vectors_by_hand(rows)[0]
+
+
+def test_pairs_of_a_dense_cell_are_verified_in_steps(monkeypatch):
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, 1, 16) + rng.normal(0, 0.05, (700, 16))
+    own = rng.random(700) < 0.8
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    a, b = np.nonzero(np.triu(unit @ unit.T >= 0.98, 1))
+    keep = own[a] | own[b]
+    for step in (16, 1000, 1 << 21):
+        monkeypatch.setattr(graph_neardup, "STEP", step)
+        assert set(zip(*graph_neardup.exact_pairs(x, own, 0.98))) == set(zip(a[keep], b[keep]))
+        assert np.allclose(graph_neardup.cosine_pairs(x, a, b), np.einsum("ij,ij->i", unit[a], unit[b]))
+
+
 def test_vectors_empty_table_and_repeated_ids(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert graph_neardup.near_vectors(spark.createDataFrame([], schema)).collect() == []
