@@ -267,23 +267,25 @@ def test_decontamination_of_nothing(spark):
 # ------------------------------------------------------------------ language ID
 
 LANGS = {"en": "the and ing that with was for this", "de": "der die und ein ich nicht auf ist", "fr": "le les une dans qui pour est avec"}
+SCRIPTS = {"ru": "это не что как было для они все", "uk": "це не що як було для вони всі", "zh": "我们 可以 这个 没有 什么 时候 知道 现在",
+           "ja": "これは それが ありません でした という ました", "el": "και στο από για δεν είναι που"}
 
 
-def language_texts(seed, n):
+def language_texts(seed, n, langs=LANGS):
     rng = random.Random(seed)
     out = []
     for i in range(n):
-        lang = rng.choice(sorted(LANGS))
-        out.append((i, " ".join(rng.choice(LANGS[lang].split()) for _ in range(rng.randint(5, 40))), lang))
+        lang = rng.choice(sorted(langs))
+        out.append((i, " ".join(rng.choice(langs[lang].split()) for _ in range(rng.randint(5, 40))), lang))
     return out
 
 
-def code_length_by_hand(texts, text, symbol, blank, rare_bits):
+def code_length_by_hand(texts, text):
     """PPM with the plain recursion over contexts of one language."""
     counts = Counter()
-    pad = [blank] * langid.DEPTH
+    pad = [32] * langid.DEPTH
     for t in texts:
-        s = pad + [symbol[b] for b in t.encode()]
+        s = pad + list(t.encode().lower())
         for i in range(langid.DEPTH, len(s)):
             for d in range(langid.DEPTH + 1):
                 counts[tuple(s[i - d:i]), s[i]] += 1
@@ -291,9 +293,8 @@ def code_length_by_hand(texts, text, symbol, blank, rare_bits):
     for (ctx, _), n in counts.items():
         total[ctx] += n
         kinds[ctx] += 1
-    bits, s = 0.0, pad + [symbol[b] for b in text.encode()]
+    bits, s = 0.0, pad + list(text.encode().lower())
     for i in range(langid.DEPTH, len(s)):
-        bits += rare_bits * (s[i] == langid.RARE)
         for d in range(langid.DEPTH, -1, -1):
             ctx = tuple(s[i - d:i])
             if (ctx, s[i]) in counts:
@@ -311,11 +312,10 @@ def test_ppm_code_lengths_equal_the_recursion(spark):
     model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     held = {r[0] for r in spark.createDataFrame(rows, "doc_id long, text string, lang string")
             .where(langid.held_out("doc_id")).select("doc_id").collect()}
-    for text in ("the thing über xyz", "qui est là", "0"):
+    for text in ("the thing über xyz", "qui est là", "0", "ÜBER The Привет 你好 \x00\x7f"):
         buf = np.frombuffer(text.encode(), dtype=np.uint8)
         got = langid.code_lengths(model, buf, np.array([0, len(buf)]))[0]
-        want = [code_length_by_hand([t for i, t, k in rows if k == lang and i not in held], text, model.symbol, model.blank,
-                                    model.rare_bits) for lang in model.languages]
+        want = [code_length_by_hand([t for i, t, k in rows if k == lang and i not in held], text) for lang in model.languages]
         assert got == pytest.approx(want, rel=1e-4)
 
 
@@ -326,6 +326,34 @@ def test_languages_of_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_scripts_beside_a_large_latin_sample(spark):
+    """Few documents of each script among very many Latin ones: every byte keeps its own statistics."""
+    rows = language_texts(4, 600) + [(1000 + i, t, k) for i, t, k in language_texts(5, 150, SCRIPTS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.predict(docs, langid.train(docs)).where(langid.held_out("doc_id")).where("doc_id >= 1000").collect()
+    assert len(got) > 20 and sum(r["lang"] == r["lang_pred"] for r in got) / len(got) > 0.95
+
+
+def test_code_tables():
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 1 << 32, 5000).astype(np.uint32))
+    slots = langid.Slots(keys)
+    other = rng.integers(0, 1 << 32, 20_000).astype(np.uint32)
+    assert (slots.of(keys) == np.arange(1, len(keys) + 1)).all()
+    assert ((slots.of(other) > 0) == np.isin(other, keys)).all()
+    assert langid.Slots(keys[:0]).of(other).sum() == 0
+
+
+def test_stage_drops_what_no_language_codes(spark):
+    rng = random.Random(7)
+    alien = "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(300))
+    rows = language_texts(6, 90) + [(200, alien, None), (201, alien[:20], None), (202, "12 34", None), (203, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in langid.keep_identified(spark, docs, "").collect()} == {*range(90), 201}
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["doc_id"] for r in langid.keep_identified(spark, unlabelled, "").collect()} == {*range(90), 200, 201}
+
+
 def test_texts_without_letters(spark):
     train = spark.createDataFrame(language_texts(3, 60) + [(None, "xx", "zz"), (1, None, "en"), (2, "the", None)],
                                   "doc_id long, text string, lang string")
