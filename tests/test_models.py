@@ -1,5 +1,7 @@
 """Modelling operators on Spark ML."""
 
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -250,7 +252,11 @@ def test_many_trials_keep_one_model_and_log_each_once(spark, prepared):
                experiment="many", trial_table=log)
     rows = spark.table(name).collect()
     assert sorted(r["trial_id"] for r in rows) == list(range(1, 31))
-    assert {r["status"] for r in rows} == {"ok"} and all(r["iterations"] <= 3 for r in rows)
+    # liblinear cannot do without a penalty: such trials are logged as failed
+    tried = {r["trial_id"]: json.loads(r["params"]) for r in rows}
+    assert all((r["status"] == "failed") == (tried[r["trial_id"]]["penalty"] == "none" and tried[r["trial_id"]]["solver"] == "liblinear") for r in rows)
+    rows = [r for r in rows if r["status"] == "ok"]
+    assert len(rows) > 20 and all(r["iterations"] <= 3 for r in rows)
     best = min(rows, key=lambda r: (r["val_loss"], r["trial_id"]))
     assert res.best["trial_id"] == best["trial_id"] and res.best_model is not None
 
