@@ -64,10 +64,11 @@ def test_positions_of_many_files_and_loads(spark, tmp_path):
     path = f"{tmp_path}/many"
     stored(spark, rows.where("i < 600"), 30, path)
     df = stored(spark, rows.where("i >= 600"), 7, path, "append")
-    got = with_stored_position(df)
-    assert got.count() == 1000 and got.where("position = i").count() == 1000
-    assert file_offsets(df).agg(F.count("*"), F.sum("rows")).first()[1] == 1000
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    as_plan = file_offsets(df, local_files=0)            # as for very many files
+    for got in (with_stored_position(df), with_stored_position(df, offsets=as_plan)):
+        assert got.count() == 1000 and got.where("position = i").count() == 1000
+    assert sorted(as_plan.collect()) == sorted(file_offsets(df).collect())
+    plan = as_plan._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window") == 2 and plan.count("Join") >= 1
     single = with_stored_position(spark.read.parquet(f"{SF_SMALL}/orders.parquet"), "at")
     assert single.agg(F.max("at"), F.count_distinct("at")).first()[0] == single.count() - 1
