@@ -15,7 +15,8 @@ cosine in double precision. The recall of the whole search is audited against br
 fixed number of query vectors over all rows; if it falls short the beam is widened, and after that every cell is
 compared exactly (linked pairs meet in a cell, so that misses nothing).
 
-A cell that cannot be split (its vectors are almost equal) is compared exactly, block by block.
+A cell many of whose pairs are linked is compared exactly, and one that cannot be split (its vectors are almost
+equal) block by block.
 Links inside a cell are counted where they are found and leave it only as one edge per vector, so a
 large group of copies sends no list of pairs.
 
@@ -39,7 +40,8 @@ from .common import ship_package, table, written
 from .components import components
 
 THRESHOLD = 0.98
-MAX_CELL = 2048
+MAX_CELL = 4096
+DENSE = 0.05                     # share of linked pairs from which a cell is compared exactly
 STEP = 1 << 21                   # components of pairs that are verified at once
 CHILDREN = 16
 SAMPLE_ROWS = 2048               # rows of a cell that its centroids are fitted on
@@ -212,17 +214,23 @@ def cosine_pairs(raw: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def exact_pairs(raw: np.ndarray, own: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """All pairs over the threshold with one of the cell's own vectors, by blocked products."""
-    x, found = _unit(raw), [np.zeros((0, 2), dtype=np.int64)]
+    x, found = _unit(raw), [np.zeros((0, 2), dtype=np.int32)]
     for lo in range(0, len(x), 512):
         a, b = np.nonzero(x[lo:lo + 512] @ x[lo:].T >= threshold - 1e-9)
         keep = (a < b) & (own[a + lo] | own[b + lo])
         a, b = a[keep] + lo, b[keep] + lo
         ok = cosine_pairs(raw, a, b) >= threshold
-        found.append(np.stack([a[ok], b[ok]], 1))
+        found.append(np.stack([a[ok], b[ok]], 1).astype(np.int32))
     pair = np.concatenate(found)
     return pair[:, 0], pair[:, 1]
 
 
+def _dense(x: np.ndarray, threshold: float) -> bool:
+    """Whether many pairs of a cell are linked, from 64 of its (unit) vectors."""
+    some = x[np.linspace(0, len(x) - 1, min(64, len(x))).astype(np.int64)]
+    return len(x) > 64 and float((some @ x.T >= threshold).mean()) > DENSE
+
+
 # ---------------------------------------------------------------- cells
 
 def _vectors(t: pa.Table, name: str = "vec") -> np.ndarray:
@@ -348,9 +356,9 @@ def search_cells(cells: DataFrame, graph: DataFrame, threshold: float, beam: int
     with ``n`` 0 a single link between cells. Without a beam every cell is compared exactly."""
     def search(t: pa.Table) -> pa.Table:
         raw, rid, own = _vectors(t), np.asarray(t.column("rid")), np.asarray(t.column("own"))
-        if beam is None:
-            return _report(rid, own, *exact_pairs(raw, own, threshold))
         x = _unit(raw)
+        if beam is None or _dense(x, threshold):       # products in blocks take less than walking to every pair
+            return _report(rid, own, *exact_pairs(raw, own, threshold))
         order = np.argsort(rid)
         near = t.column("near").combine_chunks()
         n = np.diff(np.asarray(near.offsets))
