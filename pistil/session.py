@@ -80,7 +80,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
-DEFAULT_PARTITION_BYTES = 512 << 20
+DEFAULT_PARTITION_BYTES = 32 << 20    # stored; shuffled rows take several times that
 MIN_PARTITION_BYTES = 8 << 20
 MAX_PARTITIONS = 50_000
 

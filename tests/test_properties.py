@@ -158,3 +158,9 @@ def test_zone_stamp_matches_zoneinfo(spark, seconds):
     df = spark.createDataFrame([(u.replace(tzinfo=None),) for u in utc], "ts timestamp_ntz")
     got = [r["s"] for r in df.select(zone_stamp("ts").alias("s")).collect()]
     assert got == [now_stamp(now=u) for u in utc]
+
+
+def test_exchange_partitions_grow_with_the_stored_bytes(spark, monkeypatch):
+    from pistil import session
+    monkeypatch.setattr(session, "stored_bytes", lambda df: 6 << 30)
+    assert session.partitions_for(spark.range(1)) >= 192      # 32 MB stored, a few hundred MB shuffled
