@@ -89,14 +89,18 @@ def fit_label_indexer(df: DataFrame, target_col: str, out: str = LABEL_COL,
 
 
 TRAIN_PARTITION_BYTES = 64 << 20
+TRAIN_PARTITION_ROWS = 250_000
 LEAST_TRAIN_PARTITIONS = 16
 
 
 def train_partitions(df: DataFrame) -> int:
-    """Partitions of a training frame: one per ``TRAIN_PARTITION_BYTES`` of the stored input,
-    ``LEAST_TRAIN_PARTITIONS`` at least. The same for the same data on any cluster."""
-    size = stored_bytes(df)
-    return max(LEAST_TRAIN_PARTITIONS, -(-size // TRAIN_PARTITION_BYTES) if size else 0)
+    """Partitions of a training frame: one per ``TRAIN_PARTITION_BYTES`` of the stored input and one per
+    ``TRAIN_PARTITION_ROWS`` rows, ``LEAST_TRAIN_PARTITIONS`` at least. The same for the same data on any cluster.
+
+    Stored files may hold a row in a few bytes while a fit holds it in hundreds (a forest adds a count per
+    tree), so rows decide too; counting a stored table reads its footers only."""
+    by_bytes = -(-stored_bytes(df) // TRAIN_PARTITION_BYTES)
+    return max(LEAST_TRAIN_PARTITIONS, by_bytes, -(-df.count() // TRAIN_PARTITION_ROWS))
 
 
 def place_rows(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:

@@ -291,3 +291,9 @@ def test_fit_inputs_are_read_by_partition(spark):
     li = tag_split(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"), ["l_orderkey"], (.7, .15, .15), 42)
     plan = store_by_split(li).where("split = 'train'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan
+
+
+def test_training_partitions_follow_the_rows(spark):
+    from pistil.operators.models import train_partitions
+    assert train_partitions(spark.range(5_000_000)) == 20     # a range has no stored bytes to speak of
+    assert train_partitions(spark.range(1000)) == 16
