@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir, stored_bytes
+from .binned_forest import fit_binned
 from .forests import with_least_split
 from .one_vs_rest import OneVsRestLogistic, OneVsRestLogisticModel
 from .space import LR_SPACE, RF_SPACE, Distribution
@@ -236,7 +237,8 @@ def get_family(family: str | Family) -> Family:
 def fit(family: str | Family, params: dict[str, Any], train: DataFrame,
         ctx: FitContext) -> Model:
     fam = get_family(family)
-    model = fam.build(params, ctx).fit(train)
+    est = fam.build(params, ctx)
+    model = fit_binned(est, train) if isinstance(est, RandomForestClassifier) else est.fit(train)
     return fam.finish(model, params, ctx) if fam.finish else model
 
 

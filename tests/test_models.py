@@ -297,3 +297,56 @@ def test_training_partitions_follow_the_rows(spark):
     from pistil.operators.models import train_partitions
     assert train_partitions(spark.range(5_000_000)) == 20     # a range has no stored bytes to speak of
     assert train_partitions(spark.range(1000)) == 16
+
+
+def _forest_rows(spark, n=6000):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = np.stack([rng.integers(0, 40, n), rng.normal(size=n).round(2), rng.integers(0, 5, n)], axis=1)
+    y = (x[:, 0] > 23).astype(int) + (x[:, 1] > 0.4)
+    rows = [(*map(float, r), float(c)) for r, c in zip(x, y)]
+    return rows, lambda rows, parts: assemble(spark.createDataFrame(rows, "a double, b double, c double, label double").repartition(parts), ["a", "b", "c"])
+
+
+def test_a_forest_depends_on_its_rows_alone(spark):
+    """Bootstrap draws are those of the counted cells: neither order nor partitions of the rows matter."""
+    rows, frame = _forest_rows(spark)
+    ctx = FitContext(n_rows=len(rows), seed=7)
+    one, other = (fit("random_forest", RF_ANY, frame(r, parts), ctx) for r, parts in ((rows, 3), (rows[::-1], 11)))
+    assert one.toDebugString.split("\n")[1:] == other.toDebugString.split("\n")[1:]
+    assert one.getNumTrees == 5 and one.numClasses == 3 and one.numFeatures == 3
+
+
+def test_forest_nodes_hold_the_rows_that_reach_them(spark):
+    """Without bootstrap every root holds all rows, and node class counts are those of the rows that the splits send there."""
+    from pistil.operators.forests import forest_nodes
+    from pistil.operators.models import save_model
+    from pistil.session import scratch_path
+    rows, frame = _forest_rows(spark)
+    model = fit("random_forest", {**RF_ANY, "bootstrap": False, "max_depth": 5}, frame(rows, 4), FitContext(n_rows=len(rows), seed=7))
+    nodes = {}
+    for r in forest_nodes(save_model(model, scratch_path(spark, "counted"))).select("treeID", "nodeData.*").collect():
+        nodes.setdefault(r["treeID"], {})[r["id"]] = r
+    for tree in nodes.values():
+        held = {0: rows}
+        for i in sorted(tree):
+            counts = [sum(1 for r in held[i] if r[3] == c) for c in range(3)]
+            assert list(tree[i]["impurityStats"]) == counts and tree[i]["rawCount"] == len(held[i])
+            assert tree[i]["prediction"] == counts.index(max(counts))
+            if tree[i]["leftChild"] >= 0:
+                f, (cut,) = tree[i]["split"]["featureIndex"], tree[i]["split"]["leftCategoriesOrThreshold"]
+                held[tree[i]["leftChild"]] = [r for r in held[i] if r[f] <= cut]
+                held[tree[i]["rightChild"]] = [r for r in held[i] if r[f] > cut]
+                assert min(len(held[tree[i][s]]) for s in ("leftChild", "rightChild")) >= 0.005 * len(rows)
+        assert len(tree) > 1
+    p = [r["probability"] for r in predict(model, frame(rows, 2)).select("probability", "label").collect()]
+    assert all(abs(sum(v) - 1) < 1e-9 for v in p)
+
+
+def test_bootstrap_counts_of_cells_are_those_of_their_rows(spark):
+    """A cell of n rows is drawn Poisson(n) times: the roots' row counts spread like sums of single draws."""
+    import math
+    rows, frame = _forest_rows(spark)
+    model = fit("random_forest", {**RF_ANY, "n_estimators": 40, "max_depth": 1}, frame(rows * 5, 4), FitContext(n_rows=len(rows) * 5, seed=7))
+    off = [(t._call_java("rootNode").impurityStats().count() - len(rows) * 5) / math.sqrt(len(rows) * 5) for t in model.trees]
+    assert max(map(abs, off)) < 5 and 0.5 < sum(v * v for v in off) / len(off) < 2
