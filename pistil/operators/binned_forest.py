@@ -100,33 +100,36 @@ def _histograms(cells: DataFrame, trees: list[dict], active: dict[int, dict[int,
     return cells.mapInArrow(run, "tree int, node int, sums binary")
 
 
-def gini(counts: np.ndarray) -> np.ndarray:
-    total = np.maximum(counts.sum(axis=-1, keepdims=True), 1e-300)
-    return 1.0 - ((counts / total) ** 2).sum(axis=-1)
-
-
-def _best_split(h: np.ndarray, subset: np.ndarray, sizes: list[int], least: float) -> tuple[float, int, int, np.ndarray]:
-    """Gain, feature, bin and left class counts of the best split (gain 0: none); first one on ties."""
-    best = (0.0, -1, 0, np.zeros(h.shape[2]))
-    total = h[0].sum(axis=0)
-    for m, j in enumerate(subset):
-        left = np.cumsum(h[m], axis=0)[:max(0, sizes[j] - 1)]
-        right = total - left
-        nl, nr = left.sum(axis=1), right.sum(axis=1)
-        ok = (nl >= max(least, 1)) & (nr >= max(least, 1))
-        if not ok.any():
-            continue
-        gain = np.where(ok, gini(total) - (nl * gini(left) + nr * gini(right)) / total.sum(), -1.0)
-        s = int(gain.argmax())
-        if gain[s] > best[0]:
-            best = (float(gain[s]), int(j), s, left[s])
-    return best
+def gini(counts: np.ndarray) -> float:
+    return float(1.0 - ((counts / max(counts.sum(), 1e-300)) ** 2).sum())
 
 
 def _splits(sums: DataFrame, active: dict[int, dict[int, np.ndarray]], sizes: list[int], classes: int, least: float) -> list:
     """The best split of every node: its tree's sums meet in one group."""
     width = max(sizes)
 
+    # these go to the workers inside ``run``: a function of this module would have to be importable there
+    def impurity(counts: np.ndarray) -> np.ndarray:
+        total = np.maximum(counts.sum(axis=-1, keepdims=True), 1e-300)
+        return 1.0 - ((counts / total) ** 2).sum(axis=-1)
+
+    def best_split(h: np.ndarray, subset: np.ndarray) -> tuple[float, int, int, np.ndarray]:
+        """Gain, feature, bin and left class counts of the best split (gain 0: none); first one on ties."""
+        best = (0.0, -1, 0, np.zeros(h.shape[2]))
+        total = h[0].sum(axis=0)
+        for m, j in enumerate(subset):
+            left = np.cumsum(h[m], axis=0)[:max(0, sizes[j] - 1)]
+            right = total - left
+            nl, nr = left.sum(axis=1), right.sum(axis=1)
+            ok = (nl >= max(least, 1)) & (nr >= max(least, 1))
+            if not ok.any():
+                continue
+            gain = np.where(ok, impurity(total) - (nl * impurity(left) + nr * impurity(right)) / total.sum(), -1.0)
+            s = int(gain.argmax())
+            if gain[s] > best[0]:
+                best = (float(gain[s]), int(j), s, left[s])
+        return best
+
     def run(table: pa.Table) -> pa.Table:
         added: dict[tuple[int, int], np.ndarray] = {}
         for t, node, raw in zip(*(table[c].to_pylist() for c in ("tree", "node", "sums"))):
@@ -134,7 +137,7 @@ def _splits(sums: DataFrame, active: dict[int, dict[int, np.ndarray]], sizes: li
             added[t, node] = added[t, node] + h if (t, node) in added else h
         out = []
         for (t, node), h in sorted(added.items()):
-            gain, j, s, left = _best_split(h, active[t][node], sizes, least)
+            gain, j, s, left = best_split(h, active[t][node])
             out.append((t, node, h[0].sum(axis=0).tolist(), gain, j, s, left.tolist()))
         return pa.table(dict(zip(("tree", "node", "counts", "gain", "feature", "bin", "low"), map(list, zip(*out)))),
                         schema=pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("counts", pa.list_(pa.float64())), ("gain", pa.float64()),
@@ -162,7 +165,7 @@ def _stored_nodes(t: int, tree: dict, cuts: list[np.ndarray]) -> list[tuple]:
     for i in order:
         c, f = tree["counts"][i], tree["feature"][i]
         split = (-1, [], -1) if leaf[i] else (int(f), [float(cuts[f][tree["bin"][i]])], -1)
-        out.append((t, (place[i], winner[i], float(gini(np.asarray(c))), [float(v) for v in c], int(sum(c)), -1.0 if leaf[i] else tree["gain"][i],
+        out.append((t, (place[i], winner[i], gini(np.asarray(c)), [float(v) for v in c], int(sum(c)), -1.0 if leaf[i] else tree["gain"][i],
                         -1 if leaf[i] else place[tree["left"][i]], -1 if leaf[i] else place[tree["right"][i]], split)))
     return out
 
