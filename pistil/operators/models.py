@@ -156,6 +156,7 @@ class FitContext:
     standardize: bool = False
     features_col: str = FEATURES_COL
     label_col: str = LABEL_COL
+    start_rows: int = 250_000         # large liblinear fits start from a fit of about so many rows (0: never)
     # Engine settings per family name, applied on top of the mapped params, e.g.
     # {"random_forest": {"cacheNodeIds": True, "maxMemoryInMB": 512}} for deep
     # forests (node-id caching costs one int per tree per row) or
@@ -196,7 +197,7 @@ def build_logistic_regression(p: dict[str, Any], ctx: FitContext) -> Estimator:
             raise ValueError("solver 'liblinear' needs a penalty")
         return _with_engine(OneVsRestLogistic(
             featuresCol=ctx.features_col, labelCol=ctx.label_col, regParam=lr_reg_param(p, ctx.n_rows),
-            maxIter=ctx.max_iter), "logistic_regression", ctx)
+            maxIter=ctx.max_iter, startRows=ctx.start_rows), "logistic_regression", ctx)
     return _with_engine(LogisticRegression(
         featuresCol=ctx.features_col, labelCol=ctx.label_col, family="multinomial",
         regParam=lr_reg_param(p, ctx.n_rows), elasticNetParam=0.0,

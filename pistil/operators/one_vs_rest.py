@@ -6,7 +6,8 @@ fit. Probabilities are the classes' sigmoids, divided by their sum; the predicte
 the first on ties.
 
 Spark's own logistic regression cannot penalise an intercept (and gives a constant feature the weight 0), so
-the optimum is found by Newton's method: a pass sums loss, gradient and second derivatives of all classes over the
+the optimum is found by Newton's method (over many rows from the optimum of a few of them, so that a handful of steps
+is left for all): a pass sums loss, gradient and second derivatives of all classes over the
 rows (numpy inside tasks; a task sends k * D * D numbers, D features with the constant, and Spark adds
 them up), the driver solves k systems of size D. The objective is convex; a step that does not lower it
 is halved. The optimum does not depend on the features' scales.
@@ -31,6 +32,8 @@ from ..session import current_session
 
 MARKER = "one_vs_rest"
 MAX_FEATURES = 1000               # second derivatives are summed in full
+LARGE = 4                         # fits over more than this many times ``startRows`` rows start from a fit of that many
+START_PARTITIONS = 16
 STORED = "coefficients array<array<double>>, iterations int, features string, prediction string, probability string, raw string"
 
 
@@ -50,8 +53,9 @@ def _sums(rows: DataFrame, w: np.ndarray, targets: Sequence[int]) -> tuple[np.nd
             label = np.asarray(b.column(1))
             for c in range(k):
                 y, m = label == targets[c], x @ w[c]
-                p = np.exp(-np.logaddexp(0.0, -m))
-                total[c, 0, 0] += np.logaddexp(0.0, np.where(y, -m, m)).sum()
+                e = np.exp(-np.abs(m))                        # one exponential and one logarithm a row and class
+                p = np.where(m >= 0, 1.0, e) / (1.0 + e)
+                total[c, 0, 0] += (np.log1p(e) + np.maximum(np.where(y, -m, m), 0.0)).sum()
                 total[c, 1] += (p - y) @ x
                 total[c, 2:] += (x * (p * (1 - p))[:, None]).T @ x
         at = np.indices(total.shape).reshape(3, -1)
@@ -65,13 +69,42 @@ def _sums(rows: DataFrame, w: np.ndarray, targets: Sequence[int]) -> tuple[np.nd
     return out[:, 0, 0], out[:, 1], out[:, 2:]
 
 
+def _newton(rows: DataFrame, w: np.ndarray, targets: Sequence[int], penalty: float, most: int, tol: float) -> tuple[np.ndarray, int]:
+    """The optimum of the summed loss plus ``penalty / 2 * |w|^2`` from the weights ``w`` on, and its passes over ``rows``."""
+    value = lambda loss, w: loss + penalty / 2 * (w * w).sum(axis=1)
+    loss, grad, curve = _sums(rows, w, targets)
+    now, step, steps = value(loss, w), None, 0
+    scale = np.ones(len(targets))
+    while steps < most:
+        if step is None:
+            step = np.stack([np.linalg.lstsq(h + penalty * np.eye(len(g)), g + penalty * v, rcond=None)[0]
+                             for g, h, v in zip(grad, curve, w)])
+            scale = np.ones(len(targets))
+        trial = w - scale[:, None] * step
+        got = _sums(rows, trial, targets)
+        steps += 1
+        gain = now - value(got[0], trial)
+        worse = gain < -1e-12 * np.maximum(now, 1.0)
+        if worse.any() and scale.min() > 1e-6:
+            scale = np.where(worse, scale / 2, scale)
+            continue
+        done = bool((np.abs(gain) <= tol * np.maximum(now, 1e-12)).all())
+        w, (loss, grad, curve), step = np.where(worse[:, None], w, trial), got, None
+        now = value(loss, w)
+        if done or worse.any():
+            break
+    return w, steps
+
+
 class OneVsRestLogistic(Estimator, _Columns, HasLabelCol, HasRegParam, HasMaxIter, HasTol):
-    """Estimator; ``regParam`` is ``1 / (C * rows)``, ``tol`` bounds the last step's relative gain."""
+    """Estimator; ``regParam`` is ``1 / (C * rows)``, ``tol`` bounds the last step's relative gain. Over many rows
+    Newton's method starts at the optimum of about ``startRows`` of them (0: always at zero); it ends by all rows."""
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", labelCol="label", regParam=0.0, maxIter=100, tol=1e-10):
+    def __init__(self, *, featuresCol="features", labelCol="label", regParam=0.0, maxIter=100, tol=1e-10, startRows=0):
         super().__init__()
         given = dict(self._input_kwargs)
+        self.startRows = given.pop("startRows", 0)
         self._setDefault(featuresCol="features", labelCol="label", predictionCol="prediction", probabilityCol="probability",
                          rawPredictionCol="rawPrediction", regParam=0.0, maxIter=100, tol=1e-10)
         self._set(**given)
@@ -89,30 +122,12 @@ class OneVsRestLogistic(Estimator, _Columns, HasLabelCol, HasRegParam, HasMaxIte
             raise ValueError(f"solver 'liblinear' takes at most {MAX_FEATURES} features here, got {shape['dims']}")
         classes = shape["top"] + 1
         targets = list(range(classes)) if classes > 2 else [1]
-        penalty = self.getRegParam() * shape["n"]              # of the summed loss
-        value = lambda loss, w: loss + penalty / 2 * (w * w).sum(axis=1)
         w = np.zeros((len(targets), shape["dims"] + 1))
-        loss, grad, curve = _sums(rows, w, targets)
-        now, step, steps = value(loss, w), None, 0
-        scale = np.ones(len(targets))
-        while steps < self.getMaxIter():
-            if step is None:
-                step = np.stack([np.linalg.lstsq(h + penalty * np.eye(len(g)), g + penalty * v, rcond=None)[0]
-                                 for g, h, v in zip(grad, curve, w)])
-                scale = np.ones(len(targets))
-            trial = w - scale[:, None] * step
-            got = _sums(rows, trial, targets)
-            steps += 1
-            gain = now - value(got[0], trial)
-            worse = gain < -1e-12 * np.maximum(now, 1.0)
-            if worse.any() and scale.min() > 1e-6:
-                scale = np.where(worse, scale / 2, scale)
-                continue
-            done = bool((np.abs(gain) <= self.getTol() * np.maximum(now, 1e-12)).all())
-            w, (loss, grad, curve), step = np.where(worse[:, None], w, trial), got, None
-            now = value(loss, w)
-            if done or worse.any():
-                break
+        if self.startRows and shape["n"] > LARGE * self.startRows:
+            part = rows.sample(fraction=self.startRows / shape["n"], seed=0).coalesce(START_PARTITIONS).persist()
+            w, _ = _newton(part, w, targets, self.getRegParam() * part.count(), self.getMaxIter(), self.getTol())
+            part.unpersist()
+        w, steps = _newton(rows, w, targets, self.getRegParam() * shape["n"], self.getMaxIter(), self.getTol())
         return self._copyValues(OneVsRestLogisticModel(w, steps))
 
 

@@ -9,6 +9,7 @@ import sys
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -295,6 +296,20 @@ def test_liblinear_optimum(spark, parts, classes):
     assert [r.m_probability for r in again] == [r.m_probability for r in out]
 
 
+@pytest.mark.parametrize("rare", [0, 2])
+def test_large_liblinear_fits_start_from_a_small_one(spark, rare):
+    """The same optimum in fewer passes over all rows, also where the small fit lacks a class."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(6000, 2)) * [1.0, 3000.0]
+    y = (x[:, 0] + x[:, 1] / 3000 + rng.logistic(size=6000) > 0).astype(int)
+    y[:rare] = 2
+    rows = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x.tolist(), y.tolist())], ["features", "label"])
+    params = {"penalty": "l2", "C": 40.0, "solver": "liblinear"}
+    cold, warm = (fit("logistic_regression", params, rows, FitContext(n_rows=6000, start_rows=k)) for k in (0, 1000))
+    assert np.allclose(cold.coefficients, warm.coefficients, rtol=1e-6)
+    assert warm.totalIterations < cold.totalIterations or rare
+
+
 def test_liblinear_needs_a_penalty(parts):
     space = {"penalty": Choice(["none"]), "C": Uniform(1.0, 2.0), "solver": Choice(["liblinear"]), "l1_ratio": Uniform(0, 1)}
     with pytest.raises(ValueError, match="needs a penalty"):
