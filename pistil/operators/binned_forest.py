@@ -15,17 +15,18 @@ result is a ``RandomForestClassificationModel``, loaded from its stored form.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+from pyspark import TaskContext
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import current_session, scratch_path
+from ..session import current_session, held, scratch_path
+from .forests import NODE, forest_nodes
 
 SAMPLE_ROWS = 10_000
 CELLS_PER_PARTITION = 25_000
@@ -45,8 +46,8 @@ def _cuts(values: np.ndarray, bins: int) -> np.ndarray:
     return middle[np.unique(np.minimum(at, len(middle) - 1))]
 
 
-def _cells(rows: DataFrame, cuts: list[np.ndarray], classes: int, n: int) -> DataFrame:
-    """``b`` (the bin of each feature, two bytes each), ``label`` and ``n`` rows, placed and ordered by their values."""
+def cell_counts(rows: DataFrame, cuts: list[np.ndarray]) -> DataFrame:
+    """``b`` (the bin of each feature, two bytes each), ``label`` and ``n`` rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.asarray(batch.column(0).flatten()).reshape(len(batch), len(cuts))
@@ -55,10 +56,45 @@ def _cells(rows: DataFrame, cuts: list[np.ndarray], classes: int, n: int) -> Dat
             packed = pa.FixedSizeBinaryArray.from_buffers(kind, len(b), [None, pa.py_buffer(np.ascontiguousarray(b))])
             yield pa.RecordBatch.from_arrays([packed.cast(pa.binary()), batch.column(1)], ["b", "label"])
 
+    return rows.mapInArrow(run, "b binary, label int").groupBy("b", "label").agg(F.count("*").alias("n"))
+
+
+def _cells(rows: DataFrame, cuts: list[np.ndarray], classes: int, n: int) -> DataFrame:
+    """The cells of ``rows``, placed and ordered by their values."""
     possible = min(n, math.prod(len(c) + 1 for c in cuts) * classes)
     parts = max(LEAST_PARTITIONS, -(-possible // CELLS_PER_PARTITION))
-    return (rows.mapInArrow(run, "b binary, label int").groupBy("b", "label").agg(F.count("*").alias("n"))
-                .repartition(parts, "b", "label").sortWithinPartitions("b", "label"))
+    return cell_counts(rows, cuts).repartition(parts, "b", "label").sortWithinPartitions("b", "label")
+
+
+def thresholds(models: Iterable[RandomForestClassificationModel], dims: int) -> list[np.ndarray] | None:
+    """The distinct split thresholds of each feature over all ``models``; None if a split is by category."""
+    spark, cuts = current_session(), [set() for _ in range(dims)]
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for m in models:
+        path = scratch_path(spark, "splits")
+        m.write().save(path)
+        split = forest_nodes(path).where(f"{NODE}.leftChild >= 0").select(f"{NODE}.split.*").distinct().collect()
+        hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop(path), True)
+        if any(r["numCategories"] >= 0 for r in split):
+            return None
+        for r in split:                                        # at most maxBins - 1 a feature
+            cuts[r["featureIndex"]].add(r["leftCategoriesOrThreshold"][0])
+    out = [np.array(sorted(c), dtype=float) for c in cuts]
+    return out if all(len(c) < 1 << 16 for c in out) else None
+
+
+def cell_rows(cells: DataFrame, cuts: list[np.ndarray], features: str, label: str) -> DataFrame:
+    """One row ``features, label, n`` for each cell, on the same side of every threshold as the rows it counts."""
+    at = [np.append(c, np.nextafter(c[-1], np.inf)) if len(c) else np.zeros(1) for c in cuts]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            b = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u2").reshape(len(batch), len(at))
+            x = np.stack([v[b[:, j]] for j, v in enumerate(at)], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(at)).cast(pa.list_(pa.float64())), batch.column(1), batch.column(2)], ["x", "label", "n"])
+
+    out = cells.mapInArrow(run, "x array<double>, label int, n long")
+    return out.select(array_to_vector("x").alias(features), F.col("label").alias(label), F.col("n"))
 
 
 def _histograms(cells: DataFrame, trees: list[dict], active: dict[int, dict[int, np.ndarray]], sizes: list[int],
@@ -183,7 +219,7 @@ def fit_binned(est: RandomForestClassifier, train: DataFrame) -> RandomForestCla
     dims, rows = seen.shape[1], train.select(x, label)
     cuts = [_cuts(seen[:, j], bins) for j in range(dims)]
     sizes, subset = [len(c) + 1 for c in cuts], math.ceil(math.sqrt(dims))
-    cells = _cells(rows, cuts, classes, n).persist(StorageLevel.MEMORY_AND_DISK)
+    cells = _cells(rows, cuts, classes, n)
     least, seed = est.getMinWeightFractionPerNode() * n, est.getSeed()
     trees: list[dict] = [{"feature": [-1], "bin": [0], "left": [0], "right": [0], "depth": [0], "counts": [None], "gain": [-1.0]}
                          for _ in range(est.getNumTrees())]
@@ -192,7 +228,7 @@ def fit_binned(est: RandomForestClassifier, train: DataFrame) -> RandomForestCla
         return np.sort(np.random.default_rng([seed & 0x7FFFFFFF, t, node, 1]).choice(dims, subset, replace=False))
 
     active = {t: {0: drawn(t, 0)} for t in range(len(trees))}
-    try:
+    with held(cells):
         for level in range(est.getMaxDepth() + 1):
             if not active:
                 break
@@ -213,8 +249,6 @@ def fit_binned(est: RandomForestClassifier, train: DataFrame) -> RandomForestCla
                     if level + 1 < est.getMaxDepth() and (c > 0).sum() > 1 and c.sum() >= 2 * max(least, 1):
                         grown.setdefault(t, {})[new] = drawn(t, new)
             active = grown
-    finally:
-        cells.unpersist()
     for tree in trees:                                          # a bootstrap of few rows may draw none
         tree["counts"] = [c if c is not None else [0.0] * classes for c in tree["counts"]]
     return _loaded(est, [r for t, tree in enumerate(trees) for r in _stored_nodes(t, tree, cuts)], dims, classes)

@@ -13,9 +13,12 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import Model
+from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .binned_forest import cell_counts, cell_rows, thresholds
 from .models import predict
 
 
@@ -34,12 +37,13 @@ def accuracy_value(df: DataFrame, label_col: str = "label",
     return float(accuracy(df, label_col, pred_col).first()["accuracy"])
 
 
-def confusion_counts(df: DataFrame, label: str | Column, predictions: Mapping[Any, str | Column]) -> DataFrame:
-    """``trial, label, prediction, n`` for every named prediction column of ``df``, in one aggregate."""
+def confusion_counts(df: DataFrame, label: str | Column, predictions: Mapping[Any, str | Column], rows: Column | None = None) -> DataFrame:
+    """``trial, label, prediction, n`` for every named prediction column of ``df``, in one aggregate (``rows``, a sum of
+    the column ``n``, where a row of ``df`` stands for several)."""
     col = lambda c: F.col(c) if isinstance(c, str) else c
     each = F.array(*[F.struct(F.lit(t).alias("trial"), col(c).alias("prediction")) for t, c in predictions.items()])
-    return (df.select(col(label).alias("label"), F.explode(each).alias("e"))
-              .groupBy("e.trial", "label", "e.prediction").agg(F.count("*").alias("n"))
+    return (df.select(col(label).alias("label"), F.explode(each).alias("e"), *([] if rows is None else ["n"]))
+              .groupBy("e.trial", "label", "e.prediction").agg((F.count("*") if rows is None else rows).alias("n"))
               .select("trial", "label", "prediction", "n"))
 
 
@@ -126,14 +130,40 @@ def resolve_metric(metric: str | Metric) -> Metric:
         raise ValueError(f"unknown metric {metric!r}; known: {sorted(METRICS)}") from None
 
 
+CELL_ROWS = 250_000               # forests score more rows than this by cells
+
+
+def _forest_counts(models: Mapping[int, Model], df: DataFrame, label_col: str) -> dict[int, dict[tuple, int]] | None:
+    """Confusion counts of forests: rows on the same side of every threshold get the same prediction, so they are counted
+    in one pass and each such cell is predicted once. None where splits are not by threshold."""
+    features = next(iter(models.values())).getFeaturesCol()
+    dims = next(iter(models.values())).numFeatures
+    cuts = thresholds(models.values(), dims)
+    if cuts is None:
+        return None
+    rows = df.select(vector_to_array(F.col(features)).alias("x"), F.col(label_col).cast("int").alias("label"))
+    cells = cell_rows(cell_counts(rows, cuts), cuts, features, label_col)
+    return _chained_counts(models, cells, label_col, F.sum("n"))
+
+
 def model_counts(models: Mapping[int, Model], df: DataFrame, label_col: str = "label") -> dict[int, dict[tuple, int]]:
-    """Confusion counts of every model from one pass over ``df``: the models' transforms are chained on
-    the same rows. Classes squared times models small rows reach the driver."""
+    """Confusion counts of every model from one pass over ``df``; one more for forests over many rows."""
+    forests = {t: m for t, m in models.items() if isinstance(m, RandomForestClassificationModel)}
+    if forests and len({m.getFeaturesCol() for m in forests.values()}) == 1 and df.count() > CELL_ROWS:
+        found = _forest_counts(forests, df, label_col)
+        if found is not None:
+            rest = {t: m for t, m in models.items() if t not in forests}
+            return {**found, **(_chained_counts(rest, df, label_col) if rest else {})}
+    return _chained_counts(models, df, label_col)
+
+
+def _chained_counts(models: Mapping[int, Model], df: DataFrame, label_col: str, rows: Column | None = None) -> dict[int, dict[tuple, int]]:
+    """The models' transforms are chained on the same rows. Classes squared times models small rows reach the driver."""
     scored = df.select("*")
     for tid, model in models.items():
         scored = predict(model, scored, prefix=f"_t{tid}_", probability_array=False).drop(f"_t{tid}_probability_vec")
     out: dict[int, dict[tuple, int]] = {tid: {} for tid in models}
-    for r in confusion_counts(scored, F.col(label_col).cast("double"), {t: f"_t{t}_prediction" for t in models}).collect():
+    for r in confusion_counts(scored, F.col(label_col).cast("double"), {t: f"_t{t}_prediction" for t in models}, rows).collect():
         out[r["trial"]][(r["label"], r["prediction"])] = r["n"]
     return out
 

@@ -15,7 +15,8 @@ Parameter mapping from the original (single-machine) hyperparameters to Spark ML
   minimising ``C * sum(loss) + 0.5 * |W|^2``); ``penalty='none'`` -> ``regParam = 0``.
   ``solver='liblinear'`` has another optimum, one fit per class with a penalised intercept (see ``one_vs_rest``); it
   cannot do without a penalty, which fails such a trial as in the original. The other solvers share one
-  optimum and ``l1_ratio`` is unused: they are recorded with the trial but do not change the fit.
+  optimum and ``l1_ratio`` is unused: they are recorded with the trial but do not change the fit. Over many rows
+  that optimum is found in a few passes (see ``softmax_newton``).
 
 Bootstrap draws and split candidates depend on how rows lie in partitions.
 ``training_frame`` therefore places rows by key into a number of partitions that
@@ -42,7 +43,8 @@ from pyspark.sql import functions as F
 from ..session import shared_dir, stored_bytes
 from .binned_forest import fit_binned
 from .forests import with_least_split
-from .one_vs_rest import OneVsRestLogistic, OneVsRestLogisticModel
+from .one_vs_rest import LARGE, OneVsRestLogistic, OneVsRestLogisticModel
+from .softmax_newton import fit_large, fits_large
 from .space import LR_SPACE, RF_SPACE, Distribution
 
 FEATURES_COL = "features"
@@ -156,7 +158,7 @@ class FitContext:
     standardize: bool = False
     features_col: str = FEATURES_COL
     label_col: str = LABEL_COL
-    start_rows: int = 250_000         # large liblinear fits start from a fit of about so many rows (0: never)
+    start_rows: int = 250_000         # large logistic fits start from a fit of about so many rows (0: never)
     # Engine settings per family name, applied on top of the mapped params, e.g.
     # {"random_forest": {"cacheNodeIds": True, "maxMemoryInMB": 512}} for deep
     # forests (node-id caching costs one int per tree per row) or
@@ -239,7 +241,12 @@ def fit(family: str | Family, params: dict[str, Any], train: DataFrame,
         ctx: FitContext) -> Model:
     fam = get_family(family)
     est = fam.build(params, ctx)
-    model = fit_binned(est, train) if isinstance(est, RandomForestClassifier) else est.fit(train)
+    if isinstance(est, RandomForestClassifier):
+        model = fit_binned(est, train)
+    elif isinstance(est, LogisticRegression) and ctx.start_rows and ctx.n_rows > LARGE * ctx.start_rows and fits_large(est):
+        model = fit_large(est, train, ctx.start_rows)
+    else:
+        model = est.fit(train)
     return fam.finish(model, params, ctx) if fam.finish else model
 
 
@@ -247,6 +254,8 @@ def fit_iterations(model: Model) -> int | None:
     """Iterations an iterative fit took (None for others): at the cap, it did not converge."""
     if isinstance(model, OneVsRestLogisticModel):
         return model.totalIterations
+    if hasattr(model, "newton_steps"):
+        return model.newton_steps
     if isinstance(model, LogisticRegressionModel) and model.hasSummary:
         return int(model.summary.totalIterations)
     return None

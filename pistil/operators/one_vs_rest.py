@@ -28,7 +28,7 @@ from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasMaxIter, Ha
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import current_session
+from ..session import current_session, held
 
 MARKER = "one_vs_rest"
 MAX_FEATURES = 1000               # second derivatives are summed in full
@@ -124,9 +124,8 @@ class OneVsRestLogistic(Estimator, _Columns, HasLabelCol, HasRegParam, HasMaxIte
         targets = list(range(classes)) if classes > 2 else [1]
         w = np.zeros((len(targets), shape["dims"] + 1))
         if self.startRows and shape["n"] > LARGE * self.startRows:
-            part = rows.sample(fraction=self.startRows / shape["n"], seed=0).coalesce(START_PARTITIONS).persist()
-            w, _ = _newton(part, w, targets, self.getRegParam() * part.count(), self.getMaxIter(), self.getTol())
-            part.unpersist()
+            with held(rows.sample(fraction=self.startRows / shape["n"], seed=0).coalesce(START_PARTITIONS)) as part:
+                w, _ = _newton(part, w, targets, self.getRegParam() * part.count(), self.getMaxIter(), self.getTol())
         w, steps = _newton(rows, w, targets, self.getRegParam() * shape["n"], self.getMaxIter(), self.getTol())
         return self._copyValues(OneVsRestLogisticModel(w, steps))
 

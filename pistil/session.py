@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
+from threading import Lock
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
@@ -124,6 +129,29 @@ def partitions_for(df, bytes_per_partition: int = DEFAULT_PARTITION_BYTES,
     return int(max(1, min(cap, max(by_size, by_cores))))
 
 
+_holders: Counter = Counter()
+_holders_lock = Lock()
+
+
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` cached until its last holder leaves. Spark keeps one cache entry for all frames of equal plans, so fits that
+    run side by side on the same rows share it, and the ``unpersist`` of the first to end would take it from the others:
+    each of their later passes would compute it again from all rows."""
+    key = df.semanticHash()
+    with _holders_lock:
+        _holders[key] += 1
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        with _holders_lock:
+            _holders[key] -= 1
+            if not _holders[key]:
+                del _holders[key]
+                df.unpersist()
+
+
 def unique_name(prefix: str) -> str:
     """A table/folder name that no other call will use."""
     return f"{prefix}_{uuid.uuid4().hex[:12]}"

@@ -13,15 +13,16 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from pistil.operators import metrics as metrics_module
 from pistil.operators import tune as tune_module
 from pistil.operators.forests import NODE, cut_small_splits, forest_nodes
 from pistil.operators.metrics import CountMetric, batch_scores, confusion_counts, confusion_metrics, model_counts, resolve_metric
-from pistil.operators.models import FitContext, assemble, fit, fit_label_indexer, load_model, predict, save_model
+from pistil.operators.models import FitContext, assemble, fit, fit_iterations, fit_label_indexer, load_model, predict, save_model
 from pistil.operators.space import Choice, IntRange, LogUniform, Uniform
 from pistil.operators.split import tag_split
 from pistil.operators.tpe import TpeSettings, propose
 from pistil.operators.tune import TrialLog, tune
-from pistil.session import scratch_path, shared_dir, unique_name
+from pistil.session import held, scratch_path, shared_dir, unique_name
 
 FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -310,6 +311,88 @@ def test_large_liblinear_fits_start_from_a_small_one(spark, rare):
     assert warm.totalIterations < cold.totalIterations or rare
 
 
+@pytest.mark.parametrize("classes, penalty, rare", [(2, "none", 0), (3, "l2", 2)])
+def test_large_softmax_fits_take_few_passes(spark, classes, penalty, rare):
+    """Spark's optimum in a few steps over all rows, whatever the features' sizes, also where the small fit lacks a class."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(6000, 3)) * [1.0, 30000.0, 0.0] + [0.0, 50000.0, 4.0]
+    z = x[:, 0] + (x[:, 1] - 50000) / 30000
+    y = np.argmax(np.stack([c * z for c in range(classes)], axis=1) + rng.gumbel(size=(6000, classes)), axis=1)
+    if rare:
+        y = np.minimum(y, 1)
+        y[:rare] = 2
+    rows = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x.tolist(), y.tolist())], ["features", "label"]).coalesce(2).cache()
+    params = {"penalty": penalty, "C": 0.5, "solver": "lbfgs"}
+    exact = {"logistic_regression": {"tol": 1e-11}}
+    cold, warm = (fit("logistic_regression", params, rows, FitContext(n_rows=6000, start_rows=k, max_iter=500, engine=exact)) for k in (0, 1000))
+    close = lambda a, b: np.allclose(a, b, rtol=2e-3, atol=1e-7)
+    assert warm.coefficientMatrix.toArray().shape == (classes, 3) and close(warm.coefficientMatrix.toArray(), cold.coefficientMatrix.toArray())
+    assert close(warm.interceptVector.toArray(), cold.interceptVector.toArray())
+    assert fit_iterations(warm) < fit_iterations(cold) and (fit_iterations(warm) <= 8 or rare)
+    assert warm.getMaxIter() == 500 and warm.getFeaturesCol() == "features"
+    again = load_model("logistic_regression", save_model(warm, scratch_path(spark, "softmax_test")))
+    assert np.array_equal(again.coefficientMatrix.toArray(), warm.coefficientMatrix.toArray())
+
+
+def test_large_softmax_fit_of_separable_rows_ends(spark):
+    """Without a penalty weights would grow for ever; the fit ends at Spark's tolerance, with every row right."""
+    rows = spark.range(6000).select(F.col("id").cast("double").alias("v"), (F.col("id") / 2000).cast("int").cast("double").alias("label"))
+    rows = assemble(rows, ["v"]).select("features", "label").coalesce(2).cache()
+    model = fit("logistic_regression", {"penalty": "none", "C": 1.0, "solver": "saga"}, rows, FitContext(n_rows=6000, start_rows=1000))
+    assert fit_iterations(model) < 100 and predict(model, rows).where("prediction = label").count() > 5950
+    assert np.isfinite(model.coefficientMatrix.toArray()).all()
+
+
+def test_frames_of_equal_plans_stay_cached_for_the_last_holder(spark):
+    make = lambda: spark.range(1000).where("id % 7 = 3")
+    with held(make()) as a:
+        with held(make()) as b:
+            assert a.count() == b.count()
+        assert a.storageLevel.useMemory
+    assert not a.storageLevel.useMemory
+
+
+def test_forests_side_by_side_count_their_cells_once(spark, parts, monkeypatch):
+    """A forest that ends does not take the cached cells of one that still grows."""
+    from pistil.operators import binned_forest
+    kept, ended = [], []
+    grow = binned_forest._splits
+
+    def spied(*args):
+        if not ended:
+            ended.append(1)                       # inside the first level of the deep forest a shallow one comes and goes
+            fit("random_forest", {**params, "max_depth": 1}, parts["train"], ctx)
+        kept.append(cells[0].storageLevel.useMemory)
+        return grow(*args)
+
+    cells = []
+    count = binned_forest._cells
+    monkeypatch.setattr(binned_forest, "_cells", lambda *a: cells.append(count(*a)) or cells[-1])
+    monkeypatch.setattr(binned_forest, "_splits", spied)
+    params = {"n_estimators": 5, "max_depth": 4, "min_samples_split": 0.01, "min_samples_leaf": 0.01, "bootstrap": True}
+    ctx = FitContext(n_rows=parts["train"].count())
+    fit("random_forest", params, parts["train"], ctx)
+    assert len(kept) > 3 and all(kept) and not cells[0].storageLevel.useMemory
+
+
+def test_forests_are_scored_by_cells(spark, parts, monkeypatch):
+    """The counts of every row's own prediction, for values on, between and beyond the thresholds."""
+    params = {"n_estimators": 9, "max_depth": 5, "min_samples_split": 0.01, "min_samples_leaf": 0.01, "bootstrap": True}
+    ctx = FitContext(n_rows=parts["train"].count())
+    models = {1: fit("random_forest", params, parts["train"], ctx), 2: fit("random_forest", {**params, "max_depth": 2}, parts["train"], ctx),
+              3: fit("logistic_regression", {"penalty": "l2", "C": 1.0, "solver": "lbfgs"}, parts["train"], ctx)}
+    some = parts["val"].select("features", "label")
+    edges = metrics_module.thresholds([models[1], models[2]], 4)
+    assert sum(map(len, edges)) > 4 and all(np.all(np.diff(e) > 0) for e in edges)
+    odd = [(Vectors.dense([v if j == f else 0.05 for j in range(4)]), 1.0) for f, e in enumerate(edges)
+           for t in e for v in (t, np.nextafter(t, np.inf), np.nextafter(t, -np.inf))]
+    odd += [(Vectors.dense([v] * 4), 2.0) for v in (-np.inf, np.inf, np.nan, 0.0)]
+    rows = some.unionByName(spark.createDataFrame(odd, ["features", "label"]))
+    plain = model_counts(models, rows)
+    monkeypatch.setattr(metrics_module, "CELL_ROWS", 0)
+    assert model_counts(models, rows) == plain and sum(plain[1].values()) == rows.count()
+
+
 def test_liblinear_needs_a_penalty(parts):
     space = {"penalty": Choice(["none"]), "C": Uniform(1.0, 2.0), "solver": Choice(["liblinear"]), "l1_ratio": Uniform(0, 1)}
     with pytest.raises(ValueError, match="needs a penalty"):
