@@ -7,7 +7,7 @@ import io
 import os
 import posixpath
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from typing import Any
 from urllib.parse import unquote, urlsplit
@@ -66,6 +66,18 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return out
 
 
+def written_parts(parts: Iterable[DataFrame], what: str) -> DataFrame:
+    """Frames of one schema (one at least) written one after the other to one folder, and read back as one."""
+    spark, path = None, None
+    for df in parts:
+        spark = spark or df.sparkSession
+        path = path or scratch_path(spark, what)
+        df.write.mode("append").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
 ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -169,4 +181,4 @@ def binary_array(buf, offsets) -> pa.Array:
 
 
 __all__ = ["binary_array", "collected", "discard", "file_system", "free_name", "lean", "scratch_path", "shared_dir", "ship_package", "table",
-           "text_column", "write_bytes", "written"]
+           "text_column", "write_bytes", "written", "written_parts"]

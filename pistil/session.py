@@ -131,6 +131,7 @@ def partitions_for(df, bytes_per_partition: int = DEFAULT_PARTITION_BYTES,
 
 _holders: Counter = Counter()
 _holders_lock = Lock()
+_freed_before: list[str] = []
 
 
 @contextmanager
@@ -152,6 +153,28 @@ def held(df: DataFrame) -> Iterator[DataFrame]:
                 df.unpersist()
 
 
+SHUFFLES_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query are deleted when it ends (Spark 4.1), and not when the driver happens to
+    collect its garbage. For steps that store their results: a frame that runs again makes its shuffles again."""
+    with _holders_lock:
+        _holders[SHUFFLES_FREED] += 1
+        if _holders[SHUFFLES_FREED] == 1:
+            _freed_before.append(spark.conf.get(SHUFFLES_FREED, "false"))
+        spark.conf.set(SHUFFLES_FREED, "true")
+    try:
+        yield
+    finally:
+        with _holders_lock:
+            _holders[SHUFFLES_FREED] -= 1
+            if not _holders[SHUFFLES_FREED]:
+                del _holders[SHUFFLES_FREED]
+                spark.conf.set(SHUFFLES_FREED, _freed_before.pop())
+
+
 def unique_name(prefix: str) -> str:
     """A table/folder name that no other call will use."""
     return f"{prefix}_{uuid.uuid4().hex[:12]}"

@@ -253,6 +253,35 @@ def test_vectors_compared_exactly_where_the_search_falls_short(spark, monkeypatc
     assert got == vectors_by_hand(rows)[0]
 
 
+def test_even_vectors_are_not_copied_over_many_cells(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.normal(0, 1, (500, 48))
+    x[400:] = x[rng.integers(0, 40, 100)] + rng.normal(0, 0.05, (100, 48))
+    rows = [(i, [float(c) for c in np.float32(v)], i % 2) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    vectors = graph_neardup.clean_vectors(df, "vec_id", "embedding", "label")
+    assert vectors.where("id = 0").first()["vec"] == np.float32(x[0]).tobytes()    # as wide as they are given
+    cells = graph_neardup.split_cells(vectors, 0.98, 40)[0]
+    assert cells.where("own").count() == 500 and cells.count() <= 1.2 * graph_neardup.MAX_COPIES * 500
+    monkeypatch.setattr(graph_neardup, "BLOCK", 48 * 60)              # 250 rows of a label: five blocks
+    monkeypatch.setattr(graph_neardup, "ROUND_BYTES", 1)
+    got = {r["id"]: (r["n_links"], r["component_id"], r["kept"]) for r in graph_neardup.near_vectors(df, max_cell=40).collect()}
+    assert got == vectors_by_hand(rows)[0]
+
+
+@pytest.mark.parametrize("labels", [2, 12])
+def test_cells_in_rounds_find_the_same_links(spark, monkeypatch, labels):
+    rows = [(i, v, k if k is None else i % labels) for i, v, k in vector_rows(4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want, total = vectors_by_hand(rows)
+    monkeypatch.setattr(graph_neardup, "ROUND_BYTES", 1)
+    cells = graph_neardup.split_cells(graph_neardup.clean_vectors(df, "vec_id", "embedding", "label"), 0.98, 60)[0]
+    assert graph_neardup.in_rounds(cells) == ("top" if labels > 8 else "cell", 8)
+    got = {r["id"]: (r["n_links"], r["component_id"], r["kept"]) for r in graph_neardup.near_vectors(df, max_cell=60).collect()}
+    assert set(got) == set(want) and all(got[i][0] <= want[i][0] for i in want)
+    assert sum(v[0] for v in got.values()) / 2 >= 0.97 * total
+
+
 def test_pairs_of_a_dense_cell_are_verified_in_steps(monkeypatch):
     rng = np.random.default_rng(1)
     x = rng.normal(0, 1, 16) + rng.normal(0, 0.05, (700, 16))

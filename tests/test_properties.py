@@ -164,3 +164,15 @@ def test_exchange_partitions_grow_with_the_stored_bytes(spark, monkeypatch):
     from pistil import session
     monkeypatch.setattr(session, "stored_bytes", lambda df: 6 << 30)
     assert session.partitions_for(spark.range(1)) >= 192      # 32 MB stored, a few hundred MB shuffled
+
+
+def test_shuffle_files_go_with_the_query_while_asked_for(spark):
+    from pistil.session import SHUFFLES_FREED, shuffles_freed
+    before = spark.conf.get(SHUFFLES_FREED)
+    with shuffles_freed(spark):
+        with shuffles_freed(spark):
+            assert spark.conf.get(SHUFFLES_FREED) == "true"
+        assert spark.conf.get(SHUFFLES_FREED) == "true"
+        once = spark.range(100).repartition(4, "id").groupBy((F.col("id") % 10).alias("k")).count()
+        assert once.collect() and sorted(once.collect()) == [(k, 10) for k in range(10)]    # and a frame can run again
+    assert spark.conf.get(SHUFFLES_FREED) == before
