@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import TWO_POW_32, hash_hex, key_string
 from ..functions.naming import snake_case, snake_case_all
-from ..session import partitions_for
+from ..session import partitions_for, storage_options
 
 
 def _case_sensitive(df: DataFrame) -> bool:
@@ -51,7 +51,7 @@ def rename_snake_case(df: DataFrame) -> DataFrame:
 
 def hash_ordered(df: DataFrame, key_cols: Sequence[str], seed: int = 42,
                  partitions: int | None = None, first: Sequence[str] = (),
-                 skew_safe: bool = False) -> DataFrame:
+                 skew_safe: bool = False, part: tuple[int, int] = (0, 1)) -> DataFrame:
     """Rows in seeded hash order: partition ``i`` holds hash range [i/n, (i+1)/n),
     sorted inside by ``(*first, md5 hex, key)``.
 
@@ -66,12 +66,17 @@ def hash_ordered(df: DataFrame, key_cols: Sequence[str], seed: int = 42,
     range sort with a per-row tiebreaker, which lets Spark cut a run of equal keys
     across partitions (the tiebreaker only orders copies of the same key, whose
     relative order is arbitrary anyway). ``partitions`` holds for both.
+
+    ``part=(k, n)`` gives the k-th of n runs of the partitions, at their places among all of them (the
+    others are empty), so that a large table can be written run by run with a smaller exchange each.
+    Not with ``skew_safe`` and not before Spark 4.1 (see ``can_order_in_parts``).
     """
     keys = list(key_cols)
     n = int(partitions or partitions_for(df))
     hexcol = hash_hex(key_string(*keys), seed)
-    top = F.conv(F.substring(F.col("_ord_h"), 1, 8), 16, 10).cast("double")
     tagged = df.withColumn("_ord_h", hexcol)
+    if part[1] > 1 and not can_order_in_parts(df, skew_safe):
+        raise ValueError("only the hash placement can be made in parts")
     if skew_safe:
         order = [*first, "_ord_h", *keys, "_ord_t"]
         return (tagged.withColumn("_ord_t", F.monotonically_increasing_id())
@@ -79,12 +84,19 @@ def hash_ordered(df: DataFrame, key_cols: Sequence[str], seed: int = 42,
                       .drop("_ord_h", "_ord_t"))
     if not hasattr(tagged, "repartitionById"):  # Spark < 4.1: sampled range partitioning
         return tagged.orderBy(*first, "_ord_h", *keys).drop("_ord_h")
+    top = F.conv(F.substring(hexcol, 1, 8), 16, 10).cast("double")
     pid = F.floor(top / F.lit(TWO_POW_32) * F.lit(n)).cast("int")
-    return (tagged.repartitionById(n, pid)
+    placed = df if part[1] == 1 else df.where(F.floor(pid * F.lit(part[1]) / F.lit(n)) == part[0])
+    # the hash is made again behind the exchange: it would be a third of the bytes sent
+    return (placed.repartitionById(n, pid).withColumn("_ord_h", hexcol)
                   .sortWithinPartitions(*first, "_ord_h", *keys)
                   .drop("_ord_h"))
 
 
+def can_order_in_parts(df: DataFrame, skew_safe: bool = False) -> bool:
+    return hasattr(df, "repartitionById") and not skew_safe
+
+
 def shuffle_rows(df: DataFrame, key_cols: Sequence[str] | str | None = None, seed: int = 42,
                  method: str = "hash", partitions: int | None = None,
                  skew_safe: bool = False) -> DataFrame:
@@ -219,6 +231,7 @@ def write_features_target(x: DataFrame, y: DataFrame, x_table: str, y_table: str
     keys = _keys(key_cols)
     for frame, name, path in ((x, x_table, x_path), (y, y_table, y_path)):
         w = frame.write.format(fmt).mode(mode)
+        w = w.options(**storage_options(frame.sparkSession, fmt))
         if buckets and keys:
             w = w.bucketBy(buckets, *keys).sortBy(*keys)
         if path:

@@ -33,12 +33,13 @@ from ..functions.naming import snake_case
 from ..operators import prep
 from ..operators.split import DEFAULT_RATIOS, SPLIT_NAMES, check_ratios, split_label
 from ..sources.csv import read_csv
-from ..session import stored_bytes
+from ..session import default_parallelism, partitions_for, shuffles_freed, stored_bytes
 from ..sources.tables import next_row_key, table_name, with_row_key, write_table
 from . import defaults
 
 ROW_KEY = "row_key"
-XY_BUCKET_BYTES = 512 << 20
+XY_BUCKET_BYTES = 128 << 20   # a bucket is sorted in one task when x and y are paired
+MAX_PARTS = 2
 log = logging.getLogger("pistil.data_flow")
 
 
@@ -100,15 +101,15 @@ def read_source(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
 
 def split_and_order(df: DataFrame, key_cols: Sequence[str], ratios: Sequence[float],
                     seed: int, shuffle: str | None, partitions: int | None = None,
-                    skew_safe: bool = False) -> DataFrame:
+                    skew_safe: bool = False, part: tuple[int, int] = (0, 1)) -> DataFrame:
     """Tag the split; with the hash shuffle, place rows by hash range and sort each
     partition by (split, hash, key): every split directory is then written in seeded
     order, and the writer's required ordering by ``split`` already holds (no second
-    sort)."""
+    sort). ``part`` is that of ``hash_ordered``."""
     out = df.withColumn("split", split_label(keyed_uniform(list(key_cols), seed), ratios))
     if shuffle == "hash":
         return prep.hash_ordered(out, key_cols, seed, partitions, first=["split"],
-                                 skew_safe=skew_safe)
+                                 skew_safe=skew_safe, part=part)
     if shuffle == "random":
         return out.orderBy("split", F.rand(seed))
     if shuffle is None:
@@ -118,6 +119,11 @@ def split_and_order(df: DataFrame, key_cols: Sequence[str], ratios: Sequence[flo
 
 def run_data_flow(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
     """Run the pipeline; return a report frame ``table, split, rows, columns``."""
+    with shuffles_freed(spark):
+        return _run_data_flow(spark, cfg)
+
+
+def _run_data_flow(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
     check_ratios(*cfg.ratios)
     prep.check_id_is_no_key(cfg.id_column, cfg.key_cols)
     if not cfg.key_cols and not cfg.row_key:
@@ -133,19 +139,20 @@ def run_data_flow(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
 
     processed_df = prep.process_table(spark.table(raw), cfg.id_column, None, shuffle=None)
     keys = [snake_case(k) for k in key_cols]
-    processed_df = split_and_order(processed_df, keys, cfg.ratios, cfg.seed, cfg.shuffle,
-                                   cfg.partitions, cfg.skew_safe)
     processed = cfg.name(cfg.processed_table)
-    write_table(processed_df, processed, fmt=cfg.fmt, partition_by=["split"],
-                path=cfg.path(cfg.processed_table))
+    # rows on their way take three times their stored bytes: a table of many partitions is exchanged and written in parts
+    n, parts = int(cfg.partitions or partitions_for(processed_df)), 1
+    if cfg.shuffle == "hash" and prep.can_order_in_parts(processed_df, cfg.skew_safe):
+        parts = max(1, min(MAX_PARTS, n // (2 * default_parallelism(spark))))
+    for k in range(parts):
+        write_table(split_and_order(processed_df, keys, cfg.ratios, cfg.seed, cfg.shuffle, n, cfg.skew_safe, (k, parts)),
+                    processed, mode="append" if k else "overwrite", fmt=cfg.fmt, partition_by=["split"],
+                    path=cfg.path(cfg.processed_table))
     log.info("processed table %s written in %.1fs", processed, time.perf_counter() - t0)
 
     stored = spark.table(processed)
     pair = [snake_case(cfg.row_key)] if cfg.row_key else keys
     carried = list(dict.fromkeys([*pair, *keys]))
-    buckets = cfg.xy_buckets
-    if buckets is None:
-        buckets = max(1, -(-stored_bytes(stored) // XY_BUCKET_BYTES))
     if cfg.split_views:
         for s, base in zip(SPLIT_NAMES, (cfg.train_table, cfg.val_table, cfg.test_table)):
             spark.sql(f"CREATE OR REPLACE VIEW {cfg.name(base)} AS "
@@ -158,6 +165,9 @@ def run_data_flow(spark: SparkSession, cfg: DataFlowConfig) -> DataFrame:
         def write_split(item):
             s, base = item
             part = stored.where(F.col("split") == s)
+            buckets = cfg.xy_buckets
+            if buckets is None:              # of one part: the size of a whole partitioned table is not known to Spark
+                buckets = max(1, -(-stored_bytes(part) // XY_BUCKET_BYTES))
             x, y = prep.features_and_target(part, cfg.feature_cols, cfg.target_col, carried)
             xn, yn = cfg.name(f"{base}_x"), cfg.name(f"{base}_y")
             prep.write_features_target(x, y, xn, yn, pair, buckets=buckets,

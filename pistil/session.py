@@ -129,6 +129,13 @@ def partitions_for(df, bytes_per_partition: int = DEFAULT_PARTITION_BYTES,
     return int(max(1, min(cap, max(by_size, by_cores))))
 
 
+def storage_options(spark: SparkSession, fmt: str) -> dict[str, str]:
+    """Writer options of stored tables: Parquet with zstd where the session has Spark's default codec. Rows in hash
+    order hold little that snappy finds."""
+    codec = spark.conf.get("spark.sql.parquet.compression.codec", "snappy")
+    return {"compression": "zstd"} if fmt == "parquet" and codec == "snappy" else {}
+
+
 _holders: Counter = Counter()
 _holders_lock = Lock()
 _freed_before: list[str] = []

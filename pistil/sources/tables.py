@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
+from ..session import storage_options
 from .csv import read_csv, read_csv_marked
 
 DEFAULT_CATALOG = "spark_catalog"
@@ -45,7 +46,7 @@ def write_table(df: DataFrame, name: str, *, mode: str = "overwrite", fmt: str =
     """Save ``df`` as a catalog table; ``path`` makes it an external table there."""
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, got {mode!r}")
-    w = df.write.format(fmt).mode(mode)
+    w = df.write.format(fmt).mode(mode).options(**storage_options(df.sparkSession, fmt))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if path:

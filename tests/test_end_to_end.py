@@ -189,6 +189,31 @@ def test_appended_loads_pair_row_by_row(spark):
     assert sum(v.count() for v in views) == 15 and all("split" not in v.columns for v in views)
 
 
+def test_processed_table_written_in_parts_is_whole_and_in_order(spark, monkeypatch):
+    from pistil.functions.hashing import hash_hex, key_string
+    from pistil.plans import data_flow
+    monkeypatch.setattr(data_flow, "default_parallelism", lambda s: 1)
+    monkeypatch.setattr(data_flow, "XY_BUCKET_BYTES", 4096)
+    uid, calls = unique_name("parts"), []
+    place = data_flow.split_and_order
+    monkeypatch.setattr(data_flow, "split_and_order", lambda *a: calls.append(a[-1]) or place(*a))
+    cfg = DataFlowConfig(
+        source=f"{SF_SMALL}/orders.parquet", source_format="parquet", raw_table=f"{uid}_raw", processed_table=f"{uid}_processed",
+        train_table=f"{uid}_train", val_table=f"{uid}_val", test_table=f"{uid}_test", id_column=None, key_cols=["o_orderkey"],
+        target_col="o_orderstatus", feature_cols=["o_totalprice"], partitions=4, table_root=shared_dir(spark, "tables", uid))
+    run_data_flow(spark, cfg)
+    assert calls == [(0, 2), (1, 2)]
+    done = spark.table(f"{uid}_processed")
+    assert sorted(done.drop("split").collect()) == sorted(spark.table(f"{uid}_raw").collect())
+    # buckets by the stored size of each part, not one for a table of any size
+    buckets = {s: int(next(r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {uid}_{s}_x").collect() if r["col_name"] == "Num Buckets")) for s in ("train", "val")}
+    assert buckets["train"] > buckets["val"] > 1
+    # the files of a split follow each other by name in hash order
+    h = hash_hex(key_string("o_orderkey"), cfg.seed)
+    files = done.where("split = 'train'").groupBy(F.substring_index(F.input_file_name(), "/", -1).alias("f")).agg(F.min(h).alias("a"), F.max(h).alias("b")).orderBy("f").collect()
+    assert len(files) == 3 and all(x["b"] < y["a"] for x, y in zip(files, files[1:])) and all(".zstd." in x["f"] for x in files)
+
+
 def test_hot_key_is_spread_by_the_skew_safe_shuffle(spark):
     uid = unique_name("hot")
     hot = spark.range(9000).select((F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))).alias("k"),

@@ -176,3 +176,13 @@ def test_shuffle_files_go_with_the_query_while_asked_for(spark):
         once = spark.range(100).repartition(4, "id").groupBy((F.col("id") % 10).alias("k")).count()
         assert once.collect() and sorted(once.collect()) == [(k, 10) for k in range(10)]    # and a frame can run again
     assert spark.conf.get(SHUFFLES_FREED) == before
+
+
+def test_hash_order_in_parts_is_the_whole_order(spark):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_totalprice")
+    placed = lambda df: [(r[0], r[1]) for r in df.select("o_orderkey", F.spark_partition_id()).collect()]
+    whole = placed(prep.hash_ordered(o, ["o_orderkey"], 11, 7))
+    parts = [placed(prep.hash_ordered(o, ["o_orderkey"], 11, 7, part=(k, 3))) for k in range(3)]
+    assert all(parts) and sum(parts, []) == whole
+    plan = prep.hash_ordered(o, ["o_orderkey"], 11, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "_ord_h" not in plan.split("Exchange")[1]    # the hash is not sent
